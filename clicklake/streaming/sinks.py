@@ -9,7 +9,6 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import IntegerType, StructType
 
 from clicklake.schemas import extended
-from clicklake.sources.writers import rebalance
 
 BATCH = "batch_id"
 
@@ -54,7 +53,7 @@ def each_batch(
 
 def write_batch(batch: DataFrame, path: str, batch_id: int) -> None:
     """Replace the folder of one micro-batch, so a repeated batch leaves no duplicates."""
-    rebalance(batch).write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+    batch.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
 
 
 def update_files(
