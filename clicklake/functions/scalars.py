@@ -48,6 +48,14 @@ def arrival_ms() -> Column:
     return F.unix_millis(F.current_timestamp())
 
 
+def whole_number(text: Column) -> Column:
+    """Text as bigint, null where it is none.
+
+    A failed ``try_cast`` costs an exception per row; the pattern keeps most of them from it.
+    """
+    return F.when(text.rlike(r"^\s*[-+]?[0-9]+\s*$"), text.try_cast("bigint"))
+
+
 def value_or(value: Column, default) -> Column:
     return F.coalesce(value, F.lit(default))
 

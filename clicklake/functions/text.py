@@ -17,20 +17,30 @@ def has_text(text: Column) -> Column:
     return text.isNotNull() & (text != "")
 
 
-def split_spaces(line: Column) -> Column:
-    """Parts of a line between single spaces, empty parts at the end dropped.
+def _split(text: Column, separators: str, pattern: str) -> Column:
+    """Parts between single separators, empty parts at the end dropped.
 
-    Inner and leading empty parts stay. A line of only spaces has no parts; an empty line has one,
-    the empty string.
+    Inner and leading empty parts stay. A text of only separators has no parts; an empty text has
+    one, the empty string.
     """
-    trimmed = F.rtrim(line)
+    trimmed = F.rtrim(text, F.lit(separators))
     return (
-        F.when(line == "", F.array(F.lit("")))
+        F.when(text == "", F.array(F.lit("")))
         .when(trimmed == "", F.array().cast("array<string>"))
-        .when(line.isNotNull(), F.split(trimmed, " "))
+        .when(text.isNotNull(), F.split(trimmed, pattern))
     )
 
 
+def split_spaces(line: Column) -> Column:
+    """Parts of a line between single spaces, empty parts at the end dropped."""
+    return _split(line, " ", " ")
+
+
+def split_tokens(text: Column) -> Column:
+    """Lower-case parts between single white-space characters, as Spark's ``Tokenizer`` makes them."""
+    return _split(F.lower(text), " \t\n\x0b\f\r", r"\s")
+
+
 def line_word_count(line: Column) -> Column:
     """Number of parts of a line, as int; null for a null line."""
     return F.when(line.isNotNull(), F.size(split_spaces(line)))

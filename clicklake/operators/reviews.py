@@ -9,7 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from clicklake.functions.scalars import decoded_label
-from clicklake.functions.text import has_text
+from clicklake.functions.text import has_text, split_tokens
 
 # The model settings.
 FEATURES = 25
@@ -18,8 +18,12 @@ REGULARISATION = 0.001
 
 
 def tokens(df: DataFrame, text: str, into: str = "words") -> DataFrame:
-    """Lower-case tokens between white space. Rows without text are left out: a null stops it."""
-    return Tokenizer(inputCol=text, outputCol=into).transform(df.filter(F.col(text).isNotNull()))
+    """Lower-case tokens between white space, rows without text left out.
+
+    The tokens of Spark's ``Tokenizer``, by built-in expressions; the model itself uses that stage,
+    as it has to be saved with it.
+    """
+    return df.filter(F.col(text).isNotNull()).withColumn(into, split_tokens(F.col(text)))
 
 
 def term_counts(df: DataFrame, words: str, into: str = "features", buckets: int = FEATURES) -> DataFrame:

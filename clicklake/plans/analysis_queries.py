@@ -11,7 +11,7 @@ from clicklake.operators.groups import distinct_in_groups
 from clicklake.operators.relational import enriched, sorted_rows
 from clicklake.operators.versions import latest_per_key, merged_snapshot
 from clicklake.operators.windows import follows, next_row, ranked, top_per_group
-from clicklake.plans.registry import ALL_PARTS_SQL, CLICKS_SQL, PARTS_SQL, WORDS_SQL, clicks_table, query
+from clicklake.plans.registry import ALL_PARTS_SQL, CLICKS_SQL, PARTS_SQL, WORDS_SQL, clicks_table, query, texts_table
 from clicklake.plans.view_report import distinct_viewers
 from clicklake.schemas import record
 from clicklake.sources.readers import read_table
@@ -56,13 +56,13 @@ def agg_distinct_users(spark, base):
 
 @query(f"SELECT word, count(*) AS count FROM {ALL_PARTS_SQL} GROUP BY word")
 def agg_reduce_by_key(spark, base):
-    split = words(read_table(spark, base, "documents").select("text"), "text", keep_inner_empty=True)
+    split = words(texts_table(spark, base, "text"), "text", keep_inner_empty=True)
     return agg.reduce_by_key(split.withColumn("one", F.lit(1)), ["word"], count=F.sum("one"))
 
 
 @query(f"SELECT word, count(*) AS size FROM {WORDS_SQL} GROUP BY word")
 def agg_group_values(spark, base):
-    split = words(read_table(spark, base, "documents").select("text"), "text")
+    split = words(texts_table(spark, base, "text"), "text")
     return agg.count_rows(split, "word", name="size")
 
 
@@ -175,12 +175,12 @@ def win_rank_as_written(spark, base):
 
 @query(f"SELECT word, count(*) AS count FROM {WORDS_SQL} GROUP BY word")
 def sort_by_value(spark, base):
-    return sorted_rows(word_counts(read_table(spark, base, "documents"), "text"), "count", "word")
+    return sorted_rows(word_counts(texts_table(spark, base, "text"), "text"), "count", "word")
 
 
 @query(f"SELECT word, count(*) AS count FROM {WORDS_SQL} GROUP BY word")
 def sort_by_key_desc(spark, base):
-    return sorted_rows(word_counts(read_table(spark, base, "documents"), "text"), F.desc("word"))
+    return sorted_rows(word_counts(texts_table(spark, base, "text"), "text"), F.desc("word"))
 
 
 # -- scalar and text functions -------------------------------------------------------------------
@@ -210,7 +210,7 @@ def fn_case_when(spark, base):
         FROM documents"""
 )
 def fn_length(spark, base):
-    return read_table(spark, base, "documents").select(
+    return texts_table(spark, base, "doc_id", "text").select(
         "doc_id",
         text.text_length(F.col("text")).alias("characters"),
         text.text_length(F.col("text"), utf16_units=True).alias("units"),
@@ -222,7 +222,7 @@ def fn_length(spark, base):
         FROM (SELECT doc_id, {PARTS_SQL} AS parts FROM documents)"""
 )
 def fn_split(spark, base):
-    split = read_table(spark, base, "documents").select("doc_id", text.split_spaces(F.col("text")).alias("parts"))
+    split = texts_table(spark, base, "doc_id", "text").select("doc_id", text.split_spaces(F.col("text")).alias("parts"))
     return split.select(
         "doc_id",
         F.size("parts").alias("n_parts"),
@@ -233,12 +233,12 @@ def fn_split(spark, base):
 
 @query(f"SELECT doc_id, CAST(len({PARTS_SQL}) AS INTEGER) AS n_words FROM documents")
 def fn_line_word_count(spark, base):
-    return read_table(spark, base, "documents").select("doc_id", text.line_word_count(F.col("text")).alias("n_words"))
+    return texts_table(spark, base, "doc_id", "text").select("doc_id", text.line_word_count(F.col("text")).alias("n_words"))
 
 
 @query("SELECT doc_id, reverse(text) AS reversed FROM documents")
 def fn_reverse(spark, base):
-    return read_table(spark, base, "documents").select("doc_id", text.reverse_text(F.col("text")).alias("reversed"))
+    return texts_table(spark, base, "doc_id", "text").select("doc_id", text.reverse_text(F.col("text")).alias("reversed"))
 
 
 @query("SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS customer FROM orders")
@@ -269,7 +269,7 @@ def fn_date_key(spark, base):
 
 @query(f"SELECT doc_id, word FROM {WORDS_SQL}")
 def fn_explode_words(spark, base):
-    return words(read_table(spark, base, "documents").select("doc_id", "text"), "text")
+    return words(texts_table(spark, base, "doc_id", "text"), "text")
 
 
 # -- user functions ------------------------------------------------------------------------------

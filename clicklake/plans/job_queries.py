@@ -8,7 +8,7 @@ from clicklake.functions.scalars import date_key
 from clicklake.operators.reviews import FEATURES, load_model, term_counts, tokens, vector_sum
 from clicklake.plans.lines import read_word_count, start_line_details, start_word_count
 from clicklake.plans.product_merge import read_snapshot, run_product_merge
-from clicklake.plans.registry import ALL_PARTS_SQL, CLICKS_SQL, PARTS_SQL, clicks_table, query
+from clicklake.plans.registry import ALL_PARTS_SQL, CLICKS_SQL, PARTS_SQL, clicks_table, query, texts_table
 from clicklake.plans.reviews import score_reviews, start_scoring, train_reviews
 from clicklake.plans.view_report import read_view_report, run_view_report, view_report
 from clicklake.schemas import LINE, LINE_DETAIL, REVIEW, SCORED_REVIEW
@@ -87,20 +87,20 @@ def stream_parse_valid(spark, base):
 
 @query(f"SELECT word, count(*) AS count FROM {_TOKENS_SQL} GROUP BY word")
 def ml_token_freq(spark, base):
-    split = tokens(read_table(spark, base, "documents").select("text"), "text")
+    split = tokens(texts_table(spark, base, "text"), "text")
     return split.select(F.explode("words").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("count"))
 
 
 @query(f"SELECT doc_id, CAST(count(*) AS DOUBLE) AS mass FROM {_TOKENS_SQL} GROUP BY doc_id")
 def ml_hash_tf_mass(spark, base):
-    split = tokens(read_table(spark, base, "documents").select("doc_id", "text"), "text")
+    split = tokens(texts_table(spark, base, "doc_id", "text"), "text")
     return term_counts(split, "words", "features", FEATURES).select("doc_id", vector_sum("features").alias("mass"))
 
 
 def _trained(spark, base):
     """A model fitted on the labelled documents, written as review files; returns its path."""
     path = scratch_path(spark, "reviews")
-    labelled = read_table(spark, base, "documents").join(read_table(spark, base, "labels"), "doc_id")
+    labelled = texts_table(spark, base, "doc_id", "text").join(read_table(spark, base, "labels"), "doc_id")
     labelled.select(
         F.col("doc_id").cast("string").alias("reviewId"), F.col("text").alias("reviewBody"), F.col("quality").alias("label")
     ).write.json(f"{path}/train")
@@ -111,7 +111,7 @@ def _trained(spark, base):
 @query()
 def ml_review_scores(spark, base):
     path = scratch_path(spark, "unscored")
-    documents = read_table(spark, base, "documents")
+    documents = texts_table(spark, base, "doc_id", "text")
     documents.select(F.col("doc_id").cast("string").alias("reviewId"), F.col("text").alias("reviewBody")).write.json(path)
     scores = score_reviews(spark, path, _trained(spark, base))
     return scores.select("reviewId", F.col("prediction").cast("int").alias("prediction"))

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clicklake.sources.readers import read_table
+from clicklake.sources.writers import spread_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,7 +34,12 @@ def clicks_table(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
-# The same in SQL.
+def texts_table(spark: SparkSession, base: str, *columns: str) -> DataFrame:
+    """Columns of the documents, spread out for work on their words."""
+    return spread_rows(read_table(spark, base, "documents").select(*columns))
+
+
+# Clicks in SQL.
 CLICKS_SQL = "(SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events)"
 
 # Parts of a text between single spaces, empty parts at the end dropped.

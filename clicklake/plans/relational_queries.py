@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType
 
+from clicklake.functions.scalars import whole_number
 from clicklake.functions.text import has_text, is_upper_case
 from clicklake.operators import relational as rel
-from clicklake.plans.registry import CLICKS_SQL, WORDS_SQL, clicks_table, query
+from clicklake.plans.registry import CLICKS_SQL, WORDS_SQL, clicks_table, query, texts_table
 from clicklake.schemas import record
 from clicklake.sources.readers import read_table
 from clicklake.streaming.transforms import words
@@ -80,7 +81,7 @@ def proj_cast(spark, base):
         "event_id",
         F.col("value").cast("int").alias("whole_value"),
         F.encode(F.col("user_id").cast("string"), "UTF-8").cast("string").alias("user_text"),
-        F.col("event_type").try_cast("bigint").alias("event_number"),
+        whole_number(F.col("event_type")).alias("event_number"),
     )
 
 
@@ -143,7 +144,7 @@ def filter_valid_record(spark, base):
 
 @query(f"SELECT doc_id, word FROM {WORDS_SQL} WHERE upper(word) = word")
 def filter_upper_words(spark, base):
-    split = words(read_table(spark, base, "documents").select("doc_id", "text"), "text")
+    split = words(texts_table(spark, base, "doc_id", "text"), "text")
     return rel.matching(split, is_upper_case, "word")
 
 

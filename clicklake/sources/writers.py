@@ -16,6 +16,16 @@ def rebalance(df: DataFrame, *columns: str) -> DataFrame:
     return df.hint("rebalance", *columns)
 
 
+def spread_rows(df: DataFrame) -> DataFrame:
+    """Rows dealt out over all cores, if the table is read in fewer tasks than there are cores.
+
+    For costly work per row on a table of few files. A large table has more splits than cores and
+    is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def repartition_rows(df: DataFrame, count: int) -> DataFrame:
     return df.repartition(count)
 

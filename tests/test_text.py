@@ -100,6 +100,19 @@ def test_date_key(spark):
     assert mapped(spark, ["2021-01-09"], lambda c: scalars.date_key(c.cast("date"))) == ["20210109"]
 
 
+def test_whole_number(spark):
+    items = ["12", " -3 ", "x", "1.5", "99999999999999999999", "", None]
+    assert mapped(spark, items, scalars.whole_number) == [12, -3, None, None, None, None, None]
+
+
+def test_tokens_are_those_of_the_model_stage(spark):
+    from pyspark.ml.feature import Tokenizer
+
+    items = [*[line for line in LINES if line is not None], "A b\tC\n", "\n \t", "  É x\r\n\r\n", "a\x0b\fB"]
+    want = Tokenizer(inputCol="value", outputCol="out").transform(values(spark, items))
+    assert mapped(spark, items, text.split_tokens) == [row.out for row in sorted(want.collect())]
+
+
 def test_plus_n_is_exact_and_keeps_nulls(spark):
     assert mapped(spark, [1, None, 7], scalars.plus_n(3), "int") == [4, None, 10]
     assert mapped(spark, [2**53 + 1, None], scalars.plus_n(1, "bigint"), "bigint") == [2**53 + 2, None]
