@@ -77,24 +77,46 @@ def one_of(df: DataFrame, column: str, values: Sequence) -> DataFrame:
 # -- joins ---------------------------------------------------------------------------------------
 
 
-def joined(left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str = "inner") -> DataFrame:
+def joined(
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str = "inner", hot_partner: bool = False
+) -> DataFrame:
     """Equi-join. Columns of both sides stay (semi and anti: of the left side only).
 
     No broadcast hint: Catalyst broadcasts a side whose size it knows to be small, and AQE splits
-    the skewed partitions of a sort-merge join. AQE can split neither side of a full outer join, so
-    that one is written as a left join plus the right rows without a partner; both can be split.
-    """
-    if how in ("full", "outer", "full_outer"):
-        return _full(left, right, left_key, right_key)
-    return left.join(right, left[left_key] == right[right_key], how)
+    the skewed partitions of a sort-merge join, as far as the kind of join lets it:
 
-
-def _full(left, right, left_key, right_key):
-    matched = left.join(right, left[left_key] == right[right_key], "left")
-    known = left.select(F.col(left_key).alias("__known")).distinct()
-    unmatched = right.join(known, right[right_key] == known["__known"], "left_anti")
-    nulls = [F.lit(None).cast(field.dataType).alias(field.name) for field in left.schema.fields]
-    return matched.union(unmatched.select(*nulls, *right.columns))
+    - inner: either side;
+    - left and right: only the side that is kept whole. Where the partner has keys with very many
+      rows, ``hot_partner`` writes the join as an inner join plus the rows without a partner;
+    - full: neither, so it is always written that way;
+    - semi and anti: only the left side, so the right one is reduced to its distinct keys.
+    """
+    on = left[left_key] == right[right_key]
+    if how in ("left_semi", "semi", "left_anti", "anti"):
+        return _by_presence(left, right, left_key, right_key, how)
+    wants_left, wants_right = how.startswith("left"), how.startswith("right")
+    if how in ("full", "outer", "full_outer", "fullouter"):
+        wants_left = wants_right = True
+    elif how == "inner" or not hot_partner:
+        return left.join(right, on, how)
+    result = left.join(right, on, "inner")
+    if wants_left:
+        lonely = _by_presence(left, right, left_key, right_key, "left_anti")
+        result = result.union(lonely.select(*left.columns, *_nulls(right)))
+    if wants_right:
+        lonely = _by_presence(right, left, right_key, left_key, "left_anti")
+        result = result.union(lonely.select(*_nulls(left), *right.columns))
+    return result
+
+
+def _by_presence(left, right, left_key, right_key, how):
+    """Semi or anti join against the distinct keys of the right side."""
+    present = right.select(F.col(right_key).alias("__present")).distinct()
+    return left.join(present, left[left_key] == present["__present"], how)
+
+
+def _nulls(df):
+    return [F.lit(None).cast(field.dataType).alias(field.name) for field in df.schema.fields]
 
 
 def joined_keep_left_key(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, Tokenizer
@@ -47,9 +48,19 @@ def review_pipeline(text: str = "reviewBody", label: str = "label") -> Pipeline:
 
 
 def fit_reviews(reviews: DataFrame, text: str = "reviewBody", label: str = "label") -> PipelineModel:
-    """Fit on the reviews that have a text and a label, reading those two columns only."""
-    usable = reviews.filter(has_text(F.col(text)) & F.col(label).isNotNull())
-    return review_pipeline(text, label).fit(usable.select(text, label))
+    """Fit on the reviews that have a text and a label, reading those two columns once.
+
+    The classifier goes over its input many times. What it needs, a short vector and a label per
+    review, is kept while it is fitted, so the texts are read and split only once.
+    """
+    usable = reviews.filter(has_text(F.col(text)) & F.col(label).isNotNull()).select(text, label)
+    *preparing, classifier = review_pipeline(text, label).getStages()
+    prepared = PipelineModel(preparing).transform(usable).select("features", label)
+    prepared.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return PipelineModel([*preparing, classifier.fit(prepared)])
+    finally:
+        prepared.unpersist()
 
 
 def split_reviews(reviews: DataFrame, key: str, held_out: float = 0.2) -> tuple[DataFrame, DataFrame]:

@@ -40,7 +40,7 @@ def merged_snapshot(
     updated = snapshot.join(arriving, F.col(key).eqNullSafe(F.col(f"__new_{key}")), "left").select(
         *[F.when(newer, F.col(f"__new_{c}")).otherwise(F.col(c)).alias(c) for c in columns]
     )
-    changed = newest.select(F.col(key).alias("__changed"))
+    changed = changes.select(F.col(key).alias("__changed")).distinct()
     existing = (
         snapshot.select(F.col(key).alias("__existing"))
         .join(changed, F.col("__existing").eqNullSafe(F.col("__changed")), "left_semi")

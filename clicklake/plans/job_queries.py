@@ -12,7 +12,7 @@ from clicklake.plans.registry import ALL_PARTS_SQL, CLICKS_SQL, PARTS_SQL, click
 from clicklake.plans.reviews import score_reviews, start_scoring, train_reviews
 from clicklake.plans.view_report import read_view_report, run_view_report, view_report
 from clicklake.schemas import LINE, LINE_DETAIL, REVIEW, SCORED_REVIEW
-from clicklake.session import scratch_path
+from clicklake.session import scratch_path, streaming_session
 from clicklake.sources.readers import read_table
 from clicklake.streaming.sinks import append_files, batch_files
 from clicklake.streaming.sources import file_stream, table_stream
@@ -21,24 +21,13 @@ from clicklake.streaming.transforms import parsed_messages, valid_messages
 _TOKENS_SQL = r"(SELECT doc_id, unnest(regexp_split_to_array(lower(text), '\s')) AS word FROM documents)"
 
 
-def _streaming_session(spark):
-    """A sibling session whose stateful streams have one state partition per core.
-
-    The number is fixed at the first run of a stream and AQE cannot change it; the setting of the
-    caller's session stays as it is.
-    """
-    session = spark.newSession()
-    session.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
-    return session
-
-
 # -- streams -------------------------------------------------------------------------------------
 
 
 @query(f"SELECT word, count(*) AS count FROM {ALL_PARTS_SQL} GROUP BY word")
 def stream_word_count(spark, base):
     path = scratch_path(spark, "words")
-    lines = table_stream(_streaming_session(spark), base, "documents").select("text")
+    lines = table_stream(streaming_session(spark), base, "documents").select("text")
     start_word_count(lines, f"{path}/updates", f"{path}/checkpoint", drain=True, line="text").awaitTermination()
     return read_word_count(spark, f"{path}/updates")
 

@@ -170,7 +170,7 @@ def _customers_and_orders(spark, base):
 
 @query(f"SELECT * FROM {_FEWER} LEFT JOIN {_DONE} ON c_custkey = o_custkey")
 def join_left(spark, base):
-    return rel.joined(*_customers_and_orders(spark, base), "c_custkey", "o_custkey", "left")
+    return rel.joined(*_customers_and_orders(spark, base), "c_custkey", "o_custkey", "left", hot_partner=True)
 
 
 @query(f"SELECT * FROM {_FEWER} RIGHT JOIN {_DONE} ON c_custkey = o_custkey")

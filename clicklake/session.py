@@ -45,5 +45,22 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/clicklake-{label}-{uuid.uuid4().hex}"
 
 
+def streaming_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
+    """A sibling session for streams with state; the caller's settings stay as they are.
+
+    The number of state partitions is fixed when a stream first runs, and AQE cannot change it: by
+    default one per core. State is kept in RocksDB, so it may outgrow the executors' memory.
+    """
+    session = spark.newSession()
+    partitions = state_partitions or spark.sparkContext.defaultParallelism
+    session.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    session.conf.set(
+        "spark.sql.streaming.stateStore.providerClass",
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    )
+    session.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    return session
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

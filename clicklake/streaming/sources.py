@@ -34,10 +34,10 @@ def file_stream(
     return reader.parquet(path)
 
 
-def table_stream(spark: SparkSession, base: str, name: str) -> DataFrame:
+def table_stream(spark: SparkSession, base: str, name: str, files_per_batch: int | None = None) -> DataFrame:
     """A warehouse table as a stream of its files.
 
     The braces make the path a pattern, which Spark takes for a table in one file as well as for a
     table in a folder; a plain path must be a folder.
     """
-    return file_stream(spark, f"{base}/{{{name}}}.parquet", TABLES[name])
+    return file_stream(spark, f"{base}/{{{name}}}.parquet", TABLES[name], files_per_batch)

@@ -39,8 +39,12 @@ CORRUPT = "_corrupt_record"
 
 
 def parsed_messages(df: DataFrame, schema: StructType, value: str = "value") -> DataFrame:
-    """JSON messages as columns, plus the original text where it did not fit the schema."""
-    return df.select(parsed_json(F.col(value), schema, CORRUPT).alias("message")).select("message.*")
+    """JSON messages as columns, plus the original text where it did not fit the schema.
+
+    ``inline`` makes each message be parsed once: filters on the fields, pushed below a plain
+    projection, would parse it again.
+    """
+    return df.select(F.inline(F.array(parsed_json(F.col(value), schema, CORRUPT))))
 
 
 def valid_messages(parsed: DataFrame, required: str, strict: bool = True) -> DataFrame:

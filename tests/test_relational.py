@@ -80,9 +80,16 @@ def expected(how):
     return sorted(rows, key=repr)
 
 
+@pytest.mark.parametrize("hot_partner", [False, True])
 @pytest.mark.parametrize("how", ["inner", "left", "right", "full", "left_semi", "left_anti"])
-def test_joins(sides, how):
-    assert rows_of(rel.joined(*sides, "userId", "userId", how)) == expected(how)
+def test_joins(sides, how, hot_partner):
+    assert rows_of(rel.joined(*sides, "userId", "userId", how, hot_partner)) == expected(how)
+
+
+@pytest.mark.parametrize("how", ["left", "right", "full"])
+def test_outer_joins_with_a_hot_partner_use_joins_that_can_be_split(sides, plan_of, how):
+    plan = plan_of(rel.joined(*sides, "userId", "userId", how, hot_partner=True))
+    assert "Inner" in plan and "LeftAnti" in plan and "Outer" not in plan
 
 
 def test_full_join_repeats_both_sides(spark):
