@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from clicklake.operators.skew import MAX_GROUP_ROWS, large_groups, split_by_size
-from clicklake.session import scratch_root
+from clicklake.session import scratch_root, shuffle_partitions
 
 
 def previous_row(
@@ -57,12 +57,12 @@ def _across_slices(df, keys, order, columns, following):
     A range shuffle on (keys, order) cuts the rows into slices of even size, whatever the keys.
     Within a slice a window does the work; the row at a slice's edge takes its neighbour from the
     adjoining slice. The slices are checkpointed, so both uses see the same cut, also after a lost
-    executor. Slices are at most as many as shuffle partitions, hence the broadcast and the window
-    over all edges.
+    executor. There are four slices to a shuffle partition, so that hashing them spreads evenly;
+    their number is fixed, hence the broadcast and the window over all edges.
     """
     scratch_root(df.sparkSession)  # a checkpoint folder must exist
     slices = (
-        df.repartitionByRange(*keys, *order)
+        df.repartitionByRange(4 * shuffle_partitions(df.sparkSession), *keys, *order)
         .withColumn("__slice", F.spark_partition_id())
         .checkpoint()
     )

@@ -31,12 +31,11 @@ def build_session(app_name: str = "clicklake", **overrides: str) -> SparkSession
 
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder that ``spark.checkpoint.dir`` names; a local one only where it is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        root = tempfile.mkdtemp(prefix="clicklake-")
-        spark.sparkContext.setCheckpointDir(root)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    root = root or tempfile.mkdtemp(prefix="clicklake-")
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(root)
     return root.rstrip("/")
 
 

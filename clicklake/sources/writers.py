@@ -20,7 +20,7 @@ def spread_rows(df: DataFrame) -> DataFrame:
     """Rows dealt out over all cores, if the table is read in fewer tasks than there are cores.
 
     For costly work per row on a table of few files. A large table has more splits than cores and
-    is left as it is.
+    is left as it is. ``df`` should be a plain scan: to count its tasks is to plan it.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
