@@ -17,28 +17,25 @@ def has_text(text: Column) -> Column:
     return text.isNotNull() & (text != "")
 
 
-def _split(text: Column, separators: str, pattern: str) -> Column:
-    """Parts between single separators, empty parts at the end dropped.
+def split_spaces(line: Column) -> Column:
+    """Parts of a line between single spaces, empty parts at the end dropped.
 
-    Inner and leading empty parts stay. A text of only separators has no parts; an empty text has
-    one, the empty string.
+    Inner and leading empty parts stay. A line of only spaces has no parts; an empty line has one,
+    the empty string.
     """
-    trimmed = F.rtrim(text, F.lit(separators))
-    return (
-        F.when(text == "", F.array(F.lit("")))
-        .when(trimmed == "", F.array().cast("array<string>"))
-        .when(text.isNotNull(), F.split(trimmed, pattern))
-    )
-
-
-def split_spaces(line: Column) -> Column:
-    """Parts of a line between single spaces, empty parts at the end dropped."""
-    return _split(line, " ", " ")
+    trimmed = F.rtrim(line)
+    return _parts(line, trimmed, F.split(trimmed, " "))
 
 
 def split_tokens(text: Column) -> Column:
     """Lower-case parts between single white-space characters, as Spark's ``Tokenizer`` makes them."""
-    return _split(F.lower(text), " \t\n\x0b\f\r", r"\s")
+    trimmed = F.rtrim(text, F.lit(" \t\n\x0b\f\r"))
+    return _parts(text, trimmed, F.split(F.lower(trimmed), r"\s"))
+
+
+def _parts(text, trimmed, parts):
+    nothing_left = (trimmed == "") & (text != "")
+    return F.when(nothing_left, F.array().cast("array<string>")).otherwise(parts)
 
 
 def line_word_count(line: Column) -> Column:

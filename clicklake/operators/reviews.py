@@ -27,6 +27,16 @@ def tokens(df: DataFrame, text: str, into: str = "words") -> DataFrame:
     return df.filter(F.col(text).isNotNull()).withColumn(into, split_tokens(F.col(text)))
 
 
+def token_counts(df: DataFrame, text: str) -> DataFrame:
+    """Occurrences of each token.
+
+    The split stands inside ``explode``: from a column, Spark would infer a filter on its size and
+    split the text again for that.
+    """
+    split = df.filter(F.col(text).isNotNull()).select(F.explode(split_tokens(F.col(text))).alias("word"))
+    return split.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
+
+
 def term_counts(df: DataFrame, words: str, into: str = "features", buckets: int = FEATURES) -> DataFrame:
     """Token counts hashed into a fixed number of buckets."""
     return HashingTF(inputCol=words, outputCol=into, numFeatures=buckets).transform(df)

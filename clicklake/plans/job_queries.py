@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from clicklake.functions.scalars import date_key
-from clicklake.operators.reviews import FEATURES, load_model, term_counts, tokens, vector_sum
+from clicklake.operators.reviews import FEATURES, load_model, term_counts, token_counts, tokens, vector_sum
 from clicklake.plans.lines import read_word_count, start_line_details, start_word_count
 from clicklake.plans.product_merge import read_snapshot, run_product_merge
 from clicklake.plans.registry import ALL_PARTS_SQL, CLICKS_SQL, PARTS_SQL, clicks_table, query, texts_table
@@ -76,8 +76,7 @@ def stream_parse_valid(spark, base):
 
 @query(f"SELECT word, count(*) AS count FROM {_TOKENS_SQL} GROUP BY word")
 def ml_token_freq(spark, base):
-    split = tokens(texts_table(spark, base, "text"), "text")
-    return split.select(F.explode("words").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("count"))
+    return token_counts(texts_table(spark, base, "text"), "text")
 
 
 @query(f"SELECT doc_id, CAST(count(*) AS DOUBLE) AS mass FROM {_TOKENS_SQL} GROUP BY doc_id")

@@ -207,6 +207,34 @@ def test_stream_scores_equal_batch_and_survive_a_restart(spark, model_path, tmp_
     assert spark.read.parquet(str(tmp_path / "rejects")).count() == 3
 
 
+def test_scores_follow_the_model_formula(spark):
+    """Whole documents, scored by the query's own steps and by a plain dot product."""
+    import numpy as np
+
+    from clicklake.operators.reviews import fit_reviews, scored
+    from clicklake.sources.readers import read_table
+    from conftest import SMALL
+
+    documents = read_table(spark, SMALL, "documents")
+    labelled = documents.join(read_table(spark, SMALL, "labels"), "doc_id")
+    model = fit_reviews(labelled, "text", "quality")
+    weights, start = np.array(model.stages[-1].coefficients), model.stages[-1].intercept
+    rows = scored(documents, model).select("words", "features", "prediction").collect()
+    assert len(rows) == documents.count()
+    for row in rows:
+        assert row.features.toArray().sum() == len(row.words)
+        assert row.prediction == float(row.features.toArray() @ weights + start > 0)
+
+
+def test_fit_in_steps_is_the_pipeline_fit(spark, folder):
+    from clicklake.operators.reviews import fit_reviews, review_pipeline
+
+    rows = [("c", "p", str(i), i, f"{GOOD if i % 3 else BAD} w{i % 7}", int(i % 3 > 0)) for i in range(60)]
+    reviews = spark.createDataFrame(rows, LABELLED_REVIEW)
+    ours, whole = fit_reviews(reviews).stages[-1], review_pipeline().fit(reviews).stages[-1]
+    assert list(ours.coefficients) == pytest.approx(list(whole.coefficients), rel=1e-6)
+
+
 def test_split_is_stable_and_whole(spark):
     reviews = spark.range(1000).select(F.col("id").cast("string").alias("reviewId"))
     train, held_out = split_reviews(reviews, "reviewId", 0.2)
