@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 # Rows of one group that one task may sort. Windows spill, so this is about time, not memory.
@@ -32,9 +33,14 @@ def large_groups(df: DataFrame, keys: Sequence[str], max_group_rows: int) -> lis
     return [row[0] for row in large.collect()]
 
 
+def _hash_table(df: DataFrame, hashes: list[int]) -> DataFrame:
+    """The hash list as a table, small enough to broadcast (see :func:`large_groups`)."""
+    return F.broadcast(df.sparkSession.createDataFrame(pa.table({_HASH: pa.array(hashes, pa.int64())})))
+
+
 def split_by_size(df: DataFrame, keys: Sequence[str], hashes: list[int]) -> tuple[DataFrame, DataFrame]:
-    """Rows of groups outside and inside ``hashes``; the hash list is small enough to broadcast."""
-    listed = F.broadcast(df.sparkSession.createDataFrame([(h,) for h in hashes], f"{_HASH} bigint"))
+    """Rows of the groups outside ``hashes``, and of those inside."""
+    listed = _hash_table(df, hashes)
     tagged = df.withColumn(_HASH, group_hash(keys))
     return (
         tagged.join(listed, _HASH, "left_anti").drop(_HASH),
@@ -48,9 +54,7 @@ def slice_number(
     """Add a slice number: 0 for ordinary groups, a hash of ``spread_by`` for listed ones."""
     if not hashes:
         return df.withColumn(name, F.lit(0))
-    listed = F.broadcast(
-        df.sparkSession.createDataFrame([(h, True) for h in hashes], f"{_HASH} bigint, __large boolean")
-    )
+    listed = _hash_table(df, hashes).withColumn("__large", F.lit(True))
     spread = F.pmod(F.xxhash64(*[F.col(c) for c in spread_by], F.lit("slice")), F.lit(slices)).cast("int")
     return (
         df.withColumn(_HASH, group_hash(keys))

@@ -41,5 +41,6 @@ def run_product_merge(spark: SparkSession, records_path: str, base: str) -> int:
     else:
         snapshot = merged_snapshot(read_snapshot(spark, base, version), records, "id", "timestamp")
     rebalance(snapshot).write.mode("overwrite").parquet(f"{base}/snapshots/version={version + 1}")
-    spark.createDataFrame([(version + 1,)], "version int").write.mode("append").parquet(f"{base}/finished")
+    finished = spark.range(0, 1, 1, 1).select(F.lit(version + 1).alias("version"))
+    finished.write.mode("append").parquet(f"{base}/finished")
     return version + 1

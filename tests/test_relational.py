@@ -92,6 +92,35 @@ def test_outer_joins_with_a_hot_partner_use_joins_that_can_be_split(sides, plan_
     assert "Inner" in plan and "LeftAnti" in plan and "Outer" not in plan
 
 
+SKEW_SETTINGS = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+}
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "right", "full"])
+def test_a_hot_partner_key_is_split(spark, plan_of, how):
+    """The right side has a third of its rows under one key; Spark splits that partition."""
+    customers = spark.range(1000).select(F.col("id").alias("c"), F.col("id").cast("string").alias("name"))
+    orders = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 1500).alias("o"),
+        F.sha2(F.col("id").cast("string"), 256).alias("text"),
+    )
+    for key, value in SKEW_SETTINGS.items():
+        spark.conf.set(key, value)
+    try:
+        result = rel.joined(customers, orders, "c", "o", how, hot_partner=True)
+        rows = result.collect()
+        assert "SortMergeJoin(skew=true)" in plan_of(result)
+    finally:
+        for key in SKEW_SETTINGS:
+            spark.conf.unset(key)
+    plain = customers.join(orders, customers.c == orders.o, how).collect()
+    assert sorted(map(tuple, rows), key=repr) == sorted(map(tuple, plain), key=repr)
+
+
 def test_full_join_repeats_both_sides(spark):
     left = spark.createDataFrame([(1, "a"), (1, "b")], "k int, l string")
     right = spark.createDataFrame([(1, "x"), (1, "y"), (2, "z"), (2, "z")], "k2 int, r string")
