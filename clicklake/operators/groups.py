@@ -23,6 +23,7 @@ def map_groups(
     spread_by: Sequence[str],
     merge: dict[str, Column],
     max_group_rows: int = MAX_GROUP_ROWS,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """One record per group, made by Python code that reads the group in batches.
 
@@ -31,8 +32,11 @@ def map_groups(
     ``merge`` joins the records of a group's slices with built-in aggregates. So the function must
     be one whose results over such slices merge, like a distinct count spread by what it counts.
     Use a built-in aggregate wherever there is one.
+
+    Group sizes are counted in ``df``, or in ``sizes`` if that is cheaper to compute and has at
+    least as many rows per group.
     """
-    hashes = large_groups(df, keys, max_group_rows)
+    hashes = large_groups(df if sizes is None else sizes, keys, max_group_rows)
     sliced = slice_number(df, keys, spread_by, hashes, shuffle_partitions(df.sparkSession), "__slice")
 
     def per_slice(key: tuple[Any, ...], batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -63,4 +67,5 @@ def distinct_in_groups(
         spread_by=[column],
         merge={name: F.sum(name).cast("int")},
         max_group_rows=max_group_rows,
+        sizes=df,
     )
