@@ -6,14 +6,15 @@ from pyspark.sql import functions as F
 
 from clicklake.functions.scalars import date_key
 from clicklake.operators.reviews import FEATURES, load_model, term_counts, token_counts, tokens, vector_sum
+from clicklake.plans.clicks import ADD_TO_CART, FAVORITE, cart_after_favorite, daily_cart_additions
 from clicklake.plans.lines import read_word_count, start_line_details, start_word_count
 from clicklake.plans.product_merge import read_snapshot, run_product_merge
 from clicklake.plans.registry import ALL_PARTS_SQL, CLICKS_SQL, PARTS_SQL, clicks_table, query, texts_table
 from clicklake.plans.reviews import score_reviews, start_scoring, train_reviews
 from clicklake.plans.view_report import read_view_report, run_view_report, view_report
-from clicklake.schemas import LINE, LINE_DETAIL, REVIEW, SCORED_REVIEW
+from clicklake.schemas import CLICK, LINE, LINE_DETAIL, REVIEW, SCORED_REVIEW
 from clicklake.session import scratch_path, streaming_session
-from clicklake.sources.readers import read_table
+from clicklake.sources.readers import read_json, read_table
 from clicklake.streaming.sinks import append_files, batch_files
 from clicklake.streaming.sources import file_stream, table_stream
 from clicklake.streaming.transforms import parsed_messages, valid_messages
@@ -174,6 +175,41 @@ def job_view_report(spark, base):
     return read_view_report(spark, f"{path}/report")
 
 
+def _click_file(spark, base):
+    """Events as a click file, views standing for favorites and purchases for cart additions."""
+    path = scratch_path(spark, "clicks")
+    event = (
+        F.when(F.col("event_type") == "view", FAVORITE)
+        .when(F.col("event_type") == "purchase", ADD_TO_CART)
+        .otherwise(F.col("event_type"))
+    )
+    clicks_table(spark, base).select(
+        F.col("user_id").alias("userId"),
+        F.col("k").alias("productId"),
+        event.alias("event"),
+        F.unix_millis(F.col("ts").cast("timestamp")).alias("timestamp"),
+    ).write.json(path)
+    return read_json(spark, path, CLICK)
+
+
+@query(
+    f"""SELECT user_id AS "userId", k AS "productId", epoch_us(ts) // 1000 AS timestamp
+        FROM (SELECT *, lag(event_type) OVER (PARTITION BY user_id, k ORDER BY ts, event_id) AS previous
+              FROM {CLICKS_SQL} WHERE event_type IN ('view', 'purchase'))
+        WHERE event_type = 'purchase' AND previous = 'view'"""
+)
+def job_cart_after_favorite(spark, base):
+    return cart_after_favorite(_click_file(spark, base))
+
+
+@query(
+    """SELECT date_trunc('day', ts)::TIMESTAMP AS day, user_id AS "userId", count(*) AS "totalAddToCart"
+       FROM events WHERE event_type = 'purchase' GROUP BY 1, 2"""
+)
+def job_daily_cart_additions(spark, base):
+    return daily_cart_additions(_click_file(spark, base))
+
+
 _RECORD_SQL = """SELECT p_partkey AS id, {name} AS name, p_type AS category, p_brand AS brand, p_name AS color,
                         p_retailprice AS price, CAST({timestamp} AS BIGINT) AS timestamp FROM part WHERE {condition}"""
 # Three sets of records: the first snapshot, newer ones (some for new products), and late ones.
