@@ -19,7 +19,8 @@ def previous_row(
 ) -> DataFrame:
     """Add columns of the previous row of the same group: ``{new name: source column}``.
 
-    ``order`` should end in a unique column, or ties fall in any order.
+    ``order`` should end in a unique column: rows equal in ``keys`` and ``order`` fall in any order,
+    and stay in one task.
     """
     return _neighbour(df, keys, order, columns, False, max_group_rows)
 
@@ -31,7 +32,7 @@ def next_row(
     columns: Mapping[str, str],
     max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """Add columns of the next row of the same group: ``{new name: source column}``."""
+    """Add columns of the next row of the same group; otherwise as :func:`previous_row`."""
     return _neighbour(df, keys, order, columns, True, max_group_rows)
 
 

@@ -15,9 +15,13 @@ ADD_TO_CART = "addToCart"
 
 
 def cart_after_favorite(
-    clicks: DataFrame, tie: tuple[str, ...] = (), max_group_rows: int = MAX_GROUP_ROWS
+    clicks: DataFrame, tie: tuple[str, ...] = ("event",), max_group_rows: int = MAX_GROUP_ROWS
 ) -> DataFrame:
-    """Cart additions right after a favorite of the same user and product."""
+    """Cart additions right after a favorite of the same user and product.
+
+    Clicks of the same millisecond are ordered by ``tie``; by default a cart addition then comes
+    before a favorite, so it does not follow it.
+    """
     flagged = follows(
         clicks,
         ["userId", "productId"],

@@ -78,6 +78,9 @@ CLICKS = [
 def test_click_reports(spark):
     clicks = spark.createDataFrame(CLICKS, CLICK)
     assert rows_of(cart_after_favorite(clicks)) == [(1, 9, 3)]
+    assert rows_of(cart_after_favorite(clicks, max_group_rows=1)) == [(1, 9, 3)]
+    together = spark.createDataFrame([(1, 9, "favorite", 1), (1, 9, "addToCart", 1), (1, 9, "addToCart", 2)], CLICK)
+    assert rows_of(cart_after_favorite(together)) == [(1, 9, 2)]
     daily = daily_cart_additions(clicks)
     assert daily.columns == ["day", "userId", "totalAddToCart"]
     assert rows_of(daily.select(F.col("day").cast("string"), "userId", "totalAddToCart")) == [
