@@ -6,11 +6,11 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from check_sql import comparable
+from clicklake.plans.registry import QUERIES, SQL
 from conftest import SMALL
 
-QUERIES, SQL = queries(), oracle_sql()
 ROWS_ONLY = {"ml_review_scores", "stream_review_scores"}
 
 
