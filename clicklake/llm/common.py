@@ -69,17 +69,16 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         kind = np.int64
     else:
         raise TypeError(f"texts expected, not {texts.type}")
+    if texts.null_count:
+        texts = pc.fill_null(texts, pa.scalar("", texts.type))
     _, offsets, data = texts.buffers()
     if offsets is None or not len(texts):
         none = np.zeros(len(texts), np.int64)
         return np.zeros(0, np.uint8), none, none
     at = np.frombuffer(offsets, kind, len(texts) + 1, texts.offset * np.dtype(kind).itemsize).astype(np.int64)
-    starts, ends = at[:-1], at[1:]
-    if texts.null_count:
-        ends = np.where(pc.is_valid(texts).to_numpy(zero_copy_only=False), ends, starts)
-    low, high = int(starts.min()), int(ends.max())
-    held = np.zeros(0, np.uint8) if data is None else np.frombuffer(data, np.uint8)[low:max(low, high)]
-    return held, starts - low, np.maximum(ends - low, starts - low)
+    held = np.zeros(0, np.uint8) if data is None else np.frombuffer(data, np.uint8)[at[0] : at[-1]]
+    at -= at[0]
+    return held, at[:-1], at[1:]
 
 
 def mixed(values: np.ndarray) -> np.ndarray:
@@ -98,6 +97,30 @@ def seeded(seed: int, size: int) -> np.ndarray:
     return mixed(np.arange(1, size + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + mixed(np.array([seed], np.uint64)))
 
 
+def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Runs of rows with equal integer ``keys`` of batches sorted by them; a run may cross batches."""
+    held: list[pa.RecordBatch] = []
+
+    def cut(table: pa.Table) -> np.ndarray:
+        new = np.zeros(table.num_rows, bool)
+        for key in keys:
+            values = table.column(key).to_numpy()
+            new[1:] |= values[1:] != values[:-1]
+        return np.flatnonzero(new)
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([*held, batch]).combine_chunks()
+        begin = 0
+        for end in cut(table).tolist():
+            yield table.slice(begin, end - begin)
+            begin = end
+        held = table.slice(begin).to_batches()
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def map_steps(
     df: DataFrame,
     text: str,

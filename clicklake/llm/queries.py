@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clicklake.llm import quality_gam
+from clicklake.llm import minhash_join, quality_gam
 from clicklake.llm.common import id_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,3 +27,11 @@ def op10_quality(spark: SparkSession, base: str) -> DataFrame:
 
 
 QUERIES["op10_quality"] = op10_quality
+
+
+def op5_minhash(spark: SparkSession, base: str) -> DataFrame:
+    """Components of near-duplicate documents by the inverted MinHash join."""
+    return minhash_join.near_duplicates(table(spark, base, "documents"))
+
+
+QUERIES["op5_minhash"] = op5_minhash
