@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clicklake.llm import minhash_join, quality_gam
+from clicklake.llm import minhash_join, mixing, quality_gam
 from clicklake.llm.common import id_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,3 +35,43 @@ def op5_minhash(spark: SparkSession, base: str) -> DataFrame:
 
 
 QUERIES["op5_minhash"] = op5_minhash
+
+
+def op6_mixing(spark: SparkSession, base: str) -> DataFrame:
+    """All documents mixed to the weights 1, 2, 3 in turn, at most three epochs of a source."""
+    mixed = mixing.mix(table(spark, base, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+QUERIES["op6_mixing"] = op6_mixing
+SQL["op6_mixing"] = r"""
+WITH sized AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size FROM documents
+), sources AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+         1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS weight
+  FROM sized GROUP BY source
+), sums AS (
+  SELECT *, 3.0::DOUBLE * source_size AS cap, 3.0::DOUBLE * source_size / weight AS ratio,
+         CAST(sum(source_size) OVER () AS DOUBLE) AS total,
+         coalesce(sum(3.0::DOUBLE * source_size) OVER before, 0.0) AS capped,
+         sum(weight) OVER () - coalesce(sum(weight) OVER before, 0) AS open
+  FROM sources
+  WINDOW before AS (ORDER BY 3.0::DOUBLE * source_size / weight, weight, source_size
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), levels AS (
+  SELECT *, max(CASE WHEN (total - capped) / open <= ratio THEN (total - capped) / open END) OVER () AS level FROM sums
+), targets AS (
+  SELECT source, source_size, CASE WHEN level IS NULL THEN cap ELSE least(cap, level * weight) END AS target FROM levels
+), rates AS (
+  SELECT *, CASE WHEN source_size > 0 THEN least(target / source_size, 3.0::DOUBLE) ELSE 0.0 END AS rate FROM targets
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY -length(bin(size)),
+                               md5('mix:' || coalesce(doc_id::VARCHAR, '')), doc_id, size) AS place
+  FROM sized
+)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
+       CAST((floor(rate) + floor(place * (rate - floor(rate)) + 0.5)
+             - floor((place - 1) * (rate - floor(rate)) + 0.5)) * size AS BIGINT) AS taken
+FROM ranked JOIN rates ON ranked.source IS NOT DISTINCT FROM rates.source
+"""
