@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clicklake.llm import minhash_join, mixing, quality_gam
+from clicklake.llm import byte_bpe, metric_join, minhash_join, mixing, quality_gam
 from clicklake.llm.common import id_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +76,49 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
              - floor((place - 1) * (rate - floor(rate)) + 0.5)) * size AS BIGINT) AS taken
 FROM ranked JOIN rates ON ranked.source IS NOT DISTINCT FROM rates.source
 """
+
+
+def op7_byte_bpe(spark: SparkSession, base: str) -> DataFrame:
+    """Every text encoded by the 50k byte-level ranks, and decoded again."""
+    ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    docs = table(spark, base, "documents").select("doc_id", "text")
+    ids = F.col("ids")
+    return byte_bpe.encode(docs, ranks, public_tokenizers.PATTERN).select(
+        "doc_id",
+        F.size(ids).cast("bigint").alias("n_tokens"),
+        F.sha2(byte_bpe.little_endian(ids, ranks), 256).alias("ids_sha256"),
+        F.sha2(byte_bpe.decoded(ids, ranks), 256).alias("decoded_sha256"),
+    )
+
+
+QUERIES["op7_byte_bpe"] = op7_byte_bpe
+
+
+def op4_metric_join(spark: SparkSession, base: str) -> DataFrame:
+    """Links and components of the embeddings of each label at a cosine of 0.93 or more."""
+    return metric_join.range_join(table(spark, base, "embeddings"), 0.93)
+
+
+QUERIES["op4_metric_join"] = op4_metric_join
+SQL["op4_metric_join"] = """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND list_sum(list_transform(CAST(embedding AS DOUBLE[]), lambda x: abs(x))) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.93
+), reached AS (
+  SELECT vec_id, vec_id AS other FROM embeddings
+  UNION
+  SELECT r.vec_id, l.b FROM reached r JOIN links l ON l.a = r.other
+), counted AS (
+  SELECT a, count(*) AS n FROM links GROUP BY a
+), least_of AS (
+  SELECT vec_id, min(other) AS component_id FROM reached GROUP BY vec_id
+)
+SELECT e.vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, e.vec_id = component_id AS kept
+FROM embeddings e JOIN least_of USING (vec_id) LEFT JOIN counted ON a = e.vec_id
+"""
