@@ -9,16 +9,20 @@ agree in ``MATCHES`` coordinates or more are candidates, and candidates are conf
   by rarity. Documents that agree in ``MATCHES`` tokens must share one of all but the last
   ``MATCHES - 1``, so only that prefix is posted. Boilerplate tokens are frequent and fall outside it.
 - Collisions are counted for the pairs of a posting list in blocks of at most ``BLOCK`` documents on
-  each side, as array comparisons in a task; a long list is many tasks.
-- Skip, first pass: of the pairs of a block only a maximum spanning forest is put forward, over the
-  rarest tokens and one more. It finds nearly all links within large groups without listing their pairs.
-- Skip, second pass: posting lists whose documents are all in one component can add nothing and are
-  skipped. All other pairs of *different* components that reach ``MATCHES`` are confirmed on full sets.
-
-So every pair with enough matches is either confirmed, refuted, or already joined by confirmed links.
-A pair at a similarity of 0.75 agrees in 48 of 64 coordinates on average; it falls below ``MATCHES``
-with a probability under 1 in 10,000 and more similar pairs far more rarely. Shingles are compared
-as 64-bit hashes.
+  each side, as array comparisons in a task; a long list is many tasks. A pair that meets in several
+  lists is looked at in one of them only.
+- Bound: a pair with enough collisions goes on if its sets, hashed into bits, leave room for the
+  similarity asked for. The bound never falls below the true value, so nothing is lost by it.
+- Skip: of the pairs that pass in a block only a maximum spanning forest is put forward. It is
+  confirmed on full sets, and posting lists whose documents are by then all in one component can add
+  nothing and are skipped. This goes over the rarest tokens first, then over all posted tokens. A last
+  pass puts forward *all* pairs that pass between different components. Those are few: only what a
+  refuted forest link has left open.
+
+So every pair with enough matches is either confirmed, refuted, or already joined by confirmed links,
+and the pairs of a group are never listed. A pair at a similarity of 0.75 agrees in 48 of 64
+coordinates on average; it falls below ``MATCHES`` with a probability under 1 in 10,000 and more similar
+pairs far more rarely. Shingles are compared as 64-bit hashes.
 
 Defined results: texts without a word and null texts have 0 shingles and are linked with nothing;
 repeated rows have equal sets and so are linked; rows that share an id are one node; a null id takes
@@ -109,14 +113,6 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return (out >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
-def collisions(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """For each pair of signatures, in how many coordinates they agree."""
-    out = np.zeros((len(left), len(right)), np.uint8)
-    for k in range(left.shape[1]):
-        out += left[:, k, None] == right[None, :, k]
-    return out
-
-
 def _forest(weights: np.ndarray) -> list[tuple[int, int]]:
     """Links of a maximum spanning forest over positive weights."""
     n = len(weights)
@@ -173,72 +169,100 @@ def _in_blocks(lists: DataFrame) -> DataFrame:
     )
 
 
+def _bits(values: pa.Array, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each set, given by 16 bits of its hashes, as a row of packed bits; and how many of it share one."""
+    width = 1 << int(np.clip(np.ceil(np.log2(16 * size.max())), 10, 16))
+    rows = np.zeros((len(size), width), bool)
+    for row, value in enumerate(values):
+        rows[row, np.frombuffer(value.as_buffer(), np.uint16) & (width - 1)] = True
+    return np.packbits(rows, axis=1).view(np.uint64), size - rows.sum(axis=1)
+
+
+def _may_be_similar(bits: np.ndarray, spare: np.ndarray, size: np.ndarray, i: np.ndarray, k: np.ndarray) -> np.ndarray:
+    """For pairs of rows, whether the sets can be similar enough: no more can be common than this."""
+    passed = np.zeros(len(i), bool)
+    step = max(1, (8 << 20) // bits.shape[1] // 8)
+    for begin in range(0, len(i), step):
+        x, y = i[begin : begin + step], k[begin : begin + step]
+        common = np.bitwise_count(bits[x] & bits[y]).sum(axis=1, dtype=np.int64) + np.minimum(spare[x], spare[y])
+        passed[begin : begin + step] = DENOMINATOR * common >= NUMERATOR * (size[x] + size[y] - common)
+    return passed
+
+
 def _candidates(lists: DataFrame, forest: bool) -> DataFrame:
-    """Pairs ``(a, b)`` with enough collisions: a spanning forest of each block pair, or all of them.
+    """Pairs ``(a, b)`` of different components that may be links: a forest of each piece, or all.
 
-    ``lists``: token, doc, component, n, signature. Pairs of one component are left out.
+    ``lists``: token, doc, component, n, signature, posted (a bit for each posted coordinate), hashed.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        left: list[np.ndarray] = []
-        right: list[np.ndarray] = []
-        held = 0
-        for run_ in runs(batches, ["token", "low", "high"]):
-            if run_.num_rows < 2:
+        for piece in runs(batches, ["token", "low", "high"]):
+            owner = piece.column("component").to_numpy()
+            if owner.min() == owner.max():
                 continue
-            doc = run_.column("doc").to_numpy()
-            owner = run_.column("component").to_numpy()
-            size = run_.column("n").to_numpy()
-            block = run_.column("block").to_numpy()
-            signs = run_.column("signature").combine_chunks()
-            signs = signs.chunk(0) if isinstance(signs, pa.ChunkedArray) else signs
-            signs = signs.flatten().to_numpy().reshape(len(doc), COORDINATES)
-            agree = collisions(signs, signs)
-            fits = (agree >= MATCHES) & (owner[:, None] != owner[None, :])
-            fits &= DENOMINATOR * np.minimum(size[:, None], size[None, :]) >= NUMERATOR * np.maximum(
-                size[:, None], size[None, :]
-            )
-            if run_.column("low")[0].as_py() != run_.column("high")[0].as_py():
+            doc, size = piece.column("doc").to_numpy(), piece.column("n").to_numpy()
+            block, posted = piece.column("block").to_numpy(), piece.column("posted").to_numpy()
+            signs = piece.column("signature").combine_chunks().flatten().to_numpy().reshape(len(doc), COORDINATES)
+            here = (piece.column("token")[0].as_py() + (1 << 31)) >> 32
+            agree = np.zeros((len(doc), len(doc)), np.uint8)
+            earlier = np.zeros(agree.shape, bool)
+            for at in range(COORDINATES):
+                same = signs[:, at, None] == signs[None, :, at]
+                agree += same
+                if at < here:
+                    on = (posted >> at & 1).astype(bool)
+                    earlier |= same & on[:, None] & on[None, :]
+            fits = (agree >= MATCHES) & ~earlier & (owner[:, None] != owner[None, :])
+            if piece.column("low")[0].as_py() != piece.column("high")[0].as_py():
                 fits &= block[:, None] != block[None, :]
-            if not fits.any():
+            i, k = np.nonzero(np.triu(fits, 1))
+            near = DENOMINATOR * np.minimum(size[i], size[k]) >= NUMERATOR * np.maximum(size[i], size[k])
+            i, k = i[near], k[near]
+            if not len(i):
                 continue
-            if forest:
-                pairs = np.array(_forest(np.where(fits, agree, 0)), np.int64).reshape(-1, 2)
-                i, k = pairs[:, 0], pairs[:, 1]
-            else:
-                i, k = np.nonzero(np.triu(fits, 1))
-            left.append(np.minimum(doc[i], doc[k]))
-            right.append(np.maximum(doc[i], doc[k]))
-            held += len(i)
-            if held > 50_000:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (left, right)], names=["a", "b"])
-                left, right, held = [], [], 0
-        if held:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (left, right)], names=["a", "b"])
+            used, at = np.unique(np.concatenate([i, k]), return_inverse=True)
+            hashed = piece.column("hashed").combine_chunks().take(pa.array(used))
+            bits, spare = _bits(hashed, size[used])
+            passed = _may_be_similar(bits, spare, size[used], at[: len(i)], at[len(i) :])
+            i, k = i[passed], k[passed]
+            if forest and len(i) > 1:
+                weights = np.zeros(agree.shape, np.uint8)
+                weights[i, k] = weights[k, i] = agree[i, k]
+                i, k = np.array(_forest(weights), np.int64).reshape(-1, 2).T
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.minimum(doc[i], doc[k])), pa.array(np.maximum(doc[i], doc[k]))], names=["a", "b"]
+            )
 
     kind = lists.schema["doc"].dataType.simpleString()
     return _in_blocks(lists).mapInArrow(run, f"a {kind}, b {kind}").filter("a <> b").distinct()
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs whose full sets are similar enough."""
-    pairs = written(pairs, "pairs")
-    wanted = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
+def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The full sets of the documents in ``wanted``, and 16 bits of each hash."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for step in steps(batches, "text"):
+            sets = shingle_sets(step.column("text"))
             yield pa.RecordBatch.from_arrays(
-                [step.column("doc_id"), pa.array([s.tobytes() for s in shingle_sets(step.column("text"))], pa.binary())],
-                names=["doc_id", "shingles"],
+                [
+                    step.column("doc_id"),
+                    pa.array([s.tobytes() for s in sets], pa.binary()),
+                    pa.array([(s >> np.uint64(20)).astype(np.uint16).tobytes() for s in sets], pa.binary()),
+                ],
+                names=["doc", "shingles", "hashed"],
             )
 
-    full = written(
-        docs.select("doc_id", "text").join(wanted, "doc_id").mapInArrow(sets, f"doc_id {kind}, shingles binary"), "sets"
-    )
-    both = pairs.join(full.select(F.col("doc_id").alias("a"), F.col("shingles").alias("left_set")), "a").join(
-        full.select(F.col("doc_id").alias("b"), F.col("shingles").alias("right_set")), "b"
-    )
+    # Both sides grow with the input, so neither is to be broadcast.
+    chosen = docs.select("doc_id", "text").join(wanted.hint("merge"), "doc_id")
+    return written(chosen.mapInArrow(run, f"doc {kind}, shingles binary, hashed binary"), "sets")
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs whose full sets are similar enough."""
+    kind = sets.schema["doc"].dataType.simpleString()
+    full = sets.select("doc", "shingles")
+    both = pairs.join(full.toDF("a", "left_set"), "a").join(full.toDF("b", "right_set"), "b")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -252,6 +276,9 @@ def _confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return written(both.select("a", "b", "left_set", "right_set").mapInArrow(compare, f"a {kind}, b {kind}").distinct(), "links")
 
 
+_POSTED = "aggregate({tokens}, 0L, (a, t) -> a | shiftleft(1L, cast(shiftright(t + 2147483648L, 32) as int)))"
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for each row of ``docs`` (doc_id, text)."""
     features = written(_features(docs), "features")
@@ -272,25 +299,27 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .filter(F.size("tokens") >= MATCHES)
         .select("doc", F.slice("tokens", F.lit(1), F.size("tokens") - (MATCHES - 1))["token"].alias("prefix"))
     )
-    prefixes = written(ordered.join(classes, "doc"), "prefixes")
-    alone = prefixes.withColumn("component", F.col("doc"))
+    ordered = written(ordered, "prefixes")
+    sets = _sets(docs, ordered.select(F.col("doc").alias("doc_id")))
+    active = written(ordered.join(classes, "doc").join(sets.select("doc", "hashed"), "doc"), "active")
+    carried = ["doc", "component", "n", "signature", "posted", "hashed"]
+
     few = F.array_distinct(F.concat(F.slice("prefix", 1, 3), F.slice("prefix", -1, 1)))
-    lists = alone.withColumn("token", F.explode(few)).drop("prefix")
-    links = _confirmed(_candidates(lists, forest=True), docs)
+    first = active.withColumn("component", F.col("doc")).withColumn("few", few)
+    first = first.withColumn("posted", F.expr(_POSTED.format(tokens="few")))
+    links = _confirmed(_candidates(first.withColumn("token", F.explode("few")).select("token", *carried), True), sets)
     found = components(links)
-
-    # Second pass: lists that still hold documents of different components.
-    owned = written(
-        prefixes.join(found.select(F.col("node").alias("doc"), "component"), "doc", "left").withColumn(
-            "component", F.coalesce("component", "doc")
-        ),
-        "owned",
-    )
-    tokens = owned.select("doc", "component", F.explode("prefix").alias("token"))
-    unsettled = tokens.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
-    lists = tokens.join(unsettled.select("token"), "token").join(owned.select("doc", "n", "signature"), "doc")
-    more = _confirmed(_candidates(lists, forest=False), docs)
-    found = components(links.unionByName(more))
+    for forest in (True, False):
+        owners = found.select(F.col("node").alias("doc"), "component")
+        owned = active.drop("component").join(owners, "doc", "left").withColumn("component", F.coalesce("component", "doc"))
+        owned = written(owned.withColumn("posted", F.expr(_POSTED.format(tokens="prefix"))), "owned")
+        tokens = owned.select("doc", "component", F.explode("prefix").alias("token"))
+        ends = tokens.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        open_lists = tokens.join(ends.filter("low <> high").select("token"), "token").select("token", "doc")
+        more = _confirmed(_candidates(open_lists.join(owned, "doc").select("token", *carried), forest), sets)
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            found = components(links)
 
     classes_found = folded.join(found.withColumnRenamed("node", "doc"), "doc", "left").select(
         "set_id", "n_shingles", F.coalesce("component", "doc").alias("component_id")
