@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clicklake.llm import byte_bpe, metric_join, minhash_join, mixing, quality_gam
+from clicklake.llm import byte_bpe, metric_join, minhash_join, mixing, quality_gam, repeats
 from clicklake.llm.common import id_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -122,3 +122,18 @@ WITH RECURSIVE usable AS (
 SELECT e.vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, e.vec_id = component_id AS kept
 FROM embeddings e JOIN least_of USING (vec_id) LEFT JOIN counted ON a = e.vec_id
 """
+
+
+def op9_repeats(spark: SparkSession, base: str) -> DataFrame:
+    """Every text without the 100-byte strings that also start earlier."""
+    cut = repeats.without_repeats(table(spark, base, "documents").select("doc_id", "text"))
+    return cut.select(
+        "doc_id",
+        F.coalesce(F.octet_length("text").cast("bigint"), F.lit(0).cast("bigint")).alias("n_bytes"),
+        "n_removed",
+        "n_spans",
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+QUERIES["op9_repeats"] = op9_repeats
