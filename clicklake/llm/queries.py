@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clicklake.llm import byte_bpe, metric_join, minhash_join, mixing, quality_gam, repeats
+from clicklake.llm import byte_bpe, edit_fingerprints, metric_join, minhash_join, mixing, quality_gam, repeats
 from clicklake.llm.common import id_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -137,3 +137,11 @@ def op9_repeats(spark: SparkSession, base: str) -> DataFrame:
 
 
 QUERIES["op9_repeats"] = op9_repeats
+
+
+def op8_edit_fingerprints(spark: SparkSession, base: str) -> DataFrame:
+    """Every text's fingerprint beside those of its edited text and of the next document."""
+    return edit_fingerprints.compared_with_next(table(spark, base, "documents"))
+
+
+QUERIES["op8_edit_fingerprints"] = op8_edit_fingerprints
