@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clicklake.llm import byte_bpe, edit_fingerprints, metric_join, minhash_join, mixing, quality_gam, repeats
+from clicklake.llm import byte_bpe, edit_fingerprints, language, metric_join, minhash_join, mixing, quality_gam, repeats
 from clicklake.llm.common import id_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -145,3 +145,15 @@ def op8_edit_fingerprints(spark: SparkSession, base: str) -> DataFrame:
 
 
 QUERIES["op8_edit_fingerprints"] = op8_edit_fingerprints
+
+
+def op3_language(spark: SparkSession, base: str) -> DataFrame:
+    """Language of every text, by a model of those outside the fold."""
+    docs = table(spark, base, "documents").select("doc_id", "text", "lang")
+    model = language.train_language(docs)
+    return language.predict_language(docs.drop("lang"), model).select(
+        "doc_id", (id_remainder("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score", "accepted"
+    )
+
+
+QUERIES["op3_language"] = op3_language
