@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clicklake.llm import byte_bpe, edit_fingerprints, language, metric_join, minhash_join, mixing, quality_gam, repeats
+from clicklake.llm import byte_bpe, edit_fingerprints, language, metric_join, minhash_join, mixing, quality_gam, repeats, reputation
 from clicklake.llm.common import id_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -157,3 +157,79 @@ def op3_language(spark: SparkSession, base: str) -> DataFrame:
 
 
 QUERIES["op3_language"] = op3_language
+
+
+RULES = (
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+)
+
+
+def op1_host_reputation(spark: SparkSession, base: str) -> DataFrame:
+    """Every page judged by the rules, else by its host's reputation.
+
+    The outcome of a page is the quality of the document that has its number.
+    """
+    outcomes = table(spark, base, "labels").select(F.col("doc_id").alias("page_id"), F.col("quality").alias("good"))
+    judged = reputation.judge(table(spark, base, "pages").select("page_id", "url"), outcomes, RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+QUERIES["op1_host_reputation"] = op1_host_reputation
+SQL["op1_host_reputation"] = r"""
+WITH cut AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+), placed AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') AS path FROM cut
+), rules(name, start, verdict) AS (
+  VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+         ('net', '/es/', 'block'), ('net', '/fr/', 'block')
+), known(name) AS (
+  VALUES ('example.com'), ('example.net'), ('example.org'), ('co.uk'), ('com.au'), ('co.jp')
+), hosts AS (
+  SELECT host, count(quality) AS n, coalesce(sum(quality), 0) AS good
+  FROM placed LEFT JOIN labels ON page_id = doc_id GROUP BY host
+), suffixed AS (
+  SELECT h.*, coalesce((SELECT arg_max(name, length(name)) FROM known WHERE h.host = name OR suffix(h.host, '.' || name)),
+                       string_split(h.host, '.')[-1]) AS suffix FROM hosts h
+), named AS (
+  SELECT *, CASE WHEN length(host) <= length(suffix) THEN host
+       ELSE string_split(substr(host, 1, length(host) - length(suffix) - 1), '.')[-1] || '.' || suffix END AS domain
+  FROM suffixed
+), l1 AS (
+  SELECT suffix, sum(n) AS n, sum(good) AS good,
+         (SELECT (coalesce(sum(good), 0) + 1) / (coalesce(sum(n), 0) + 2) FROM named) AS mean FROM named GROUP BY suffix
+), r1 AS (
+  SELECT (sum(n * (good / n - mean) ** 2 / (mean * (1 - mean))) - count(*)) / nullif(sum(n - 1), 0) AS r FROM l1 WHERE n > 0
+), c1 AS (
+  SELECT CASE WHEN r IS NULL OR r <= 0 THEN 10000.0::DOUBLE ELSE least(10000.0, greatest(1.0, (1 - r) / r)) END AS c FROM r1
+), l2 AS (
+  SELECT d.suffix, d.domain, d.n, d.good, (l1.good + c * mean) / (l1.n + c) AS mean
+  FROM (SELECT suffix, domain, sum(n) AS n, sum(good) AS good FROM named GROUP BY suffix, domain) d JOIN l1 USING (suffix), c1
+), r2 AS (
+  SELECT (sum(n * (good / n - mean) ** 2 / (mean * (1 - mean))) - count(*)) / nullif(sum(n - 1), 0) AS r FROM l2 WHERE n > 0
+), c2 AS (
+  SELECT CASE WHEN r IS NULL OR r <= 0 THEN 10000.0::DOUBLE ELSE least(10000.0, greatest(1.0, (1 - r) / r)) END AS c FROM r2
+), l3 AS (
+  SELECT h.host, h.n, h.good, (l2.good + c * mean) / (l2.n + c) AS mean FROM named h JOIN l2 USING (domain), c2
+), r3 AS (
+  SELECT (sum(n * (good / n - mean) ** 2 / (mean * (1 - mean))) - count(*)) / nullif(sum(n - 1), 0) AS r FROM l3 WHERE n > 0
+), c3 AS (
+  SELECT CASE WHEN r IS NULL OR r <= 0 THEN 10000.0::DOUBLE ELSE least(10000.0, greatest(1.0, (1 - r) / r)) END AS c FROM r3
+), ab AS (
+  SELECT host, good + c * mean AS a, n - good + c * (1 - mean) AS b FROM l3, c3
+), judged AS (
+  SELECT host, CASE WHEN a / (a + b) + 1.645 * sqrt(a * b / ((a + b) ** 2 * (a + b + 1))) < 0.5 THEN 'block' ELSE 'allow' END AS verdict
+  FROM ab
+), best AS (
+  SELECT p.page_id, p.host, p.path, arg_max(r.name || r.start, length(r.name || r.start)) AS rule,
+         arg_max(r.verdict, length(r.name || r.start)) AS by_rule
+  FROM placed p LEFT JOIN rules r ON (p.host = r.name OR suffix(p.host, '.' || r.name)) AND starts_with(p.path, r.start)
+  GROUP BY p.page_id, p.host, p.path
+)
+SELECT page_id, host, path, rule, coalesce(by_rule, verdict, 'allow') AS verdict FROM best LEFT JOIN judged USING (host)
+"""
