@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clicklake.llm import byte_bpe, edit_fingerprints, language, metric_join, minhash_join, mixing, quality_gam, repeats, reputation
+from clicklake.llm import byte_bpe, edit_fingerprints, language, main_text, metric_join, minhash_join, mixing, quality_gam, repeats, reputation
 from clicklake.llm.common import id_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -233,3 +233,11 @@ WITH cut AS (
 )
 SELECT page_id, host, path, rule, coalesce(by_rule, verdict, 'allow') AS verdict FROM best LEFT JOIN judged USING (host)
 """
+
+
+def op2_main_text(spark: SparkSession, base: str) -> DataFrame:
+    """Main text of every page by tree scoring."""
+    return main_text.extract(table(spark, base, "pages").select("page_id", "url", "html"))
+
+
+QUERIES["op2_main_text"] = op2_main_text
