@@ -10,8 +10,8 @@ A string that starts in several places is found in five steps.
    documents one row is left. Copies within one step of a task do not wait for that: they are dealt
    at random, so no anchor gathers the rows of all documents that share it.
 3. Only where fragments of one anchor differ, their bytes are fetched by a join with the documents.
-4. Suffix sorting of these fragments, column by column: in each round one symbol of every fragment is
-   inserted, from the last to the first, and the Burrows-Wheeler transform and the lengths of
+4. Suffix sorting of these fragments, column by column: in each round one symbol of every fragment, of
+   ``SYMBOL`` bytes, is inserted, from the last to the first, and the Burrows-Wheeler transform and the lengths of
    common prefixes are brought up to date in a pass over them (:func:`sorted_suffixes`). Suffixes
    that share ``LENGTH`` bytes are then neighbours; all but the earliest start are marked.
 5. The ranges of each document are joined to it and cut out.
@@ -33,13 +33,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import BinaryType, LongType, StructField, StructType
+from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
 from clicklake.llm.common import free_name, mixed, runs, seeded, steps, text_bytes, written
 
 LENGTH = 100
 GRAM = 16
-SORTED_FRAGMENTS = 4096
+SORTED_FRAGMENTS = 2048
+SYMBOL = 4  # bytes; LENGTH is a multiple
 
 _BYTE = seeded(11, 256)
 _ROOT = int(seeded(12, 1)[0]) | 1
@@ -154,26 +155,26 @@ def _marked(rows: DataFrame) -> DataFrame:
     return sorted_rows.mapInArrow(run, f"doc {kind}, mark bigint")
 
 
-def sorted_suffixes(fragments: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Sort all suffixes of a collection by inserting a column of symbols in each round.
+def sorted_suffixes(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Sort all suffixes of a collection of symbol arrays by inserting a column of symbols in each round.
 
-    Returns the row of each suffix, as an array (fragment, length of the suffix), -1 where there is
-    none; and for each row how many bytes it shares with the row before, at most 255. A suffix that is the
-    start of another comes first; equal ones are in the order of the fragments.
+    Returns the row of each suffix, as an array (text, length of the suffix), -1 where there is none; and
+    for each row how many symbols it shares with the row before, at most 255. A suffix that is the
+    start of another comes first; equal ones are in the order of the texts. Symbols are 1 or more.
 
     ``last[r]`` is the symbol before the suffix of row r, the Burrows-Wheeler transform. Rows that
     start with a symbol are in the order of that symbol's places in it, so a stable sort of the transform
     says where the new suffixes belong, and what two of them share is one more than the least of what
     the rows between their places share.
     """
-    m = len(fragments)
-    sizes = np.array([len(f) for f in fragments], np.int64)
+    m = len(texts)
+    sizes = np.array([len(t) for t in texts], np.int64)
     longest = int(sizes.max(initial=0))
-    # Symbols from the end; 0 ends a fragment. UTF-8 has no byte 0xF8, which stands for a zero byte.
-    column = np.zeros((longest + 1, m), np.uint8)
-    for k, fragment in enumerate(fragments):
-        symbols = np.frombuffer(fragment, np.uint8)[::-1]
-        column[: len(symbols), k] = np.where(symbols == 0, 0xF8, symbols)
+    highest = max((int(t.max()) for t in texts if len(t)), default=0)
+    # Symbols from the end; 0 ends a text.
+    column = np.zeros((longest + 1, m), np.uint16 if highest < 1 << 16 else np.uint32)
+    for k, text in enumerate(texts):
+        column[: len(text), k] = text[::-1]
     row_of = np.full((m, longest + 1), -1, np.int64)
     last, shared = column[0].copy(), np.zeros(m, np.uint8)
     at, active = np.arange(m), np.arange(m)
@@ -185,24 +186,25 @@ def sorted_suffixes(fragments: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         place = np.empty(len(last), np.int64)
         place[order] = np.arange(len(order))
         new = place[at]
-        inserted = np.zeros(m + len(order), bool)
+        inserted = np.zeros(m + len(order) + 1, bool)
         inserted[m + new] = True
-        # Least shared length between the places of neighbouring rows of one symbol.
-        touched = np.unique(np.concatenate([new, new + 1]))
+        # What a new row and the row after it share with the row before.
+        touched = np.flatnonzero(inserted[m:] | np.concatenate([[False], inserted[m:-1]]))
         touched = touched[(touched > 0) & (touched < len(order))]
         low, high = order[touched - 1], order[touched]
         alike = last[low] == last[high]
         value = np.zeros(len(touched), np.uint8)
         value[alike] = np.minimum(_least(shared, low[alike] + 1, high[alike]), 254) + 1
-        grown_last, grown_shared = np.empty(len(inserted), np.uint8), np.zeros(len(inserted), np.uint8)
-        grown_last[~inserted], grown_shared[~inserted] = last, shared
+        old = ~inserted[:-1]
+        grown_last, grown_shared = np.empty(len(old), last.dtype), np.zeros(len(old), np.uint8)
+        grown_last[old], grown_shared[old] = last, shared
         grown_last[m + new] = column[size, active]
         grown_shared[m + touched] = value
-        if len(new) and new.min() == 0:
+        if inserted[m]:
             grown_shared[m] = 0
         last, shared = grown_last, grown_shared
         at = m + new
-    # Walk from each fragment's end through the finished transform.
+    # Walk from each text's end through the finished transform.
     order = np.argsort(last, kind="stable")
     order = order[np.count_nonzero(last == 0) :]
     place = np.empty(len(last), np.int64)
@@ -232,33 +234,45 @@ def _least(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
     return out
 
 
-def _repeated(doc: np.ndarray, start: np.ndarray, fragments: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Ranges ``(fragment, from, to)`` of starts whose string also starts earlier."""
-    row_of, shared = sorted_suffixes(fragments)
-    sizes = np.array([len(f) for f in fragments])
-    fragment, length = np.nonzero(row_of >= 0)
-    long_enough = length >= LENGTH
-    fragment, length = fragment[long_enough], length[long_enough]
-    group = np.cumsum(shared < LENGTH)[row_of[fragment, length]]
-    crowded = np.bincount(group, minlength=1)[group] > 1
-    fragment, length, group = fragment[crowded], length[crowded], group[crowded]
-    offset = sizes[fragment] - length
-    place = start[fragment] + offset
-    rank = np.unique(doc, return_inverse=True)[1][fragment]
-    order = np.lexsort((place, rank, group))
-    group, rank, place = group[order], rank[order], place[order]
-    head = np.ones(len(group), bool)
-    head[1:] = group[1:] != group[:-1]
-    first = np.maximum.accumulate(np.where(head, np.arange(len(group)), 0))
-    later = (rank != rank[first]) | (place != place[first])
-    fragment, offset = fragment[order][later], offset[order][later]
-    order = np.lexsort((offset, fragment))
-    fragment, offset = fragment[order], offset[order]
+def _repeated(
+    doc: np.ndarray, start: np.ndarray, anchor: np.ndarray, fragments: list[bytes]
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ranges ``(fragment, first, last)`` of offsets at which a string starts that also starts earlier.
+
+    Equal windows of fragments stand alike to the anchor, so starts are compared only with those of the
+    same distance to it modulo ``SYMBOL``, and the symbols of the sort are so many bytes.
+    """
+    need = LENGTH // SYMBOL
+    rank = np.unique(doc, return_inverse=True)[1]
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    for phase in range(SYMBOL):
+        offset = (anchor + phase) % SYMBOL
+        count = np.maximum(0, np.array([len(f) for f in fragments]) - offset) // SYMBOL
+        parts = [np.frombuffer(f, "<u4", n, o) for f, n, o in zip(fragments, count.tolist(), offset.tolist())]
+        numbers = np.unique(np.concatenate(parts), return_inverse=True)[1] + 1
+        row_of, shared = sorted_suffixes(np.split(numbers, np.cumsum(count)[:-1]))
+        fragment, length = np.nonzero(row_of[:, need:] >= 0)
+        length += need
+        group = np.cumsum(shared < need)[row_of[fragment, length]]
+        crowded = np.bincount(group, minlength=1)[group] > 1
+        fragment, length, group = fragment[crowded], length[crowded], group[crowded]
+        at = offset[fragment] + SYMBOL * (count[fragment] - length)
+        place, owner = start[fragment] + at, rank[fragment]
+        order = np.lexsort((place, owner, group))
+        group, owner, place = group[order], owner[order], place[order]
+        head = np.ones(len(group), bool)
+        head[1:] = group[1:] != group[:-1]
+        first = np.maximum.accumulate(np.where(head, np.arange(len(group)), 0))
+        later = (owner != owner[first]) | (place != place[first])
+        found.append((fragment[order][later], at[order][later]))
+    fragment, at = (np.concatenate(x) for x in zip(*found))
+    order = np.lexsort((at, fragment))
+    fragment, at = fragment[order], at[order]
     cut = np.ones(len(fragment), bool)
-    cut[1:] = (fragment[1:] != fragment[:-1]) | (offset[1:] != offset[:-1] + 1)
+    cut[1:] = (fragment[1:] != fragment[:-1]) | (at[1:] != at[:-1] + 1)
     begin = np.flatnonzero(cut)
-    end = np.append(begin[1:], len(fragment)) - 1
-    return (fragment[begin], offset[begin], offset[end]) if len(fragment) else (fragment, offset, offset)
+    end = np.append(begin[1:], len(fragment))[: len(begin)] - 1
+    return fragment[begin], at[begin], at[end]
 
 
 def _comparable(fragments: list[bytes], places: list[int]) -> list[int]:
@@ -285,11 +299,12 @@ def _ranges(fragments: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         doc: list[np.ndarray] = []
         start: list[np.ndarray] = []
+        anchor: list[int] = []
         held: list[bytes] = []
 
         def sort() -> pa.RecordBatch:
             docs, starts = np.concatenate(doc), np.concatenate(start)
-            fragment, first, last = _repeated(docs, starts, held)
+            fragment, first, last = _repeated(docs, starts, np.array(anchor), held)
             out = [docs[fragment], starts[fragment] + first, starts[fragment] + last]
             return pa.RecordBatch.from_arrays([pa.array(x) for x in out], names=["doc", "first", "last"])
 
@@ -303,10 +318,11 @@ def _ranges(fragments: DataFrame) -> DataFrame:
                 continue
             doc.append(run_.column("doc").to_numpy()[chosen])
             start.append(run_.column("start").to_numpy()[chosen])
+            anchor.extend(places[k] for k in chosen)
             held.extend(pieces[k] for k in chosen)
             if len(held) >= SORTED_FRAGMENTS:
                 yield sort()
-                doc, start, held = [], [], []
+                doc, start, anchor, held = [], [], [], []
         if held:
             yield sort()
 
@@ -343,10 +359,11 @@ def _digest(gram: bytes) -> bytes:
     return hashlib.blake2b(gram, digest_size=8).digest()
 
 
-def without_repeats(docs: DataFrame, text: str = "text", kept: str = "kept") -> DataFrame:
+def without_repeats(docs: DataFrame, text: str = "text", kept: str = "kept", as_text: bool = False) -> DataFrame:
     """Add ``kept`` (binary), ``n_removed`` and ``n_spans`` to the documents (``doc_id``, ``text``).
 
-    ``kept`` holds the bytes that are left, which may end or begin within a character.
+    ``kept`` holds the bytes that are left. A cut may go through a character; ``as_text`` leaves out what
+    is left of such a character and gives a string.
     """
     texts = docs.select("doc_id", F.col(text).alias("text"))
     marks = written(_marked(_anchor_rows(texts)), "marks")
@@ -362,7 +379,7 @@ def without_repeats(docs: DataFrame, text: str = "text", kept: str = "kept") ->
     joined = docs.join(cuts.hint("merge"), docs["doc_id"] == cuts["doc"], "left").select(docs["*"], "cuts")
     names = [free_name(docs, n) for n in (kept, "n_removed", "n_spans")]
     schema = StructType(
-        [*docs.schema.fields, *(StructField(n, k) for n, k in zip(names, (BinaryType(), LongType(), LongType())))]
+        [*docs.schema.fields, *(StructField(n, k) for n, k in zip(names, (StringType() if as_text else BinaryType(), LongType(), LongType())))]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -375,7 +392,8 @@ def without_repeats(docs: DataFrame, text: str = "text", kept: str = "kept") ->
                 removed.append(int(gone.sum()))
                 spans.append(int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum()))
             columns = step.columns[:-1]
-            made = [pa.array(left, pa.binary()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64())]
+            rest = pa.array([x.decode(errors="ignore") for x in left], pa.string()) if as_text else pa.array(left, pa.binary())
+            made = [rest, pa.array(removed, pa.int64()), pa.array(spans, pa.int64())]
             yield pa.RecordBatch.from_arrays([*columns, *made], names=[*step.schema.names[:-1], *names])
 
     return joined.mapInArrow(run, schema)
