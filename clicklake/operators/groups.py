@@ -36,8 +36,8 @@ def map_groups(
     Group sizes are counted in ``df``, or in ``sizes`` if that is cheaper to compute and has at
     least as many rows per group.
     """
-    hashes = large_groups(df if sizes is None else sizes, keys, max_group_rows)
-    sliced = slice_number(df, keys, spread_by, hashes, shuffle_partitions(df.sparkSession), "__slice")
+    large = large_groups(df if sizes is None else sizes, keys, max_group_rows)
+    sliced = slice_number(df, keys, spread_by, large, shuffle_partitions(df.sparkSession), "__slice")
 
     def per_slice(key: tuple[Any, ...], batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield function(key[:-1], batches)

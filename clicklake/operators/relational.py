@@ -88,17 +88,16 @@ def joined(
     - inner: either side;
     - left and right: only the side that is kept whole. Where the partner has keys with very many
       rows, ``hot_partner`` writes the join as an inner join plus the rows without a partner;
-    - full: neither, so it is always written that way;
+    - full: neither, so with ``hot_partner`` it is written that way for both sides;
     - semi and anti: only the left side, so the right one is reduced to its distinct keys.
     """
     on = left[left_key] == right[right_key]
     if how in ("left_semi", "semi", "left_anti", "anti"):
         return _by_presence(left, right, left_key, right_key, how)
-    wants_left, wants_right = how.startswith("left"), how.startswith("right")
-    if how in ("full", "outer", "full_outer", "fullouter"):
-        wants_left = wants_right = True
-    elif how == "inner" or not hot_partner:
+    if how == "inner" or not hot_partner:
         return left.join(right, on, how)
+    full = how in ("full", "outer", "full_outer", "fullouter")
+    wants_left, wants_right = full or how.startswith("left"), full or how.startswith("right")
     result = left.join(right, on, "inner")
     if wants_left:
         lonely = _by_presence(left, right, left_key, right_key, "left_anti")
@@ -139,16 +138,12 @@ def enriched(facts: DataFrame, dimension: DataFrame, key: str, dimension_key: st
     return facts.join(dimension, facts[key] == dimension[dimension_key], "inner").select(*columns)
 
 
-def lookup(
-    df: DataFrame, table: DataFrame, key: str, table_key: str, how: str = "left", max_rows: int = 10_000
-) -> DataFrame:
-    """Join with a table sent whole to every executor, if it has at most ``max_rows`` rows.
+def lookup(df: DataFrame, table: DataFrame, key: str, table_key: str, how: str = "left") -> DataFrame:
+    """Join with a table that is likely small.
 
-    The size is checked by counting no more than ``max_rows + 1`` rows. A larger table is joined
-    without the hint, as Catalyst sees fit.
+    No hint: Catalyst, and AQE once the table's size in bytes is known, send it whole to every executor if
+    it is below ``spark.sql.autoBroadcastJoinThreshold``, and shuffle it otherwise.
     """
-    if table.limit(max_rows + 1).count() <= max_rows:
-        table = F.broadcast(table)
     return df.join(table, df[key] == table[table_key], how)
 
 

@@ -8,9 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from clicklake.session import scratch_path
+
 # Rows of one group that one task may sort. Windows spill, so this is about time, not memory.
 MAX_GROUP_ROWS = 5_000_000
 
@@ -21,40 +22,36 @@ def group_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(key) for key in keys])
 
 
-def large_groups(df: DataFrame, keys: Sequence[str], max_group_rows: int) -> list[int]:
-    """Hashes of the groups with more than ``max_group_rows`` rows.
+def large_groups(df: DataFrame, keys: Sequence[str], max_group_rows: int) -> DataFrame | None:
+    """A table of the hashes of groups with more than ``max_group_rows`` rows, None if there is none.
 
-    One narrow count, combined before its shuffle. The list has at most rows / max_group_rows
-    entries of 8 bytes: some hundred thousand for a trillion rows. Two keys with the same hash are
-    at worst split without need, which changes no result.
+    One narrow count, combined before its shuffle, and written: however many such groups there are, they
+    stay on the executors. Two keys with the same hash are at worst split without need, which changes
+    no result.
     """
     counts = df.groupBy(group_hash(keys).alias(_HASH)).agg(F.count(F.lit(1)).alias("rows"))
-    large = counts.filter(F.col("rows") > max_group_rows).select(_HASH)
-    return [row[0] for row in large.collect()]
-
-
-def _hash_table(df: DataFrame, hashes: list[int]) -> DataFrame:
-    """The hash list as a table, small enough to broadcast (see :func:`large_groups`)."""
-    return F.broadcast(df.sparkSession.createDataFrame(pa.table({_HASH: pa.array(hashes, pa.int64())})))
+    path = scratch_path(df.sparkSession, "large")
+    counts.filter(F.col("rows") > max_group_rows).select(_HASH).write.parquet(path)
+    large = df.sparkSession.read.schema(f"{_HASH} bigint").parquet(path)
+    return None if large.isEmpty() else large
 
 
-def split_by_size(df: DataFrame, keys: Sequence[str], hashes: list[int]) -> tuple[DataFrame, DataFrame]:
-    """Rows of the groups outside ``hashes``, and of those inside."""
-    listed = _hash_table(df, hashes)
+def split_by_size(df: DataFrame, keys: Sequence[str], large: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of the groups outside ``large``, and of those inside."""
     tagged = df.withColumn(_HASH, group_hash(keys))
     return (
-        tagged.join(listed, _HASH, "left_anti").drop(_HASH),
-        tagged.join(listed, _HASH, "left_semi").drop(_HASH),
+        tagged.join(large, _HASH, "left_anti").drop(_HASH),
+        tagged.join(large, _HASH, "left_semi").drop(_HASH),
     )
 
 
 def slice_number(
-    df: DataFrame, keys: Sequence[str], spread_by: Sequence[str], hashes: list[int], slices: int, name: str
+    df: DataFrame, keys: Sequence[str], spread_by: Sequence[str], large: DataFrame | None, slices: int, name: str
 ) -> DataFrame:
     """Add a slice number: 0 for ordinary groups, a hash of ``spread_by`` for listed ones."""
-    if not hashes:
+    if large is None:
         return df.withColumn(name, F.lit(0))
-    listed = _hash_table(df, hashes).withColumn("__large", F.lit(True))
+    listed = large.withColumn("__large", F.lit(True))
     spread = F.pmod(F.xxhash64(*[F.col(c) for c in spread_by], F.lit("slice")), F.lit(slices)).cast("int")
     return (
         df.withColumn(_HASH, group_hash(keys))

@@ -37,10 +37,10 @@ def next_row(
 
 
 def _neighbour(df, keys, order, columns, following, max_group_rows):
-    hashes = large_groups(df, keys, max_group_rows)
-    if not hashes:
+    found = large_groups(df, keys, max_group_rows)
+    if found is None:
         return _in_one_task(df, keys, order, columns, following)
-    ordinary, large = split_by_size(df, keys, hashes)
+    ordinary, large = split_by_size(df, keys, found)
     return _in_one_task(ordinary, keys, order, columns, following).unionByName(
         _across_slices(large, keys, order, columns, following)
     )

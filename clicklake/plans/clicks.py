@@ -21,9 +21,13 @@ def cart_after_favorite(
 
     Clicks of the same millisecond are ordered by ``tie``; by default a cart addition then comes
     before a favorite, so it does not follow it.
+
+    Clicks that are equal in all of these are folded first: of a run of equal cart additions only the
+    first can follow a favorite. So the order within a group is unique, and however many clicks share
+    one time, the slices of a large group stay even.
     """
     flagged = follows(
-        clicks,
+        clicks.select("userId", "productId", "event", "timestamp", *[c for c in tie if c != "event"]).distinct(),
         ["userId", "productId"],
         ["timestamp", *tie],
         "event",

@@ -2,21 +2,25 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from clicklake.functions.scalars import date_key
-from clicklake.operators.reviews import FEATURES, load_model, term_counts, token_counts, tokens, vector_sum
+from clicklake.functions.text import has_text
+from clicklake.operators.reviews import FEATURES, fit_reviews, scored, term_counts, token_counts, tokens, vector_sum
 from clicklake.plans.clicks import ADD_TO_CART, FAVORITE, cart_after_favorite, daily_cart_additions
 from clicklake.plans.lines import read_word_count, start_line_details, start_word_count
 from clicklake.plans.product_merge import read_snapshot, run_product_merge
 from clicklake.plans.registry import ALL_PARTS_SQL, CLICKS_SQL, PARTS_SQL, clicks_table, query, texts_table
-from clicklake.plans.reviews import score_reviews, start_scoring, train_reviews
+from clicklake.plans.reviews import REVIEW_IDS, score_messages, start_scoring
 from clicklake.plans.view_report import read_view_report, run_view_report, view_report
-from clicklake.schemas import CLICK, LINE, LINE_DETAIL, REVIEW, SCORED_REVIEW
+from clicklake.schemas import LINE_DETAIL, REVIEW, SCORED_REVIEW, WORD_COUNT, record
 from clicklake.session import scratch_path, streaming_session
-from clicklake.sources.readers import read_json, read_table
-from clicklake.streaming.sinks import append_files, batch_files
-from clicklake.streaming.sources import file_stream, table_stream
+from clicklake.sources.readers import read_table
+from clicklake.sources.writers import rebalance
+from clicklake.streaming.sinks import append_files, batch_files, compact_updates
+from clicklake.streaming.sources import file_stream, message_stream, table_stream
 from clicklake.streaming.transforms import parsed_messages, valid_messages
 
 _TOKENS_SQL = r"(SELECT doc_id, unnest(regexp_split_to_array(lower(text), '\s')) AS word FROM documents)"
@@ -28,8 +32,11 @@ _TOKENS_SQL = r"(SELECT doc_id, unnest(regexp_split_to_array(lower(text), '\s'))
 @query(f"SELECT word, count(*) AS count FROM {ALL_PARTS_SQL} GROUP BY word")
 def stream_word_count(spark, base):
     path = scratch_path(spark, "words")
-    lines = table_stream(streaming_session(spark), base, "documents").select("text")
+    # Several files and one of them a batch: words recur, and no batch holds the whole table.
+    read_table(spark, base, "documents").select("text").repartition(4).write.parquet(f"{path}/in")
+    lines = file_stream(streaming_session(spark), f"{path}/in", record(text=StringType()), files_per_batch=1)
     start_word_count(lines, f"{path}/updates", f"{path}/checkpoint", drain=True, line="text").awaitTermination()
+    compact_updates(spark, f"{path}/updates", WORD_COUNT, ["word"])
     return read_word_count(spark, f"{path}/updates")
 
 
@@ -45,28 +52,39 @@ def stream_line_detail(spark, base):
 
 
 def _review_messages(spark, base):
-    """Conversation turns as review messages. System turns are no JSON, assistant turns have no text."""
-    body = F.when(F.col("role") == "user", F.col("text")).otherwise("")
-    review = F.struct(
-        F.col("conv_id").cast("string").alias("customerId"),
-        F.col("role").alias("productId"),
-        F.concat_ws("-", "conv_id", "turn").alias("reviewId"),
-        F.col("turn").alias("reviewDate"),
-        body.alias("reviewBody"),
-    )
-    message = F.when(F.col("role") == "system", F.col("text")).otherwise(F.to_json(review))
+    """Every conversation turn as a good review message, and three bad ones made from each.
+
+    Written as lines, in several files.
+    """
+    turns = read_table(spark, base, "conversations")
+
+    def message(body):
+        return F.to_json(
+            F.struct(
+                F.col("conv_id").cast("string").alias("customerId"),
+                F.col("role").alias("productId"),
+                F.concat_ws("-", "conv_id", "turn").alias("reviewId"),
+                F.col("turn").alias("reviewDate"),
+                body.alias("reviewBody"),
+            )
+        )
+
+    good = message(F.col("text"))
+    bad = [F.substr(good, F.lit(1), F.length(good) - 5), message(F.lit("")), F.col("text")]
     path = scratch_path(spark, "messages")
-    read_table(spark, base, "conversations").select(message.alias("value")).write.parquet(path)
+    messages = turns.select(F.explode(F.array(good, *bad)).alias("value")).filter("value is not null")
+    messages.select(F.regexp_replace("value", "[\\r\\n]+", " ").alias("value")).repartition(3).write.text(path)
     return path
 
 
-@query(
-    """SELECT CAST(conv_id AS VARCHAR) AS "customerId", role AS "productId", conv_id || '-' || turn AS "reviewId",
-              turn AS "reviewDate", text AS "reviewBody" FROM conversations WHERE role = 'user' AND text <> ''"""
-)
+_VALID_SQL = """SELECT CAST(conv_id AS VARCHAR) AS "customerId", role AS "productId", conv_id || '-' || turn AS "reviewId",
+                       turn AS "reviewDate", text AS "reviewBody" FROM conversations WHERE text <> ''"""
+
+
+@query(_VALID_SQL)
 def stream_parse_valid(spark, base):
     path = scratch_path(spark, "valid")
-    messages = file_stream(spark, _review_messages(spark, base), LINE)
+    messages = message_stream(spark, "text", path=_review_messages(spark, base), maxFilesPerTrigger="1")
     valid = valid_messages(parsed_messages(messages, REVIEW), "reviewBody")
     append_files(valid, f"{path}/rows", f"{path}/checkpoint", drain=True).awaitTermination()
     return spark.read.schema(REVIEW).parquet(f"{path}/rows")
@@ -86,34 +104,47 @@ def ml_hash_tf_mass(spark, base):
     return term_counts(split, "words", "features", FEATURES).select("doc_id", vector_sum("features").alias("mass"))
 
 
-def _trained(spark, base):
-    """A model fitted on the labelled documents, written as review files; returns its path."""
-    path = scratch_path(spark, "reviews")
-    labelled = texts_table(spark, base, "doc_id", "text").join(read_table(spark, base, "labels"), "doc_id")
-    labelled.select(
-        F.col("doc_id").cast("string").alias("reviewId"), F.col("text").alias("reviewBody"), F.col("quality").alias("label")
-    ).write.json(f"{path}/train")
-    train_reviews(spark, f"{path}/train", f"{path}/model")
-    return f"{path}/model"
+def _trained(spark, base, text="text"):
+    """A model of the labelled documents, for texts in a column of the given name."""
+    labels = spark.read.parquet(f"{base}/labels.parquet").select("doc_id", "quality")
+    documents = texts_table(spark, base, "doc_id", "text").withColumnRenamed("text", text)
+    return fit_reviews(documents.join(labels, "doc_id"), text, "quality")
 
 
-@query()
+@query(
+    """SELECT doc_id, TRUE AS as_by_formula, TRUE AS is_class FROM documents WHERE text <> ''"""
+)
 def ml_review_scores(spark, base):
-    path = scratch_path(spark, "unscored")
-    documents = texts_table(spark, base, "doc_id", "text")
-    documents.select(F.col("doc_id").cast("string").alias("reviewId"), F.col("text").alias("reviewBody")).write.json(path)
-    scores = score_reviews(spark, path, _trained(spark, base))
-    return scores.select("reviewId", F.col("prediction").cast("int").alias("prediction"))
+    """Whether each review's prediction is the sign of coefficients times hashed counts plus intercept."""
+    model = _trained(spark, base)
+    documents = texts_table(spark, base, "doc_id", "text").filter(has_text(F.col("text")))
+    scores = scored(documents, model)
+    weights = F.array(*[F.lit(float(w)) for w in model.stages[-1].coefficients])
+    counts = vector_to_array("features")
+    margin = F.aggregate(F.zip_with(counts, weights, lambda c, w: c * w), F.lit(0.0), lambda a, x: a + x)
+    by_formula = (margin + float(model.stages[-1].intercept) > 0).cast("double")
+    return scores.select(
+        "doc_id",
+        (F.col("prediction") == by_formula).alias("as_by_formula"),
+        F.col("prediction").isin(0.0, 1.0).alias("is_class"),
+    )
 
 
-@query()
+@query("""SELECT conv_id || '-' || turn AS "reviewId", TRUE AS as_in_batch FROM conversations WHERE text <> ''""")
 def stream_review_scores(spark, base):
+    """Whether each message's label on the stream is that of the same messages in batch."""
     path = scratch_path(spark, "scores")
-    messages = file_stream(spark, _review_messages(spark, base), LINE)
-    start_scoring(
-        messages, load_model(_trained(spark, base)), f"{path}/scores", f"{path}/rejects", f"{path}/checkpoint", drain=True
-    ).awaitTermination()
-    return batch_files(spark, f"{path}/scores", SCORED_REVIEW)
+    source = _review_messages(spark, base)
+    model = _trained(spark, base, "reviewBody")
+    messages = message_stream(spark, "text", path=source, maxFilesPerTrigger="1")
+    start_scoring(messages, model, f"{path}/scores", f"{path}/rejects", f"{path}/checkpoint", drain=True).awaitTermination()
+    streamed = batch_files(spark, f"{path}/scores", SCORED_REVIEW)
+    in_batch = score_messages(spark.read.text(source), model)
+    label = [f.name for f in SCORED_REVIEW.fields if f.name not in REVIEW_IDS][0]
+    both = streamed.select("reviewId", F.col(label).alias("one")).join(
+        in_batch.select("reviewId", F.col(label).alias("other")), "reviewId"
+    )
+    return both.select("reviewId", (F.col("one") == F.col("other")).alias("as_in_batch"))
 
 
 # -- jobs ----------------------------------------------------------------------------------------
@@ -153,7 +184,7 @@ query(_report_sql("TRUE"))(flagship)
               (SELECT max(CAST(strftime(ts, '%Y%m%d') AS INTEGER)) FROM events WHERE ts < TIMESTAMP '2024-01-16') AS processed_to
         FROM ({_report_sql("ts < TIMESTAMP '2024-01-16'")})
         UNION ALL
-        SELECT *, 20240202, (SELECT max(CAST(strftime(ts, '%Y%m%d') AS INTEGER)) FROM events)
+        SELECT *, 20990202, (SELECT max(CAST(strftime(ts, '%Y%m%d') AS INTEGER)) FROM events)
         FROM ({_report_sql("ts >= TIMESTAMP '2024-01-16'")})"""
 )
 def job_view_report(spark, base):
@@ -162,44 +193,49 @@ def job_view_report(spark, base):
     _as_products(read_table(spark, base, "part")).write.json(f"{path}/products")
 
     def arrive(rows):
-        rows.write.mode("append").partitionBy("partition_date").json(f"{path}/views")
+        rebalance(rows, "partition_date").write.mode("append").partitionBy("partition_date").json(f"{path}/views")
 
     def run(day):
         return run_view_report(spark, f"{path}/views", f"{path}/products", f"{path}/report", day)
 
     arrive(views.filter("partition_date <= 20240115"))
     run(20240201)
+    arrive(views.limit(1).withColumn("productId", F.lit(-1).cast("bigint")).withColumn("partition_date", F.lit(20240115)))
+    run(20240201)  # a day that was reported is closed: nothing new
     arrive(views.filter("partition_date > 20240115"))
-    run(20240202)
-    run(20240203)  # nothing new
+    run(20990202)
+    # A day whose views meet no product adds no rows, but the mark moves.
+    arrive(views.limit(1).withColumn("productId", F.lit(-1).cast("bigint")).withColumn("partition_date", F.lit(20990201)))
+    run(20990203)
+    run(20990204)  # nothing new
     return read_view_report(spark, f"{path}/report")
 
 
-def _click_file(spark, base):
-    """Events as a click file, views standing for favorites and purchases for cart additions."""
-    path = scratch_path(spark, "clicks")
+def _clicks(spark, base):
+    """Events as clicks, views standing for favorites and purchases for cart additions."""
     event = (
         F.when(F.col("event_type") == "view", FAVORITE)
         .when(F.col("event_type") == "purchase", ADD_TO_CART)
         .otherwise(F.col("event_type"))
     )
-    clicks_table(spark, base).select(
+    return clicks_table(spark, base).select(
         F.col("user_id").alias("userId"),
         F.col("k").alias("productId"),
         event.alias("event"),
         F.unix_millis(F.col("ts").cast("timestamp")).alias("timestamp"),
-    ).write.json(path)
-    return read_json(spark, path, CLICK)
+    )
 
 
 @query(
-    f"""SELECT user_id AS "userId", k AS "productId", epoch_us(ts) // 1000 AS timestamp
-        FROM (SELECT *, lag(event_type) OVER (PARTITION BY user_id, k ORDER BY ts, event_id) AS previous
-              FROM {CLICKS_SQL} WHERE event_type IN ('view', 'purchase'))
-        WHERE event_type = 'purchase' AND previous = 'view'"""
+    f"""SELECT "userId", "productId", timestamp
+        FROM (SELECT *, lag(event) OVER (PARTITION BY "userId", "productId" ORDER BY timestamp, event) AS previous
+              FROM (SELECT user_id AS "userId", k AS "productId", epoch_us(ts) // 1000 AS timestamp,
+                           CASE event_type WHEN 'view' THEN 'favorite' ELSE 'addToCart' END AS event
+                    FROM {CLICKS_SQL} WHERE event_type IN ('view', 'purchase')))
+        WHERE event = 'addToCart' AND previous = 'favorite'"""
 )
 def job_cart_after_favorite(spark, base):
-    return cart_after_favorite(_click_file(spark, base))
+    return cart_after_favorite(_clicks(spark, base))
 
 
 @query(
@@ -207,7 +243,7 @@ def job_cart_after_favorite(spark, base):
        FROM events WHERE event_type = 'purchase' GROUP BY 1, 2"""
 )
 def job_daily_cart_additions(spark, base):
-    return daily_cart_additions(_click_file(spark, base))
+    return daily_cart_additions(_clicks(spark, base))
 
 
 _RECORD_SQL = """SELECT p_partkey AS id, {name} AS name, p_type AS category, p_brand AS brand, p_name AS color,

@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clicklake.sources.readers import read_table
-from clicklake.sources.writers import spread_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,8 +34,8 @@ def clicks_table(spark: SparkSession, base: str) -> DataFrame:
 
 
 def texts_table(spark: SparkSession, base: str, *columns: str) -> DataFrame:
-    """Columns of the documents, spread out for work on their words."""
-    return spread_rows(read_table(spark, base, "documents").select(*columns))
+    """Columns of the documents."""
+    return read_table(spark, base, "documents").select(*columns)
 
 
 # Clicks in SQL.

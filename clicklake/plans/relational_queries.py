@@ -131,13 +131,16 @@ def filter_nonempty(spark, base):
 
 
 @query(
-    """SELECT doc_id, body FROM (SELECT doc_id, CASE WHEN lang = 'fr' THEN NULL WHEN lang = 'de' THEN ''
-              ELSE text END AS body FROM documents) WHERE body IS NOT NULL AND body <> ''"""
+    """SELECT doc_id, body FROM (SELECT doc_id, text AS body FROM documents
+              UNION ALL SELECT doc_id, NULL FROM documents UNION ALL SELECT doc_id, '' FROM documents)
+       WHERE body IS NOT NULL AND body <> ''"""
 )
 def filter_valid_record(spark, base):
-    bodies = read_table(spark, base, "documents").select(
-        "doc_id",
-        F.when(F.col("lang") == "fr", None).when(F.col("lang") == "de", "").otherwise(F.col("text")).alias("body"),
+    documents = read_table(spark, base, "documents")
+    bodies = rel.union_all(
+        documents.select("doc_id", F.col("text").alias("body")),
+        documents.select("doc_id", F.lit(None).cast("string")),
+        documents.select("doc_id", F.lit("")),
     )
     return rel.matching(bodies, has_text, "body")
 
@@ -158,39 +161,48 @@ def join_inner(spark, base):
     return rel.joined_keep_left_key(customer, orders, "c_custkey", "o_custkey")
 
 
-_FEWER = """(SELECT c_custkey, c_name FROM customer WHERE c_nationkey < 10) c"""
-_DONE = """(SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderstatus = 'F') o"""
+_USERS = "(SELECT c_custkey, c_name FROM customer) c"
+_EVENTS = "(SELECT event_id, user_id, value FROM events) e"
+_LABELS = "(SELECT doc_id AS label_id, quality FROM labels) l"
+_DOCUMENTS = "(SELECT doc_id, source FROM documents) d"
 
 
-def _customers_and_orders(spark, base):
-    customer = read_table(spark, base, "customer").filter("c_nationkey < 10").select("c_custkey", "c_name")
-    orders = read_table(spark, base, "orders").filter("o_orderstatus = 'F'")
-    return customer, orders.select("o_orderkey", "o_custkey", "o_totalprice")
+def _customers_and_events(spark, base):
+    """Whole tables; most customers have no event, and events of user 0 have no customer."""
+    customer = read_table(spark, base, "customer").select("c_custkey", "c_name")
+    return customer, read_table(spark, base, "events").select("event_id", "user_id", "value")
+
+
+def _documents_and_labels(spark, base):
+    """Whole tables; more than half of the documents have no label."""
+    labels = spark.read.parquet(f"{base}/labels.parquet").select(F.col("doc_id").alias("label_id"), "quality")
+    return read_table(spark, base, "documents").select("doc_id", "source"), labels
 
 
-@query(f"SELECT * FROM {_FEWER} LEFT JOIN {_DONE} ON c_custkey = o_custkey")
+@query(f"SELECT * FROM {_USERS} LEFT JOIN {_EVENTS} ON c_custkey = user_id")
 def join_left(spark, base):
-    return rel.joined(*_customers_and_orders(spark, base), "c_custkey", "o_custkey", "left", hot_partner=True)
+    return rel.joined(*_customers_and_events(spark, base), "c_custkey", "user_id", "left", hot_partner=True)
 
 
-@query(f"SELECT * FROM {_FEWER} RIGHT JOIN {_DONE} ON c_custkey = o_custkey")
+@query(f"SELECT * FROM {_LABELS} RIGHT JOIN {_DOCUMENTS} ON doc_id = label_id")
 def join_right(spark, base):
-    return rel.joined(*_customers_and_orders(spark, base), "c_custkey", "o_custkey", "right")
+    documents, labels = _documents_and_labels(spark, base)
+    return rel.joined(labels, documents, "label_id", "doc_id", "right")
 
 
-@query(f"SELECT * FROM {_FEWER} FULL JOIN {_DONE} ON c_custkey = o_custkey")
+@query(f"SELECT * FROM {_USERS} FULL JOIN {_EVENTS} ON c_custkey = user_id")
 def join_full(spark, base):
-    return rel.joined(*_customers_and_orders(spark, base), "c_custkey", "o_custkey", "full")
+    return rel.joined(*_customers_and_events(spark, base), "c_custkey", "user_id", "full")
 
 
-@query(f"SELECT * FROM {_FEWER} WHERE c_custkey IN (SELECT o_custkey FROM {_DONE})")
+@query(f"SELECT * FROM {_DOCUMENTS} WHERE doc_id IN (SELECT label_id FROM {_LABELS})")
 def join_semi(spark, base):
-    return rel.joined(*_customers_and_orders(spark, base), "c_custkey", "o_custkey", "left_semi")
+    return rel.joined(*_documents_and_labels(spark, base), "doc_id", "label_id", "left_semi")
 
 
-@query(f"SELECT * FROM {_FEWER} WHERE NOT EXISTS (SELECT 1 FROM {_DONE} WHERE o_custkey = c_custkey)")
+@query(f"SELECT * FROM {_USERS} WHERE NOT EXISTS (SELECT 1 FROM {_EVENTS} WHERE user_id = c_custkey)")
 def join_anti(spark, base):
-    return rel.joined(*_customers_and_orders(spark, base), "c_custkey", "o_custkey", "left_anti")
+    return rel.joined(*_customers_and_events(spark, base), "c_custkey", "user_id", "left_anti")
 
 
 @query(f"SELECT event_id, user_id, event_type, p_type FROM {CLICKS_SQL} e JOIN part ON k = p_partkey")
@@ -201,10 +213,10 @@ def join_enrich(spark, base):
 
 @query(
     f"""SELECT event_id AS fav_id, p_partkey AS product_id, p_name AS product_name, ts
-        FROM {CLICKS_SQL} e JOIN part ON k = p_partkey WHERE event_type = 'click'"""
+        FROM {CLICKS_SQL} e JOIN part ON k = p_partkey"""
 )
 def join_pairs(spark, base):
-    favorites = clicks_table(spark, base).filter("event_type = 'click'").select("event_id", "k", "ts")
+    favorites = clicks_table(spark, base).select("event_id", "k", "ts")
     part = read_table(spark, base, "part").select("p_partkey", "p_name")
     pairs = rel.joined_pairs(part, favorites, "p_partkey", "k", "product", "favorite")
     return rel.map_records(

@@ -71,13 +71,13 @@ def src_text_lines(spark, base):
 @query(
     """SELECT n.activity, count(*) AS n_events
        FROM events JOIN (VALUES ('view', 'browse'), ('click', 'browse'), ('purchase', 'buy'),
-                                ('signup', 'account')) AS n(event_type, activity) USING (event_type)
+                                ('signup', 'account'), ('error', 'trouble')) AS n(event_type, activity) USING (event_type)
        GROUP BY n.activity"""
 )
 def src_inline_rows(spark, base):
     names = rows_table(
         spark,
-        [("view", "browse"), ("click", "browse"), ("purchase", "buy"), ("signup", "account")],
+        [("view", "browse"), ("click", "browse"), ("purchase", "buy"), ("signup", "account"), ("error", "trouble")],
         "kind string, activity string",
     )
     named = lookup(read_table(spark, base, "events"), names, "event_type", "kind", how="inner")
@@ -106,7 +106,7 @@ def src_last_partition(spark, base):
 def sink_parquet_append(spark, base):
     path = scratch_path(spark, "append")
     orders = read_table(spark, base, "orders")
-    append_parquet(orders.filter("o_orderstatus = 'F'"), path, files=5)
+    append_parquet(orders.filter("o_orderstatus = 'F'"), path)
     append_parquet(orders.filter("o_orderstatus <> 'F'"), path)
     return spark.read.schema(TABLES["orders"]).parquet(path)
 
@@ -123,7 +123,7 @@ def sink_json_partitioned(spark, base):
 @query(
     """SELECT o_orderpriority, count(*) AS n_orders, 20240131 AS partition_date FROM orders GROUP BY 1
        UNION ALL
-       SELECT o_orderpriority, count(*), 20240201 FROM orders WHERE o_orderstatus = 'O' GROUP BY 1"""
+       SELECT o_orderpriority, count(*), 20240201 FROM orders WHERE o_orderstatus = 'O' GROUP BY 1"""  # none for 20240202
 )
 def sink_run_date(spark, base):
     path = scratch_path(spark, "runs")
@@ -136,6 +136,8 @@ def sink_run_date(spark, base):
     run(orders, 20240131)
     run(orders.filter("o_orderstatus = 'O'"), 20240201)
     run(orders, 20240131)  # a rerun replaces its own rows only
+    run(orders, 20240202)
+    run(orders.limit(0), 20240202)  # also by none
     return read_json(
         spark, path, rows_table(spark, [], "o_orderpriority string, n_orders bigint, partition_date int").schema
     )
@@ -148,7 +150,9 @@ def layout_repartition(spark, base):
 
 @query("SELECT * FROM lineitem")
 def layout_coalesce(spark, base):
-    return coalesce_rows(read_table(spark, base, "lineitem"), 200)
+    """Half as many tasks as the shuffle before it leaves."""
+    spread = repartition_rows(read_table(spark, base, "lineitem"), 2 * shuffle_partitions(spark))
+    return coalesce_rows(spread, shuffle_partitions(spark))
 
 
 @query(

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import IntegerType, StructField
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from clicklake.operators.aggregates import count_distinct
 from clicklake.operators.relational import conformed, enriched
@@ -44,25 +45,41 @@ def run_view_report(
     run_date: int,
     top: int | None = 3,
     first_mark: int = FIRST_MARK,
+    closed_before: int | None = None,
 ) -> int | None:
     """Report on the view partitions added since the last run; returns the new mark, None if none.
 
-    The mark, the highest view date processed, is a partition value of the report beside the run
-    date. Both marks are read from directory listings. A rerun over the same views replaces its own
-    rows; a second run of a day over newer views adds to the first.
+    The mark, the highest view date processed, is noted in a small table of its own after the report's
+    rows are written, so a run whose views meet no product moves it as well, and a failed run does not.
+    Days from ``closed_before`` on, by default the run date, may still get views and are left to a
+    later run. A rerun over the same views replaces its own rows; a second run of a day over newer views
+    adds to the first. The folder of the views must exist.
     """
-    mark = last_processed(spark, report_path, PROCESSED_TO, first_mark)
-    newest = last_processed(spark, views_path, VIEW_DATE, mark, after=mark)
+    mark = last_mark(spark, report_path, first_mark)
+    closed = run_date if closed_before is None else closed_before
+    newest = last_processed(spark, views_path, VIEW_DATE, mark, after=mark, before=closed, required=True)
     if newest <= mark:
         return None
     views = read_partitions_after(spark, views_path, PRODUCT_VIEW, VIEW_DATE, mark)
-    # A partition that appears while the run is going on is left to the next run.
     views = views.filter(views[VIEW_DATE.name] <= newest)
     report = view_report(views, read_json(spark, products_path, PRODUCT), top)
-    write_run_partition(report, report_path, partition_date=run_date, processed_to=newest)
+    write_run_partition(report, f"{report_path}/rows", partition_date=run_date, processed_to=newest)
+    noted = spark.range(0, 1, 1, 1).select(F.lit(newest).cast("int").alias(PROCESSED_TO.name))
+    noted.write.mode("append").parquet(f"{report_path}/marks")
     return newest
 
 
+def last_mark(spark: SparkSession, report_path: str, first_mark: int = FIRST_MARK) -> int:
+    """The highest mark noted, ``first_mark`` before the first run."""
+    try:
+        marks = spark.read.schema(StructType([PROCESSED_TO])).parquet(f"{report_path}/marks")
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return first_mark
+        raise
+    return marks.agg(F.coalesce(F.max(PROCESSED_TO.name), F.lit(first_mark))).first()[0]
+
+
 def read_view_report(spark: SparkSession, report_path: str) -> DataFrame:
     schema = extended(VIEW_REPORT, partition_date=IntegerType(), processed_to=IntegerType())
-    return read_json(spark, report_path, schema)
+    return read_json(spark, f"{report_path}/rows", schema)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -30,10 +29,18 @@ def build_session(app_name: str = "clicklake", **overrides: str) -> SparkSession
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder that ``spark.checkpoint.dir`` names; a local one only where it is unset."""
+    """The shared folder that ``spark.checkpoint.dir`` names, else one below the warehouse folder.
+
+    Executors must see it: a local warehouse is refused unless the master is local.
+    """
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    root = root or tempfile.mkdtemp(prefix="clicklake-")
+    if not root:
+        warehouse = spark.conf.get("spark.sql.warehouse.dir")
+        is_local = warehouse.startswith("file:") or "://" not in warehouse
+        if is_local and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        root = f"{warehouse.rstrip('/')}/clicklake-scratch"
     if not context.getCheckpointDir():
         context.setCheckpointDir(root)
     return root.rstrip("/")
@@ -41,7 +48,25 @@ def scratch_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below :func:`scratch_root`; nothing is created."""
-    return f"{scratch_root(spark)}/clicklake-{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/clicklake-{label}-{uuid.uuid4().hex}"
+    _MADE.append(path)
+    return path
+
+
+_MADE: list[str] = []
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Remove what was written below the paths of :func:`scratch_path`; tables read from there end.
+
+    Returns how many folders there were.
+    """
+    removed = 0
+    while _MADE:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_MADE.pop())
+        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        removed += bool(files.delete(path, True))
+    return removed
 
 
 def streaming_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:

@@ -54,24 +54,29 @@ def read_partitions_after(
 
 
 def last_processed(
-    spark: SparkSession, path: str, partition: StructField, default, after=None
+    spark: SparkSession, path: str, partition: StructField, default, after=None, before=None, required: bool = False
 ):
     """Highest value of a partition column below ``path``; ``default`` if there is none yet.
 
+    Only values later than ``after`` and below ``before`` count. A folder counts even if its files hold
+    no rows, so a folder that is still being filled should be kept out by ``before``.
+
     Reads the base path (a glob over the partition folders would lose the column) and answers from
     the directory listing: with ``metadataOnly`` on, a maximum over a partition column opens no
-    file. Only a missing path counts as a first run; any other failure is raised.
+    file. A missing path counts as a first run, unless it is ``required``; any other failure is raised.
     """
     listing = spark.newSession()
     listing.conf.set("spark.sql.optimizer.metadataOnly", "true")
     try:
         marks = read_json(listing, path, StructType([partition]))
     except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
+        if error.getCondition() == "PATH_NOT_FOUND" and not required:
             return default
         raise
     if after is not None:
         marks = marks.filter(F.col(partition.name) > F.lit(after).cast(partition.dataType))
+    if before is not None:
+        marks = marks.filter(F.col(partition.name) < F.lit(before).cast(partition.dataType))
     newest = F.coalesce(F.max(partition.name), F.lit(default).cast(partition.dataType))
     return marks.agg(newest.alias("mark")).first()["mark"]
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from clicklake.sources.readers import NTZ_FORMAT
 
@@ -16,16 +16,6 @@ def rebalance(df: DataFrame, *columns: str) -> DataFrame:
     return df.hint("rebalance", *columns)
 
 
-def spread_rows(df: DataFrame) -> DataFrame:
-    """Rows dealt out over all cores, if the table is read in fewer tasks than there are cores.
-
-    For costly work per row on a table of few files. A large table has more splits than cores and
-    is left as it is. ``df`` should be a plain scan: to count its tasks is to plan it.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def repartition_rows(df: DataFrame, count: int) -> DataFrame:
     return df.repartition(count)
 
@@ -56,14 +46,9 @@ def write_run_partition(
 ) -> None:
     """Write one run's rows as JSON below constant partition values, e.g. ``partition_date``.
 
-    By default only the folders of this run are replaced, so a rerun does not duplicate rows and
+    The run's own folder is written, so by default a rerun replaces its rows, also if it has none, and
     other runs stay. ``append`` adds to the folder instead. ``files`` fixes the number of files.
     """
-    for name, value in partition_values.items():
-        df = df.withColumn(name, F.lit(value))
-    writer = (df.repartition(files) if files else rebalance(df)).write.partitionBy(*partition_values)
-    if append:
-        writer = writer.mode("append")
-    else:
-        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.option("timestampNTZFormat", NTZ_FORMAT).json(path)
+    folder = "/".join([path, *(f"{name}={value}" for name, value in partition_values.items())])
+    out = df.drop(*partition_values).repartition(files) if files else rebalance(df.drop(*partition_values))
+    out.write.mode("append" if append else "overwrite").option("timestampNTZFormat", NTZ_FORMAT).json(folder)

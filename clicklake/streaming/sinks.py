@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -52,8 +53,12 @@ def each_batch(
 
 
 def write_batch(batch: DataFrame, path: str, batch_id: int) -> None:
-    """Replace the folder of one micro-batch, so a repeated batch leaves no duplicates."""
-    batch.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+    """Replace the folder of one micro-batch, so a repeated batch leaves no duplicates.
+
+    A batch without rows writes nothing.
+    """
+    if not batch.isEmpty():
+        batch.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
 
 
 def update_files(
@@ -67,9 +72,63 @@ def update_files(
 
 def latest_updates(spark: SparkSession, path: str, schema: StructType, keys: Sequence[str]) -> DataFrame:
     """Current row of each key: that of the latest micro-batch which changed it."""
+    base, log = _base_and_log(spark, path, schema)
+    return _latest(log if base is None else base.unionByName(log), schema, keys).select(schema.names)
+
+
+def _latest(log: DataFrame, schema: StructType, keys: Sequence[str]) -> DataFrame:
     values = [f.name for f in schema.fields if f.name not in keys]
-    log = spark.read.schema(extended(schema, **{BATCH: IntegerType()})).parquet(path)
-    return log.groupBy(*keys).agg(*[F.max_by(v, BATCH).alias(v) for v in values])
+    return log.groupBy(*keys).agg(*[F.max_by(v, BATCH).alias(v) for v in values], F.max(BATCH).alias(BATCH))
+
+
+_BASE = re.compile(r"to=(\d+)$")
+
+
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    """Names below a folder, from its listing; none if it is missing."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [f.getPath().getName() for f in files.listStatus(folder)] if files.exists(folder) else []
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    file = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return file.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(file)
+
+
+def _base_and_log(spark: SparkSession, path: str, schema: StructType) -> tuple[DataFrame | None, DataFrame]:
+    """The newest finished base below ``path``, if any, and the batches after it."""
+    full = extended(schema, **{BATCH: IntegerType()})
+    bases = sorted(int(m[1]) for name in _folders(spark, f"{path}-base") if (m := _BASE.match(name)))
+    bases = [b for b in bases if _exists(spark, f"{path}-base/to={b}/_SUCCESS")]
+    # Missing folders are an empty log: the first batches may have been folded and removed.
+    log = spark.read.schema(full).parquet(path) if _folders(spark, path) else spark.createDataFrame([], full)
+    if not bases:
+        return None, log
+    base = spark.read.schema(full).parquet(f"{path}-base/to={bases[-1]}")
+    return base, log.filter(F.col(BATCH) > bases[-1])
+
+
+def compact_updates(spark: SparkSession, path: str, schema: StructType, keys: Sequence[str], keep: int = 1) -> int | None:
+    """Fold all but the last ``keep`` batches of an update log into one base; returns the batch it goes to.
+
+    The base is written beside the log and counts once Spark has marked it as complete; only then are
+    folded batches and older bases removed. A run that fails at any point leaves a log that reads the
+    same, and the next one goes on. A running stream may add batches meanwhile: the last ones stay.
+    """
+    batches = sorted(int(name.split("=")[1]) for name in _folders(spark, path) if name.startswith(f"{BATCH}="))
+    folded = batches[: max(0, len(batches) - keep)]
+    if folded:
+        base, log = _base_and_log(spark, path, schema)
+        log = log.filter(F.col(BATCH) <= folded[-1])
+        target = f"{path}-base/to={folded[-1]}"
+        if not _exists(spark, f"{target}/_SUCCESS"):
+            _latest(log if base is None else base.unionByName(log), schema, keys).write.mode("overwrite").parquet(target)
+        old = [f"{path}-base/{n}" for n in _folders(spark, f"{path}-base") if n != f"to={folded[-1]}"]
+        for folder in [*(f"{path}/{BATCH}={b}" for b in folded), *old]:
+            file = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            file.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(file, True)
+    return folded[-1] if folded else None
 
 
 def split_files(

@@ -93,6 +93,25 @@ def test_run_partition_rerun_and_append(spark, clicks, folder):
     assert rows_of(read_json(spark, path, schema).groupBy("run").count()) == [(1, 3), (2, 4)]
 
 
+def test_a_run_without_rows_clears_its_folder(spark, clicks, folder):
+    path, schema = f"{folder}/r", record(userId=CLICK["userId"].dataType, run=IntegerType())
+    write_run_partition(clicks.select("userId"), path, run=1)
+    write_run_partition(clicks.select("userId"), path, run=2)
+    write_run_partition(clicks.select("userId").limit(0), path, run=1)
+    assert rows_of(read_json(spark, path, schema).groupBy("run").count()) == [(2, 3)]
+
+
+def test_a_required_path_must_exist(spark, folder):
+    with pytest.raises(AnalysisException):
+        last_processed(spark, f"{folder}/nowhere", DAY, 20210101, required=True)
+
+
+def test_open_partitions_are_left_out(spark, clicks, folder):
+    dated = clicks.withColumn("day", (F.lit(20210109) + F.col("userId")).cast("int"))
+    overwrite_json_partitioned(dated, f"{folder}/p", "day")
+    assert last_processed(spark, f"{folder}/p", DAY, 20210101, before=20210112) == 20210111
+
+
 def test_layout(spark):
     df = spark.range(100)
     wide = repartition_rows(df, 6)
@@ -125,6 +144,28 @@ def test_catalog_table(spark, clicks, folder):
     assert spark.table("clicks_saved").count() == 3
 
 
+def test_clear_scratch(spark):
+    from clicklake.session import clear_scratch
+
+    path = scratch_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    assert clear_scratch(spark) >= 1
+    with pytest.raises(AnalysisException):
+        spark.read.parquet(path)
+
+
+def test_layout_queries_change_the_number_of_tasks(spark):
+    from clicklake.plans import source_queries
+    from clicklake.session import shuffle_partitions
+    from conftest import SMALL
+
+    def tasks(name):
+        return getattr(source_queries, name)(spark, SMALL).select(F.spark_partition_id().alias("p")).distinct().count()
+
+    assert tasks("layout_repartition") == 2 * shuffle_partitions(spark)
+    assert tasks("layout_coalesce") == shuffle_partitions(spark)
+
+
 def test_scratch_lies_in_the_folder_of_the_session(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     first, second = scratch_path(spark, "x"), scratch_path(spark, "x")

@@ -69,6 +69,30 @@ def test_view_report_runs(spark, folder):
     ]
 
 
+def test_view_report_marks(spark, folder):
+    """Views without a product move the mark; days from the run date on stay open; no views folder is an error."""
+    spark.createDataFrame(PRODUCTS, PRODUCT).write.json(f"{folder}/products")
+
+    def arrive(day, rows):
+        spark.createDataFrame([(*row, 0) for row in rows], PRODUCT_VIEW).write.mode("append").json(
+            f"{folder}/views/partition_date={day}"
+        )
+
+    def run(date):
+        return run_view_report(spark, f"{folder}/views", f"{folder}/products", f"{folder}/report", date)
+
+    with pytest.raises(AnalysisException):
+        run(20210201)
+    arrive(20210105, [(1, 99, "Android")])
+    assert run(20210201) == 20210105
+    assert run(20210201) is None
+    arrive(20210202, [(1, 1, "Android")])
+    assert run(20210202) is None
+    arrive(20210202, [(2, 1, "Android")])
+    assert run(20210203) == 20210202
+    assert rows_of(read_view_report(spark, f"{folder}/report"), "channel", "distinctUserCount") == [("Android", 2)]
+
+
 CLICKS = [
     (1, 9, "favorite", 1), (1, 9, "view", 2), (1, 9, "addToCart", 3),
     (2, 9, "addToCart", 1), (2, 9, "favorite", 2), (2, 8, "addToCart", 86_400_001),
@@ -125,6 +149,49 @@ def test_a_repeated_batch_replaces_itself(spark, folder):
     assert spark.read.parquet(folder).count() == 1
 
 
+def test_compaction_keeps_what_is_read(spark, folder):
+    from clicklake.schemas import WORD_COUNT
+    from clicklake.streaming.sinks import compact_updates, write_batch
+
+    path = f"{folder}/log"
+
+    def batch(number, *rows):
+        write_batch(spark.createDataFrame(list(rows), "word string, count bigint"), path, number)
+
+    batch(0, ("a", 1), ("b", 1))
+    batch(1, ("a", 2))
+    write_batch(spark.createDataFrame([], "word string, count bigint"), path, 2)  # writes nothing
+    batch(3, ("c", 1))
+    before = rows_of(read_word_count(spark, path))
+    assert before == [("a", 2), ("b", 1), ("c", 1)]
+    assert compact_updates(spark, path, WORD_COUNT, ["word"]) == 1
+    assert rows_of(read_word_count(spark, path)) == before
+    batch(1, ("a", 2))  # a repeat that comes late, of a batch already folded
+    assert rows_of(read_word_count(spark, path)) == before
+    batch(4, ("a", 5))
+    assert compact_updates(spark, path, WORD_COUNT, ["word"]) == 3
+    assert compact_updates(spark, path, WORD_COUNT, ["word"], keep=0) == 4
+    assert rows_of(read_word_count(spark, path)) == [("a", 5), ("b", 1), ("c", 1)]
+
+
+def test_arrival_times_lie_within_the_run(spark, tmp_path):
+    import time
+
+    add_file(tmp_path, "1.txt", ["x", "y z"])
+    start = time.time() * 1000
+    out = str(tmp_path / "o")
+    start_line_details(line_stream(spark, str(tmp_path / "in")), out, str(tmp_path / "c"), drain=True).awaitTermination()
+    end = time.time() * 1000
+    times = [row.receivedTimestamp for row in spark.read.schema(LINE_DETAIL).parquet(out).collect()]
+    assert len(times) == 2 and all(start <= t <= end for t in times)
+
+
+def test_message_stream_of_text(spark, tmp_path):
+    add_file(tmp_path, "1.txt", ["m1", "m2"])
+    stream = message_stream(spark, "text", path=str(tmp_path / "in"))
+    assert stream.isStreaming and stream.columns == ["value"]
+
+
 def test_line_details_stream(spark, tmp_path):
     source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
     add_file(tmp_path, "1.txt", LINES)

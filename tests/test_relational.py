@@ -145,19 +145,35 @@ def test_pairs(spark):
     ]
 
 
-def test_lookup_broadcasts_only_what_fits(sides, plan_of, spark):
-    users, orders = sides
+def test_lookup_is_planned_by_size(spark, plan_of):
+    from clicklake.sources.readers import read_table
+    from conftest import SMALL
+
+    customer, nation, region = (read_table(spark, SMALL, name) for name in ("customer", "nation", "region"))
+
+    def query():
+        nations = rel.lookup(nation, region, "n_regionkey", "r_regionkey", "inner")
+        return rel.lookup(customer, nations, "c_nationkey", "n_nationkey", "inner").select("c_custkey", "n_name", "r_name")
+
+    small = query()
+    assert plan_of(small).count("BroadcastHashJoin") == 2
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        small = rel.lookup(orders.select("orderId", F.col("userId").alias("u")), users, "u", "userId")
-        large = rel.lookup(orders.select("orderId", F.col("userId").alias("u")), users, "u", "userId", max_rows=2)
-        assert "BroadcastHashJoin" in plan_of(small)
+        large = query()
         assert "BroadcastHashJoin" not in plan_of(large)
         assert rows_of(small) == rows_of(large)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_a_plain_full_join_reads_each_side_once(spark, plan_of, folder):
+    for name in ("one", "two"):
+        spark.range(10).write.parquet(f"{folder}/{name}")
+    one, two = (spark.read.parquet(f"{folder}/{name}") for name in ("one", "two"))
+    plan = plan_of(rel.joined(one, two.withColumnRenamed("id", "other"), "id", "other", "full"))
+    assert plan.count("FileScan") == 2 and "FullOuter" in plan
+
+
 def test_sorts(spark, users):
     assert [r.name for r in rel.sorted_rows(users, F.desc("age"), "name").collect()] == ["del", "rey", "lana"]
     assert [r.name for r in rel.first_rows(users, 2, "name").collect()] == ["del", "lana"]

@@ -54,8 +54,8 @@ def test_large_group_is_cut_into_even_slices(spark):
     from pyspark.sql import functions as F
 
     df = spark.createDataFrame(skewed_clicks(), SCHEMA)
-    hashes = large_groups(df, ["user", "product"], 100)
-    assert len(hashes) == 1
+    assert large_groups(df, ["user", "product"], 100).count() == 1
+    assert large_groups(df, ["user", "product"], 10_000) is None
     slices = df.repartitionByRange(8, "user", "product", "ts", "id").groupBy(F.spark_partition_id()).count()
     assert max(row[1] for row in slices.collect()) < 3000 / 4
 
@@ -125,3 +125,24 @@ def test_top_per_group_limits_before_the_shuffle(spark, plan_of):
 def test_ranked_within_its_own_group_is_always_one(spark):
     df = spark.createDataFrame([("a", "x", 3), ("a", "y", 1)], "channel string, category string, n int")
     assert rows_of(ranked(df, ["channel", "category"], "n"), "rank") == [(1,), (1,)]
+
+
+def test_many_clicks_at_one_time_are_folded(spark):
+    """A third of all clicks in one group at one time: equal clicks are one row, and the rest is as by a loop."""
+    from clicklake.plans.clicks import cart_after_favorite
+    from clicklake.schemas import CLICK
+
+    rows = [(1, 9, ("favorite", "addToCart")[i % 2], 0) for i in range(3000)]
+    rows += [(1, 9, ("addToCart", "favorite", "view")[i % 3], 1 + i // 7) for i in range(700)]
+    rows += [(u, 9, ("favorite", "addToCart")[u % 3 > 0], u // 5) for u in range(2, 500)] * 2
+
+    wanted, last = [], {}
+    for user, product, time, event in sorted((u, p, t, e) for u, p, e, t in rows):
+        if event == "view":
+            continue
+        if event == "addToCart" and last.get((user, product)) == "favorite":
+            wanted.append((user, product, time))
+        last[user, product] = event
+    clicks = spark.createDataFrame(rows, CLICK)
+    assert rows_of(cart_after_favorite(clicks)) == sorted(wanted, key=repr)
+    assert rows_of(cart_after_favorite(clicks, max_group_rows=50)) == sorted(wanted, key=repr)
