@@ -86,7 +86,7 @@ def op7_byte_bpe(spark: SparkSession, base: str) -> DataFrame:
     return byte_bpe.encode(docs, ranks, public_tokenizers.PATTERN).select(
         "doc_id",
         F.size(ids).cast("bigint").alias("n_tokens"),
-        F.sha2(byte_bpe.little_endian(ids, ranks), 256).alias("ids_sha256"),
+        F.sha2("packed", 256).alias("ids_sha256"),
         F.sha2(byte_bpe.decoded(ids, ranks), 256).alias("decoded_sha256"),
     )
 
