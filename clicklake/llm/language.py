@@ -61,7 +61,7 @@ def gram_buckets(texts: pa.Array) -> tuple[list[np.ndarray], np.ndarray, np.ndar
         hashed = np.full(len(codes), length, np.uint64)
         for k in range(length):
             hashed = hashed * np.uint64(0x9E3779B97F4A7C15)
-            hashed[: len(codes) - k] ^= codes[k:]
+            hashed[: max(0, len(codes) - k)] ^= codes[k:]
         buckets = ((hashed * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - BITS)).astype(np.int32)
         for k in range(1, length):
             buckets[np.maximum(ends - k, starts)[ends > starts]] = BUCKETS

@@ -188,7 +188,7 @@ def range_join(
     wanted = max(1, min(MAX_PIVOTS, distinct.count() // ROWS_PER_PIVOT))
     sample = distinct.orderBy(F.xxhash64("doc", "key"), "key").limit(wanted).select("unit").collect()
     width = max((len(row.unit) for row in sample), default=0)
-    pivots = np.array([row.unit for row in sample if len(row.unit) == width], float).reshape(-1, width)
+    pivots = np.array([row.unit for row in sample if len(row.unit) == width], float).reshape(-1, max(1, width))
     eps = float(np.sqrt(2 - 2 * threshold))
     found = written(_joined(_dealt(distinct, pivots, eps), threshold), "found")
     counts = found.filter("a = b").groupBy("a").agg(F.sum("links").alias("links"))

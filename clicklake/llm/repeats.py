@@ -370,13 +370,14 @@ def without_repeats(docs: DataFrame, text: str = "text", kept: str = "kept", as_
     by_doc = marks.groupBy("doc").agg(F.collect_list("mark").alias("marks"))
     # Both joins deal whole documents by id, in the same way, so that Spark deals them once. Neither
     # side is bounded: no broadcast.
-    marked = docs.join(by_doc.hint("merge"), docs["doc_id"] == by_doc["doc"], "left").select(docs["*"], "marks")
-    ranges = _ranges(_fetched(marked.select("doc_id", F.col(text).alias("text"), "marks")))
+    marked = docs.join(by_doc.hint("merge"), docs["doc_id"] == by_doc["doc"], "left")
+    marked = marked.select(docs["doc_id"], docs[text].alias("text"), by_doc["marks"])
+    ranges = _ranges(_fetched(marked))
     copies = marks.filter("mark % 2 = 0").select(
         "doc", (F.col("mark") / 2).cast("bigint").alias("first"), F.lit(-1).cast("bigint").alias("last")
     )
     cuts = ranges.unionByName(copies).groupBy("doc").agg(F.collect_list(F.struct("first", "last")).alias("cuts"))
-    joined = docs.join(cuts.hint("merge"), docs["doc_id"] == cuts["doc"], "left").select(docs["*"], "cuts")
+    joined = docs.join(cuts.hint("merge"), docs["doc_id"] == cuts["doc"], "left").select(docs["*"], cuts["cuts"])
     names = [free_name(docs, n) for n in (kept, "n_removed", "n_spans")]
     schema = StructType(
         [*docs.schema.fields, *(StructField(n, k) for n, k in zip(names, (StringType() if as_text else BinaryType(), LongType(), LongType())))]
@@ -385,7 +386,7 @@ def without_repeats(docs: DataFrame, text: str = "text", kept: str = "kept", as_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for step in steps(batches, text):
             left, removed, spans = [], [], []
-            for value, found in zip(step.column(text), step.column("cuts")):
+            for value, found in zip(step.column(step.schema.names.index(text)), step.columns[-1]):
                 raw = value.as_buffer().to_pybytes() if value.is_valid else b""
                 gone = _covered(found.values, len(raw)) if found.is_valid else np.zeros(len(raw), bool)
                 left.append(np.frombuffer(raw, np.uint8)[~gone].tobytes())
