@@ -200,30 +200,36 @@ WITH cut AS (
   SELECT *, CASE WHEN length(host) <= length(suffix) THEN host
        ELSE string_split(substr(host, 1, length(host) - length(suffix) - 1), '.')[-1] || '.' || suffix END AS domain
   FROM suffixed
-), l1 AS (
-  SELECT suffix, sum(n) AS n, sum(good) AS good,
-         (SELECT (coalesce(sum(good), 0) + 1) / (coalesce(sum(n), 0) + 2) FROM named) AS mean FROM named GROUP BY suffix
-), r1 AS (
-  SELECT (sum(n * (good / n - mean) ** 2 / (mean * (1 - mean))) - count(*)) / nullif(sum(n - 1), 0) AS r FROM l1 WHERE n > 0
-), c1 AS (
-  SELECT CASE WHEN r IS NULL OR r <= 0 THEN 10000.0::DOUBLE ELSE least(10000.0, greatest(1.0, (1 - r) / r)) END AS c FROM r1
-), l2 AS (
-  SELECT d.suffix, d.domain, d.n, d.good, (l1.good + c * mean) / (l1.n + c) AS mean
-  FROM (SELECT suffix, domain, sum(n) AS n, sum(good) AS good FROM named GROUP BY suffix, domain) d JOIN l1 USING (suffix), c1
-), r2 AS (
-  SELECT (sum(n * (good / n - mean) ** 2 / (mean * (1 - mean))) - count(*)) / nullif(sum(n - 1), 0) AS r FROM l2 WHERE n > 0
-), c2 AS (
-  SELECT CASE WHEN r IS NULL OR r <= 0 THEN 10000.0::DOUBLE ELSE least(10000.0, greatest(1.0, (1 - r) / r)) END AS c FROM r2
-), l3 AS (
-  SELECT h.host, h.n, h.good, (l2.good + c * mean) / (l2.n + c) AS mean FROM named h JOIN l2 USING (domain), c2
-), r3 AS (
-  SELECT (sum(n * (good / n - mean) ** 2 / (mean * (1 - mean))) - count(*)) / nullif(sum(n - 1), 0) AS r FROM l3 WHERE n > 0
-), c3 AS (
-  SELECT CASE WHEN r IS NULL OR r <= 0 THEN 10000.0::DOUBLE ELSE least(10000.0, greatest(1.0, (1 - r) / r)) END AS c FROM r3
+), domains AS (
+  SELECT suffix, domain, sum(n) AS dn, sum(good) AS dg FROM named GROUP BY suffix, domain
+), suffixes AS (
+  SELECT suffix, sum(dn) AS sn, sum(dg) AS sg FROM domains GROUP BY suffix
+), total AS (
+  SELECT coalesce(sum(sn), 0) AS tn, coalesce(sum(sg), 0) AS tg FROM suffixes
+), children AS (
+  SELECT 1 AS level, sn AS n, sg AS good, (tg + 1) / (tn + 2) AS mean FROM suffixes, total
+  UNION ALL SELECT 2, dn, dg, (sg + 1) / (sn + 2) FROM domains JOIN suffixes USING (suffix)
+  UNION ALL SELECT 3, n, good, (dg + 1) / (dn + 2) FROM named JOIN domains USING (suffix, domain)
+), spread AS (
+  SELECT level, (sum(n * (good / n - mean) ** 2 / (mean * (1 - mean))) - count(*)) / nullif(sum(n - 1), 0) AS r
+  FROM children WHERE n > 0 GROUP BY level
+), strength AS (
+  SELECT level, CASE WHEN r IS NULL OR r <= 0 THEN 10000.0::DOUBLE ELSE least(10000.0, greatest(1.0, (1 - r) / r)) END AS c
+  FROM (SELECT unnest([1, 2, 3]) AS level) LEFT JOIN spread USING (level)
+), step0 AS (
+  SELECT *, (tg - sg + 1) / (tn - sn + 2) AS m0, tn - sn + 2 AS k0
+  FROM named JOIN domains USING (suffix, domain) JOIN suffixes USING (suffix), total
+), step1 AS (
+  SELECT *, least(c, k0) AS p1, (sg - dg + least(c, k0) * m0) / (sn - dn + least(c, k0)) AS m1, sn - dn + least(c, k0) AS k1
+  FROM step0, (SELECT c FROM strength WHERE level = 1)
+), step2 AS (
+  SELECT * EXCLUDE (c), (dg - good + least(d, k1) * m1) / (dn - n + least(d, k1)) AS m2, dn - n + least(d, k1) AS k2
+  FROM step1, (SELECT c AS d FROM strength WHERE level = 2)
 ), ab AS (
-  SELECT host, good + c * mean AS a, n - good + c * (1 - mean) AS b FROM l3, c3
+  SELECT host, (good + least(e, k2) * m2) / (n + least(e, k2)) AS mean, n + least(e, k2) AS known
+  FROM step2, (SELECT c AS e FROM strength WHERE level = 3)
 ), judged AS (
-  SELECT host, CASE WHEN a / (a + b) + 1.645 * sqrt(a * b / ((a + b) ** 2 * (a + b + 1))) < 0.5 THEN 'block' ELSE 'allow' END AS verdict
+  SELECT host, CASE WHEN mean + 1.645 * sqrt(mean * (1 - mean) / (known + 1)) < 0.5 THEN 'block' ELSE 'allow' END AS verdict
   FROM ab
 ), best AS (
   SELECT p.page_id, p.host, p.path, arg_max(r.name || r.start, length(r.name || r.start)) AS rule,

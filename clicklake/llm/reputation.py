@@ -4,7 +4,8 @@ Labelled outcomes of pages (good or not) are counted per host. Each host's share
 shrunk towards that of its registered domain, the domain's towards its suffix, and the suffix's
 towards all pages: at each level the parent's mean is the mean of a beta prior, and how strongly it
 pulls is estimated from how much more the children's counts vary than binomial counts would (a
-beta-binomial by moments). A host is blocked if even the upper bound of its posterior share is below
+beta-binomial by moments). A prior is made without the pages of the child it is for, and it never counts
+for more pages than it was made of, so no page counts twice and bounds stay honest. A host is blocked if even the upper bound of its posterior share is below
 ``MIN_GOOD``, so a few bad pages on a new host do not block it.
 
 Counting combines before its shuffle, so a host with a third of all pages is one row per task. Verdicts
@@ -110,29 +111,37 @@ def host_reputation(pages: DataFrame, outcomes: DataFrame, suffixes: Sequence[st
     )
     hosts = written(hosts, "hosts")
 
-    def counted(*keys: str) -> DataFrame:
-        return hosts.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
-
-    def shrunk(children: DataFrame, strength: float, name: str, key: str) -> DataFrame:
-        mean = (F.col("good") + strength * F.col("mean")) / (F.col("n") + strength)
-        return children.select(F.col(key), mean.alias(name))
-
-    all_ = hosts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("good"), F.lit(0)).alias("good")).first()
-    level = counted("suffix").withColumn("mean", F.lit((all_["good"] + 1) / (all_["n"] + 2)))
-    above = shrunk(level, _strength(level), "mean", "suffix")
-    level = written(counted("suffix", "domain").join(above, "suffix"), "domains")
-    above = shrunk(level, _strength(level), "mean", "domain")
-    level = hosts.join(above, "domain")
-    c = _strength(level)
-    a, b = F.col("good") + c * F.col("mean"), F.col("n") - F.col("good") + c * (1 - F.col("mean"))
-    sd = F.sqrt(a * b / ((a + b) ** 2 * (a + b + 1)))
+    domains = hosts.groupBy("suffix", "domain").agg(F.sum("n").alias("dn"), F.sum("good").alias("dg"))
+    domains = written(domains, "domains")
+    suffixes_ = domains.groupBy("suffix").agg(F.sum("dn").alias("sn"), F.sum("dg").alias("sg"))
+    total = suffixes_.agg(F.coalesce(F.sum("sn"), F.lit(0)).alias("n"), F.coalesce(F.sum("sg"), F.lit(0)).alias("g")).first()
+    above = domains.join(suffixes_, "suffix")
+    level = hosts.join(above.drop("suffix"), "domain")
+
+    def children(rows: DataFrame, n: str, good: str, of_n: Column, of_good: Column) -> DataFrame:
+        return rows.select(F.col(n).alias("n"), F.col(good).alias("good"), ((of_good + 1) / (of_n + 2)).alias("mean"))
+
+    strengths = (
+        _strength(children(suffixes_, "sn", "sg", F.lit(total["n"]), F.lit(total["g"]))),
+        _strength(children(above, "dn", "dg", F.col("sn"), F.col("sg"))),
+        _strength(children(level, "n", "good", F.col("dn"), F.col("dg"))),
+    )
+    # Down the levels, each time without the pages that the next level counts itself.
+    mean = (F.lit(total["g"]) - F.col("sg") + 1) / (F.lit(total["n"]) - F.col("sn") + 2)
+    known = (F.lit(total["n"]) - F.col("sn") + 2).cast("double")
+    for strength, n, good in zip(strengths, (("sn", "dn"), ("dn", "n"), ("n", None)), (("sg", "dg"), ("dg", "good"), ("good", None))):
+        pull = F.least(F.lit(strength), known)
+        rest_n = F.col(n[0]) - (F.col(n[1]) if n[1] else F.lit(0))
+        rest_good = F.col(good[0]) - (F.col(good[1]) if good[1] else F.lit(0))
+        mean, known = (rest_good + pull * mean) / (rest_n + pull), rest_n + pull
+    sd = F.sqrt(mean * (1 - mean) / (known + 1))
     return level.select(
         "host",
         "n",
         "good",
-        (a / (a + b)).alias("mean"),
-        F.greatest(F.lit(0.0), a / (a + b) - Z * sd).alias("low"),
-        F.least(F.lit(1.0), a / (a + b) + Z * sd).alias("high"),
+        mean.alias("mean"),
+        F.greatest(F.lit(0.0), mean - Z * sd).alias("low"),
+        F.least(F.lit(1.0), mean + Z * sd).alias("high"),
     )
 
 
