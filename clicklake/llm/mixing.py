@@ -8,8 +8,9 @@ running sums, so no loop is needed.
 A source's rate is target / size. Every document is taken ``floor(rate)`` times, and the fraction
 that is left once more for a seeded, evenly spread part of the documents. Documents are ranked within
 their source by size class, then by a seeded hash; the k-th is taken once more if the running sum of
-the fraction passes a whole number at k. So taken words miss the target by about one document,
-where independent draws would miss it by the square root of their number.
+the fraction passes a whole number at k. So taken words miss the target by about one of the largest
+documents, where independent draws would miss it by the square root of their number. Then the draw is
+changed for a few documents of each source, which brings the words within about a small one.
 
 Ranks are made without bringing a source to one task: rows are numbered within (source, size class,
 slice), slices being as many as hold ``SLICE_ROWS`` rows each, and offsets come from the counts.
@@ -30,6 +31,7 @@ from clicklake.llm.common import written
 MAX_EPOCHS = 3
 SLICE_ROWS = 200_000
 SEED = "mix"
+ROUNDS, CHANGES = 3, 64
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -105,12 +107,43 @@ def mix(
     ranked = sliced.withColumn("__rank", F.row_number().over(within))
     same_slice = [*same_group, F.col("d.__slice") == F.col("g.__slice")]
     placed = ranked.alias("d").join(offsets.alias("g"), same_slice).select("d.*", (F.col("__before") + F.col("__rank")).alias("__place"))
-    part = F.col("rate") - F.floor("rate")
+    whole, part = F.floor("rate").cast("bigint"), F.col("rate") - F.floor("rate")
     once_more = F.floor(F.col("__place") * part + 0.5) - F.floor((F.col("__place") - 1) * part + 0.5)
-    times = (F.floor("rate") + once_more).cast("bigint")
-    return (
+    chosen = (
         placed.alias("d")
         .join(targets.alias("t"), F.col("d.source").eqNullSafe(F.col("t.source")))
-        .select("d.doc_id", "d.source", "d.size", "t.source_size", "t.target", times.alias("times"))
-        .withColumn("taken", F.col("times") * F.col("size"))
+        .select(
+            "d.doc_id", "d.source", "d.size", "t.source_size", "t.target", "d.__place",
+            whole.alias("__whole"), (part > 0).alias("__loose"), once_more.cast("bigint").alias("__more"),
+        )
+    )
+    for _ in range(ROUNDS):
+        chosen = _corrected(written(chosen, "chosen"))
+    times = F.col("__whole") + F.col("__more")
+    return chosen.select(
+        "doc_id", "source", "size", "source_size", "target", times.alias("times"), (times * F.col("size")).alias("taken")
     )
+
+
+def _corrected(chosen: DataFrame) -> DataFrame:
+    """Change the fraction's draw for a few documents of each source, so that its words come nearer.
+
+    Of the documents no larger than what is missing, or too much, the ``CHANGES`` largest are gone
+    through from the top while their sum fits. Spark limits the ranking before its shuffle, so no source
+    comes to one task.
+    """
+    taken = F.sum((F.col("__whole") + F.col("__more")) * F.col("size"))
+    missing = chosen.groupBy("source").agg((F.max("target") - taken).alias("missing"))
+    open_ = (
+        chosen.alias("d")
+        .join(missing.alias("m"), F.col("d.source").eqNullSafe(F.col("m.source")))
+        .filter("d.__loose and d.size > 0 and d.size <= abs(m.missing) and d.__more = if(m.missing > 0, 0, 1)")
+        .select("d.source", "d.size", "d.__place", "m.missing")
+    )
+    order = Window.partitionBy("source").orderBy(F.desc("size"), "__place")
+    largest = open_.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= CHANGES)
+    running = F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    changed = largest.withColumn("sum", running).filter("sum <= abs(missing)").select("source", "__place")
+    same = F.col("d.source").eqNullSafe(F.col("c.source")) & (F.col("d.__place") == F.col("c.__place"))
+    more = F.when(F.col("c.__place").isNull(), F.col("d.__more")).otherwise(1 - F.col("d.__more"))
+    return chosen.alias("d").join(changed.alias("c"), same, "left").select("d.*", more.alias("__new")).drop("__more").withColumnRenamed("__new", "__more")

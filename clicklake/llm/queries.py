@@ -70,11 +70,28 @@ WITH sized AS (
   SELECT *, row_number() OVER (PARTITION BY source ORDER BY -length(bin(size)),
                                md5('mix:' || coalesce(doc_id::VARCHAR, '')), doc_id, size) AS place
   FROM sized
+), chosen0 AS (
+  SELECT doc_id, ranked.source, CAST(size AS BIGINT) AS size, source_size, target, place, floor(rate) AS whole,
+         rate > floor(rate) AS loose, floor(place * (rate - floor(rate)) + 0.5) - floor((place - 1) * (rate - floor(rate)) + 0.5) AS more
+  FROM ranked JOIN rates ON ranked.source IS NOT DISTINCT FROM rates.source
 )
-SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
-       CAST((floor(rate) + floor(place * (rate - floor(rate)) + 0.5)
-             - floor((place - 1) * (rate - floor(rate)) + 0.5)) * size AS BIGINT) AS taken
-FROM ranked JOIN rates ON ranked.source IS NOT DISTINCT FROM rates.source
+"""
+for _k in range(mixing.ROUNDS):
+    SQL["op6_mixing"] += f""", missing{_k} AS (
+  SELECT *, target - sum((whole + more) * size) OVER (PARTITION BY source) AS missing FROM chosen{_k}
+), open{_k} AS (
+  SELECT source, place, size, missing, row_number() OVER (PARTITION BY source ORDER BY size DESC, place) AS n FROM missing{_k}
+  WHERE loose AND size > 0 AND size <= abs(missing) AND more = CASE WHEN missing > 0 THEN 0 ELSE 1 END
+), changed{_k} AS (
+  SELECT source, place FROM (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY size DESC, place
+    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS total FROM open{_k} WHERE n <= {mixing.CHANGES}) WHERE total <= abs(missing)
+), chosen{_k + 1} AS (
+  SELECT d.* EXCLUDE (more), CASE WHEN c.place IS NULL THEN more ELSE 1 - more END AS more
+  FROM chosen{_k} d LEFT JOIN changed{_k} c ON d.place = c.place AND d.source IS NOT DISTINCT FROM c.source
+)
+"""
+SQL["op6_mixing"] += f"""SELECT doc_id, size, source_size, target, CAST((whole + more) * size AS BIGINT) AS taken
+FROM chosen{mixing.ROUNDS}
 """
 
 
