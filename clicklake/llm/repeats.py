@@ -40,7 +40,7 @@ from clicklake.llm.common import free_name, mixed, runs, seeded, steps, text_byt
 LENGTH = 100
 GRAM = 16
 SORTED_FRAGMENTS = 2048
-SYMBOL = 4  # bytes; LENGTH is a multiple
+SYMBOL = 10  # bytes; LENGTH is a multiple
 
 _BYTE = seeded(11, 256)
 _ROOT = int(seeded(12, 1)[0]) | 1
@@ -167,14 +167,17 @@ def sorted_suffixes(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     says where the new suffixes belong, and what two of them share is one more than the least of what
     the rows between their places share.
     """
-    m = len(texts)
     sizes = np.array([len(t) for t in texts], np.int64)
-    longest = int(sizes.max(initial=0))
-    highest = max((int(t.max()) for t in texts if len(t)), default=0)
-    # Symbols from the end; 0 ends a text.
-    column = np.zeros((longest + 1, m), np.uint16 if highest < 1 << 16 else np.uint32)
+    column = np.zeros((int(sizes.max(initial=0)) + 1, len(texts)), np.int64)
     for k, text in enumerate(texts):
         column[: len(text), k] = text[::-1]
+    return _insert_columns(column, sizes)
+
+
+def _insert_columns(column: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`sorted_suffixes` of texts given by columns, from their ends; 0 ends a text."""
+    m, longest = len(sizes), int(sizes.max(initial=0))
+    column = column.astype(np.uint16 if column.max(initial=0) < 1 << 16 else np.uint32)
     row_of = np.full((m, longest + 1), -1, np.int64)
     last, shared = column[0].copy(), np.zeros(m, np.uint8)
     at, active = np.arange(m), np.arange(m)
@@ -234,29 +237,45 @@ def _least(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
     return out
 
 
+def _numbered(symbols: np.ndarray) -> np.ndarray:
+    """Numbers from 1 on for rows of ``SYMBOL`` bytes, equal for equal ones."""
+    head = np.ascontiguousarray(symbols[:, :8]).view("<u8").ravel()
+    tail = np.ascontiguousarray(symbols[:, 8:]).view("<u2").ravel()
+    known = np.unique(head, return_inverse=True)[1] * 65536 + tail
+    return np.unique(known, return_inverse=True)[1] + 1
+
+
 def _repeated(
     doc: np.ndarray, start: np.ndarray, anchor: np.ndarray, fragments: list[bytes]
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Ranges ``(fragment, first, last)`` of offsets at which a string starts that also starts earlier.
 
-    Equal windows of fragments stand alike to the anchor, so starts are compared only with those of the
-    same distance to it modulo ``SYMBOL``, and the symbols of the sort are so many bytes.
+    Equal windows of fragments stand alike to the anchor. So fragments are laid out with their anchors
+    below each other, and those starts are sorted together that have the same distance to it modulo
+    ``SYMBOL``, the number of bytes of a symbol of the sort.
     """
-    need = LENGTH // SYMBOL
+    m, need, width = len(fragments), LENGTH // SYMBOL, _AROUND + LENGTH
+    left = _AROUND - anchor
+    right = left + np.array([len(f) for f in fragments])
+    laid = np.zeros((m, width), np.uint8)
+    for k, fragment in enumerate(fragments):
+        laid[k, left[k] : right[k]] = np.frombuffer(fragment, np.uint8)
     rank = np.unique(doc, return_inverse=True)[1]
     found: list[tuple[np.ndarray, np.ndarray]] = []
     for phase in range(SYMBOL):
-        offset = (anchor + phase) % SYMBOL
-        count = np.maximum(0, np.array([len(f) for f in fragments]) - offset) // SYMBOL
-        parts = [np.frombuffer(f, "<u4", n, o) for f, n, o in zip(fragments, count.tolist(), offset.tolist())]
-        numbers = np.unique(np.concatenate(parts), return_inverse=True)[1] + 1
-        row_of, shared = sorted_suffixes(np.split(numbers, np.cumsum(count)[:-1]))
+        n = (width - phase) // SYMBOL
+        numbers = _numbered(laid[:, phase : phase + n * SYMBOL].reshape(m * n, SYMBOL)).reshape(m, n)
+        begin, end = np.maximum(0, -((phase - left) // SYMBOL)), np.minimum(n, (right - phase) // SYMBOL)
+        count = np.maximum(0, end - begin)
+        from_end = np.arange(n + 1)[:, None]
+        column = np.where(from_end < count, numbers[np.arange(m), np.clip(end - 1 - from_end, 0, n - 1)], 0)
+        row_of, shared = _insert_columns(column, count)
         fragment, length = np.nonzero(row_of[:, need:] >= 0)
         length += need
         group = np.cumsum(shared < need)[row_of[fragment, length]]
         crowded = np.bincount(group, minlength=1)[group] > 1
         fragment, length, group = fragment[crowded], length[crowded], group[crowded]
-        at = offset[fragment] + SYMBOL * (count[fragment] - length)
+        at = phase + SYMBOL * (end[fragment] - length) - left[fragment]
         place, owner = start[fragment] + at, rank[fragment]
         order = np.lexsort((place, owner, group))
         group, owner, place = group[order], owner[order], place[order]
