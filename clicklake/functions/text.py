@@ -8,9 +8,6 @@ from pyspark.sql.types import StringType, StructType
 from clicklake.schemas import extended
 
 
-def is_blank(text: Column) -> Column:
-    return text.isNull() | (text == "")
-
 
 def has_text(text: Column) -> Column:
     """Neither null nor empty."""

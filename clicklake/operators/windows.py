@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from clicklake.operators.skew import MAX_GROUP_ROWS, large_groups, split_by_size
-from clicklake.session import scratch_root, shuffle_partitions
+from clicklake.session import scratch_path, scratch_root, shuffle_partitions
 
 
 def previous_row(
@@ -40,6 +40,10 @@ def _neighbour(df, keys, order, columns, following, max_group_rows):
     found = large_groups(df, keys, max_group_rows)
     if found is None:
         return _in_one_task(df, keys, order, columns, following)
+    # Read four times below, so it is written once.
+    path = scratch_path(df.sparkSession, "grouped")
+    df.write.parquet(path)
+    df = df.sparkSession.read.schema(df.schema).parquet(path)
     ordinary, large = split_by_size(df, keys, found)
     return _in_one_task(ordinary, keys, order, columns, following).unionByName(
         _across_slices(large, keys, order, columns, following)

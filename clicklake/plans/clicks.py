@@ -9,7 +9,7 @@ from clicklake.operators.aggregates import count_distinct, count_rows, daily_eve
 from clicklake.operators.skew import MAX_GROUP_ROWS
 from clicklake.operators.windows import follows
 
-# Event kinds.
+# Event kinds; below, the column names "bought", "totalAddToCart" and "totalUser" of the reports.
 FAVORITE = "favorite"
 ADD_TO_CART = "addToCart"
 

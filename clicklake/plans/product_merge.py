@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clicklake.operators.versions import latest_per_key, merged_snapshot
 from clicklake.schemas import CATALOGUE_PRODUCT
+from clicklake.session import scratch_path
 from clicklake.sources.readers import read_json
 from clicklake.sources.writers import rebalance
 
@@ -27,20 +28,27 @@ def read_snapshot(spark: SparkSession, base: str, version: int | None = None) ->
     return spark.read.schema(CATALOGUE_PRODUCT).parquet(f"{base}/snapshots/version={version}")
 
 
-def run_product_merge(spark: SparkSession, records_path: str, base: str) -> int:
+def run_product_merge(spark: SparkSession, records_path: str, base: str, keep_versions: int | None = None) -> int:
     """Merge product records into the current snapshot as a new version; returns its number.
 
     The first run makes the snapshot from the records alone. A snapshot is written beside the one
     it reads and noted as finished last, so a failed run leaves the current version as it was and
-    the next one replaces the half-written folder.
+    the next one replaces the half-written folder. The records are read and reduced to the latest of each
+    product once, and written beside the snapshots for the joins that use them.
+
+    ``keep_versions`` removes older snapshots after the run, by default all are kept.
     """
-    records = read_json(spark, records_path, CATALOGUE_PRODUCT)
     version = current_version(spark, base)
-    if version == 0:
-        snapshot = latest_per_key(records, "id", "timestamp")
-    else:
-        snapshot = merged_snapshot(read_snapshot(spark, base, version), records, "id", "timestamp")
+    reduced = scratch_path(spark, "changes")
+    latest_per_key(read_json(spark, records_path, CATALOGUE_PRODUCT), "id", "timestamp").write.parquet(reduced)
+    records = spark.read.schema(CATALOGUE_PRODUCT).parquet(reduced)
+    snapshot = records if version == 0 else merged_snapshot(read_snapshot(spark, base, version), records, "id", "timestamp")
     rebalance(snapshot).write.mode("overwrite").parquet(f"{base}/snapshots/version={version + 1}")
     finished = spark.range(0, 1, 1, 1).select(F.lit(version + 1).alias("version"))
     finished.write.mode("append").parquet(f"{base}/finished")
+    if keep_versions:
+        for old in range(version + 1 - keep_versions, 0, -1):
+            folder = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/snapshots/version={old}")
+            if not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True):
+                break  # it and those before are gone already
     return version + 1

@@ -171,11 +171,15 @@ def view_session(spark, base):
 @query("SELECT event_type, count(*) AS n_events FROM events GROUP BY event_type")
 def view_global(spark, base):
     name = shared_view(read_table(spark, base, "events"), f"clicklake_events_{uuid.uuid4().hex}")
-    return spark.newSession().sql(f"SELECT event_type, count(*) AS n_events FROM {name} GROUP BY event_type")
+    counts = spark.newSession().sql(f"SELECT event_type, count(*) AS n_events FROM {name} GROUP BY event_type")
+    spark.catalog.dropGlobalTempView(name.split(".")[1])  # the plan above holds what the view named
+    return counts
 
 
 @query("SELECT o_orderstatus, count(*) AS n_orders FROM orders GROUP BY o_orderstatus")
 def view_catalog_table(spark, base):
     name = f"clicklake_orders_{uuid.uuid4().hex}"
     save_table(read_table(spark, base, "orders"), name, scratch_path(spark, "table"))
-    return read_catalog_table(spark, name).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n_orders"))
+    counts = read_catalog_table(spark, name).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n_orders"))
+    spark.sql(f"DROP TABLE {name}")  # the name goes; the files lie in the scratch folder
+    return counts

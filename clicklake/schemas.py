@@ -27,7 +27,7 @@ def extended(schema: StructType, **fields) -> StructType:
     return StructType([*schema.fields, *record(**fields).fields])
 
 
-# Shop records.
+# Shop records. The field names of the files that are read.
 CLICK = record(userId=_LONG, productId=_LONG, event=_STR, timestamp=_LONG)
 PRODUCT_VIEW = record(userId=_LONG, productId=_LONG, channel=_STR, timestamp=_LONG)
 PRODUCT = record(id=_LONG, category=_STR, timestamp=_LONG)

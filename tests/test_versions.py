@@ -1,5 +1,7 @@
 """Latest versions and snapshot merges."""
 
+import os
+
 from hypothesis import HealthCheck, given, settings, strategies as st
 
 from clicklake.operators.versions import latest_per_key, merged_snapshot
@@ -103,3 +105,5 @@ def test_job_keeps_versions(spark, folder):
     assert run_product_merge(spark, f"{folder}/changes", base) == 3
     assert rows_of(read_snapshot(spark, base)) == MERGED
     assert rows_of(read_snapshot(spark, base, 1)) == sorted(CATALOGUE, key=repr)
+    assert run_product_merge(spark, f"{folder}/changes", base, keep_versions=2) == 4
+    assert sorted(os.listdir(f"{base}/snapshots")) == ["version=3", "version=4"]
