@@ -16,6 +16,9 @@ A string that starts in several places is found in five steps.
    that share ``LENGTH`` bytes are then neighbours; all but the earliest start are marked.
 5. The ranges of each document are joined to it and cut out.
 
+An anchor with more than ``CROWDED`` different fragments is not sorted in one task: its windows are
+compared as rows, by an aggregate and a join.
+
 The passes of step 4 are over arrays in a task's memory, not over external files: a task sorts
 fragments of a bounded total (``SORTED_FRAGMENTS``), and executors share no local files.
 
@@ -40,6 +43,7 @@ from clicklake.llm.common import free_name, mixed, runs, seeded, steps, text_byt
 LENGTH = 100
 GRAM = 16
 SORTED_FRAGMENTS = 2048
+CROWDED = 20_000  # different fragments of one anchor that a task may sort
 SYMBOL = 10  # bytes; LENGTH is a multiple
 
 _BYTE = seeded(11, 256)
@@ -122,11 +126,19 @@ def _marked(rows: DataFrame) -> DataFrame:
 
     Rows come sorted, so a fragment's first row is its earliest. Bytes are wanted of first rows whose
     anchor has another fragment; where a batch ends within an anchor's rows, of its first rows anyway.
+    An anchor with more than ``CROWDED`` fragments is told by a row without a document, marked with its hash.
     """
     kind = rows.schema["doc"].dataType.simpleString()
+    id_type = pa.int32() if kind == "int" else pa.int64()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before: tuple | None = None
+        carried = 0  # fragments so far of the anchor that the last batch ended in
+
+        def told(grams: list[int]) -> pa.RecordBatch:
+            nobody = pa.nulls(len(grams), id_type)
+            return pa.RecordBatch.from_arrays([nobody, pa.array(grams, pa.int64())], names=["doc", "mark"])
+
         for batch in batches:
             n = batch.num_rows
             if not n:
@@ -140,16 +152,28 @@ def _marked(rows: DataFrame) -> DataFrame:
             if before is not None and before[0] == gram[0]:
                 new_fragment[0] = before[1] != fragment[0]
                 again[0] = not new_fragment[0] and before[2:] == (doc[0], place[0])
-            before = (gram[-1], fragment[-1], doc[-1], place[-1])
             run_of = np.cumsum(new_gram)
             firsts = np.bincount(run_of, new_fragment & ~local, minlength=run_of[-1] + 1)
+            ends = np.append(np.flatnonzero(new_gram)[1:], n) - 1  # last row of each anchor
+            sums = firsts[1:].astype(np.int64)
+            if before is not None and before[0] == gram[0]:
+                sums[0] += carried
+            elif before is not None and carried > CROWDED:
+                yield told([before[0]])
+            over = np.flatnonzero(sums[:-1] > CROWDED)
+            if len(over):
+                yield told(gram[ends[over]].tolist())
+            carried = int(sums[-1])
             wanted = new_fragment & ~local & ((firsts[run_of] > 1) | (run_of == run_of[0]) | (run_of == run_of[-1]))
             copies = (local | ~new_fragment) & ~again
             at = np.where(local, -1 - place, place).astype(np.int64)
             keep = copies | wanted
+            before = (int(gram[-1]), int(fragment[-1]), doc[-1], place[-1])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(doc[keep]), pa.array((2 * at + wanted)[keep])], names=["doc", "mark"]
             )
+        if before is not None and carried > CROWDED:
+            yield told([before[0]])
 
     sorted_rows = rows.repartition("gram").sortWithinPartitions("gram", "fragment", "doc", "place")
     return sorted_rows.mapInArrow(run, f"doc {kind}, mark bigint")
@@ -349,6 +373,28 @@ def _ranges(fragments: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, f"doc {kind}, first bigint, last bigint")
 
 
+def _ranges_by_window(fragments: DataFrame) -> DataFrame:
+    """The same for anchors with so many fragments that one task is not to sort them.
+
+    Every window is a row with a hash of 128 bits. The earliest start of each hash is found by an
+    aggregate, which combines before its shuffle, and joined back, where Spark splits what is skewed.
+    """
+    kind = fragments.schema["doc"].dataType.simpleString()
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for doc, start, raw in zip(batch.column("doc"), batch.column("start").to_pylist(), batch.column("bytes").to_pylist()):
+                n = max(0, len(raw) - LENGTH + 1)
+                hashes = [hashlib.blake2b(raw[k : k + LENGTH], digest_size=16).digest() for k in range(n)]
+                columns = [pa.array(hashes, pa.binary()), pa.array([doc.as_py()] * n, doc.type), pa.array(range(start, start + n), pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, names=["window", "doc", "first"])
+
+    every = fragments.select("doc", "start", "bytes").mapInArrow(windows, f"window binary, doc {kind}, first bigint")
+    earliest = every.groupBy("window").agg(F.min(F.struct("doc", "first")).alias("earliest"))
+    later = every.join(earliest, "window").filter(F.struct("doc", "first") != F.col("earliest"))
+    return later.select("doc", "first", F.col("first").alias("last")).distinct()
+
+
 def _fetched(with_marks: DataFrame) -> DataFrame:
     """``gram, doc, place, start, bytes`` of the fragments whose bytes are wanted."""
     kind = with_marks.schema["doc_id"].dataType.simpleString()
@@ -361,9 +407,11 @@ def _fetched(with_marks: DataFrame) -> DataFrame:
                     continue
                 raw = text.as_buffer().to_pybytes()
                 wanted = marks.values.to_numpy()
-                for place in (wanted[wanted % 2 == 1] // 2).tolist():
+                places = wanted[wanted % 2 == 1] // 2
+                data = np.frombuffer(raw, np.uint8)[places[:, None] + np.arange(GRAM)]
+                grams = mixed((_BYTE[data] * _powers(_ROOT, GRAM)).sum(axis=1, dtype=np.uint64)).view(np.int64)
+                for gram, place in zip(grams.tolist(), places.tolist()):
                     start = max(0, place - _AROUND)
-                    gram = int.from_bytes(_digest(raw[place : place + GRAM]), "little", signed=True)
                     rows.append((gram, doc.as_py(), place, start, raw[start : place + LENGTH]))
             columns = list(zip(*rows)) or [()] * 5
             kinds = [pa.int64(), step.column("doc_id").type, pa.int64(), pa.int64(), pa.binary()]
@@ -374,10 +422,6 @@ def _fetched(with_marks: DataFrame) -> DataFrame:
     return with_marks.mapInArrow(run, f"gram bigint, doc {kind}, place bigint, start bigint, bytes binary")
 
 
-def _digest(gram: bytes) -> bytes:
-    return hashlib.blake2b(gram, digest_size=8).digest()
-
-
 def without_repeats(docs: DataFrame, text: str = "text", kept: str = "kept", as_text: bool = False) -> DataFrame:
     """Add ``kept`` (binary), ``n_removed`` and ``n_spans`` to the documents (``doc_id``, ``text``).
 
@@ -386,13 +430,19 @@ def without_repeats(docs: DataFrame, text: str = "text", kept: str = "kept", as_
     """
     texts = docs.select("doc_id", F.col(text).alias("text"))
     marks = written(_marked(_anchor_rows(texts)), "marks")
-    by_doc = marks.groupBy("doc").agg(F.collect_list("mark").alias("marks"))
+    by_doc = marks.filter("doc is not null").groupBy("doc").agg(F.collect_list("mark").alias("marks"))
     # Both joins deal whole documents by id, in the same way, so that Spark deals them once. Neither
     # side is bounded: no broadcast.
     marked = docs.join(by_doc.hint("merge"), docs["doc_id"] == by_doc["doc"], "left")
     marked = marked.select(docs["doc_id"], docs[text].alias("text"), by_doc["marks"])
-    ranges = _ranges(_fetched(marked))
-    copies = marks.filter("mark % 2 = 0").select(
+    fragments = _fetched(marked)
+    crowded = marks.filter("doc is null").select(F.col("mark").alias("gram"))
+    if crowded.isEmpty():
+        ranges = _ranges(fragments)
+    else:
+        ranges = _ranges(fragments.join(crowded, "gram", "left_anti"))
+        ranges = ranges.unionByName(_ranges_by_window(fragments.join(crowded, "gram", "left_semi")))
+    copies = marks.filter("doc is not null and mark % 2 = 0").select(
         "doc", (F.col("mark") / 2).cast("bigint").alias("first"), F.lit(-1).cast("bigint").alias("last")
     )
     cuts = ranges.unionByName(copies).groupBy("doc").agg(F.collect_list(F.struct("first", "last")).alias("cuts"))

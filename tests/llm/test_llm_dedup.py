@@ -201,9 +201,10 @@ def repeat_rows():
     return [(11 * i, text) for i, text in enumerate(rows)]
 
 
-@pytest.mark.parametrize("held", [2048, 5])
-def test_repeats(spark, monkeypatch, held):
+@pytest.mark.parametrize("held, crowded", [(2048, 20_000), (5, 20_000), (2048, 6)])
+def test_repeats(spark, monkeypatch, held, crowded):
     monkeypatch.setattr(repeats, "SORTED_FRAGMENTS", held)
+    monkeypatch.setattr(repeats, "CROWDED", crowded)
     rows = repeat_rows()
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(7)
     got = {
