@@ -237,7 +237,7 @@ def main_text(source: str | None) -> str:
             if page.parent[node] == page.parent[best] and node != best and not page.gone[node] and chars[node]:
                 density = linked[node] / chars[node]
                 reads = page.tag[node] == "p" and (density < 0.25 if chars[node] > 80 else density == 0)
-                if score[node] >= max(10, 0.2 * score[best]) or reads or page.tag[node] in HEADINGS:
+                if score[node] >= max(1, 0.1 * score[best]) and density < 0.25 or reads or page.tag[node] in HEADINGS:
                     chosen.add(node)
     inside = [False] * n
     for node in range(n):
