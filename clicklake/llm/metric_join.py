@@ -37,7 +37,8 @@ from clicklake.llm.components import components
 # One pivot for so many vectors, and at most MAX_PIVOTS: with 64 doubles each, 128 kB in all.
 ROWS_PER_PIVOT = 4096
 MAX_PIVOTS = 256
-BLOCK = 1024
+BLOCK = 2048
+ROWS_AT_ONCE = 512  # of a piece, against all of it: 16 MB of cosines
 # More than the rounding of a distance between unit vectors, for bounds only.
 SLACK = 1e-9
 
@@ -131,7 +132,9 @@ def _joined(dealt: DataFrame, threshold: float) -> DataFrame:
             x[np.repeat(np.arange(n), width), np.arange(len(flat)) - np.repeat(np.cumsum(width) - width, width)] = flat
             label = pc.dictionary_encode(piece.column("label").combine_chunks()).indices.to_numpy()
             block = piece.column("block").to_numpy()
-            fits = x @ x.T >= threshold
+            fits = np.empty((n, n), bool)
+            for begin in range(0, n, ROWS_AT_ONCE):
+                fits[begin : begin + ROWS_AT_ONCE] = x[begin : begin + ROWS_AT_ONCE] @ x.T >= threshold
             fits &= (label[:, None] == label[None, :]) & (width[:, None] == width[None, :])
             fits &= home[:, None] | home[None, :]
             if piece.column("low")[0].as_py() != piece.column("high")[0].as_py():
