@@ -43,7 +43,7 @@ from clicklake.llm.common import free_name, mixed, runs, seeded, steps, text_byt
 LENGTH = 100
 GRAM = 16
 SORTED_FRAGMENTS = 2048
-CROWDED = 20_000  # different fragments of one anchor that a task may sort
+CROWDED = 100_000  # different fragments of one anchor that a task may sort: 18 MB of text
 SYMBOL = 10  # bytes; LENGTH is a multiple
 
 _BYTE = seeded(11, 256)

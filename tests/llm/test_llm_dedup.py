@@ -201,7 +201,7 @@ def repeat_rows():
     return [(11 * i, text) for i, text in enumerate(rows)]
 
 
-@pytest.mark.parametrize("held, crowded", [(2048, 20_000), (5, 20_000), (2048, 6)])
+@pytest.mark.parametrize("held, crowded", [(2048, 100_000), (5, 100_000), (2048, 6)])
 def test_repeats(spark, monkeypatch, held, crowded):
     monkeypatch.setattr(repeats, "SORTED_FRAGMENTS", held)
     monkeypatch.setattr(repeats, "CROWDED", crowded)
