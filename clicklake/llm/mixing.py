@@ -13,7 +13,8 @@ documents, where independent draws would miss it by the square root of their num
 changed for a few documents of each source, which brings the words within about a small one.
 
 Ranks are made without bringing a source to one task: rows are numbered within (source, size class,
-slice), slices being as many as hold ``SLICE_ROWS`` rows each, and offsets come from the counts.
+slice), slices being as many as hold ``SLICE_ROWS`` rows each, and offsets come from the counts. Slices are
+ranges of the hash, so their number does not change the order.
 
 Defined results: a null text has size 0; size 0 is taken ``floor(rate)`` times 0 words; a null source
 is a source of its own, ordered last; a source of size 0 has target 0; repeated rows are documents
@@ -98,7 +99,7 @@ def mix(
         sized.withColumn("__key", key)
         .alias("d")
         .join(groups.select("source", "__class", "slices").alias("g"), same_group)
-        .select("d.*", F.pmod(F.conv(F.substring("__key", 1, 7), 16, 10).cast("bigint"), F.col("slices")).alias("__slice"))
+        .select("d.*", F.shiftright(F.conv(F.substring("__key", 1, 7), 16, 10).cast("bigint") * F.col("slices"), 28).alias("__slice"))
     )
     slices = sliced.groupBy("source", "__class", "__slice").agg(F.count(F.lit(1)).alias("rows"))
     running = Window.partitionBy("source").orderBy("__class", "__slice").rowsBetween(Window.unboundedPreceding, -1)

@@ -189,6 +189,14 @@ def test_mix(spark, slice_rows):
     assert mixing.mix(docs.limit(0)).count() == 0
 
 
+def test_mix_is_the_same_for_any_slices(spark):
+    draw = random.Random(3)
+    rows = [(i, "w " * draw.randrange(0, 300), draw.choice(["a", "b", None])) for i in range(1200)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    found = [sorted(map(tuple, mixing.mix(docs, slice_rows=n).collect()), key=repr) for n in (200_000, 40, 7)]
+    assert found[0] == found[1] == found[2]
+
+
 # -- encoding ------------------------------------------------------------------------------------
 
 RANKS = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
