@@ -10,7 +10,12 @@ that is left once more for a seeded, evenly spread part of the documents. Docume
 their source by size class, then by a seeded hash; the k-th is taken once more if the running sum of
 the fraction passes a whole number at k. So taken words miss the target by about one of the largest
 documents, where independent draws would miss it by the square root of their number. Then the draw is
-changed for a few documents of each source, which brings the words within about a small one.
+changed for a few documents of each source, which mostly brings the words within about a small one.
+
+Where documents differ so much in size that a source still misses its target by more than ``NEAR`` words, the
+rest is filled from the largest size down, as many of each size as fit, until none of the documents that
+could be changed fits in what is missing. This has no count to stop at. It is planned from one row per
+source and size, which are at most the root of twice the source's words, and ranks rows within slices only.
 
 Ranks are made without bringing a source to one task: rows are numbered within (source, size class,
 slice), slices being as many as hold ``SLICE_ROWS`` rows each, and offsets come from the counts. Slices are
@@ -25,6 +30,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from clicklake.llm.common import written
@@ -33,6 +40,7 @@ MAX_EPOCHS = 3
 SLICE_ROWS = 200_000
 SEED = "mix"
 ROUNDS, CHANGES = 3, 64
+NEAR = 64
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -114,12 +122,13 @@ def mix(
         placed.alias("d")
         .join(targets.alias("t"), F.col("d.source").eqNullSafe(F.col("t.source")))
         .select(
-            "d.doc_id", "d.source", "d.size", "t.source_size", "t.target", "d.__place",
+            "d.doc_id", "d.source", "d.size", "t.source_size", "t.target", "d.__place", "d.__slice",
             whole.alias("__whole"), (part > 0).alias("__loose"), once_more.cast("bigint").alias("__more"),
         )
     )
     for _ in range(ROUNDS):
         chosen = _corrected(written(chosen, "chosen"))
+    chosen = _filled(written(chosen, "chosen"))
     times = F.col("__whole") + F.col("__more")
     return chosen.select(
         "doc_id", "source", "size", "source_size", "target", times.alias("times"), (times * F.col("size")).alias("taken")
@@ -133,18 +142,56 @@ def _corrected(chosen: DataFrame) -> DataFrame:
     through from the top while their sum fits. Spark limits the ranking before its shuffle, so no source
     comes to one task.
     """
+    order = Window.partitionBy("source").orderBy(F.desc("size"), "__place")
+    largest = _open(chosen).withColumn("n", F.row_number().over(order)).filter(F.col("n") <= CHANGES)
+    running = F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    return _changed(chosen, largest.withColumn("sum", running).filter("sum <= abs(missing)"))
+
+
+def _filled(chosen: DataFrame) -> DataFrame:
+    """Change the fraction's draw for as many documents as it takes, in sources that miss by more than ``NEAR`` words."""
+    open_ = _open(chosen).filter(F.abs("missing") > NEAR)
+    counts = open_.groupBy("source", "size", "__slice").agg(F.count(F.lit(1)).alias("n"), F.first("missing").alias("missing"))
+    counts = written(counts, "open_sizes")
+    if counts.isEmpty():
+        return chosen
+    sizes = counts.groupBy("source", "size").agg(F.sum("n").alias("n"), F.first("missing").alias("missing"))
+    fill = sizes.groupBy("source").applyInArrow(_fitting, sizes.select("source", "size", F.col("n").alias("wanted")).schema)
+    same_size = [F.col("d.source").eqNullSafe(F.col("g.source")), F.col("d.size") == F.col("g.size")]
+    before = F.sum("n").over(Window.partitionBy("source", "size").orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1))
+    wanted = counts.alias("d").join(fill.alias("g"), same_size).select("d.*", "g.wanted")
+    wanted = wanted.withColumn("wanted", F.col("wanted") - F.coalesce(before, F.lit(0))).filter("wanted > 0")
+    same_slice = [*same_size, F.col("d.__slice") == F.col("g.__slice")]
+    within = Window.partitionBy("source", "size", "__slice").orderBy("__place")
+    ranked = open_.alias("d").join(wanted.alias("g"), same_slice).select("d.*", "g.wanted").withColumn("n", F.row_number().over(within))
+    return _changed(chosen, ranked.filter("n <= wanted"))
+
+
+def _fitting(sizes: pa.Table) -> pa.Table:
+    """How many documents of each size of one source are changed, from the largest size down."""
+    sizes = sizes.sort_by([("size", "descending")])
+    left, wanted = abs(sizes.column("missing")[0].as_py()), []
+    for size, n in zip(sizes.column("size").to_pylist(), sizes.column("n").to_pylist()):
+        wanted.append(min(n, int(left // size)))
+        left -= wanted[-1] * size
+    made = sizes.select(["source", "size"]).append_column("wanted", pa.array(wanted, pa.int64()))
+    return made.filter(pc.greater(made.column("wanted"), 0))
+
+
+def _open(chosen: DataFrame) -> DataFrame:
+    """Documents that are no larger than what is missing, or too much, and whose change brings the words nearer."""
     taken = F.sum((F.col("__whole") + F.col("__more")) * F.col("size"))
     missing = chosen.groupBy("source").agg((F.max("target") - taken).alias("missing"))
-    open_ = (
+    return (
         chosen.alias("d")
         .join(missing.alias("m"), F.col("d.source").eqNullSafe(F.col("m.source")))
         .filter("d.__loose and d.size > 0 and d.size <= abs(m.missing) and d.__more = if(m.missing > 0, 0, 1)")
-        .select("d.source", "d.size", "d.__place", "m.missing")
+        .select("d.source", "d.size", "d.__place", "d.__slice", "m.missing")
     )
-    order = Window.partitionBy("source").orderBy(F.desc("size"), "__place")
-    largest = open_.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= CHANGES)
-    running = F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    changed = largest.withColumn("sum", running).filter("sum <= abs(missing)").select("source", "__place")
+
+
+def _changed(chosen: DataFrame, places: DataFrame) -> DataFrame:
     same = F.col("d.source").eqNullSafe(F.col("c.source")) & (F.col("d.__place") == F.col("c.__place"))
     more = F.when(F.col("c.__place").isNull(), F.col("d.__more")).otherwise(1 - F.col("d.__more"))
-    return chosen.alias("d").join(changed.alias("c"), same, "left").select("d.*", more.alias("__new")).drop("__more").withColumnRenamed("__new", "__more")
+    joined = chosen.alias("d").join(places.select("source", "__place").alias("c"), same, "left")
+    return joined.select("d.*", more.alias("__new")).drop("__more").withColumnRenamed("__new", "__more")

@@ -197,6 +197,26 @@ def test_mix_is_the_same_for_any_slices(spark):
     assert found[0] == found[1] == found[2]
 
 
+@pytest.mark.parametrize("slice_rows", [200_000, 300])
+def test_mix_makes_up_for_a_giant(spark, slice_rows):
+    """What a giant takes too little or too much is made up by any number of small texts."""
+    draw = random.Random(5)
+    rows = [(0, "w " * 100_000, "a"), *((i, "w " * 50, "a") for i in range(1, 2001))]
+    rows += [(5000 + i, "w " * draw.randrange(1, 120), "b") for i in range(2000)] + [(9000, "w " * 60_000, "b")]
+    rows += [(10_000 + i, "w " * 100, None) for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    for weights in ((1, 1, 1), (1, 2, 3), (3, 2, 1), (5, 4, 1)):
+        found = mixing.mix(docs, weights=weights, slice_rows=slice_rows).collect()
+        taken, target, size = Counter(), {}, {}
+        for r in found:
+            taken[r.source] += r.taken
+            target[r.source], size[r.source] = r.target, r.source_size
+            assert r.times in (r.target // r.source_size, r.target // r.source_size + 1)
+        for source in target:
+            # The small texts can make up for a giant's rest if they have as many words.
+            assert abs(taken[source] - target[source]) <= 100, (weights, source)
+
+
 # -- encoding ------------------------------------------------------------------------------------
 
 RANKS = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
