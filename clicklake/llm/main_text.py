@@ -8,7 +8,7 @@ with all they hold.
 Each paragraph then passes points to the containers above it: one, one for each comma, and one for each
 hundred characters up to three. Its parent gets all of them, the next ancestor half, further ones
 less. A container's sum is discounted by its link density. The best container is the article,
-with those of its siblings that score well or read like paragraphs. If it lies within an ``article`` or
+with all beside it, and beside the containers above it, that is not mostly links, however little it scores. If it lies within an ``article`` or
 ``main`` element, that element is taken as a whole.
 
 The text is all that is left in what was chosen: white space within a block becomes one space, blocks are
@@ -232,17 +232,45 @@ def main_text(source: str | None) -> str:
         if node:
             whole, chosen = node, {node}
             break
+    above = set()
     if score[best] > 0 and page.tag[whole] not in ("article", "main"):
-        for node in range(1, n):
-            if page.parent[node] == page.parent[best] and node != best and not page.gone[node] and chars[node]:
-                density = linked[node] / chars[node]
-                reads = page.tag[node] == "p" and (density < 0.25 if chars[node] > 80 else density == 0)
-                if score[node] >= max(1, 0.1 * score[best]) and density < 0.25 or reads or page.tag[node] in HEADINGS:
-                    chosen.add(node)
+        chosen |= _beside(page, best, chars, linked)
+        node = best
+        while node:
+            node = page.parent[node]
+            above.add(node)
     inside = [False] * n
     for node in range(n):
         inside[node] = node in chosen or (node > 0 and inside[page.parent[node]])
-    return " ".join(text for node, text, _ in blocks if inside[node])
+    return " ".join(text for node, text, counts in blocks if inside[node] or node in above and _reads(*counts))
+
+
+def _reads(chars: int, linked: int) -> bool:
+    """Whether text is more than links; in short text no link may be."""
+    return 4 * linked < chars if chars > 80 else not linked
+
+
+def _beside(page: _Page, best: int, chars: list[int], linked: list[int]) -> set[int]:
+    """What stands beside the best container, or beside one above it, and reads like text, however short.
+
+    Of what is mostly links, only parts of more than 80 characters that read like text are taken.
+    """
+    path, above = {best}, best
+    while above:
+        above = page.parent[above]
+        path.add(above)
+    found, linky = set(), set()
+    for node in range(1, len(page.tag)):
+        above = page.parent[node]
+        if node in path or page.gone[node] or not chars[node] or not (above in linky or above in path and above != best):
+            continue
+        reads = _reads(chars[node], linked[node])
+        if above in linky:
+            taken = reads and chars[node] > 80
+        else:
+            taken = reads or above == page.parent[best] and page.tag[node] in HEADINGS
+        (found if taken else linky).add(node)
+    return found
 
 
 def _settle_headers(page: _Page) -> None:

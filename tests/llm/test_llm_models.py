@@ -335,6 +335,15 @@ def test_main_text(body, text):
     assert main_text.main_text(PAGE % body) == text
 
 
+def test_main_text_keeps_what_stands_beside_the_longest_part():
+    long = "".join(f"<p>Part {i}, a, b, c, d, {'word ' * 55}end.</p>" for i in range(20))
+    short = "<div><p>Closing, short.</p></div><ul><li>one<li>two</ul><table><tr><td>cell</table><pre>code</pre><blockquote>said</blockquote>"
+    links = "<ul><li><a href=/1>First link of many</a><li><a href=/2>Second link of many</a></ul>"
+    for page in (f"<div><div>{long}</div>{short}{links}</div>", f"<div><div><div>{long}</div></div>{short}{links}</div>"):
+        text = main_text.main_text(PAGE % page)
+        assert text.startswith("Part 0, a") and text.endswith("end. Closing, short. one two cell code said")
+
+
 def test_main_text_of_odd_pages(spark):
     odd = [None, "", " ", "text, only", "<p>a<p>b", "<", "<a href='x>never", "<!-- open", "<div>" * 3000 + "deep, text", "<script>x"]
     odd.append("<article>" + "<p>word, and word</p>" * 20_000 + "</article>")
