@@ -3,7 +3,7 @@
 A page is read into a tree as browsers do: end tags that are left out are implied, what stands in
 scripts and styles is no text, character references are decoded. Menus, headers, footers, sidebars,
 notices, adverts, forms and reader comments are known by their tags, roles, and class or id words, and go
-with all they hold.
+with all they hold. Names are looked at twice, as "with-sidebar" may name what holds the article (``_drop_named``).
 
 Each paragraph then passes points to the containers above it: one, one for each comma, and one for each
 hundred characters up to three. Its parent gets all of them, the next ancestor half, further ones
@@ -62,7 +62,7 @@ PARAGRAPHS = frozenset("p pre td li blockquote dd".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 DROPPED_TAGS = frozenset(
-    "head nav footer aside form script style noscript template iframe button select textarea svg math object embed "
+    "head nav footer aside form script style noscript template iframe button select textarea svg object embed annotation annotation-xml "
     "canvas audio video dialog menu search fieldset label title noembed xmp".split()
 )
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar".split())
@@ -84,22 +84,31 @@ def _attributes(raw: str) -> dict[str, str]:
     return found
 
 
-def _is_dropped(tag: str, raw: str) -> bool:
+# Whether an element goes: not, for sure, or by its names, which are looked at again once the page is read. A plain
+# name is made of dropped words alone ("sidebar"), another one has further words ("with-sidebar").
+STAYS, GOES, PLAINLY_NAMED, PARTLY_NAMED = range(4)
+
+
+def _is_dropped(tag: str, raw: str) -> int:
     if tag in DROPPED_TAGS:
-        return True
+        return GOES
     if not raw.strip(" /") or tag in NEVER_DROPPED:
-        return False
+        return STAYS
     given = _attributes(raw)
     if "hidden" in given or given.get("aria-hidden", "").lower() == "true":
-        return True
+        return GOES
     if "display:none" in given.get("style", "").lower().replace(" ", ""):
-        return True
+        return GOES
     if DROPPED_ROLES & set(given.get("role", "").lower().split()):
-        return True
+        return GOES
+    found = STAYS
     for name in f"{given.get('class', '')} {given.get('id', '')}".split():
-        if name.lower() in DROPPED_NAMES or DROPPED_WORDS.intersection(w.lower() for w in WORD.findall(name)):
-            return True
-    return False
+        words = {w.lower() for w in WORD.findall(name)}
+        if name.lower() in DROPPED_NAMES or words and words <= DROPPED_WORDS:
+            return PLAINLY_NAMED
+        if words & DROPPED_WORDS:
+            found = PARTLY_NAMED
+    return found
 
 
 class _Page:
@@ -107,8 +116,10 @@ class _Page:
 
     def __init__(self) -> None:
         self.tag, self.parent, self.gone = ["#"], [0], [False]
+        self.named, self.under = [STAYS], [0]  # by names; the innermost element dropped by its names
         self.open = [0]
-        self.blocks: list[tuple[int, list[str], list[int]]] = []  # element, texts, [characters, in links]
+        # Element, and pieces of its text: that element dropped by its names, text, characters, characters in links.
+        self.blocks: list[tuple[int, list[tuple[int, str, int, int]]]] = []
         self.in_link = 0
         self.fresh = True
 
@@ -120,10 +131,13 @@ class _Page:
         if tag == "a":
             self._end_open(frozenset(["a"]), BLOCKS)
         above = self.open[-1]
-        gone = self.gone[above] or _is_dropped(tag, raw)
+        gone = self.gone[above]
+        named = STAYS if gone else _is_dropped(tag, raw)
+        gone |= named == GOES
         if tag in BLOCKS:
             self.fresh = True
-        self.tag.append(tag), self.parent.append(above), self.gone.append(gone)
+        self.tag.append(tag), self.parent.append(above), self.gone.append(gone), self.named.append(named)
+        self.under.append(len(self.under) if named in (PLAINLY_NAMED, PARTLY_NAMED) else self.under[above])
         if tag not in VOID:
             self.open.append(len(self.tag) - 1)
             self.in_link += tag == "a"
@@ -147,19 +161,17 @@ class _Page:
         node = self.open[-1]
         if self.gone[node] or not raw:
             return
+        under = self.under[node]
         if self.fresh:
             if raw.isspace():
                 return
             while self.tag[node] not in BLOCKS and node:
                 node = self.parent[node]
-            self.blocks.append((node, [], [0, 0]))
+            self.blocks.append((node, []))
             self.fresh = False
         raw = html.unescape(raw) if "&" in raw else raw
-        _, texts, counts = self.blocks[-1]
-        texts.append(raw)
         size = len(raw.strip())
-        counts[0] += size
-        counts[1] += size if self.in_link else 0
+        self.blocks[-1][1].append((under, raw, size, size if self.in_link else 0))
 
 
 def _read(source: str) -> _Page:
@@ -200,8 +212,8 @@ def main_text(source: str | None) -> str:
     n = len(page.tag)
     # A header within an article belongs to it if it has the title.
     _settle_headers(page)
-    blocks = [(node, " ".join("".join(texts).split()), counts) for node, texts, counts in page.blocks if not page.gone[node]]
-    blocks = [b for b in blocks if b[1]]
+    _drop_named(page)
+    blocks = _blocks(page)
     if not blocks:
         return ""
     points, chars, linked = [0.0] * n, [0] * n, [0] * n
@@ -210,8 +222,7 @@ def main_text(source: str | None) -> str:
         linked[node] += in_links
         if page.tag[node] in HEADINGS:
             continue
-        own = 1 + text.count(",") + text.count("،") + text.count("、") + text.count("，") + min(3, len(text) // 100)
-        own *= 1 - in_links / max(1, size)
+        own = _points(text, size, in_links)
         above = page.parent[node] if page.tag[node] in PARAGRAPHS else node
         for level in range(6):
             points[above] += own / (1, 2, 6, 9, 12, 15)[level]
@@ -245,6 +256,67 @@ def main_text(source: str | None) -> str:
     return " ".join(text for node, text, counts in blocks if inside[node] or node in above and _reads(*counts))
 
 
+def _blocks(page: _Page) -> list[tuple[int, str, list[int]]]:
+    """Element, text, and characters and those in links, of each block that has text left."""
+    made = []
+    for node, pieces in page.blocks:
+        if page.gone[node]:
+            continue
+        left = [piece for piece in pieces if not page.gone[piece[0]]]
+        text = " ".join("".join(piece[1] for piece in left).split())
+        if text:
+            made.append((node, text, [sum(piece[2] for piece in left), sum(piece[3] for piece in left)]))
+    return made
+
+
+def _points(text: str, size: int, in_links: int) -> float:
+    own = 1 + text.count(",") + text.count("،") + text.count("、") + text.count("，") + min(3, len(text) // 100)
+    return own * (1 - in_links / max(1, size))
+
+
+def _drop_named(page: _Page) -> None:
+    """Drop elements by their names, except those that hold the article.
+
+    An element with a partly dropped name stays if it holds more than half of the page's points, a ``main``, or
+    the ``article`` with most points if that has a title. If less than a twentieth of the points would be left, and no
+    article, then all that hold more than half stay, or all if none does.
+    """
+    named = [node for node, how in enumerate(page.named) if how in (PLAINLY_NAMED, PARTLY_NAMED) and not page.gone[node]]
+    if not named:
+        return
+    n = len(page.tag)
+    points, mains, titles = [0.0] * n, [page.tag[node] == "main" and not page.gone[node] for node in range(n)], [False] * n
+    for node, text, (size, in_links) in _blocks(page):
+        titles[node] |= page.tag[node] in ("h1", "h2")
+        if page.tag[node] not in HEADINGS:
+            points[node] += _points(text, size, in_links)
+    for node in range(n - 1, 0, -1):
+        above = page.parent[node]
+        points[above] += points[node]
+        mains[above] |= mains[node]
+        titles[above] |= titles[node]
+    articles = [node for node in range(n) if page.tag[node] == "article" and not page.gone[node] and points[node]]
+    top = max(articles, key=points.__getitem__, default=0)
+    holds_top, node = set(), top if titles[top] else 0
+    while node:
+        holds_top.add(node)
+        node = page.parent[node]
+    most = {node for node in named if 2 * points[node] > points[0]}
+    spared = {node for node in named if page.named[node] == PARTLY_NAMED and (node in most or mains[node] or node in holds_top)}
+
+    def dropped(spared: set[int]) -> list[bool]:
+        gone = list(page.gone)
+        for node in range(1, n):
+            gone[node] |= gone[page.parent[node]] or page.under[node] == node and node not in spared
+        return gone
+
+    gone = dropped(spared)
+    lost = sum(points[node] for node in named if gone[node] and not gone[page.parent[node]])
+    if lost and (20 * (points[0] - lost) < points[0] and all(gone[node] for node in articles) or lost >= points[0]):
+        gone = dropped(spared | (most or set(named)))
+    page.gone = gone
+
+
 def _reads(chars: int, linked: int) -> bool:
     """Whether text is more than links; in short text no link may be."""
     return 4 * linked < chars if chars > 80 else not linked

@@ -344,6 +344,23 @@ def test_main_text_keeps_what_stands_beside_the_longest_part():
         assert text.startswith("Part 0, a") and text.endswith("end. Closing, short. one two cell code said")
 
 
+@pytest.mark.parametrize(
+    "start",
+    ["div class='content with-sidebar'", "article class='post comments-open'", "div id=page class=has-navbar", "section class=related-work", "div class=social"],
+)
+def test_main_text_within_names_that_tell_little(start):
+    paragraphs = "".join(f"<p>Part {i}, a, b, c <span class=share>Share</span> end.</p>" for i in range(9))
+    formula = "<p>with <math><mi>x</mi><annotation>tex</annotation></math></p>"
+    page = f"<{start}><div class=sidebar><p>Side, text.</p></div>{paragraphs}{formula}</{start.split()[0]}>"
+    assert main_text.main_text(PAGE % page) == " ".join(f"Part {i}, a, b, c end." for i in range(9)) + " with x"
+
+
+def test_main_text_leaves_out_longer_comments():
+    comments = "<article class=comment><p>Long, comment, by, a, reader.</p></article>" * 30
+    page = "<div class=content><h1>Title</h1><p>Some text, with commas.</p><p>More, and more.</p></div><div id=comments>%s</div>" % comments
+    assert main_text.main_text(PAGE % page) == "Title Some text, with commas. More, and more."
+
+
 def test_main_text_of_odd_pages(spark):
     odd = [None, "", " ", "text, only", "<p>a<p>b", "<", "<a href='x>never", "<!-- open", "<div>" * 3000 + "deep, text", "<script>x"]
     odd.append("<article>" + "<p>word, and word</p>" * 20_000 + "</article>")
