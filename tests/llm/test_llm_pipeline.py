@@ -1,6 +1,7 @@
 """The stages one after the other, and the package on its own."""
 
 import public_tokenizers
+import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
@@ -59,6 +60,16 @@ def test_stages_of_odd_tables(spark):
         assert docs.columns == ["doc_id", "lang", "source", "n_chars", "ids", "n_tokens"]
 
 
+def test_ids_that_do_not_decode_are_an_error(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "some text"), (2, None), (3, "")], "doc_id bigint, text string")
+    assert [r.n_tokens > 0 for r in corpus_pipeline.encode_texts(spark, docs, SMALL).orderBy("doc_id").collect()] == [True, False, False]
+    encode = byte_bpe.encode
+    cut = F.slice("ids", 1, F.greatest(F.size("ids") - 1, F.lit(0)))
+    monkeypatch.setattr(byte_bpe, "encode", lambda *args: encode(*args).withColumn("ids", cut))
+    with pytest.raises(Exception, match="do not decode to the text of document 1"):
+        corpus_pipeline.encode_texts(spark, docs, SMALL).collect()
+
+
 def test_all_queries_are_registered():
     import __spark_entry__
 
