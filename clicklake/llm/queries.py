@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clicklake.llm import byte_bpe, edit_fingerprints, language, main_text, metric_join, minhash_join, mixing, quality_gam, repeats, reputation
+from clicklake.llm import byte_bpe, edit_fingerprints, language, main_text, metric_join, minhash_join, mixing, packing, quality_gam, repeats, reputation
 from clicklake.llm.common import id_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -264,3 +264,13 @@ def op2_main_text(spark: SparkSession, base: str) -> DataFrame:
 
 
 QUERIES["op2_main_text"] = op2_main_text
+
+
+def op11_packing(spark: SparkSession, base: str) -> DataFrame:
+    """Every text cut into pieces that fill sequences of 4096 tokens."""
+    docs = table(spark, base, "documents").select("doc_id", "text")
+    pieces = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), ids=None)
+    return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+QUERIES["op11_packing"] = op11_packing
