@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clicklake.llm import byte_bpe, edit_fingerprints, language, main_text, metric_join, minhash_join, mixing, packing, quality_gam, repeats, reputation
-from clicklake.llm.common import id_remainder, table
+from clicklake.llm import byte_bpe, edit_fingerprints, language, main_text, metric_join, minhash_join, mixing, packing, quality_gam, repair, repeats, reputation
+from clicklake.llm.common import id_remainder, table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -274,3 +274,16 @@ def op11_packing(spark: SparkSession, base: str) -> DataFrame:
 
 
 QUERIES["op11_packing"] = op11_packing
+
+
+def op12_repair(spark: SparkSession, base: str) -> DataFrame:
+    """Every conversation, damaged by rule, with its faults, the cheapest edits and the digest of the result."""
+    rows = repair.prepared(repair.damaged(table(spark, base, "conversations")), gone=F.col("gone"))
+    audits = written(repair.audits(rows), "audits")
+    made = repair.digests(repair.repaired(rows, audits)).withColumnRenamed("conv_id", "__conv")
+    return audits.join(made, F.col("conv_id").eqNullSafe(F.col("__conv")), "left").select(
+        *audits.columns, F.coalesce("sha256", F.sha2(F.lit(b""), 256)).alias("repaired_sha256")
+    )
+
+
+QUERIES["op12_repair"] = op12_repair
