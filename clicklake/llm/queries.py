@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clicklake.llm import byte_bpe, edit_fingerprints, language, main_text, metric_join, minhash_join, mixing, packing, quality_gam, repair, repeats, reputation
+from clicklake.llm import byte_bpe, edit_fingerprints, language, main_text, metric_join, minhash_join, mixing, packing, prefix_trie, quality_gam, repair, repeats, reputation
 from clicklake.llm.common import id_remainder, table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -287,3 +287,12 @@ def op12_repair(spark: SparkSession, base: str) -> DataFrame:
 
 
 QUERIES["op12_repair"] = op12_repair
+
+
+def op13_prefix_trie(spark: SparkSession, base: str) -> DataFrame:
+    """The trie of all conversations, each rebuilt with the first turns of its base."""
+    turns = prefix_trie.turns_of(table(spark, base, "conversations"))
+    return prefix_trie.trie(turns, prefix_trie.rebuilt_heads(turns))
+
+
+QUERIES["op13_prefix_trie"] = op13_prefix_trie
