@@ -41,7 +41,7 @@ END_ID = 2
 # Attention beside the other layers of a model of width 4096, whose work for a token is 6 x 4096 times that of a pair.
 QUADRATIC = 1 / 24_576
 LOT = 4 << 20  # tokens
-CACHED = 800_000  # in two generations, of some 200 bytes each
+CACHED = 1_600_000  # in two generations, of some 200 bytes each
 LONGEST_CACHED = 48  # characters
 _PLAIN_ENDS = ".,;:!?"
 # Fixed value: how the tokenizer marks the last piece of a word.
@@ -65,53 +65,65 @@ class Encoder:
         self.word_end = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
         self.word_end[ends] = True
 
-    def _single(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    def _singles(self, chunks: list[str]) -> Iterator[bytes]:
+        for encoded in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False):
+            yield np.array(encoded.ids, "<u4").tobytes()
 
     def _words(self, words: list[str]) -> Iterator[bytes]:
         """Ids of chunks of letters, each one word: they are encoded together and cut behind each word's end."""
         for begin in range(0, len(words), 20_000):
             some = words[begin : begin + 20_000]
-            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
             cuts = np.flatnonzero(self.word_end[ids]) + 1
             if len(cuts) != len(some) or cuts[-1] != len(ids):
-                yield from map(self._single, some)
+                yield from self._singles(some)
                 continue
             held, last = ids.tobytes(), 0
             for cut in (4 * cuts).tolist():
                 yield held[last:cut]
                 last = cut
 
-    def _learn(self, chunks: list[str]) -> dict[str, bytes]:
-        """Ids of chunks that are not known; short ones are kept for as long as they are among the latest."""
-        if len(self.known) > CACHED // 2:
-            self.older, self.known = self.known, {"": b""}
-        older = self.older
-        found = {c: older[c] for c in chunks if c in older}
-        short = [c for c in chunks if c not in found and len(c) <= LONGEST_CACHED]
-        parts = {c: _parts(c) for c in short}
-        unknown = dict.fromkeys(p for cut in parts.values() for p in cut if p not in self.known and p not in older)
-        words = [p for p in unknown if p.isalpha() and p.lower().isalpha()]
-        ids = dict(zip(words, self._words(words)))
-        ids.update((p, self._single(p)) for p in unknown if p not in ids)
-        for c in short:
-            found[c] = b"".join([ids[p] if p in ids else self.known[p] if p in self.known else older[p] for p in parts[c]])
-        self.known.update(found)
-        self.known.update(ids)
-        found.update((c, self._single(c)) for c in chunks if len(c) > LONGEST_CACHED and c not in found)
-        return found
+    def _learn(self, chunks: list[str]) -> None:
+        """Take chunks in that are not known. Letters before plain marks are a word by themselves, as they are split there."""
+        known, older = self.known, self.older
+        words, singles, joined = {}, [], []
+        for c in chunks:
+            if (ids := older.get(c)) is not None:
+                known[c] = ids
+                continue
+            word = c.rstrip(_PLAIN_ENDS)
+            tail = c[len(word) :]
+            if word.isascii() and word.isalpha():
+                word = word.lower()  # as the tokenizer would; other letters it lowers in its own way
+            elif not (word.isalpha() and word.lower().isalpha()):
+                singles.append(c)
+                continue
+            if word not in known:
+                words[word] = None
+            if tail and tail not in known:
+                singles.append(tail)
+            joined.append((c, word, tail))
+        words = list(words)
+        known.update(zip(words, self._words(words)))
+        singles = list(dict.fromkeys(singles))
+        known.update(zip(singles, self._singles(singles)))
+        for c, word, tail in joined:
+            known[c] = known[word] + known[tail]
 
     def texts(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text. What is known is kept while it is among the latest; very long chunks are not kept."""
+        if len(self.known) > CACHED // 2:
+            self.older, self.known = self.known, {"": b""}
         chunks = [(t or "").replace("\n", " ").split(" ") for t in texts]
         known = self.known
-        encoded = [list(map(known.get, words)) for words in chunks]
-        gaps = [i for i, parts in enumerate(encoded) if None in parts]
-        if gaps:
-            new = {c for i in gaps for c, ids in zip(chunks[i], encoded[i]) if ids is None}
-            found = self._learn(sorted(new))
-            for i in gaps:
-                encoded[i] = [found[c] if ids is None else ids for c, ids in zip(chunks[i], encoded[i])]
-        return [b"".join(parts) for parts in encoded]
+        new = [c for c in set().union(*chunks) if c not in known]
+        self._learn(new)
+        encoded = [b"".join(map(known.__getitem__, words)) for words in chunks]
+        for c in new:
+            if len(c) > LONGEST_CACHED:
+                known.pop(c, None)
+                known.pop(c.rstrip(_PLAIN_ENDS).lower(), None)
+        return encoded
 
 
 @lru_cache(1)
@@ -120,14 +132,6 @@ def encoder_of(path: str) -> Encoder:
     return Encoder(path)
 
 
-def _parts(chunk: str) -> tuple[str, ...]:
-    """A chunk, or its letters and the plain marks after them, where these are split anyway."""
-    stem = chunk.rstrip(_PLAIN_ENDS)
-    if len(stem) == len(chunk) or not stem.isalpha() or not stem.lower().isalpha():
-        return (chunk,)
-    return stem, chunk[len(stem) :]
-
-
 @dataclass
 class Item:
     """What is still to be placed of a document: its ids from ``start`` on."""
