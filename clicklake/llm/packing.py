@@ -1,7 +1,7 @@
 """Packing documents into sequences of a fixed number of tokens, balanced by attention cost.
 
-A piece of n tokens costs ``n + quadratic * n * n``: a linear part for the layers that see each token by
-itself, a quadratic one for attention among the tokens of the piece. Documents are taken by descending
+A sequence costs its length, for the layers that see each place by itself and also those not filled yet, and
+``quadratic * n * n`` for attention within each piece of n tokens in it. Documents are taken by descending
 cost, and each goes to the sequence of lowest cost so far that has room for it. Where none has, the
 document is cut: the sequence of lowest cost with any room is filled up, and the rest of the document goes
 on by the same rule. So documents longer than a sequence fill whole ones.
@@ -146,15 +146,11 @@ class Item:
         return len(self.ids) >> 2
 
 
-def cost(size, quadratic: float = QUADRATIC):
-    return size + quadratic * size * size
-
-
 def place(items: list[Item], capacities: list[int], quadratic: float = QUADRATIC) -> tuple[list[tuple[Item, int, int, int]], list[Item]]:
     """``(item, tokens, sequence, offset)`` of each piece, and what finds no room any more."""
     room = np.array(capacities, np.int64)
     size = room.copy()
-    spent = np.zeros(len(room))
+    spent = room.astype(float)
     pieces, left = [], []
     for item in sorted(items, key=lambda i: -i.size):
         while True:
@@ -168,7 +164,7 @@ def place(items: list[Item], capacities: list[int], quadratic: float = QUADRATIC
             taken = min(item.size, int(room[at]))
             pieces.append((item, taken, at, int(size[at] - room[at])))
             room[at] -= taken
-            spent[at] += cost(taken, quadratic)
+            spent[at] += quadratic * taken * taken
             if taken == item.size:
                 break
             item = Item(item.row, item.start + taken, item.ids[4 * taken :], item.total)
