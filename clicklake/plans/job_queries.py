@@ -14,7 +14,7 @@ from clicklake.plans.lines import read_word_count, start_line_details, start_wor
 from clicklake.plans.product_merge import read_snapshot, run_product_merge
 from clicklake.plans.registry import ALL_PARTS_SQL, CLICKS_SQL, PARTS_SQL, clicks_table, query, texts_table
 from clicklake.plans.reviews import REVIEW_IDS, score_messages, start_scoring
-from clicklake.plans.view_report import read_view_report, run_view_report, view_report
+from clicklake.plans.view_report import read_view_report, run_view_report, view_report, write_report
 from clicklake.schemas import LINE_DETAIL, REVIEW, SCORED_REVIEW, WORD_COUNT, record
 from clicklake.session import scratch_path, streaming_session
 from clicklake.sources.readers import read_table
@@ -202,7 +202,10 @@ def job_view_report(spark, base):
     run(20240201)
     arrive(views.limit(1).withColumn("productId", F.lit(-1).cast("bigint")).withColumn("partition_date", F.lit(20240115)))
     run(20240201)  # a day that was reported is closed: nothing new
-    arrive(views.filter("partition_date > 20240115"))
+    arrive(views.filter("partition_date between 20240116 and 20240120"))
+    # A run that fails before it is noted: its rows are not read, and its views are left to the next run.
+    write_report(spark, f"{path}/views", f"{path}/products", f"{path}/report", 20990201)
+    arrive(views.filter("partition_date > 20240120"))
     run(20990202)
     # A day whose views meet no product adds no rows, but the mark moves.
     arrive(views.limit(1).withColumn("productId", F.lit(-1).cast("bigint")).withColumn("partition_date", F.lit(20990201)))

@@ -93,6 +93,47 @@ def test_view_report_marks(spark, folder):
     assert rows_of(read_view_report(spark, f"{folder}/report"), "channel", "distinctUserCount") == [("Android", 2)]
 
 
+def test_a_failed_run_is_reported_once(spark, folder, monkeypatch):
+    """Rows are written and the note of the run fails: nobody reads them, and the next run has their views."""
+    import os
+
+    from clicklake.plans import view_report as job
+
+    spark.createDataFrame(PRODUCTS, PRODUCT).write.json(f"{folder}/products")
+
+    def arrive(day, *users):
+        rows = spark.createDataFrame([(user, 1, "Android", 0) for user in users], PRODUCT_VIEW)
+        rows.write.json(f"{folder}/views/partition_date={day}")
+
+    def run(date):
+        return run_view_report(spark, f"{folder}/views", f"{folder}/products", f"{folder}/report", date)
+
+    def reported():
+        return rows_of(read_view_report(spark, f"{folder}/report"), "distinctUserCount", "partition_date", "processed_to")
+
+    arrive(20230101, 7)
+    assert run(20230105) == 20230101
+    arrive(20240101, 1, 2)
+    with monkeypatch.context() as patch:
+        patch.setattr(job, "commit", lambda *_, **__: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            run(20240110)
+    assert os.listdir(f"{folder}/report/rows/partition_date=20240110") == ["processed_to=20240101"]
+    assert reported() == [(1, 20230105, 20230101)]
+    arrive(20240102, 2, 3)
+    assert run(20240111) == 20240102
+    assert reported() == [(1, 20230105, 20230101), (3, 20240111, 20240102)]
+    assert os.listdir(f"{folder}/report/rows/partition_date=20240110") == []
+    # The same run tried again after a failure.
+    arrive(20240103, 4)
+    with monkeypatch.context() as patch:
+        patch.setattr(job, "commit", lambda *_, **__: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            run(20240112)
+    assert run(20240112) == 20240103 and run(20240112) is None
+    assert reported()[-1] == (3, 20240111, 20240102) and (1, 20240112, 20240103) in reported()
+
+
 CLICKS = [
     (1, 9, "favorite", 1), (1, 9, "view", 2), (1, 9, "addToCart", 3),
     (2, 9, "addToCart", 1), (2, 9, "favorite", 2), (2, 8, "addToCart", 86_400_001),
