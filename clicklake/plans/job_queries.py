@@ -13,7 +13,7 @@ from clicklake.plans.clicks import ADD_TO_CART, FAVORITE, cart_after_favorite, d
 from clicklake.plans.lines import read_word_count, start_line_details, start_word_count
 from clicklake.plans.product_merge import read_snapshot, run_product_merge
 from clicklake.plans.registry import ALL_PARTS_SQL, CLICKS_SQL, PARTS_SQL, clicks_table, query, texts_table
-from clicklake.plans.reviews import REVIEW_IDS, score_messages, start_scoring
+from clicklake.plans.reviews import REJECTED_REVIEW, REVIEW_IDS, score_messages, start_scoring
 from clicklake.plans.view_report import read_view_report, run_view_report, view_report, write_report
 from clicklake.schemas import LINE_DETAIL, REVIEW, SCORED_REVIEW, WORD_COUNT, record
 from clicklake.session import scratch_path, streaming_session
@@ -21,7 +21,7 @@ from clicklake.sources.readers import read_table
 from clicklake.sources.writers import rebalance
 from clicklake.streaming.sinks import append_files, batch_files, compact_updates
 from clicklake.streaming.sources import file_stream, message_stream, table_stream
-from clicklake.streaming.transforms import parsed_messages, valid_messages
+from clicklake.streaming.transforms import CORRUPT, parsed_messages, valid_messages
 
 _TOKENS_SQL = r"(SELECT doc_id, unnest(regexp_split_to_array(lower(text), '\s')) AS word FROM documents)"
 
@@ -137,7 +137,8 @@ def stream_review_scores(spark, base):
     source = _review_messages(spark, base)
     model = _trained(spark, base, "reviewBody")
     messages = message_stream(spark, "text", path=source, maxFilesPerTrigger="1")
-    start_scoring(messages, model, f"{path}/scores", f"{path}/rejects", f"{path}/checkpoint", drain=True).awaitTermination()
+    outputs = (f"{path}/scores", f"{path}/rejects", f"{path}/checkpoint")
+    start_scoring(messages, model, *outputs, drain=True, fold_every=2).awaitTermination()
     streamed = batch_files(spark, f"{path}/scores", SCORED_REVIEW)
     in_batch = score_messages(spark.read.text(source), model)
     label = [f.name for f in SCORED_REVIEW.fields if f.name not in REVIEW_IDS][0]
@@ -147,6 +148,24 @@ def stream_review_scores(spark, base):
     return both.select("reviewId", (F.col("one") == F.col("other")).alias("as_in_batch"))
 
 
+@query(
+    """SELECT "customerId", broken, count(*) AS messages FROM (
+           SELECT CAST(conv_id AS VARCHAR) AS "customerId", FALSE AS broken FROM conversations
+           UNION ALL SELECT NULL, TRUE FROM conversations UNION ALL SELECT NULL, TRUE FROM conversations)
+       GROUP BY "customerId", broken"""
+)
+def stream_review_rejects(spark, base):
+    """Messages that cannot be scored, by sender: broken ones, whose sender may be lost, and those without a text."""
+    path = scratch_path(spark, "rejects")
+    messages = message_stream(spark, "text", path=_review_messages(spark, base), maxFilesPerTrigger="1")
+    outputs = (f"{path}/scores", f"{path}/rejects", f"{path}/checkpoint")
+    start_scoring(messages, _trained(spark, base, "reviewBody"), *outputs, drain=True, fold_every=1).awaitTermination()
+    rejects = batch_files(spark, f"{path}/rejects", REJECTED_REVIEW)
+    broken = F.col(CORRUPT).isNotNull()
+    sender = F.when(~broken, F.col("customerId")).alias("customerId")
+    return rejects.groupBy(sender, broken.alias("broken")).agg(F.count(F.lit(1)).alias("messages"))
+
+
 # -- jobs ----------------------------------------------------------------------------------------
 
 
@@ -287,7 +306,7 @@ def job_product_merge(spark, base):
     arrive(0, "first")
     arrive(1, "changes")
     arrive(2, "changes")
-    run_product_merge(spark, f"{path}/first", f"{path}/catalogue")
+    run_product_merge(spark, f"{path}/first", f"{path}/catalogue", buckets=16)
     run_product_merge(spark, f"{path}/changes", f"{path}/catalogue")
     run_product_merge(spark, f"{path}/changes", f"{path}/catalogue")  # a replay changes nothing
     return read_snapshot(spark, f"{path}/catalogue")

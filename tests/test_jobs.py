@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from clicklake.operators.reviews import load_model, split_reviews, tokens
 from clicklake.plans.clicks import cart_after_favorite, daily_cart_additions, event_totals_since, users_per_event
 from clicklake.plans.lines import read_word_count, start_line_details, start_word_count
-from clicklake.plans.reviews import score_messages, score_reviews, start_scoring, train_reviews
+from clicklake.plans.reviews import REJECTED_REVIEW, score_messages, score_reviews, start_scoring, train_reviews
 from clicklake.plans.view_report import read_view_report, run_view_report, view_report
 from clicklake.schemas import CLICK, LABELLED_REVIEW, LINE, LINE_DETAIL, PRODUCT, PRODUCT_VIEW, REVIEW, SCORED_REVIEW
 from clicklake.streaming.sinks import batch_files, trigger_options
@@ -215,6 +215,63 @@ def test_compaction_keeps_what_is_read(spark, folder):
     assert rows_of(read_word_count(spark, path)) == [("a", 5), ("b", 1), ("c", 1)]
 
 
+NAMED = "n bigint, name string"
+
+
+def test_folding_keeps_what_is_read(spark, folder, monkeypatch):
+    """Batches become parts, parts become larger ones; crashes and repeats change nothing that is read."""
+    import os
+
+    from clicklake.schemas import record
+    from clicklake.streaming import sinks
+    from pyspark.sql.types import LongType, StringType
+
+    schema, path = record(n=LongType(), name=StringType()), f"{folder}/log"
+
+    def batch(number):
+        rows = [(number, name) for name in "ab"] + [(7, "same")]
+        sinks.write_batch(spark.createDataFrame(rows, NAMED), path, number)
+
+    def read():
+        return sinks.batch_files(spark, path, schema)
+
+    def want(*numbers):
+        return sorted([(n, name) for n in numbers for name in "ab"] + [(7, "same")] * len(numbers), key=repr)
+
+    def fold(**options):
+        return sinks.fold_batches(spark, path, schema, fan=2, **options)
+
+    assert read().count() == 0 and fold() == []
+    for number in (0, 1, 3):  # the second had no rows
+        batch(number)
+    before = read()
+    assert fold() == [(0, 1, 0)]
+    assert rows_of(before) == rows_of(read()) == want(0, 1, 3)  # also what was read before
+    batch(1)  # a repeat that comes late
+    assert rows_of(read()) == want(0, 1, 3)
+    batch(4)
+    with monkeypatch.context() as patch:  # fails while it writes the larger part
+        patch.setattr(sinks, "_part_path", lambda p, part, f=sinks._part_path: 1 / 0 if part[2] else f(p, part))
+        with pytest.raises(ZeroDivisionError):
+            fold()
+    assert rows_of(read()) == want(0, 1, 3, 4)
+    os.makedirs(f"{path}-folded/level=1-from=0-to=9")  # left by a run that died
+    assert rows_of(read()) == want(0, 1, 3, 4)
+    batch(5)
+    assert fold() == [(0, 4, 1)]
+    assert rows_of(read()) == want(0, 1, 3, 4, 5)
+    assert fold(keep=0) == [(0, 4, 1), (5, 5, 0)]
+    for number in range(6, 12):
+        batch(number)
+        fold(keep=0)
+        assert rows_of(read()) == want(0, 1, 3, *range(4, number + 1))
+    fold(keep=0)
+    assert sinks._batches(spark, path) == []
+    parts = sinks._parts(spark, path)
+    assert len(parts) <= 4 and [p[0] for p in parts[1:]] == [p[1] + 1 for p in parts[:-1]]
+    assert len(os.listdir(f"{path}-folded")) == len(parts)
+
+
 def test_arrival_times_lie_within_the_run(spark, tmp_path):
     import time
 
@@ -303,7 +360,7 @@ def test_stream_scores_equal_batch_and_survive_a_restart(spark, model_path, tmp_
 
     def run():
         start_scoring(
-            file_stream(spark, source, LINE), model, *(str(tmp_path / n) for n in ("scores", "rejects", "cp")), drain=True
+            file_stream(spark, source, LINE), model, *(str(tmp_path / n) for n in ("scores", "rejects", "cp")), drain=True, fold_every=1
         ).awaitTermination()
         return rows_of(batch_files(spark, str(tmp_path / "scores"), SCORED_REVIEW))
 
@@ -315,7 +372,8 @@ def test_stream_scores_equal_batch_and_survive_a_restart(spark, model_path, tmp_
     arrive(message("z", GOOD))
     assert run() == in_batch()
     assert len(run()) == 3
-    assert spark.read.parquet(str(tmp_path / "rejects")).count() == 3
+    assert rows_of(batch_files(spark, str(tmp_path / "rejects"), REJECTED_REVIEW), "reviewId") == [("e",), ("n",), (None,)]
+    assert (tmp_path / "scores-folded").exists()
 
 
 def test_scores_follow_the_model_formula(spark):

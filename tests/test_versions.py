@@ -5,7 +5,7 @@ import os
 from hypothesis import HealthCheck, given, settings, strategies as st
 
 from clicklake.operators.versions import latest_per_key, merged_snapshot
-from clicklake.plans.product_merge import current_version, read_snapshot, run_product_merge
+from clicklake.plans.product_merge import current_version, manifest, read_snapshot, run_product_merge
 from clicklake.schemas import CATALOGUE_PRODUCT
 from conftest import rows_of
 
@@ -99,11 +99,56 @@ def test_job_keeps_versions(spark, folder):
     assert rows_of(read_snapshot(spark, base)) == sorted(CATALOGUE, key=repr)
     assert run_product_merge(spark, f"{folder}/changes", base) == 2
     assert rows_of(read_snapshot(spark, base)) == MERGED
-    # A run that died after writing its folder leaves the current version; the next run replaces it.
-    table(spark, []).write.parquet(f"{base}/snapshots/version=3")
+    # A run that died after writing its rows leaves the current version; the next run replaces them.
+    table(spark, CATALOGUE[:1]).write.parquet(f"{base}/data/version=3/bucket=0")
     assert rows_of(read_snapshot(spark, base)) == MERGED
     assert run_product_merge(spark, f"{folder}/changes", base) == 3
     assert rows_of(read_snapshot(spark, base)) == MERGED
     assert rows_of(read_snapshot(spark, base, 1)) == sorted(CATALOGUE, key=repr)
     assert run_product_merge(spark, f"{folder}/changes", base, keep_versions=2) == 4
-    assert sorted(os.listdir(f"{base}/snapshots")) == ["version=3", "version=4"]
+    assert sorted(os.listdir(f"{base}/manifests")) == ["version=3", "version=4"]
+    assert rows_of(read_snapshot(spark, base)) == rows_of(read_snapshot(spark, base, 3)) == MERGED
+
+
+def test_few_changes_rewrite_few_buckets(spark, folder):
+    base = f"{folder}/catalogue"
+
+    def product(number, name, at):
+        return (number, name, "hat", "lcw", "blue", 1.0, at)
+
+    def merge(rows, **options):
+        nonlocal runs
+        runs += 1
+        table(spark, rows).write.json(f"{folder}/records/{runs}")
+        return run_product_merge(spark, f"{folder}/records/{runs}", base, buckets=16, **options)
+
+    def written(version):
+        path = f"{base}/data/version={version}"
+        return {name for name in os.listdir(path) if name.startswith("bucket")} if os.path.exists(path) else set()
+
+    runs = 0
+    first = [product(n, "old", 10) for n in range(400)] + [product(None, "none", 10)]
+    assert merge(first) == 1 and len(written(1)) == 16
+    # Two newer records, a late one that loses, and one that is there already.
+    assert merge([product(7, "new", 11), product(9, "new", 11), product(11, "late", 9), first[20]]) == 2
+    assert 1 <= len(written(2)) <= 2
+    changed = manifest(spark, base, 2)
+    assert {f"bucket={b}" for b, v in changed.items() if v == 2} == written(2)
+    want = sorted([r for r in first if r[0] not in (7, 9)] + [product(7, "new", 11), product(9, "new", 11)], key=repr)
+    assert rows_of(read_snapshot(spark, base)) == want
+    assert rows_of(read_snapshot(spark, base, 1)) == sorted(first, key=repr)
+    # Late and repeated records write nothing; an empty file makes a version with the same rows.
+    assert merge([product(7, "late", 10), product(9, "new", 11)]) == 3 and written(3) == set()
+    assert merge([]) == 4 and written(4) == set()
+    assert rows_of(read_snapshot(spark, base)) == want
+    # A null id and a new one; only folders that no kept version names go.
+    assert merge([product(None, "known", 12), product(1000, "added", 1)], keep_versions=1) == 5
+    want = sorted([r for r in want if r[0] is not None] + [product(None, "known", 12), product(1000, "added", 1)], key=repr)
+    assert rows_of(read_snapshot(spark, base)) == want
+    assert len(written(1) | written(2) | written(5)) == 16 == sum(len(written(v)) for v in (1, 2, 5))
+
+
+def test_first_merge_of_nothing(spark, folder):
+    table(spark, []).write.json(f"{folder}/none")
+    assert run_product_merge(spark, f"{folder}/none", f"{folder}/catalogue") == 1
+    assert read_snapshot(spark, f"{folder}/catalogue").count() == 0
