@@ -33,10 +33,11 @@ def map_groups(
     be one whose results over such slices merge, like a distinct count spread by what it counts.
     Use a built-in aggregate wherever there is one.
 
-    Group sizes are counted in ``df``, or in ``sizes`` if that is cheaper to compute and has at
+    Large groups are looked for in ``df``, or in ``sizes`` if that is cheaper to compute and has at
     least as many rows per group.
     """
-    large = large_groups(df if sizes is None else sizes, keys, max_group_rows)
+    counted = df if sizes is None else sizes
+    large = large_groups(counted, keys, [c for c in counted.columns if c not in keys] or list(keys), max_group_rows)
     sliced = slice_number(df, keys, spread_by, large, shuffle_partitions(df.sparkSession), "__slice")
 
     def per_slice(key: tuple[Any, ...], batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -67,5 +68,5 @@ def distinct_in_groups(
         spread_by=[column],
         merge={name: F.sum(name).cast("int")},
         max_group_rows=max_group_rows,
-        sizes=df,
+        sizes=df.select(*keys, column),
     )

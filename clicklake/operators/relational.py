@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
+
+from clicklake.operators.skew import HASH, MAX_GROUP_ROWS, large_groups, split_by_size
 from pyspark.sql.types import StructType
 
 
@@ -78,7 +80,13 @@ def one_of(df: DataFrame, column: str, values: Sequence) -> DataFrame:
 
 
 def joined(
-    left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str = "inner", hot_partner: bool = False
+    left: DataFrame,
+    right: DataFrame,
+    left_key: str,
+    right_key: str,
+    how: str = "inner",
+    hot_partner: bool = False,
+    max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Equi-join. Columns of both sides stay (semi and anti: of the left side only).
 
@@ -86,19 +94,34 @@ def joined(
     the skewed partitions of a sort-merge join, as far as the kind of join lets it:
 
     - inner: either side;
-    - left and right: only the side that is kept whole. Where the partner has keys with very many
-      rows, ``hot_partner`` writes the join as an inner join plus the rows without a partner;
-    - full: neither, so with ``hot_partner`` it is written that way for both sides;
+    - left and right: only the side that is kept whole;
+    - full: neither;
     - semi and anti: only the left side, so the right one is reduced to its distinct keys.
+
+    Where a side that cannot be split has keys with very many rows, ``hot_partner`` looks for such keys in a sample of it
+    (see :mod:`clicklake.operators.skew`). These are joined by an inner join plus the rows without a partner, which can be
+    split, and all others by one plain join. Without such a key Spark drops the first part when it runs. Keys of
+    different types are all joined the first way.
     """
-    on = left[left_key] == right[right_key]
     if how in ("left_semi", "semi", "left_anti", "anti"):
         return _by_presence(left, right, left_key, right_key, how)
     if how == "inner" or not hot_partner:
-        return left.join(right, on, how)
+        return left.join(right, left[left_key] == right[right_key], how)
     full = how in ("full", "outer", "full_outer", "fullouter")
     wants_left, wants_right = full or how.startswith("left"), full or how.startswith("right")
-    result = left.join(right, on, "inner")
+    if left.schema[left_key].dataType != right.schema[right_key].dataType:
+        return _inner_and_lonely(left, right, left_key, right_key, wants_left, wants_right)
+    partners = [(right, right_key)] * wants_left + [(left, left_key)] * wants_right
+    found = [large_groups(df, [key], df.columns, max_group_rows).select(HASH) for df, key in partners]
+    hot = found[0] if len(found) == 1 else found[0].union(found[1]).distinct()
+    (left, hot_left), (right, hot_right) = split_by_size(left, [left_key], hot), split_by_size(right, [right_key], hot)
+    plain = left.join(right, left[left_key] == right[right_key], how)
+    return plain.union(_inner_and_lonely(hot_left, hot_right, left_key, right_key, wants_left, wants_right))
+
+
+def _inner_and_lonely(left, right, left_key, right_key, wants_left, wants_right):
+    """An outer join as an inner join and the rows without a partner, both of which AQE can split."""
+    result = left.join(right, left[left_key] == right[right_key], "inner")
     if wants_left:
         lonely = _by_presence(left, right, left_key, right_key, "left_anti")
         result = result.union(lonely.select(*left.columns, *_nulls(right)))

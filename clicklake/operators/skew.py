@@ -1,61 +1,94 @@
-"""Finding groups too large for one task.
+"""Finding groups too large for one task, without counting all groups.
 
-Aggregates need none of this: Spark combines before the shuffle. Windows and group functions do,
+Aggregates need none of this: Spark combines before the shuffle. Windows, group functions and outer joins do,
 since they bring every row of a group to one task.
+
+Rows are sampled by a hash of their content, so the sample is the same whenever and wherever it is taken, and
+a plan may use it in several places. A group counts as large if the sample has ``BOUNDS`` rows of it, which
+it has if it holds about ``max_group_rows``. The sampled rows also tell where to cut the group. At most ``LARGEST``
+groups are listed, the largest ones as far as the sample shows; one that is missed costs time and changes no result.
+Nothing runs before the result is read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
-
-from clicklake.session import scratch_path
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 # Rows of one group that one task may sort. Windows spill, so this is about time, not memory.
 MAX_GROUP_ROWS = 5_000_000
+# Cuts through a large group, and the number of groups that are cut: what is broadcast is at most their product.
+BOUNDS = 512
+LARGEST = 500
 
-_HASH = "__group_hash"
+HASH = "__group_hash"
+_CUTS = "__cuts"
+_STEP = 32
 
 
 def group_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(key) for key in keys])
 
 
-def large_groups(df: DataFrame, keys: Sequence[str], max_group_rows: int) -> DataFrame | None:
-    """A table of the hashes of groups with more than ``max_group_rows`` rows, None if there is none.
+def large_groups(df: DataFrame, keys: Sequence[str], order: Sequence[str], max_group_rows: int) -> DataFrame:
+    """``(hash of the keys, places to cut at)`` of groups with more than about ``max_group_rows`` rows.
 
-    One narrow count, combined before its shuffle, and written: however many such groups there are, they
-    stay on the executors. Two keys with the same hash are at worst split without need, which changes
-    no result.
+    The cuts are places in ``order``, which should tell the rows of a group apart. Two keys with the same hash are at
+    worst cut without need.
     """
-    counts = df.groupBy(group_hash(keys).alias(_HASH)).agg(F.count(F.lit(1)).alias("rows"))
-    path = scratch_path(df.sparkSession, "large")
-    counts.filter(F.col("rows") > max_group_rows).select(_HASH).write.parquet(path)
-    large = df.sparkSession.read.schema(f"{_HASH} bigint").parquet(path)
-    return None if large.isEmpty() else large
+    bounds = min(BOUNDS, max_group_rows + 1)
+    row = F.xxhash64(*[F.col(c) for c in [*keys, *order]]).bitwiseAND(F.lit((1 << 63) - 1))
+    sample = df.select(group_hash(keys).alias(HASH), F.struct(*order).alias("place"), row.alias("row")).filter(
+        F.col("row") <= ((1 << 63) - 1) // max(1, max_group_rows // bounds)
+    )
+    # Spark limits this window before its shuffle: no task gets more than the bounds of a group from another.
+    first = sample.withColumn("n", F.row_number().over(Window.partitionBy(HASH).orderBy("row"))).filter(F.col("n") <= bounds)
+    listed = first.groupBy(HASH).agg(
+        F.count(F.lit(1)).alias("n"), F.max("row").alias("row"), F.sort_array(F.collect_list("place")).alias(_CUTS)
+    )
+    # The nearer the hashes of so many rows lie together, the more rows there are.
+    return listed.filter(F.col("n") == bounds).orderBy("row", HASH).limit(LARGEST).select(HASH, _CUTS)
+
+
+def _part(order: Sequence[str]) -> Column:
+    """How many cuts are at or before the row; counted in steps first, then within one."""
+    place = F.struct(*order)
+
+    def passed(cuts: Column) -> Column:
+        return F.size(F.filter(cuts, lambda cut: cut <= place))
+
+    every = F.transform(F.sequence(F.lit(1), F.ceil(F.size(_CUTS) / _STEP).cast("int")), lambda i: F.get(F.col(_CUTS), (i - 1) * _STEP))
+    steps = F.greatest(passed(every) - 1, F.lit(0)) * _STEP
+    return steps + passed(F.slice(F.col(_CUTS), steps + 1, F.lit(_STEP)))
+
+
+def in_parts(df: DataFrame, keys: Sequence[str], order: Sequence[str], large: DataFrame, name: str) -> DataFrame:
+    """Add the hash of the keys and the number of the part: 0 for ordinary groups, else by the cuts of the group."""
+    part = F.when(F.col(_CUTS).isNull(), 0).otherwise(_part(order))
+    return df.withColumn(HASH, group_hash(keys)).join(F.broadcast(large), HASH, "left").withColumn(name, part).drop(_CUTS)
+
+
+def large_in_parts(df: DataFrame, keys: Sequence[str], order: Sequence[str], large: DataFrame, name: str) -> DataFrame:
+    """The same for the rows of large groups alone. Without any, Spark does not read ``df``."""
+    return df.withColumn(HASH, group_hash(keys)).join(F.broadcast(large), HASH).withColumn(name, _part(order)).drop(_CUTS)
 
 
 def split_by_size(df: DataFrame, keys: Sequence[str], large: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows of the groups outside ``large``, and of those inside."""
-    tagged = df.withColumn(_HASH, group_hash(keys))
-    return (
-        tagged.join(large, _HASH, "left_anti").drop(_HASH),
-        tagged.join(large, _HASH, "left_semi").drop(_HASH),
-    )
+    tagged, listed = df.withColumn(HASH, group_hash(keys)), F.broadcast(large.select(HASH))
+    return tagged.join(listed, HASH, "left_anti").drop(HASH), tagged.join(listed, HASH, "left_semi").drop(HASH)
 
 
 def slice_number(
-    df: DataFrame, keys: Sequence[str], spread_by: Sequence[str], large: DataFrame | None, slices: int, name: str
+    df: DataFrame, keys: Sequence[str], spread_by: Sequence[str], large: DataFrame, slices: int, name: str
 ) -> DataFrame:
     """Add a slice number: 0 for ordinary groups, a hash of ``spread_by`` for listed ones."""
-    if large is None:
-        return df.withColumn(name, F.lit(0))
-    listed = large.withColumn("__large", F.lit(True))
+    listed = large.select(HASH, F.lit(True).alias("__large"))
     spread = F.pmod(F.xxhash64(*[F.col(c) for c in spread_by], F.lit("slice")), F.lit(slices)).cast("int")
     return (
-        df.withColumn(_HASH, group_hash(keys))
-        .join(listed, _HASH, "left")
+        df.withColumn(HASH, group_hash(keys))
+        .join(F.broadcast(listed), HASH, "left")
         .withColumn(name, F.when(F.col("__large"), spread).otherwise(0))
-        .drop(_HASH, "__large")
+        .drop(HASH, "__large")
     )

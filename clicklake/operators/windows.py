@@ -6,8 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from clicklake.operators.skew import MAX_GROUP_ROWS, large_groups, split_by_size
-from clicklake.session import scratch_path, scratch_root, shuffle_partitions
+from clicklake.operators.skew import HASH, MAX_GROUP_ROWS, in_parts, large_groups, large_in_parts
 
 
 def previous_row(
@@ -37,70 +36,36 @@ def next_row(
 
 
 def _neighbour(df, keys, order, columns, following, max_group_rows):
-    found = large_groups(df, keys, max_group_rows)
-    if found is None:
-        return _in_one_task(df, keys, order, columns, following)
-    # Read four times below, so it is written once.
-    path = scratch_path(df.sparkSession, "grouped")
-    df.write.parquet(path)
-    df = df.sparkSession.read.schema(df.schema).parquet(path)
-    ordinary, large = split_by_size(df, keys, found)
-    return _in_one_task(ordinary, keys, order, columns, following).unionByName(
-        _across_slices(large, keys, order, columns, following)
-    )
-
-
-def _in_one_task(df, keys, order, columns, following):
-    step = F.lead if following else F.lag
-    window = Window.partitionBy(*keys).orderBy(*order)
-    return df.select("*", *[step(source, 1).over(window).alias(new) for new, source in columns.items()])
-
+    """One window over groups, large ones in parts; the row at a part's edge takes its neighbour from the part beside it.
 
-def _across_slices(df, keys, order, columns, following):
-    """The same result for groups too large for one task.
-
-    A range shuffle on (keys, order) cuts the rows into slices of even size, whatever the keys.
-    Within a slice a window does the work; the row at a slice's edge takes its neighbour from the
-    adjoining slice. The slices are checkpointed, so both uses see the same cut, also after a lost
-    executor. There are four slices to a shuffle partition, so that hashing them spreads evenly;
-    their number is fixed, hence the broadcast and the window over all edges.
+    The last (or first) rows of the parts of large groups are few; they are found by an aggregate and joined by group and part,
+    as the window has dealt the rows. Where there is no large group, Spark drops that side when it runs.
     """
-    scratch_root(df.sparkSession)  # a checkpoint folder must exist
-    slices = (
-        df.repartitionByRange(4 * shuffle_partitions(df.sparkSession), *keys, *order)
-        .withColumn("__slice", F.spark_partition_id())
-        .checkpoint()
-    )
+    large = large_groups(df, keys, order, max_group_rows)
+    dealt = in_parts(df, keys, order, large, "__part").repartition(HASH, "__part")
     direction = F.desc if following else F.asc
-    within = Window.partitionBy("__slice", *keys).orderBy(*[direction(c) for c in order])
+    within = Window.partitionBy(HASH, "__part", *keys).orderBy(*[direction(c) for c in order])
 
     edge_of = F.min_by if following else F.max_by
-    edges = slices.groupBy("__slice").agg(
-        edge_of(
-            F.struct(
-                F.struct(*keys).alias("group"),
-                F.struct(*[F.col(source).alias(new) for new, source in columns.items()]).alias("row"),
-            ),
-            F.struct(*keys, *order),
-        ).alias("edge")
+    taken = F.struct(*[F.col(source).alias(new) for new, source in columns.items()])
+    edges = large_in_parts(df, keys, order, large, "__part").groupBy(HASH, "__part", *keys).agg(
+        edge_of(taken, F.struct(*order)).alias("edge")
     )
-    beside = edges.select(
-        "__slice", F.lag("edge").over(Window.orderBy(direction("__slice"))).alias("__beside")
+    beside = F.lag("edge").over(Window.partitionBy(HASH, *keys).orderBy(direction("__part")))
+    # Groups whose hashes are equal share a list; each row picks its own group's.
+    listed = (
+        edges.select(HASH, "__part", F.struct(F.struct(*keys).alias("group"), beside.alias("row")).alias("edge"))
+        .groupBy(HASH, "__part").agg(F.collect_list("edge").alias("__edges"))
     )
-
-    at_edge = F.lag(F.lit(True)).over(within).isNull()
-    marked = slices.select(
+    own = F.get(F.filter("__edges", lambda edge: edge["group"].eqNullSafe(F.struct(*keys))), F.lit(0))["row"]
+    marked = dealt.select(
         "*",
-        at_edge.alias("__at_edge"),
+        F.lag(F.lit(True)).over(within).isNull().alias("__at_edge"),
         *[F.lag(source).over(within).alias(new) for new, source in columns.items()],
-    ).join(F.broadcast(beside), "__slice", "left")
-    same_group = F.col("__beside.group").eqNullSafe(F.struct(*keys))
-    return marked.withColumns(
-        {
-            new: F.when(F.col("__at_edge"), F.when(same_group, F.col(f"__beside.row.{new}"))).otherwise(F.col(new))
-            for new in columns
-        }
-    ).drop("__slice", "__at_edge", "__beside")
+    ).join(listed, [HASH, "__part"], "left")
+    return marked.select(
+        *df.columns, *[F.when(F.col("__at_edge"), own[new]).otherwise(F.col(new)).alias(new) for new in columns]
+    )
 
 
 def follows(

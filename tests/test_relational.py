@@ -80,16 +80,35 @@ def expected(how):
     return sorted(rows, key=repr)
 
 
-@pytest.mark.parametrize("hot_partner", [False, True])
+@pytest.mark.parametrize("hot_partner, limit", [(False, 1), (True, 10**6), (True, 1), (True, 0)])
 @pytest.mark.parametrize("how", ["inner", "left", "right", "full", "left_semi", "left_anti"])
-def test_joins(sides, how, hot_partner):
-    assert rows_of(rel.joined(*sides, "userId", "userId", how, hot_partner)) == expected(how)
+def test_joins(sides, how, hot_partner, limit):
+    assert rows_of(rel.joined(*sides, "userId", "userId", how, hot_partner, limit)) == expected(how)
 
 
 @pytest.mark.parametrize("how", ["left", "right", "full"])
-def test_outer_joins_with_a_hot_partner_use_joins_that_can_be_split(sides, plan_of, how):
-    plan = plan_of(rel.joined(*sides, "userId", "userId", how, hot_partner=True))
-    assert "Inner" in plan and "LeftAnti" in plan and "Outer" not in plan
+def test_keys_of_different_types_with_a_hot_partner(sides, how):
+    left, right = sides
+    other = right.withColumn("userId", F.col("userId").cast("bigint"))
+    assert rows_of(rel.joined(left, other, "userId", "userId", how, True, 0)) == expected(how)
+
+
+@pytest.mark.parametrize("how", ["left", "right", "full"])
+def test_ordinary_keys_take_one_plain_join(spark, plan_of, folder, how):
+    """Without a hot key each side's file is read once in full; sampling reads the partner's again."""
+    spark.range(2000).select(F.col("id").alias("c"), F.lit("x").alias("name")).write.parquet(f"{folder}/c")
+    spark.range(3000).select((F.col("id") % 2500).alias("o"), F.col("id").alias("n")).write.parquet(f"{folder}/o")
+    sides = [spark.read.parquet(f"{folder}/{name}") for name in "co"]
+    result = rel.joined(*sides, "c", "o", how, hot_partner=True)
+    assert "Inner" in plan_of(result) and "LeftAnti" in plan_of(result) and "Outer" in plan_of(result)
+    rows = result.collect()
+    final = plan_of(result)
+    final = final[final.index("Final Plan") : final.index("Initial Plan")]
+    # What is left: the sides of the plain join, and the sample of each partner.
+    partners = 2 if how == "full" else 1
+    assert final.count("FileScan parquet") <= 2 + 2 * partners, final
+    plain = sides[0].join(sides[1], F.col("c") == F.col("o"), how).collect()
+    assert sorted(map(tuple, rows), key=repr) == sorted(map(tuple, plain), key=repr)
 
 
 SKEW_SETTINGS = {
@@ -111,7 +130,7 @@ def test_a_hot_partner_key_is_split(spark, plan_of, how):
     for key, value in SKEW_SETTINGS.items():
         spark.conf.set(key, value)
     try:
-        result = rel.joined(customers, orders, "c", "o", how, hot_partner=True)
+        result = rel.joined(customers, orders, "c", "o", how, hot_partner=True, max_group_rows=5000)
         rows = result.collect()
         assert "SortMergeJoin(skew=true)" in plan_of(result)
     finally:

@@ -6,7 +6,7 @@ from itertools import groupby
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 
-from clicklake.operators.skew import large_groups
+from clicklake.operators.skew import in_parts, large_groups
 from clicklake.operators.windows import follows, next_row, previous_row, ranked, top_per_group
 from conftest import rows_of
 
@@ -49,15 +49,67 @@ def test_neighbours(spark, function, step, limit):
     assert rows_of(result, "id", "event2", "id2") == neighbours(rows, step)
 
 
-def test_large_group_is_cut_into_even_slices(spark):
-    """The group with a third of the rows is spread over the tasks of the range shuffle."""
+def test_large_group_is_cut_into_even_parts(spark):
+    """The group with a third of the rows is cut by its sampled rows; the others are whole."""
     from pyspark.sql import functions as F
 
     df = spark.createDataFrame(skewed_clicks(), SCHEMA)
-    assert large_groups(df, ["user", "product"], 100).count() == 1
-    assert large_groups(df, ["user", "product"], 10_000) is None
-    slices = df.repartitionByRange(8, "user", "product", "ts", "id").groupBy(F.spark_partition_id()).count()
-    assert max(row[1] for row in slices.collect()) < 3000 / 4
+    keys, order = ["user", "product"], ["ts", "id"]
+    large = large_groups(df, keys, order, 100)
+    assert large.count() == 1
+    assert large_groups(df, keys, order, 10_000).count() == 0
+    parts = in_parts(df, keys, order, large, "part").groupBy("user", "part").agg(F.count("*").alias("n")).collect()
+    assert {r.part for r in parts if r.user != 1} == {0}
+    sizes = [r.n for r in parts if r.user == 1]
+    assert len(sizes) > 80 and max(sizes) < 100 and sum(sizes) == 1000
+
+
+def test_part_is_the_number_of_cuts_passed(spark):
+    """Counted in steps of cuts, over nulls, ties and more cuts than a step has."""
+    rng = random.Random(5)
+    rows = [(1, 1, rng.choice([None, *range(60)]), rng.choice([None, i]), "e") for i in range(900)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    large = large_groups(df, ["user"], ["ts", "id"], 299)
+    cuts = [(c.ts, c.id) for c in large.first()[1]]
+    key = lambda p: tuple((v is not None, v or 0) for v in p)
+    assert len(cuts) == 300 and cuts == sorted(cuts, key=key)
+    for row in in_parts(df, ["user"], ["ts", "id"], large, "part").collect():
+        assert row.part == sum(key(c) <= key((row.ts, row.id)) for c in cuts)
+
+
+def test_the_largest_groups_are_listed_first(spark, monkeypatch):
+    from clicklake.operators import skew
+
+    monkeypatch.setattr(skew, "LARGEST", 3)
+    rows = [(u, 1, t, t, "e") for u in range(1, 9) for t in range(40 * u * u)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    found = large_groups(df, ["user"], ["ts", "id"], 30)
+    hashes = {r[1]: r[0] for r in df.select("user", skew.group_hash(["user"])).distinct().collect()}
+    assert {hashes[r[0]] for r in found.collect()} == {6, 7, 8}
+
+
+def test_no_job_before_the_result_is_read(spark):
+    df = spark.createDataFrame(skewed_clicks(), SCHEMA)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "plans only")
+    try:
+        made = previous_row(df, ["user", "product"], ["ts", "id"], {"before": "event"}, 100)
+        assert list(tracker.getJobIdsForGroup("planning")) == []
+        made.count()
+        assert list(tracker.getJobIdsForGroup("planning"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_groups_of_equal_hash(spark, monkeypatch):
+    """All groups share a hash: parts and edges still go by the group."""
+    from clicklake.operators import skew
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(skew, "group_hash", lambda keys: F.lit(7).cast("bigint"))
+    rows = skewed_clicks()
+    result = previous_row(spark.createDataFrame(rows, SCHEMA), ["user", "product"], ["ts", "id"], {"e2": "event", "i2": "id"}, 100)
+    assert rows_of(result, "id", "e2", "i2") == neighbours(rows, -1)
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
