@@ -7,10 +7,12 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, Tokenizer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from clicklake.functions.scalars import decoded_label
 from clicklake.functions.text import has_text, split_tokens
+from clicklake.sources.commits import commit, committed, folder_names, remove_path
 
 # The model settings.
 FEATURES = 25
@@ -80,12 +82,41 @@ def split_reviews(reviews: DataFrame, key: str, held_out: float = 0.2) -> tuple[
     return reviews.filter(~kept_out), reviews.filter(kept_out)
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+MODELS = StructType([StructField("version", IntegerType())])
 
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def model_versions(spark: SparkSession, path: str) -> list[int]:
+    """The versions of a model that count, oldest first; one short record for each save there was."""
+    noted = {row.version for row in committed(spark, f"{path}/finished", MODELS).collect()}
+    there = {int(name.split("=")[1]) for name in folder_names(spark, f"{path}/versions")}
+    return sorted(noted & there)
+
+
+def save_model(model: PipelineModel, path: str, keep: int = 3) -> int:
+    """Save a model as a new version below ``path``; returns its number.
+
+    A version counts once it is noted, after all its files, so whoever loads meanwhile gets the one before, whole.
+    The last ``keep`` versions stay for readers that hold on to one. One save works on a path at a time.
+    """
+    spark = SparkSession.active()
+    noted = [row.version for row in committed(spark, f"{path}/finished", MODELS).collect()]
+    version = max(noted, default=0) + 1
+    # Overwrites what a save that failed has left under this number.
+    model.write().overwrite().save(f"{path}/versions/version={version}")
+    commit(spark, f"{path}/finished", MODELS, version=version)
+    for old in model_versions(spark, path)[:-keep]:
+        remove_path(spark, f"{path}/versions/version={old}")
+    return version
+
+
+def load_model(path: str, version: int | None = None) -> PipelineModel:
+    """A saved model, by default the latest version that counts."""
+    if version is None:
+        versions = model_versions(SparkSession.active(), path)
+        if not versions:
+            raise FileNotFoundError(f"no model below {path}")
+        version = versions[-1]
+    return PipelineModel.load(f"{path}/versions/version={version}")
 
 
 def scored(df: DataFrame, model: PipelineModel) -> DataFrame:

@@ -28,16 +28,19 @@ _STEP = 32
 
 
 def group_hash(keys: Sequence[str]) -> Column:
-    return F.xxhash64(*[F.col(key) for key in keys])
+    return F.xxhash64(*[F.col(key) for key in keys] or [F.lit(0)])
 
 
-def large_groups(df: DataFrame, keys: Sequence[str], order: Sequence[str], max_group_rows: int) -> DataFrame:
+def large_groups(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], max_group_rows: int, bounds: int = BOUNDS
+) -> DataFrame:
     """``(hash of the keys, places to cut at)`` of groups with more than about ``max_group_rows`` rows.
 
-    The cuts are places in ``order``, which should tell the rows of a group apart. Two keys with the same hash are at
+    The cuts are places in ``order``, which should tell the rows of a group apart. Without keys the whole table is one
+    group. Two keys with the same hash are at
     worst cut without need.
     """
-    bounds = min(BOUNDS, max_group_rows + 1)
+    bounds = min(bounds, max_group_rows + 1)
     row = F.xxhash64(*[F.col(c) for c in [*keys, *order]]).bitwiseAND(F.lit((1 << 63) - 1))
     sample = df.select(group_hash(keys).alias(HASH), F.struct(*order).alias("place"), row.alias("row")).filter(
         F.col("row") <= ((1 << 63) - 1) // max(1, max_group_rows // bounds)

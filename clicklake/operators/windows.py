@@ -68,6 +68,31 @@ def _neighbour(df, keys, order, columns, following, max_group_rows):
     )
 
 
+# Cuts through a whole table that is numbered.
+TABLE_CUTS = 4096
+
+
+def numbered_rows(
+    df: DataFrame, order: Sequence[str], name: str = "position", descending: bool = False, max_part_rows: int = MAX_GROUP_ROWS
+) -> DataFrame:
+    """Add the number of each row, from 1, in the order of the whole table.
+
+    A table with more than about ``max_part_rows`` rows is cut at sampled rows into parts, which are counted; a row's
+    number is its number in its part and the rows of the parts before it. No window spans the table: the one over
+    parts has at most ``TABLE_CUTS`` rows. ``order`` should end in a unique column: equal rows are numbered
+    in any order, and stay in one task. Nulls come first, or last if ``descending``.
+    """
+    cuts = large_groups(df, [], order, max_part_rows, TABLE_CUTS)
+    parts = in_parts(df, [], order, cuts, "__part")
+    direction = F.desc if descending else F.asc
+    before = F.sum("rows").over(Window.orderBy(direction("__part")).rowsBetween(Window.unboundedPreceding, -1))
+    starts = parts.groupBy("__part").agg(F.count(F.lit(1)).alias("rows")).select("__part", F.coalesce(before, F.lit(0)).alias("__before"))
+    within = F.row_number().over(Window.partitionBy("__part").orderBy(*[direction(c) for c in order]))
+    return parts.withColumn("__n", within).join(F.broadcast(starts), "__part").select(
+        *df.columns, (F.col("__n") + F.col("__before")).alias(name)
+    )
+
+
 def follows(
     df: DataFrame,
     keys: Sequence[str],

@@ -10,7 +10,7 @@ from clicklake.operators import aggregates as agg
 from clicklake.operators.groups import distinct_in_groups
 from clicklake.operators.relational import enriched, sorted_rows
 from clicklake.operators.versions import latest_per_key, merged_snapshot
-from clicklake.operators.windows import follows, next_row, ranked, top_per_group
+from clicklake.operators.windows import follows, next_row, numbered_rows, ranked, top_per_group
 from clicklake.plans.registry import ALL_PARTS_SQL, CLICKS_SQL, PARTS_SQL, WORDS_SQL, clicks_table, query, texts_table
 from clicklake.plans.view_report import distinct_viewers
 from clicklake.schemas import record
@@ -173,14 +173,24 @@ def win_rank_as_written(spark, base):
     return ranked(_viewers(spark, base), ["event_type", "p_type"], "n_users").filter("rank <= 3")
 
 
-@query(f"SELECT word, count(*) AS count FROM {WORDS_SQL} GROUP BY word")
+@query(
+    f"""SELECT word, count(*) AS count, row_number() OVER (ORDER BY count(*), word) AS position
+        FROM {WORDS_SQL} GROUP BY word"""
+)
 def sort_by_value(spark, base):
-    return sorted_rows(word_counts(texts_table(spark, base, "text"), "text"), "count", "word")
+    """Words from rare to frequent, each with its place."""
+    counts = word_counts(texts_table(spark, base, "text"), "text")
+    return sorted_rows(numbered_rows(counts, ["count", "word"]), "position")
 
 
-@query(f"SELECT word, count(*) AS count FROM {WORDS_SQL} GROUP BY word")
+@query(
+    f"""SELECT word, count(*) AS count, row_number() OVER (ORDER BY word DESC) AS position
+        FROM {WORDS_SQL} GROUP BY word"""
+)
 def sort_by_key_desc(spark, base):
-    return sorted_rows(word_counts(texts_table(spark, base, "text"), "text"), F.desc("word"))
+    """Words from the last to the first, each with its place."""
+    counts = word_counts(texts_table(spark, base, "text"), "text")
+    return sorted_rows(numbered_rows(counts, ["word"], descending=True), "position")
 
 
 # -- scalar and text functions -------------------------------------------------------------------

@@ -7,15 +7,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from clicklake.functions.scalars import date_key
-from clicklake.functions.text import has_text
-from clicklake.operators.reviews import FEATURES, fit_reviews, scored, term_counts, token_counts, tokens, vector_sum
+from clicklake.operators.reviews import FEATURES, fit_reviews, load_model, term_counts, token_counts, tokens, vector_sum
 from clicklake.plans.clicks import ADD_TO_CART, FAVORITE, cart_after_favorite, daily_cart_additions
 from clicklake.plans.lines import read_word_count, start_line_details, start_word_count
 from clicklake.plans.product_merge import read_snapshot, run_product_merge
 from clicklake.plans.registry import ALL_PARTS_SQL, CLICKS_SQL, PARTS_SQL, clicks_table, query, texts_table
-from clicklake.plans.reviews import REJECTED_REVIEW, REVIEW_IDS, score_messages, start_scoring
+from clicklake.plans.reviews import REJECTED_REVIEW, REVIEW_IDS, score_messages, score_reviews, start_scoring, train_reviews
 from clicklake.plans.view_report import read_view_report, run_view_report, view_report, write_report
-from clicklake.schemas import LINE_DETAIL, REVIEW, SCORED_REVIEW, WORD_COUNT, record
+from clicklake.schemas import LABELLED_REVIEW, LINE_DETAIL, REVIEW, SCORED_REVIEW, WORD_COUNT, record
 from clicklake.session import scratch_path, streaming_session
 from clicklake.sources.readers import read_table
 from clicklake.sources.writers import rebalance
@@ -111,20 +110,30 @@ def _trained(spark, base, text="text"):
     return fit_reviews(documents.join(labels, "doc_id"), text, "quality")
 
 
-@query(
-    """SELECT doc_id, TRUE AS as_by_formula, TRUE AS is_class FROM documents WHERE text <> ''"""
-)
+@query("""SELECT doc_id, TRUE AS as_by_formula, TRUE AS is_class FROM documents WHERE text <> ''""")
 def ml_review_scores(spark, base):
-    """Whether each review's prediction is the sign of coefficients times hashed counts plus intercept."""
-    model = _trained(spark, base)
-    documents = texts_table(spark, base, "doc_id", "text").filter(has_text(F.col("text")))
-    scores = scored(documents, model)
+    """Whether each review's prediction is the sign of coefficients times hashed counts plus intercept.
+
+    Trained on files of labelled reviews and saved; scored from a file in a session that loads what was saved.
+    """
+    path = scratch_path(spark, "reviews")
+    none = F.lit(None).cast("string")
+    documents = texts_table(spark, base, "doc_id", "text").select(
+        none.alias("customerId"), none.alias("productId"), F.col("doc_id").cast("string").alias("reviewId"),
+        F.lit(0).cast("bigint").alias("reviewDate"), F.col("text").alias("reviewBody"),
+    )
+    labels = read_table(spark, base, "labels").select(F.col("doc_id").cast("string").alias("reviewId"), F.col("quality").alias("label"))
+    documents.join(labels, "reviewId").select(LABELLED_REVIEW.names).write.json(f"{path}/labelled")
+    documents.write.json(f"{path}/reviews")
+    train_reviews(spark, f"{path}/labelled", f"{path}/model")
+    scores = score_reviews(spark.newSession(), f"{path}/reviews", f"{path}/model")
+    model = load_model(f"{path}/model")
     weights = F.array(*[F.lit(float(w)) for w in model.stages[-1].coefficients])
     counts = vector_to_array("features")
     margin = F.aggregate(F.zip_with(counts, weights, lambda c, w: c * w), F.lit(0.0), lambda a, x: a + x)
     by_formula = (margin + float(model.stages[-1].intercept) > 0).cast("double")
     return scores.select(
-        "doc_id",
+        F.col("reviewId").cast("bigint").alias("doc_id"),
         (F.col("prediction") == by_formula).alias("as_by_formula"),
         F.col("prediction").isin(0.0, 1.0).alias("is_class"),
     )

@@ -23,7 +23,7 @@ REVIEW_IDS = ("customerId", "productId", "reviewId", "reviewDate")
 
 
 def train_reviews(spark: SparkSession, reviews_path: str, model_path: str) -> PipelineModel:
-    """Fit on labelled reviews and save the model over an earlier one."""
+    """Fit on labelled reviews and save the model as the latest version below ``model_path``."""
     model = fit_reviews(read_json(spark, reviews_path, LABELLED_REVIEW))
     save_model(model, model_path)
     return model

@@ -340,6 +340,30 @@ def model_path(spark, tmp_path_factory):
     return f"{path}/model"
 
 
+def test_models_are_versions(spark, model_path, folder, monkeypatch):
+    """The latest noted version is loaded; a save that fails leaves it, and the next one takes its place."""
+    import os
+
+    from clicklake.operators import reviews
+
+    assert reviews.model_versions(spark, model_path) == [1, 2]
+    model, path = load_model(model_path), f"{folder}/m"
+    with pytest.raises(FileNotFoundError):
+        load_model(path)
+    assert reviews.save_model(model, path) == 1
+    with monkeypatch.context() as patch:
+        patch.setattr(reviews, "commit", lambda *_, **__: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            reviews.save_model(model, path)
+    assert sorted(os.listdir(f"{path}/versions")) == ["version=1", "version=2"]
+    assert reviews.model_versions(spark, path) == [1]
+    loaded = load_model(path)
+    assert [reviews.save_model(model, path, keep=2) for _ in range(3)] == [2, 3, 4]
+    assert reviews.model_versions(spark, path) == [3, 4]
+    assert list(load_model(path).stages[-1].coefficients) == list(loaded.stages[-1].coefficients)
+    assert list(load_model(path, 3).stages[-1].coefficients) == list(loaded.stages[-1].coefficients)
+
+
 def test_batch_scores(spark, model_path, folder):
     rows = [("c", "p", "x", 1, GOOD), ("c", "p", "y", 2, BAD), ("c", "p", "z", 3, None)]
     spark.createDataFrame(rows, REVIEW).write.json(f"{folder}/reviews")

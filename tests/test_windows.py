@@ -7,7 +7,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 
 from clicklake.operators.skew import in_parts, large_groups
-from clicklake.operators.windows import follows, next_row, previous_row, ranked, top_per_group
+from clicklake.operators.windows import follows, next_row, numbered_rows, previous_row, ranked, top_per_group
 from conftest import rows_of
 
 SCHEMA = "user bigint, product bigint, ts bigint, id bigint, event string"
@@ -77,6 +77,18 @@ def test_part_is_the_number_of_cuts_passed(spark):
         assert row.part == sum(key(c) <= key((row.ts, row.id)) for c in cuts)
 
 
+@pytest.mark.parametrize("descending", [False, True])
+@pytest.mark.parametrize("limit", [10**9, 100, 3])
+def test_numbers_over_a_whole_table(spark, plan_of, descending, limit):
+    rows = skewed_clicks(1000)
+    df = spark.createDataFrame(rows, SCHEMA)
+    result = numbered_rows(df, ["user", "id"], "n", descending, limit)
+    ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[3]), reverse=descending)
+    assert rows_of(result, "n", "id") == sorted([(n, r[3]) for n, r in enumerate(ordered, 1)], key=repr)
+    assert result.columns == [*df.columns, "n"]
+    assert numbered_rows(df.limit(0), ["id"]).count() == 0
+
+
 def test_the_largest_groups_are_listed_first(spark, monkeypatch):
     from clicklake.operators import skew
 
