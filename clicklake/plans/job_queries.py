@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import LongType, StringType, TimestampType
 
 from clicklake.functions.scalars import date_key
 from clicklake.operators.reviews import FEATURES, fit_reviews, load_model, term_counts, token_counts, tokens, vector_sum
 from clicklake.plans.clicks import ADD_TO_CART, FAVORITE, cart_after_favorite, daily_cart_additions
-from clicklake.plans.lines import read_word_count, start_line_details, start_word_count
+from clicklake.plans.lines import read_word_count, start_line_details, start_windowed_word_count, start_word_count
 from clicklake.plans.product_merge import read_snapshot, run_product_merge
 from clicklake.plans.registry import ALL_PARTS_SQL, CLICKS_SQL, PARTS_SQL, clicks_table, query, texts_table
 from clicklake.plans.reviews import REJECTED_REVIEW, REVIEW_IDS, score_messages, score_reviews, start_scoring, train_reviews
@@ -18,6 +18,7 @@ from clicklake.schemas import LABELLED_REVIEW, LINE_DETAIL, REVIEW, SCORED_REVIE
 from clicklake.session import scratch_path, streaming_session
 from clicklake.sources.readers import read_table
 from clicklake.sources.writers import rebalance
+from clicklake.streaming.notes import BatchNotes, on_time
 from clicklake.streaming.sinks import append_files, batch_files, compact_updates
 from clicklake.streaming.sources import file_stream, message_stream, table_stream
 from clicklake.streaming.transforms import CORRUPT, parsed_messages, valid_messages
@@ -50,6 +51,56 @@ def stream_line_detail(spark, base):
     return spark.read.schema(LINE_DETAIL).parquet(f"{path}/rows").select("inputLine", "totalWordCount")
 
 
+# Lines of the windowed count: the time of document d is d minutes after this; every 17th one comes a day late.
+_FIRST_MS = 1_704_067_200_000
+_LINE_MS = f"({_FIRST_MS} + CAST(doc_id AS BIGINT) * 60000)"
+
+
+@query(
+    f"""SELECT make_timestamp((ms - ms % 3600000) * 1000) AS start, word, count(*) AS count
+        FROM (SELECT {_LINE_MS} AS ms, unnest({PARTS_SQL}) AS word FROM documents WHERE text <> '' AND doc_id % 17 <> 0)
+        WHERE ms - ms % 3600000 + 3600000 <= (SELECT max({_LINE_MS}) FROM documents WHERE doc_id % 17 <> 0) - 600000
+        GROUP BY 1, 2"""
+)
+def stream_windowed_words(spark, base):
+    """Closed windows of a word count over event time, in four batches of which the last one comes too late."""
+    path = scratch_path(spark, "windows")
+    lines = read_table(spark, base, "documents").select("doc_id", "text", F.expr(_LINE_MS).alias("ms"))
+    on_time = lines.filter("doc_id % 17 <> 0").select("text", F.timestamp_millis("ms").alias("time"))
+    # Times rise from file to file, except for the last: its lines belong to windows long before the first.
+    parts = on_time.repartitionByRange(3, "time").withColumn("n", F.spark_partition_id())
+    late = lines.filter("doc_id % 17 = 0").select("text", F.timestamp_millis(F.col("ms") - 400 * 86_400_000).alias("time"))
+    parts.unionByName(late.withColumn("n", F.lit(3))).write.partitionBy("n").parquet(f"{path}/lines")
+    schema = record(text=StringType(), time=TimestampType())
+    session = streaming_session(spark)
+    for n in range(4):  # a run for each part: state and watermark go on where the last run ended
+        stream = file_stream(session, f"{path}/lines/n={{{','.join(map(str, range(n + 1)))}}}", schema)
+        start_windowed_word_count(stream, f"{path}/counts", f"{path}/checkpoint", "time", drain=True, line="text").awaitTermination()
+    counts = record(start=TimestampType(), end=TimestampType(), word=StringType(), count=LongType())
+    return spark.read.schema(counts).parquet(f"{path}/counts").select(F.col("start").cast("timestamp_ntz").alias("start"), "word", "count")
+
+
+@query("SELECT * FROM (VALUES ('drain', 0, TRUE), ('drain', 1, TRUE), ('interval', 0, TRUE), ('interval', 1, TRUE)) t(trigger, batch, as_asked)")
+def stream_triggers(spark, base):
+    """Of each batch of two streams over the documents whether it came by the trigger asked for."""
+    path = scratch_path(spark, "triggers")
+    read_table(spark, base, "documents").select("text").repartition(2).write.parquet(f"{path}/in")
+    told = []
+    with BatchNotes(spark) as notes:
+        for trigger, options in (("drain", {"drain": True}), ("interval", {"interval": "1 second"})):
+            lines = file_stream(spark, f"{path}/in", record(text=StringType()), files_per_batch=1)
+            running = start_line_details(lines, f"{path}/{trigger}", f"{path}/{trigger}-checkpoint", **options, line="text")
+            if trigger == "drain":
+                running.awaitTermination()  # ends by itself once all files are read
+            else:
+                running.processAllAvailable()
+                running.stop()
+            notes.wait(running)
+            batches = notes.of(running)
+            told += [(trigger, batch, ok) for batch, ok in on_time(batches, 1000 if trigger == "interval" else 1)]
+    return spark.createDataFrame(told, "trigger string, batch int, as_asked boolean")
+
+
 def _review_messages(spark, base):
     """Every conversation turn as a good review message, and three bad ones made from each.
 

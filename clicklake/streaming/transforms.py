@@ -25,6 +25,20 @@ def word_counts(df: DataFrame, line: str = "value", keep_inner_empty: bool = Fal
     return split.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
 
 
+def windowed_word_counts(
+    df: DataFrame, time: str, width: str, delay: str, line: str = "value", keep_inner_empty: bool = False
+) -> DataFrame:
+    """Occurrences of each word in each window of event time: ``start, end, word, count``.
+
+    On a stream a window is closed, and its state dropped, once a line later than its end by ``delay`` was seen;
+    in append mode it is given out then. Lines that come after their window was closed are not counted.
+    In batch all windows are given.
+    """
+    split = words(df.select(line, time).withWatermark(time, delay), line, keep_inner_empty)
+    counts = split.groupBy(F.window(time, width), "word").agg(F.count(F.lit(1)).alias("count"))
+    return counts.select("window.start", "window.end", "word", "count")
+
+
 def line_details(df: DataFrame, line: str = "value") -> DataFrame:
     """Non-empty lines with their word count and time of arrival."""
     text = F.col(line)

@@ -301,6 +301,54 @@ def test_line_details_stream(spark, tmp_path):
     )
 
 
+def test_windows_close_and_late_lines_are_told(spark, tmp_path):
+    """Three batches: a window, one that closes it, and a line too late beside one in time."""
+    from datetime import datetime
+
+    from clicklake.plans.lines import late_words, start_windowed_word_count
+    from clicklake.streaming.transforms import windowed_word_counts
+
+    schema = "value string, time timestamp"
+    batches = [
+        [("a b a", datetime(2024, 1, 1, 10, 5)), ("b", datetime(2024, 1, 1, 10, 55))],
+        [("c", datetime(2024, 1, 1, 12, 30)), ("a", datetime(2024, 1, 1, 10, 59))],
+        [("late late", datetime(2024, 1, 1, 10, 1)), ("in time", datetime(2024, 1, 1, 12, 40))],
+    ]
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    late = 0
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+        lines = file_stream(spark, source, spark.createDataFrame([], schema).schema)
+        query = start_windowed_word_count(lines, out, str(tmp_path / "checkpoint"), "time", drain=True)
+        query.awaitTermination()
+        late += late_words(query)
+    closed = spark.read.parquet(out).select(F.hour("start").alias("hour"), "word", "count")
+    assert rows_of(closed) == [(10, "a", 3), (10, "b", 2)]
+    assert late == 1
+    in_batch = windowed_word_counts(spark.createDataFrame(batches[0] + batches[1], schema), "time", "1 hour", "10 minutes")
+    assert rows_of(in_batch.filter("hour(start) = 10").select(F.hour("start"), "word", "count")) == rows_of(closed)
+
+
+def test_batches_that_come_too_soon():
+    from clicklake.streaming.notes import on_time
+
+    assert on_time([(0, 1_500, 1), (1, 2_000, 1), (2, 2_999, 1), (3, 7_000, 1)], 1000) == [(0, True), (1, True), (2, False), (3, True)]
+    assert on_time([], 1000) == []
+
+
+def test_notes_of_batches(spark, tmp_path):
+    from clicklake.streaming.notes import BatchNotes
+
+    add_file(tmp_path, "1.txt", ["x", "y"])
+    add_file(tmp_path, "2.txt", ["z"])
+    with BatchNotes(spark, last=3) as notes:
+        query = start_line_details(line_stream(spark, str(tmp_path / "in"), 1), str(tmp_path / "o"), str(tmp_path / "c"), drain=True)
+        query.awaitTermination()
+        notes.wait(query)
+    assert sorted(r[2] for r in notes.of(query)) == [1, 2] and [r[0] for r in notes.of(query)] == [0, 1]
+    assert notes.table().filter("rows > 0").count() == 2
+
+
 def test_triggers():
     assert trigger_options("5 seconds") == {"processingTime": "5 seconds"}
     assert trigger_options(drain=True) == {"availableNow": True}
