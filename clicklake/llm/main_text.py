@@ -3,16 +3,18 @@
 A page is read into a tree as browsers do: end tags that are left out are implied, what stands in
 scripts and styles is no text, character references are decoded. Menus, headers, footers, sidebars,
 notices, adverts, forms and reader comments are known by their tags, roles, and class or id words, and go
-with all they hold. Names are looked at twice, as "with-sidebar" may name what holds the article (``_drop_named``).
+with all they hold. Names and forms are looked at twice: "with-sidebar" may name what holds the article,
+"related-work" a part of it, and a form may be wrapped around a whole page (``_drop_named``).
 
 Each paragraph then passes points to the containers above it: one, one for each comma, and one for each
 hundred characters up to three. Its parent gets all of them, the next ancestor half, further ones
-less. A container's sum is discounted by its link density. The best container is the article,
-with all beside it, and beside the containers above it, that is not mostly links, however little it scores. If it lies within an ``article`` or
-``main`` element, that element is taken as a whole.
+less. A container's sum is discounted by its link density. The best container is the article; if it lies
+within an ``article`` element, or else a ``main`` element, that is taken as a whole. All beside it, and beside the
+containers above it, that is not mostly links is taken as well, however little it scores; a ``main`` element
+tells where to stop.
 
 The text is all that is left in what was chosen: white space within a block becomes one space, blocks are
-joined by one space in page order, and nothing is capped.
+joined by one space in page order, and nothing is capped. Time is in proportion to the page, however it is nested.
 
 Pages are independent of each other, so there is no shuffle. Defined results: a null or empty page, and
 one without text, have an empty text; equal pages have equal texts; of equal scores the container that
@@ -62,7 +64,7 @@ PARAGRAPHS = frozenset("p pre td li blockquote dd".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 DROPPED_TAGS = frozenset(
-    "head nav footer aside form script style noscript template iframe button select textarea svg object embed annotation annotation-xml "
+    "head nav footer aside script style noscript template iframe button select textarea svg object embed annotation annotation-xml "
     "canvas audio video dialog menu search fieldset label title noembed xmp".split()
 )
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar".split())
@@ -72,6 +74,13 @@ DROPPED_WORDS = frozenset(
     "alert popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended "
     "recommendations comment comments disqus respond replies reply widget toolbar pagination pager".split()
 )
+# Words that say which part of a page an element is, and nothing of what it tells.
+STRUCTURE = frozenset(
+    "area bar bars block blocks body bottom box button buttons card cards col column container content count desktop element feed float "
+    "fixed form global group header icon icons inner item items js layout left link links list lists main meta middle mobile module "
+    "outer page panel pane part post posts primary right row secondary section site slot small large space spot sticky stories story "
+    "tab tabs text thread title toggle tool tools top unit user users wrap wrapper zone".split()
+)
 DROPPED_NAMES = frozenset("header site-header page-header top-header siteheader pageheader".split())
 NEVER_DROPPED = frozenset("html body main".split())
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
@@ -84,14 +93,17 @@ def _attributes(raw: str) -> dict[str, str]:
     return found
 
 
-# Whether an element goes: not, for sure, or by its names, which are looked at again once the page is read. A plain
-# name is made of dropped words alone ("sidebar"), another one has further words ("with-sidebar").
-STAYS, GOES, PLAINLY_NAMED, PARTLY_NAMED = range(4)
+# Whether an element goes: not, for sure, or perhaps, which is looked at again once the page is read. A plain name is
+# made of dropped words and words of structure ("sidebar-left"); another one has words of its own ("with-sidebar",
+# "related-work") and tells little. A form may be wrapped around a whole page.
+STAYS, GOES, PLAINLY_NAMED, PARTLY_NAMED, FORM = range(5)
 
 
 def _is_dropped(tag: str, raw: str) -> int:
     if tag in DROPPED_TAGS:
         return GOES
+    if tag == "form":
+        return FORM
     if not raw.strip(" /") or tag in NEVER_DROPPED:
         return STAYS
     given = _attributes(raw)
@@ -103,8 +115,8 @@ def _is_dropped(tag: str, raw: str) -> int:
         return GOES
     found = STAYS
     for name in f"{given.get('class', '')} {given.get('id', '')}".split():
-        words = {w.lower() for w in WORD.findall(name)}
-        if name.lower() in DROPPED_NAMES or words and words <= DROPPED_WORDS:
+        words = {w.lower() for w in WORD.findall(name) if not w.isdigit()}
+        if name.lower() in DROPPED_NAMES or words & DROPPED_WORDS and words <= DROPPED_WORDS | STRUCTURE:
             return PLAINLY_NAMED
         if words & DROPPED_WORDS:
             found = PARTLY_NAMED
@@ -117,7 +129,10 @@ class _Page:
     def __init__(self) -> None:
         self.tag, self.parent, self.gone = ["#"], [0], [False]
         self.named, self.under = [STAYS], [0]  # by names; the innermost element dropped by its names
+        self.block = [0]  # the innermost block that an element is or stands in
         self.open = [0]
+        self.depths: dict[str, list[int]] = {}  # of the open elements of each tag
+        self.block_depths = [-1]  # of the open blocks
         # Element, and pieces of its text: that element dropped by its names, text, characters, characters in links.
         self.blocks: list[tuple[int, list[tuple[int, str, int, int]]]] = []
         self.in_link = 0
@@ -137,25 +152,39 @@ class _Page:
         if tag in BLOCKS:
             self.fresh = True
         self.tag.append(tag), self.parent.append(above), self.gone.append(gone), self.named.append(named)
-        self.under.append(len(self.under) if named in (PLAINLY_NAMED, PARTLY_NAMED) else self.under[above])
+        self.block.append(len(self.block) if tag in BLOCKS else self.block[above])
+        self.under.append(len(self.under) if named not in (STAYS, GOES) else self.under[above])
         if tag not in VOID:
+            self.depths.setdefault(tag, []).append(len(self.open))
+            if tag in BLOCKS:
+                self.block_depths.append(len(self.open))
             self.open.append(len(self.tag) - 1)
             self.in_link += tag == "a"
 
     def end(self, tag: str) -> None:
-        self._end_open(frozenset([tag]), frozenset() if tag in BLOCKS else BLOCKS)
-
-    def _end_open(self, tags: frozenset, scope: frozenset) -> None:
-        for depth in range(len(self.open) - 1, 0, -1):
-            tag = self.tag[self.open[depth]]
-            if tag in tags:
-                for node in self.open[depth:]:
-                    self.in_link -= self.tag[node] == "a"
-                    self.fresh |= self.tag[node] in BLOCKS
-                del self.open[depth:]
-                return
-            if tag in scope:
-                return
+        self._end_open((tag,), () if tag in BLOCKS else BLOCKS)
+
+    def _innermost(self, tags) -> int:
+        if tags is BLOCKS:
+            return self.block_depths[-1]
+        return max((self.depths[tag][-1] for tag in tags if self.depths.get(tag)), default=-1)
+
+    def _end_open(self, tags, scope) -> None:
+        """Close the innermost open element of ``tags``, unless one of ``scope`` is open within it.
+
+        Depths are kept by tag, so this takes a time that does not grow with the number of open elements.
+        """
+        depth = self._innermost(tags)
+        if depth < 0 or scope and self._innermost(scope) > depth:
+            return
+        for node in self.open[depth:]:
+            tag = self.tag[node]
+            self.depths[tag].pop()
+            self.in_link -= tag == "a"
+            if tag in BLOCKS:
+                self.fresh = True
+                self.block_depths.pop()
+        del self.open[depth:]
 
     def text(self, raw: str) -> None:
         node = self.open[-1]
@@ -165,9 +194,7 @@ class _Page:
         if self.fresh:
             if raw.isspace():
                 return
-            while self.tag[node] not in BLOCKS and node:
-                node = self.parent[node]
-            self.blocks.append((node, []))
+            self.blocks.append((self.block[node], []))
             self.fresh = False
         raw = html.unescape(raw) if "&" in raw else raw
         size = len(raw.strip())
@@ -234,20 +261,15 @@ def main_text(source: str | None) -> str:
         linked[page.parent[node]] += linked[node]
     score = [p * (1 - k / max(1, c)) for p, k, c in zip(points, linked, chars)]
     best = max(range(n), key=score.__getitem__)
-    chosen = {best}
-    whole = best
-    for wanted in ("article", "main"):
-        node = best
-        while node and page.tag[node] != wanted:
-            node = page.parent[node]
-        if node:
-            whole, chosen = node, {node}
-            break
-    above = set()
-    if score[best] > 0 and page.tag[whole] not in ("article", "main"):
-        chosen |= _beside(page, best, chars, linked)
-        node = best
-        while node:
+    # The article or main element around the best container is taken as a whole; so is what reads like text beside an
+    # article, unless a main element tells where to stop.
+    whole = _around(page, best, "article") or _around(page, best, "main") or best
+    limit = _around(page, whole, "main")
+    chosen, above = {whole}, set()
+    if score[best] > 0 and whole != limit:
+        chosen |= _beside(page, whole, chars, linked, limit)
+        node = whole
+        while node != limit:
             node = page.parent[node]
             above.add(node)
     inside = [False] * n
@@ -275,26 +297,35 @@ def _points(text: str, size: int, in_links: int) -> float:
 
 
 def _drop_named(page: _Page) -> None:
-    """Drop elements by their names, except those that hold the article.
+    """Drop elements by their names, and forms, except those that hold the article.
 
-    An element with a partly dropped name stays if it holds more than half of the page's points, a ``main``, or
+    A partly dropped name is not enough: the element goes only if it is outside every ``article`` and ``main`` and more
+    than a third of its text is links. A form stays, unwrapped, if it holds more than half of the page's points, a ``main``, or
     the ``article`` with most points if that has a title. If less than a twentieth of the points would be left, and no
     article, then all that hold more than half stay, or all if none does.
     """
-    named = [node for node, how in enumerate(page.named) if how in (PLAINLY_NAMED, PARTLY_NAMED) and not page.gone[node]]
+    named = [node for node, how in enumerate(page.named) if how not in (STAYS, GOES) and not page.gone[node]]
     if not named:
         return
     n = len(page.tag)
     points, mains, titles = [0.0] * n, [page.tag[node] == "main" and not page.gone[node] for node in range(n)], [False] * n
+    chars, linked, in_article = [0] * n, [0] * n, [False] * n
     for node, text, (size, in_links) in _blocks(page):
         titles[node] |= page.tag[node] in ("h1", "h2")
         if page.tag[node] not in HEADINGS:
             points[node] += _points(text, size, in_links)
+        chars[node] += size
+        linked[node] += in_links
     for node in range(n - 1, 0, -1):
         above = page.parent[node]
         points[above] += points[node]
+        chars[above] += chars[node]
+        linked[above] += linked[node]
         mains[above] |= mains[node]
         titles[above] |= titles[node]
+    for node in range(1, n):
+        above = page.parent[node]
+        in_article[node] = in_article[above] or page.tag[above] in ("article", "main")
     articles = [node for node in range(n) if page.tag[node] == "article" and not page.gone[node] and points[node]]
     top = max(articles, key=points.__getitem__, default=0)
     holds_top, node = set(), top if titles[top] else 0
@@ -302,7 +333,8 @@ def _drop_named(page: _Page) -> None:
         holds_top.add(node)
         node = page.parent[node]
     most = {node for node in named if 2 * points[node] > points[0]}
-    spared = {node for node in named if page.named[node] == PARTLY_NAMED and (node in most or mains[node] or node in holds_top)}
+    spared = {node for node in named if page.named[node] == PARTLY_NAMED and (in_article[node] or 3 * linked[node] <= chars[node])}
+    spared |= {node for node in named if page.named[node] != PLAINLY_NAMED and (node in most or mains[node] or node in holds_top)}
 
     def dropped(spared: set[int]) -> list[bool]:
         gone = list(page.gone)
@@ -322,13 +354,20 @@ def _reads(chars: int, linked: int) -> bool:
     return 4 * linked < chars if chars > 80 else not linked
 
 
-def _beside(page: _Page, best: int, chars: list[int], linked: list[int]) -> set[int]:
-    """What stands beside the best container, or beside one above it, and reads like text, however short.
+def _around(page: _Page, node: int, tag: str) -> int:
+    """The innermost element of a tag that is or holds ``node``, 0 if there is none."""
+    while node and page.tag[node] != tag:
+        node = page.parent[node]
+    return node
+
+
+def _beside(page: _Page, best: int, chars: list[int], linked: list[int], limit: int) -> set[int]:
+    """What stands beside the chosen container, or beside one above it up to ``limit``, and reads like text, however short.
 
     Of what is mostly links, only parts of more than 80 characters that read like text are taken.
     """
     path, above = {best}, best
-    while above:
+    while above != limit:
         above = page.parent[above]
         path.add(above)
     found, linky = set(), set()

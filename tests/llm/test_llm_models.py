@@ -355,6 +355,145 @@ def test_main_text_within_names_that_tell_little(start):
     assert main_text.main_text(PAGE % page) == " ".join(f"Part {i}, a, b, c end." for i in range(9)) + " with x"
 
 
+SECTION_NAMES = [
+    "id=related-work", "id=social-impact", "id=share-prices", "id=cookie-recipe", "class=menu-history", "class=comment-on-results",
+    "class=alert-systems", "class=reply-to-critics",
+]
+
+
+@pytest.mark.parametrize("name", SECTION_NAMES)
+def test_main_text_keeps_sections_of_telling_names(name):
+    sections = "".join(f"<section><h2>Part {i}</h2><p>Words, of part {i}.</p></section>" for i in range(4))
+    sections += f"<section {name}><h2>Part 4</h2><p>Words, of part 4.</p></section>"
+    text = "Title " + " ".join(f"Part {i} Words, of part {i}." for i in range(5))
+    for start, end in (("<article>", "</article>"), ("<main>", "</main>"), ("<div>", "</div>")):
+        assert main_text.main_text(PAGE % f"{start}<h1>Title</h1>{sections}{end}") == text
+
+
+@pytest.mark.parametrize(
+    "name", ["class=comment-list", "id=comments-area", "class=ad-slot", "id=ad_12", "class='share-buttons'", "class=related-posts", "id=cookieNotice", "class=newsletter-box"]
+)
+def test_main_text_drops_parts_of_the_page_by_name(name):
+    part = f"<div {name}><p>Read this, and that, and that, by all means.</p></div>"
+    for page in (f"<article><p>Some text, here.</p>{part}<p>More, of it.</p></article>", f"<div><p>Some text, here.</p><p>More, of it.</p></div>{part}"):
+        assert main_text.main_text(PAGE % page) == "Some text, here. More, of it."
+
+
+def test_main_text_drops_links_under_a_telling_name():
+    links = "<div class=related-reading><p><a href=/1>One, and more</a></p><p><a href=/2>Two, and more</a></p></div>"
+    assert main_text.main_text(PAGE % f"<div><p>Some text, here.</p><p>More, of it.</p></div>{links}") == "Some text, here. More, of it."
+
+
+def test_main_text_of_a_page_within_a_form():
+    page = PAGE.replace('<body class="with-sidebar">', "<body><form id=aspnetForm><input type=hidden>").replace("</body>", "</form></body>")
+    body = "<div><h1>Title</h1><p>Some text, with commas.</p><p>More, and more.</p></div>"
+    assert main_text.main_text(page % body) == "Title Some text, with commas. More, and more."
+    asked = "<article><p>Text, and text.</p><form><p>Sign up, now, and get it.</p><input></form></article>"
+    assert main_text.main_text(PAGE % asked) == "Text, and text."
+
+
+def test_main_text_beside_an_article():
+    one, two = "<article><h2>One</h2><p>Some, longer, text, of one.</p></article>", "<article><h2>Two</h2><p>Text of two.</p></article>"
+    teasers = "<ul><li><a href=/1>First link of many</a><li><a href=/2>Second link of many</a></ul>"
+    assert main_text.main_text(PAGE % f"<p>Before.</p>{one}{two}<p>After.</p>{teasers}") == "Before. One Some, longer, text, of one. Two Text of two. After."
+    within = f"<div><p>Outside.</p><main><p>Before.</p>{one}</main></div>"
+    assert main_text.main_text(PAGE % within) == "Before. One Some, longer, text, of one."
+
+
+@pytest.mark.parametrize(
+    "source",
+    [
+        "<div>" * 100_000 + "deep, text", "<b>x</div>" * 100_000, "<p><button>" + "<div>" * 100_000, "<li>" * 100_000, "<b>" * 50_000 + "<p>x</p>y" * 50_000,
+        "<a>" * 100_000 + "</i>" * 100_000, "<table>" * 50_000 + "<td>x" * 50_000,
+    ],
+)
+def test_main_text_takes_time_in_proportion(source):
+    import time
+
+    start = time.process_time()
+    main_text.main_text(source)
+    assert time.process_time() - start < 10
+
+
+def plain_choice(root):
+    """Points, link densities and what is chosen, by recursion over a tree of (tag, children), text or ("a", text)."""
+    nodes, above = [], {}
+
+    def walk(node, parent):
+        nodes.append(node)
+        above[id(node)] = parent
+        for child in node[1]:
+            if isinstance(child, tuple) and child[0] != "a":
+                walk(child, node)
+
+    walk(root, None)
+
+    def own_text(node):
+        return [(c, False) if isinstance(c, str) else (c[1], True) for c in node[1] if isinstance(c, str) or c[0] == "a"]
+
+    def size(node, links):
+        inner = sum(size(c, links) for c in node[1] if isinstance(c, tuple) and c[0] != "a")
+        return inner + sum(len(t) for t, link in own_text(node) if link or not links)
+
+    points = {id(n): 0.0 for n in nodes}
+    for node in nodes:
+        if node[0] == "p" and own_text(node):
+            text = "".join(t for t, _ in own_text(node))
+            linked = sum(len(t) for t, link in own_text(node) if link)
+            own = (1 + text.count(",") + min(3, len(text) // 100)) * (1 - linked / len(text))
+            at = above[id(node)]
+            for share in (1, 2, 6, 9, 12, 15):
+                if at is not None:
+                    points[id(at)] += own / share
+                    at = above[id(at)]
+    score = [points[id(n)] * (1 - size(n, True) / max(1, size(n, False))) for n in nodes]
+    best = nodes[score.index(max(score))]
+    path, at = [], best
+    while at is not None:
+        path.append(id(at))
+        at = above[id(at)]
+
+    def reads(node):
+        chars, linked = size(node, False), size(node, True)
+        return 4 * linked < chars if chars > 80 else not linked
+
+    def texts(node, taken, linky=False):
+        taken |= node is best
+        for child in node[1]:
+            if isinstance(child, str) or child[0] == "a":
+                continue
+            if taken or id(child) in path:
+                yield from texts(child, taken)
+            elif reads(child) and not (linky and size(child, False) <= 80):
+                yield from texts(child, True)
+            else:
+                yield from texts(child, False, True)
+        if taken and own_text(node):
+            yield "".join(t for t, _ in own_text(node))
+
+    return " ".join(texts(root, False))
+
+
+def test_main_text_against_a_plain_recursion():
+    draw = random.Random(9)
+
+    def made(depth):
+        if depth == 0 or draw.random() < 0.3:
+            words = draw.choice([3, 10, 40])
+            text = f"{draw.randrange(10**6)}" + "".join(draw.choice(["x,", "xyz", "x"]) for _ in range(words))
+            return ("p", [text, ("a", "l" * draw.choice([5, 30, 90]))] if draw.random() < 0.4 else [text])
+        return ("div", [made(depth - 1) for _ in range(draw.randrange(1, 4))])
+
+    def written(node):
+        if isinstance(node, str):
+            return node
+        return f"<{node[0]}>{node[1] if node[0] == 'a' else ''.join(map(written, node[1]))}</{node[0]}>"
+
+    for _ in range(300):
+        tree = ("body", [("div", [made(3) for _ in range(3)])])
+        assert main_text.main_text(f"<html>{written(tree)}</html>") == plain_choice(tree)
+
+
 def test_main_text_leaves_out_longer_comments():
     comments = "<article class=comment><p>Long, comment, by, a, reader.</p></article>" * 30
     page = "<div class=content><h1>Title</h1><p>Some text, with commas.</p><p>More, and more.</p></div><div id=comments>%s</div>" % comments
