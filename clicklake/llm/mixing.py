@@ -9,13 +9,12 @@ A source's rate is target / size. Every document is taken ``floor(rate)`` times,
 that is left once more for a seeded, evenly spread part of the documents. Documents are ranked within
 their source by size class, then by a seeded hash; the k-th is taken once more if the running sum of
 the fraction passes a whole number at k. So taken words miss the target by about one of the largest
-documents, where independent draws would miss it by the square root of their number. Then the draw is
-changed for a few documents of each source, which mostly brings the words within about a small one.
+documents, where independent draws would miss it by the square root of their number.
 
-Where documents differ so much in size that a source still misses its target by more than ``NEAR`` words, the
-rest is filled from the largest size down, as many of each size as fit, until none of the documents that
-could be changed fits in what is missing. This has no count to stop at. It is planned from one row per
-source and size, which are at most the root of twice the source's words, and ranks rows within slices only.
+Then the draw is changed for some documents of each source, so that its words come nearer: from the largest size down,
+as many of each size as fit in what is missing, or too much, until none of the documents that could be
+changed fits. This has no count to stop at. It is planned from one row per source and size, which are at most
+the root of twice the source's words, and ranks rows within slices only.
 
 Ranks are made without bringing a source to one task: rows are numbered within (source, size class,
 slice), slices being as many as hold ``SLICE_ROWS`` rows each, and offsets come from the counts. Slices are
@@ -28,6 +27,7 @@ of their own; an empty table gives no rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 import pyarrow as pa
@@ -39,8 +39,6 @@ from clicklake.llm.common import written
 MAX_EPOCHS = 3
 SLICE_ROWS = 200_000
 SEED = "mix"
-ROUNDS, CHANGES = 3, 64
-NEAR = 64
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -126,8 +124,6 @@ def mix(
             whole.alias("__whole"), (part > 0).alias("__loose"), once_more.cast("bigint").alias("__more"),
         )
     )
-    for _ in range(ROUNDS):
-        chosen = _corrected(written(chosen, "chosen"))
     chosen = _filled(written(chosen, "chosen"))
     times = F.col("__whole") + F.col("__more")
     return chosen.select(
@@ -135,26 +131,11 @@ def mix(
     )
 
 
-def _corrected(chosen: DataFrame) -> DataFrame:
-    """Change the fraction's draw for a few documents of each source, so that its words come nearer.
-
-    Of the documents no larger than what is missing, or too much, the ``CHANGES`` largest are gone
-    through from the top while their sum fits. Spark limits the ranking before its shuffle, so no source
-    comes to one task.
-    """
-    order = Window.partitionBy("source").orderBy(F.desc("size"), "__place")
-    largest = _open(chosen).withColumn("n", F.row_number().over(order)).filter(F.col("n") <= CHANGES)
-    running = F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    return _changed(chosen, largest.withColumn("sum", running).filter("sum <= abs(missing)"))
-
-
 def _filled(chosen: DataFrame) -> DataFrame:
-    """Change the fraction's draw for as many documents as it takes, in sources that miss by more than ``NEAR`` words."""
-    open_ = _open(chosen).filter(F.abs("missing") > NEAR)
+    """Change the fraction's draw for as many documents of each source as it takes."""
+    open_ = _open(chosen)
     counts = open_.groupBy("source", "size", "__slice").agg(F.count(F.lit(1)).alias("n"), F.first("missing").alias("missing"))
     counts = written(counts, "open_sizes")
-    if counts.isEmpty():
-        return chosen
     sizes = counts.groupBy("source", "size").agg(F.sum("n").alias("n"), F.first("missing").alias("missing"))
     fill = sizes.groupBy("source").applyInArrow(_fitting, sizes.select("source", "size", F.col("n").alias("wanted")).schema)
     same_size = [F.col("d.source").eqNullSafe(F.col("g.source")), F.col("d.size") == F.col("g.size")]
@@ -172,20 +153,25 @@ def _fitting(sizes: pa.Table) -> pa.Table:
     sizes = sizes.sort_by([("size", "descending")])
     left, wanted = abs(sizes.column("missing")[0].as_py()), []
     for size, n in zip(sizes.column("size").to_pylist(), sizes.column("n").to_pylist()):
-        wanted.append(min(n, int(left // size)))
+        wanted.append(min(n, math.floor(left / size)))
         left -= wanted[-1] * size
     made = sizes.select(["source", "size"]).append_column("wanted", pa.array(wanted, pa.int64()))
     return made.filter(pc.greater(made.column("wanted"), 0))
 
 
 def _open(chosen: DataFrame) -> DataFrame:
-    """Documents that are no larger than what is missing, or too much, and whose change brings the words nearer."""
+    """Documents that are no larger than what is missing, or too much, and whose change brings the words nearer.
+
+    What is missing has a row for each source. It is written first, so that Spark knows its size and reads the
+    documents where they are, and the draw is compared by a condition that cannot become a key of the join.
+    """
     taken = F.sum((F.col("__whole") + F.col("__more")) * F.col("size"))
-    missing = chosen.groupBy("source").agg((F.max("target") - taken).alias("missing"))
+    missing = written(chosen.groupBy("source").agg((F.max("target") - taken).alias("missing")), "missing")
     return (
         chosen.alias("d")
         .join(missing.alias("m"), F.col("d.source").eqNullSafe(F.col("m.source")))
-        .filter("d.__loose and d.size > 0 and d.size <= abs(m.missing) and d.__more = if(m.missing > 0, 0, 1)")
+        .filter("d.__loose and d.size > 0 and d.size <= abs(m.missing)")
+        .filter("d.__more = 0 and m.missing > 0 or d.__more = 1 and m.missing < 0")
         .select("d.source", "d.size", "d.__place", "d.__slice", "m.missing")
     )
 

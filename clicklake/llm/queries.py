@@ -76,22 +76,25 @@ WITH sized AS (
   FROM ranked JOIN rates ON ranked.source IS NOT DISTINCT FROM rates.source
 )
 """
-for _k in range(mixing.ROUNDS):
-    SQL["op6_mixing"] += f""", missing{_k} AS (
-  SELECT *, target - sum((whole + more) * size) OVER (PARTITION BY source) AS missing FROM chosen{_k}
-), open{_k} AS (
-  SELECT source, place, size, missing, row_number() OVER (PARTITION BY source ORDER BY size DESC, place) AS n FROM missing{_k}
-  WHERE loose AND size > 0 AND size <= abs(missing) AND more = CASE WHEN missing > 0 THEN 0 ELSE 1 END
-), changed{_k} AS (
-  SELECT source, place FROM (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY size DESC, place
-    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS total FROM open{_k} WHERE n <= {mixing.CHANGES}) WHERE total <= abs(missing)
-), chosen{_k + 1} AS (
-  SELECT d.* EXCLUDE (more), CASE WHEN c.place IS NULL THEN more ELSE 1 - more END AS more
-  FROM chosen{_k} d LEFT JOIN changed{_k} c ON d.place = c.place AND d.source IS NOT DISTINCT FROM c.source
+SQL["op6_mixing"] = SQL["op6_mixing"].replace("WITH sized", "WITH RECURSIVE sized", 1) + """, missing AS (
+  SELECT *, target - sum((whole + more) * size) OVER (PARTITION BY source) AS missing FROM chosen0
+), open AS (
+  SELECT source, place, size, abs(missing) AS missing, row_number() OVER (PARTITION BY source, size ORDER BY place) AS n FROM missing
+  WHERE loose AND size > 0 AND size <= abs(missing) AND (more = 0 AND missing > 0 OR more = 1 AND missing < 0)
+), sizes AS (
+  SELECT source, size, max(missing) AS missing, count(*) AS n, row_number() OVER (PARTITION BY source ORDER BY size DESC) AS k
+  FROM open GROUP BY source, size
+), fill AS (
+  SELECT source, size, k, least(n, floor(missing / size)) AS wanted, missing - least(n, floor(missing / size)) * size AS rest
+  FROM sizes WHERE k = 1
+  UNION ALL
+  SELECT s.source, s.size, s.k, least(s.n, floor(f.rest / s.size)), f.rest - least(s.n, floor(f.rest / s.size)) * s.size
+  FROM fill f JOIN sizes s ON s.source IS NOT DISTINCT FROM f.source AND s.k = f.k + 1
+), changed AS (
+  SELECT o.source, o.place FROM open o JOIN fill f ON o.source IS NOT DISTINCT FROM f.source AND o.size = f.size WHERE o.n <= f.wanted
 )
-"""
-SQL["op6_mixing"] += f"""SELECT doc_id, size, source_size, target, CAST((whole + more) * size AS BIGINT) AS taken
-FROM chosen{mixing.ROUNDS}
+SELECT d.doc_id, d.size, d.source_size, d.target, CAST((whole + CASE WHEN c.place IS NULL THEN more ELSE 1 - more END) * d.size AS BIGINT) AS taken
+FROM chosen0 d LEFT JOIN changed c ON d.place = c.place AND d.source IS NOT DISTINCT FROM c.source
 """
 
 

@@ -217,6 +217,26 @@ def test_mix_makes_up_for_a_giant(spark, slice_rows):
             assert abs(taken[source] - target[source]) <= 100, (weights, source)
 
 
+def test_mix_with_giants_equals_its_sql(spark, folder):
+    """The registered SQL gives the rows of the query where a few texts hold most of the words, too."""
+    draw = random.Random(11)
+    rows = [(0, "w " * 100_000, "a"), *((i, "w " * 50, "a") for i in range(1, 1501))]
+    rows += [(5000 + i, "w " * draw.randrange(0, 120), "b") for i in range(1500)] + [(9000 + i, "w " * 60_000, "b") for i in range(3)]
+    rows += [(10_000 + i, "w " * draw.choice([1, 7, 300]), None) for i in range(900)] + [(20_000, None, "c"), (20_001, "w", "d"), (20_001, "w", "d")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    docs.write.parquet(f"{folder}/documents.parquet")
+    got = comparable(queries.op6_mixing(spark, folder).toArrow())
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet/*.parquet'")
+    assert got == comparable(duck.execute(queries.SQL["op6_mixing"]).to_arrow_table())
+    taken = {}
+    for r in queries.op6_mixing(spark, folder).join(docs.select("doc_id", "source").distinct(), "doc_id").collect():
+        at = taken.setdefault(r.source, [0, r.target])
+        at[0] += r.taken
+    # Of b's giants two are taken, and all its smaller texts do not make up for the part of the third.
+    assert abs(taken["a"][0] - taken["a"][1]) <= 50 and abs(taken["b"][0] - taken["b"][1]) <= 0.03 * taken["b"][1]
+
+
 # -- encoding ------------------------------------------------------------------------------------
 
 RANKS = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
