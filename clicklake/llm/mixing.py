@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from clicklake.llm.common import written
 
 MAX_EPOCHS = 3
-SLICE_ROWS = 200_000
+SLICE_ROWS = 2_000
 SEED = "mix"
 
 WORD = r"[^\x20\x09-\x0D]+"
