@@ -279,6 +279,19 @@ def op11_packing(spark: SparkSession, base: str) -> DataFrame:
 QUERIES["op11_packing"] = op11_packing
 
 
+# crc32 of ASCII text in SQL, byte by byte with the usual table of 256 entries.
+_CRC_SQL = """crc AS (
+  SELECT list(v ORDER BY i) AS t FROM (SELECT i, list_reduce([i::BIGINT] || range(8),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM range(256) r(i))
+)"""
+
+
+def _crc_sql(key: str) -> str:
+    codes = f"list_transform(string_split({key}, ''), lambda ch: ascii(ch)::BIGINT)"
+    folded = f"list_reduce([4294967295] || {codes}, lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8))"
+    return f"xor({folded}, 4294967295)"
+
+
 def op12_repair(spark: SparkSession, base: str) -> DataFrame:
     """Every conversation, damaged by rule, with its faults, the cheapest edits and the digest of the result."""
     rows = repair.prepared(repair.damaged(table(spark, base, "conversations")), gone=F.col("gone"))
@@ -292,6 +305,87 @@ def op12_repair(spark: SparkSession, base: str) -> DataFrame:
 QUERIES["op12_repair"] = op12_repair
 
 
+def _way(state: str, cost: str, edits: str) -> str:
+    """A way as text: its cost in nine digits, then its audit; some more cost and edits added."""
+    return f"lpad((left({state}, 9)::INTEGER + {cost})::VARCHAR, 9, '0') || substr({state}, 10) || '{edits}'"
+
+
+def _repair_step() -> str:
+    """The ways to the four states after a row, from those before it; the row is kept, given a role, or deleted."""
+    may = "CASE WHEN NOT go THEN {} END"
+    first = [[_way(f"s{q}", "3", "D")] for q in range(4)]
+    for state, role, before in ((1, "s", [0]), (2, "u", [0, 1, 3]), (3, "a", [2])):
+        for q in before:
+            first[state].append(f"CASE WHEN NOT go AND initial = '{role}' THEN {_way(f's{q}', 'extra', 'K')} END")
+            if role != "s":
+                first[state].append(may.format(_way(f"s{q}", "2 + extra", "R")))
+    return ", ".join(f"least({', '.join(ways)}, NULL) AS q{q}" for q, ways in enumerate(first))
+
+
+# Then rows may be inserted.
+_INSERTED = f"""q0 AS s0, q1 AS s1, least(q2, {_way("q0", "2", "I")}, {_way("q1", "2", "I")}, {_way("q3", "2", "I")}) AS s2,
+  least(q3, {_way("q2", "2", "I")}, {_way("q0", "4", "II")}, {_way("q1", "4", "II")}) AS s3"""
+
+SQL["op12_repair"] = f"""
+WITH RECURSIVE {_CRC_SQL}, hits AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {_crc_sql("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS hit
+  FROM conversations, crc
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN hit = 4 THEN 'user' ELSE role END AS role,
+         CASE hit WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(range(CASE WHEN hit = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM hits WHERE hit <> 0
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(role) || ':' || role || text), copy) AS n,
+         right(rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) AS last
+  FROM damaged
+), flagged AS (
+  SELECT conv_id, turn, role, text, n, left(role, 1) AS initial, last = '' AS blank,
+         last <> '' AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 AS duplicate,
+         last <> '' AND last NOT IN ('.', '!', '?') AS unended,
+         lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY n) || left(role, 1) NOT IN ('su', 'ua', 'au') AS illegal
+  FROM numbered
+), rows_ AS (
+  SELECT *, blank OR duplicate AS go, (unended AND NOT duplicate)::INTEGER AS extra FROM flagged
+), convs AS (
+  SELECT DISTINCT conv_id FROM conversations
+), start AS (
+  SELECT conv_id, '000000000' AS q0, NULL::VARCHAR AS q1, NULL::VARCHAR AS q2, NULL::VARCHAR AS q3 FROM convs
+), ways AS (
+  SELECT conv_id, 0::BIGINT AS n, {_INSERTED} FROM start
+  UNION ALL
+  SELECT conv_id, n, {_INSERTED} FROM (
+    SELECT w.conv_id, r.n, {_repair_step()} FROM ways w JOIN rows_ r ON w.conv_id IS NOT DISTINCT FROM r.conv_id AND r.n = w.n + 1)
+), ends AS (
+  SELECT conv_id, arg_max(least(s0, s3), n) AS best FROM ways GROUP BY conv_id
+), audits AS (
+  SELECT conv_id, left(best, 9)::BIGINT AS cost, substr(best, 10) AS audit FROM ends
+), edits AS (
+  SELECT conv_id, unnest(string_split(audit, '')) AS edit, generate_subscripts(string_split(audit, ''), 1) AS i FROM audits WHERE audit <> ''
+), placed AS (
+  SELECT *, count(*) FILTER (edit <> 'I') OVER so_far AS n, count(*) FILTER (edit <> 'D') OVER so_far AS m FROM edits
+  WINDOW so_far AS (PARTITION BY conv_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+), joined AS (
+  SELECT p.*, r.role, r.text, max(CASE WHEN m = 1 AND edit = 'K' AND r.initial = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY p.conv_id) AS heads
+  FROM placed p LEFT JOIN rows_ r ON p.conv_id IS NOT DISTINCT FROM r.conv_id AND p.n = r.n AND p.edit <> 'I'
+  WHERE edit <> 'D'
+), digests AS (
+  SELECT conv_id, sha256(string_agg(CASE WHEN edit = 'K' THEN role WHEN (m - heads) % 2 = 1 THEN 'user' ELSE 'assistant' END
+         || ':' || coalesce(text, ''), chr(10) ORDER BY i)) AS digest
+  FROM joined GROUP BY conv_id
+), counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+         count(*) FILTER (duplicate) AS duplicate, sum(extra)::BIGINT AS truncated, count(*) FILTER (illegal) AS illegal
+  FROM rows_ GROUP BY conv_id
+)
+SELECT a.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, cost, audit, coalesce(digest, sha256('')) AS repaired_sha256
+FROM audits a LEFT JOIN counts c ON a.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN digests d ON a.conv_id IS NOT DISTINCT FROM d.conv_id
+"""
+
+
 def op13_prefix_trie(spark: SparkSession, base: str) -> DataFrame:
     """The trie of all conversations, each rebuilt with the first turns of its base."""
     turns = prefix_trie.turns_of(table(spark, base, "conversations"))
@@ -299,3 +393,37 @@ def op13_prefix_trie(spark: SparkSession, base: str) -> DataFrame:
 
 
 QUERIES["op13_prefix_trie"] = op13_prefix_trie
+SQL["op13_prefix_trie"] = rf"""
+WITH {_CRC_SQL}, turns AS (
+  SELECT conv_id, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS x,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words, turn
+  FROM conversations WHERE conv_id IS NOT NULL
+), numbered AS (
+  SELECT conv_id, x, words, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, x) AS n FROM turns
+), convs AS (
+  SELECT conv_id, {_crc_sql("conv_id::VARCHAR")} % 4 AS h FROM (SELECT DISTINCT conv_id FROM turns), crc
+), rebuilt AS (
+  SELECT c.conv_id, 0 AS part, n, x, words FROM convs c JOIN numbered t ON t.conv_id = c.conv_id - c.conv_id % 20 WHERE n <= h
+  UNION ALL SELECT c.conv_id, 1, n, x, words FROM convs c JOIN numbered t USING (conv_id) WHERE n > h
+), paths AS (
+  SELECT conv_id, words, string_agg(x, '') OVER (PARTITION BY conv_id ORDER BY part, n ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS key
+  FROM rebuilt
+  UNION ALL SELECT conv_id, 0, '' FROM convs
+), nodes AS (
+  SELECT key, len(key) // 32 AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, max(words) AS words FROM paths GROUP BY key
+), children AS (
+  SELECT left(key, len(key) - 32) AS key, count(*) AS n_children FROM nodes WHERE key <> '' GROUP BY 1
+), counted AS (
+  SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN children USING (key)
+), shares AS (
+  SELECT left(key, 32 * unnest(range(depth + 1))) AS key, (n_children = 0)::BIGINT AS leaf, (n_convs - 1) * words AS saved FROM counted
+), totals AS (
+  SELECT key, sum(leaf)::BIGINT AS n_leaves, sum(saved)::BIGINT AS saved_tokens FROM shares GROUP BY key
+), ends AS (
+  SELECT key, sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)) AS digest
+  FROM (SELECT conv_id, arg_max(key, len(key)) AS key FROM paths GROUP BY conv_id) GROUP BY key
+)
+SELECT c.conv_id, c.depth, p.conv_id AS parent_conv_id, c.n_convs, c.n_children, n_leaves, saved_tokens, coalesce(digest, sha256('')) AS ends_sha256
+FROM counted c JOIN totals USING (key) LEFT JOIN ends USING (key)
+LEFT JOIN nodes p ON c.key <> '' AND p.key = left(c.key, len(c.key) - 32)
+"""
