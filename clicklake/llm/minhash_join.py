@@ -8,9 +8,13 @@ agree in ``MATCHES`` coordinates or more are candidates, and candidates are conf
 - Prefix: tokens of one document only are dropped, and the rest of each document's tokens are ordered
   by rarity. Documents that agree in ``MATCHES`` tokens must share one of all but the last
   ``MATCHES - 1``, so only that prefix is posted. Boilerplate tokens are frequent and fall outside it.
-- Collisions are counted for the pairs of a posting list in blocks of at most ``BLOCK`` documents on
-  each side, as array comparisons in a task; a long list is many tasks. A pair that meets in several
-  lists is looked at in one of them only.
+- Stars: in a list of more than ``BLOCK`` documents outside its largest component one document is compared with the
+  others, which takes as many comparisons as there are documents; so a group of near copies is mostly joined before
+  any pairs are. This is repeated ``STARS`` times at most, on what is left.
+- Collisions are counted for the pairs of a posting list in blocks of at most about ``BLOCK`` documents on
+  each side, as array comparisons in a task; a long list is many tasks. A component with more documents than that in a
+  list has blocks of its own, which are not paired with each other: only documents of different components are
+  compared. A pair that meets in several lists is looked at in one of them only.
 - Bound: a pair with enough collisions goes on if its sets, hashed into bits, leave room for the
   similarity asked for. The bound never falls below the true value, so nothing is lost by it.
 - Skip: of the pairs that pass in a block only a maximum spanning forest is put forward. It is
@@ -35,7 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from clicklake.llm.common import SPACE, mixed, runs, seeded, steps, text_bytes, written
 from clicklake.llm.components import components
@@ -44,6 +48,7 @@ WORDS = 5
 COORDINATES = 64
 MATCHES = 34
 BLOCK = 512
+STARS = 3
 NUMERATOR, DENOMINATOR = 75, 100
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -156,10 +161,27 @@ def _features(docs: DataFrame) -> DataFrame:
 
 
 def _in_blocks(lists: DataFrame) -> DataFrame:
-    """Rows of posting lists, dealt to pairs of blocks; a list of one block stays whole."""
-    sizes = lists.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    numbered = lists.join(sizes, "token").withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
-    paired = numbered.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
+    """Rows of posting lists, dealt to pairs of blocks; a list of one block stays whole.
+
+    Large components have blocks of their own, after those that the others share.
+    """
+    counts = lists.groupBy("token", "component").agg(F.count(F.lit(1)).alias("c"))
+    counts = counts.withColumn("own", F.when(F.col("c") > BLOCK, F.ceil(F.col("c") / BLOCK).cast("int")))
+    totals = counts.groupBy("token").agg(
+        F.coalesce(F.ceil(F.sum(F.when(F.col("own").isNull(), F.col("c"))) / BLOCK).cast("int"), F.lit(0)).alias("small"),
+        F.coalesce(F.sum("own").cast("int"), F.lit(0)).alias("large"),
+    )
+    before = F.sum("own").over(Window.partitionBy("token").orderBy("component").rowsBetween(Window.unboundedPreceding, -1))
+    large = counts.filter("own is not null").select("token", "component", "own", F.coalesce(before.cast("int"), F.lit(0)).alias("first"))
+    placed = lists.join(totals, "token").join(large, ["token", "component"], "left").withColumn("first", F.col("small") + F.col("first"))
+    block = F.when(F.col("own").isNull(), F.pmod(F.xxhash64("doc"), F.greatest("small", F.lit(1)))).otherwise(
+        F.col("first") + F.pmod(F.xxhash64("doc"), F.col("own"))
+    )
+    everyone = F.sequence(F.lit(0), F.col("small") + F.col("large") - 1)
+    others = F.when(F.col("own").isNull(), everyone).otherwise(
+        F.filter(everyone, lambda o: (o < F.col("first")) | (o >= F.col("first") + F.col("own")))
+    )
+    paired = placed.withColumn("block", block.cast("int")).withColumn("other", F.explode(others)).drop("small", "large", "own", "first")
     return (
         paired.withColumn("low", F.least("block", "other"))
         .withColumn("high", F.greatest("block", "other"))
@@ -169,6 +191,28 @@ def _in_blocks(lists: DataFrame) -> DataFrame:
     )
 
 
+def _stars(active: DataFrame, owners: DataFrame) -> DataFrame | None:
+    """Pairs of one document of each long posting list with the others, without those of its largest component; None if
+    no list is that long."""
+    tokens = active.select("doc", F.explode("prefix").alias("token")).join(owners, "doc", "left")
+    tokens = tokens.withColumn("component", F.coalesce("component", "doc"))
+    counts = tokens.groupBy("token", "component").agg(F.count(F.lit(1)).alias("c"))
+    lists = counts.groupBy("token").agg((F.sum("c") - F.max("c")).alias("rest"), F.max_by("component", F.struct("c", "component")).alias("most"))
+    lists = written(lists.filter(F.col("rest") > BLOCK).select("token", "most"), "long_lists")
+    if lists.isEmpty():
+        return None
+    rest = tokens.join(lists, "token").filter("component <> most").select("token", "doc", "component")
+    hubs = rest.groupBy("token").agg(F.min(F.struct(F.xxhash64("doc").alias("h"), F.col("doc").alias("hub"), F.col("component").alias("of"))).alias("hub"))
+    pairs = rest.join(hubs.select("token", "hub.hub", "hub.of"), "token").filter("component <> of").select("hub", "doc").distinct()
+    signs = active.select("doc", "n", "signature")
+    # Documents that are hubs are few; the table is written so that Spark knows it.
+    of_hubs = written(pairs.select(F.col("hub").alias("doc")).distinct().join(signs, "doc").toDF("hub", "hub_n", "hub_signature"), "hubs")
+    both = pairs.join(of_hubs, "hub").join(signs, "doc")
+    agree = F.aggregate(F.zip_with("signature", "hub_signature", lambda x, y: (x == y).cast("int")), F.lit(0), lambda t, x: t + x)
+    near = F.lit(DENOMINATOR) * F.least("n", "hub_n") >= F.lit(NUMERATOR) * F.greatest("n", "hub_n")
+    return both.filter(near & (agree >= MATCHES)).select(F.least("hub", "doc").alias("a"), F.greatest("hub", "doc").alias("b")).distinct()
+
+
 def _bits(values: pa.Array, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Each set, given by 16 bits of its hashes, as a row of packed bits; and how many of it share one."""
     width = 1 << int(np.clip(np.ceil(np.log2(16 * size.max())), 10, 16))
@@ -279,6 +323,13 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 _POSTED = "aggregate({tokens}, 0L, (a, t) -> a | shiftleft(1L, cast(shiftright(t + 2147483648L, 32) as int)))"
 
 
+def _open_lists(owned: DataFrame, tokens: str) -> DataFrame:
+    """``token, doc`` of the posting lists that have documents of different components."""
+    posted = owned.select("doc", "component", F.explode(tokens).alias("token"))
+    ends = posted.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    return posted.join(ends.filter("low <> high").select("token"), "token").select("token", "doc")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for each row of ``docs`` (doc_id, text)."""
     features = written(_features(docs), "features")
@@ -304,19 +355,27 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     active = written(ordered.join(classes, "doc").join(sets.select("doc", "hashed"), "doc"), "active")
     carried = ["doc", "component", "n", "signature", "posted", "hashed"]
 
+    links = active.select(F.col("doc").alias("a"), F.col("doc").alias("b")).limit(0)
+    found = active.select(F.col("doc").alias("node"), F.col("doc").alias("component")).limit(0)
+    for _ in range(STARS):
+        pairs = _stars(active, found.select(F.col("node").alias("doc"), "component"))
+        more = None if pairs is None else _confirmed(pairs, sets)
+        if more is None or more.isEmpty():
+            break
+        links = links.unionByName(more)
+        found = components(links)
     few = F.array_distinct(F.concat(F.slice("prefix", 1, 3), F.slice("prefix", -1, 1)))
-    first = active.withColumn("component", F.col("doc")).withColumn("few", few)
-    first = first.withColumn("posted", F.expr(_POSTED.format(tokens="few")))
-    links = _confirmed(_candidates(first.withColumn("token", F.explode("few")).select("token", *carried), True), sets)
+    first = active.join(found.select(F.col("node").alias("doc"), "component"), "doc", "left")
+    first = first.withColumn("component", F.coalesce("component", "doc")).withColumn("few", few)
+    first = written(first.withColumn("posted", F.expr(_POSTED.format(tokens="few"))).drop("prefix"), "first")
+    more = _confirmed(_candidates(_open_lists(first, "few").join(first, "doc").select("token", *carried), True), sets)
+    links = links.unionByName(more)
     found = components(links)
     for forest in (True, False):
         owners = found.select(F.col("node").alias("doc"), "component")
         owned = active.drop("component").join(owners, "doc", "left").withColumn("component", F.coalesce("component", "doc"))
         owned = written(owned.withColumn("posted", F.expr(_POSTED.format(tokens="prefix"))), "owned")
-        tokens = owned.select("doc", "component", F.explode("prefix").alias("token"))
-        ends = tokens.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        open_lists = tokens.join(ends.filter("low <> high").select("token"), "token").select("token", "doc")
-        more = _confirmed(_candidates(open_lists.join(owned, "doc").select("token", *carried), forest), sets)
+        more = _confirmed(_candidates(_open_lists(owned, "prefix").join(owned, "doc").select("token", *carried), forest), sets)
         if not more.isEmpty():
             links = links.unionByName(more)
             found = components(links)
