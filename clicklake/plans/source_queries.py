@@ -150,9 +150,11 @@ def layout_repartition(spark, base):
 
 @query("SELECT * FROM lineitem")
 def layout_coalesce(spark, base):
-    """Half as many tasks as the shuffle before it leaves."""
-    spread = repartition_rows(read_table(spark, base, "lineitem"), 2 * shuffle_partitions(spark))
-    return coalesce_rows(spread, shuffle_partitions(spark))
+    """One task for what many tasks read: the scan is cut finely, and nothing is shuffled."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+    session.conf.set("spark.sql.files.openCostInBytes", "0")
+    return coalesce_rows(read_table(session, base, "lineitem"), shuffle_partitions(spark))
 
 
 @query(
