@@ -92,26 +92,6 @@ def test_near_duplicates(spark, monkeypatch, block):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got.values())
 
 
-def test_work_grows_in_step_with_a_cluster(spark, monkeypatch):
-    """Near copies of one text, each with a date of its own, are mostly joined before pairs of blocks are made."""
-    monkeypatch.setattr(minhash_join, "BLOCK", 16)
-    dealt = []
-    in_blocks = minhash_join._in_blocks
-
-    def counted(lists):
-        made = in_blocks(lists)
-        dealt[-1] += made.count()
-        return made
-
-    monkeypatch.setattr(minhash_join, "_in_blocks", counted)
-    body = " ".join(f"word{i}" for i in range(120))
-    for size in (150, 600):
-        dealt.append(0)
-        docs = spark.createDataFrame([(i, f"{body} on day {i} of the year") for i in range(size)], "doc_id bigint, text string")
-        assert {r.component_id for r in minhash_join.near_duplicates(docs).collect()} == {0}
-    assert dealt[1] <= 5 * max(dealt[0], 150), dealt
-
-
 def test_near_duplicates_of_odd_tables(spark):
     kind = "doc_id bigint, text string, token string, component bigint"
     assert minhash_join.near_duplicates(spark.createDataFrame([], kind)).count() == 0
