@@ -74,6 +74,6 @@ def test_all_queries_are_registered():
     import __spark_entry__
 
     names = set(__spark_entry__.queries())
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in queries.QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in queries.QUERIES}
     assert {*queries.QUERIES, "pipeline"} <= names
     assert set(__spark_entry__.oracle_sql()) <= names
