@@ -4,7 +4,9 @@ A string that starts in several places is found in five steps.
 
 1. Anchors: of each window of ``LENGTH`` bytes the ``GRAM``-byte strings with the least hash are anchors.
    Whether a string is one depends on its window alone, so equal windows have equal anchors at equal
-   places. A row per anchor goes by its hash to a task that sees all anchors of that hash.
+   places. A row per anchor goes by its hash to a task that sees all anchors of that hash. Anchors
+   that a sample of the documents shows to be common are dealt by anchor and fragment, so those of a
+   passage in a third of all documents are spread over many tasks.
 2. Copies: the fragment of an anchor holds every window around it. If a fragment equals an earlier one,
    all its windows start earlier, and it is done. Of a fragment that stands in thousands of
    documents one row is left. Copies within one step of a task do not wait for that: they are dealt
@@ -45,6 +47,8 @@ GRAM = 16
 SORTED_FRAGMENTS = 2048
 CROWDED = 100_000  # different fragments of one anchor that a task may sort: 18 MB of text
 SYMBOL = 10  # bytes; LENGTH is a multiple
+# Common anchors stand in COMMON_DOCS of SAMPLED_DOCS documents; one that is missed costs time, not rows.
+SAMPLED_DOCS, COMMON_DOCS, MAX_COMMON = 2000, 10, 10_000
 
 _BYTE = seeded(11, 256)
 _ROOT = int(seeded(12, 1)[0]) | 1
@@ -93,8 +97,34 @@ def anchors(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     return grams[at], fragments, owner, at - starts[owner]
 
 
-def _anchor_rows(docs: DataFrame) -> DataFrame:
-    """``gram, fragment, doc, place``; ``place`` is ``-1 - place`` for a copy of one in the same step."""
+def _common_anchors(docs: DataFrame) -> np.ndarray:
+    """Sorted hashes of anchors in many of the documents that a hash of the id puts first.
+
+    At most ``MAX_COMMON`` numbers reach the driver. They say how rows are dealt, not which there are.
+    """
+    spread = F.xxhash64("doc_id", F.lit("anchors"))
+    sampled = docs.filter("doc_id is not null").select(spread.alias("h")).orderBy("h").limit(SAMPLED_DOCS)
+    last = sampled.agg(F.max("h")).first()[0]
+    if last is None:
+        return np.zeros(0, np.uint64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for step in steps(batches, "text"):
+            gram, _, owner, _ = anchors(step.column("text"))
+            order = np.lexsort((owner, gram))
+            gram, owner = gram[order], owner[order]
+            new = np.ones(len(gram), bool)
+            new[1:] = (gram[1:] != gram[:-1]) | (owner[1:] != owner[:-1])
+            yield pa.RecordBatch.from_arrays([pa.array(gram[new].view(np.int64))], names=["gram"])
+
+    grams = docs.filter(spread <= last).select("text").mapInArrow(run, "gram bigint")
+    counted = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= COMMON_DOCS)
+    found = counted.orderBy(F.desc("n"), "gram").limit(MAX_COMMON).collect()
+    return np.sort(np.array([r.gram for r in found], np.int64).view(np.uint64))
+
+
+def _anchor_rows(docs: DataFrame, common: np.ndarray) -> DataFrame:
+    """``gram, fragment, doc, place, common``; ``place`` is ``-1 - place`` for a copy of one in the same step."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,20 +143,25 @@ def _anchor_rows(docs: DataFrame) -> DataFrame:
             same &= ~again
             key = np.where(same, mixed(gram ^ mixed(doc.astype(np.uint64)) ^ place.astype(np.uint64)), gram)
             columns = [key.view(np.int64), np.where(same, 0, fragment.view(np.int64)), doc, np.where(same, -1 - place, place)]
+            often = np.isin(gram, common) & ~same
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c[~again]) for c in columns[:3]] + [pa.array(columns[3][~again].astype(np.int32))],
-                names=["gram", "fragment", "doc", "place"],
+                [pa.array(c[~again]) for c in (*columns[:3], columns[3].astype(np.int32), often)],
+                names=["gram", "fragment", "doc", "place", "common"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"gram bigint, fragment bigint, doc {kind}, place int")
+    return docs.select("doc_id", "text").mapInArrow(
+        run, f"gram bigint, fragment bigint, doc {kind}, place int, common boolean"
+    )
 
 
 def _marked(rows: DataFrame) -> DataFrame:
-    """``doc, mark``: ``2 * place`` of copies, ``2 * place + 1`` of fragments whose bytes are wanted.
+    """``doc, mark, n``: ``2 * place`` of copies, ``2 * place + 1`` of fragments whose bytes are wanted.
 
     Rows come sorted, so a fragment's first row is its earliest. Bytes are wanted of first rows whose
     anchor has another fragment; where a batch ends within an anchor's rows, of its first rows anyway.
-    An anchor with more than ``CROWDED`` fragments is told by a row without a document, marked with its hash.
+    Of a common anchor a task sees some of the fragments only, so all first rows are wanted.
+    Rows without a document tell ``n`` fragments of an anchor, marked with its hash: in parts for common
+    anchors, else the whole number where it is above ``CROWDED``.
     """
     kind = rows.schema["doc"].dataType.simpleString()
     id_type = pa.int32() if kind == "int" else pa.int64()
@@ -135,15 +170,16 @@ def _marked(rows: DataFrame) -> DataFrame:
         before: tuple | None = None
         carried = 0  # fragments so far of the anchor that the last batch ended in
 
-        def told(grams: list[int]) -> pa.RecordBatch:
-            nobody = pa.nulls(len(grams), id_type)
-            return pa.RecordBatch.from_arrays([nobody, pa.array(grams, pa.int64())], names=["doc", "mark"])
+        def told(grams: list[int], counts: list[int]) -> pa.RecordBatch:
+            columns = [pa.nulls(len(grams), id_type), pa.array(grams, pa.int64()), pa.array(counts, pa.int64())]
+            return pa.RecordBatch.from_arrays(columns, names=["doc", "mark", "n"])
 
         for batch in batches:
             n = batch.num_rows
             if not n:
                 continue
             gram, fragment, doc, place = (batch.column(c).to_numpy() for c in ("gram", "fragment", "doc", "place"))
+            common = batch.column("common").to_numpy(zero_copy_only=False)
             local = place < 0
             new_gram, new_fragment, again = np.ones(n, bool), np.ones(n, bool), np.zeros(n, bool)
             new_gram[1:] = gram[1:] != gram[:-1]
@@ -153,30 +189,34 @@ def _marked(rows: DataFrame) -> DataFrame:
                 new_fragment[0] = before[1] != fragment[0]
                 again[0] = not new_fragment[0] and before[2:] == (doc[0], place[0])
             run_of = np.cumsum(new_gram)
-            firsts = np.bincount(run_of, new_fragment & ~local, minlength=run_of[-1] + 1)
+            first = new_fragment & ~local
+            firsts = np.bincount(run_of, first & ~common, minlength=run_of[-1] + 1)
             ends = np.append(np.flatnonzero(new_gram)[1:], n) - 1  # last row of each anchor
             sums = firsts[1:].astype(np.int64)
             if before is not None and before[0] == gram[0]:
                 sums[0] += carried
             elif before is not None and carried > CROWDED:
-                yield told([before[0]])
+                yield told([before[0]], [carried])
             over = np.flatnonzero(sums[:-1] > CROWDED)
             if len(over):
-                yield told(gram[ends[over]].tolist())
+                yield told(gram[ends[over]].tolist(), sums[over].tolist())
+            if common.any():
+                part = np.bincount(run_of, first & common, minlength=run_of[-1] + 1)[1:].astype(np.int64)
+                yield told(gram[ends[part > 0]].tolist(), part[part > 0].tolist())
             carried = int(sums[-1])
-            wanted = new_fragment & ~local & ((firsts[run_of] > 1) | (run_of == run_of[0]) | (run_of == run_of[-1]))
+            wanted = first & (common | (firsts[run_of] > 1) | (run_of == run_of[0]) | (run_of == run_of[-1]))
             copies = (local | ~new_fragment) & ~again
             at = np.where(local, -1 - place, place).astype(np.int64)
             keep = copies | wanted
             before = (int(gram[-1]), int(fragment[-1]), doc[-1], place[-1])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(doc[keep]), pa.array((2 * at + wanted)[keep])], names=["doc", "mark"]
-            )
+            columns = [pa.array(doc[keep]), pa.array((2 * at + wanted)[keep]), pa.nulls(int(keep.sum()), pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc", "mark", "n"])
         if before is not None and carried > CROWDED:
-            yield told([before[0]])
+            yield told([before[0]], [carried])
 
-    sorted_rows = rows.repartition("gram").sortWithinPartitions("gram", "fragment", "doc", "place")
-    return sorted_rows.mapInArrow(run, f"doc {kind}, mark bigint")
+    dealt = rows.repartition("gram", F.when(F.col("common"), F.col("fragment")))
+    sorted_rows = dealt.sortWithinPartitions("gram", "fragment", "doc", "place")
+    return sorted_rows.mapInArrow(run, f"doc {kind}, mark bigint, n bigint")
 
 
 def sorted_suffixes(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -429,14 +469,15 @@ def without_repeats(docs: DataFrame, text: str = "text", kept: str = "kept", as_
     is left of such a character and gives a string.
     """
     texts = docs.select("doc_id", F.col(text).alias("text"))
-    marks = written(_marked(_anchor_rows(texts)), "marks")
+    marks = written(_marked(_anchor_rows(texts, _common_anchors(texts))), "marks")
     by_doc = marks.filter("doc is not null").groupBy("doc").agg(F.collect_list("mark").alias("marks"))
     # Both joins deal whole documents by id, in the same way, so that Spark deals them once. Neither
     # side is bounded: no broadcast.
     marked = docs.join(by_doc.hint("merge"), docs["doc_id"] == by_doc["doc"], "left")
     marked = marked.select(docs["doc_id"], docs[text].alias("text"), by_doc["marks"])
     fragments = _fetched(marked)
-    crowded = marks.filter("doc is null").select(F.col("mark").alias("gram"))
+    counted = marks.filter("doc is null").groupBy(F.col("mark").alias("gram")).agg(F.sum("n").alias("n"))
+    crowded = counted.filter(F.col("n") > CROWDED).select("gram")
     if crowded.isEmpty():
         ranges = _ranges(fragments)
     else:

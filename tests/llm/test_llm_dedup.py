@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from clicklake.llm import components as graph
 from clicklake.llm import metric_join, minhash_join, repeats
@@ -201,10 +202,12 @@ def repeat_rows():
     return [(11 * i, text) for i, text in enumerate(rows)]
 
 
+@pytest.mark.parametrize("common", [10, 2, 10**6])
 @pytest.mark.parametrize("held, crowded", [(2048, 100_000), (5, 100_000), (2048, 6)])
-def test_repeats(spark, monkeypatch, held, crowded):
+def test_repeats(spark, monkeypatch, held, crowded, common):
     monkeypatch.setattr(repeats, "SORTED_FRAGMENTS", held)
     monkeypatch.setattr(repeats, "CROWDED", crowded)
+    monkeypatch.setattr(repeats, "COMMON_DOCS", common)
     rows = repeat_rows()
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(7)
     got = {
@@ -214,6 +217,22 @@ def test_repeats(spark, monkeypatch, held, crowded):
     assert got == repeats_by_force(rows)
 
 
+def test_a_common_passage_is_dealt_over_tasks(spark):
+    """600 different surroundings of one passage: its rows do not meet in one task."""
+    draw = random.Random(3)
+    passage = "".join(draw.choice("licence line ") for _ in range(130))
+    rows = [(i, "".join(draw.choice("abcdefgh ") for _ in range(150)) + passage + "".join(draw.choice("ijklmnop ") for _ in range(150))) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    common = repeats._common_anchors(docs)
+    assert 0 < len(common) < 60
+    anchors_ = repeats._anchor_rows(docs, common)
+    most = anchors_.groupBy("gram").count().agg(F.max("count")).first()[0]
+    parts = anchors_.groupBy("gram", F.when(F.col("common"), F.col("fragment"))).count().agg(F.max("count")).first()[0]
+    assert most == 600 and parts < 60
+    assert repeats.without_repeats(docs).agg(F.min(F.when(F.col("doc_id") > 0, F.col("n_removed")))).first()[0] >= 130
+    assert len(repeats._common_anchors(docs.limit(0))) == 0
+
+
 def test_repeats_of_odd_tables(spark):
     kind = "doc_id bigint, text string, kept int, n_spans int, marks int"
     assert repeats.without_repeats(spark.createDataFrame([], kind)).count() == 0
