@@ -188,13 +188,18 @@ RULES = (
 )
 
 
+# Names below which the hosts of the given pages are unrelated.
+SHARED_SUFFIXES = ("example.com", "example.net", "example.org")
+
+
 def op1_host_reputation(spark: SparkSession, base: str) -> DataFrame:
     """Every page judged by the rules, else by its host's reputation.
 
     The outcome of a page is the quality of the document that has its number.
     """
     outcomes = table(spark, base, "labels").select(F.col("doc_id").alias("page_id"), F.col("quality").alias("good"))
-    judged = reputation.judge(table(spark, base, "pages").select("page_id", "url"), outcomes, RULES)
+    pages = table(spark, base, "pages").select("page_id", "url")
+    judged = reputation.judge(pages, outcomes, RULES, suffixes=(*SHARED_SUFFIXES, *reputation.SUFFIXES))
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 

@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from clicklake.llm.common import free_name, written
 
@@ -28,8 +28,9 @@ MIN_GOOD = 0.5
 Z = 1.645
 # Bounds of a prior's strength, in pages.
 WEAKEST, STRONGEST = 1.0, 10_000.0
-# Names that unrelated parties register below; otherwise the last label is the suffix.
-SUFFIXES = ("example.com", "example.net", "example.org", "co.uk", "com.au", "co.jp")
+# Names that unrelated parties register below; otherwise the last label is the suffix. These few are a
+# default only: a whole list is given as a table (see read_suffixes).
+SUFFIXES = ("co.uk", "com.au", "co.jp")
 
 Rule = tuple[str, str, str]  # host, path, verdict
 
@@ -73,6 +74,41 @@ def domain_and_suffix(host: Column, suffixes: Sequence[str] = SUFFIXES) -> tuple
     return domain, suffix
 
 
+def read_suffixes(spark: SparkSession, path: str) -> DataFrame:
+    """Rules of a file of public suffixes: one in a line, ``*.`` for any label, ``!`` for an exception, ``//`` for remarks."""
+    rule = F.lower(F.regexp_extract("value", r"^\s*(\S+)", 1))
+    return spark.read.text(path).select(rule.alias("suffix")).filter("suffix <> '' and not startswith(suffix, '//')")
+
+
+def _last_labels(count: Column) -> Column:
+    return F.call_function("substring_index", F.col("host"), F.lit("."), -count)
+
+
+def placed_hosts(hosts: DataFrame, suffixes: Sequence[str] | DataFrame) -> DataFrame:
+    """Add ``domain`` and ``suffix`` to distinct hosts.
+
+    A table of rules (column ``suffix``) is joined to the ends of each host. An exception wins, else the rule of
+    most labels; a host no rule fits has its last label as suffix, and one that is a suffix is its own domain.
+    """
+    if not isinstance(suffixes, DataFrame):
+        domain, suffix = domain_and_suffix(F.col("host"), suffixes)
+        return hosts.withColumns({"domain": domain, "suffix": suffix})
+    rule = F.col("suffix")
+    more = F.when(rule.startswith("!"), -1).when(rule.startswith("*."), 1).otherwise(0)
+    rules = suffixes.filter(rule.isNotNull()).select(F.regexp_replace(rule, r"^(!|\*\.)", "").alias("end"), more.alias("more")).distinct()
+    labels = F.split("host", r"\.")
+    ends = hosts.select("host", F.explode(F.sequence(F.lit(1), F.size(labels))).alias("k"))
+    ends = ends.withColumn("end", _last_labels(F.col("k")))
+    fits = ends.join(rules, "end").withColumn("n", F.col("k") + F.col("more")).filter(F.col("n") <= F.size(labels))
+    best = fits.groupBy(F.col("host").alias("__host")).agg(F.max(F.struct(F.col("more") < 0, "n")).getField("n").alias("__n"))
+    n = F.coalesce("__n", F.lit(1))
+    return (
+        hosts.join(best, F.col("host") == F.col("__host"), "left")
+        .withColumns({"domain": _last_labels(n + 1), "suffix": _last_labels(n)})
+        .drop("__host", "__n")
+    )
+
+
 def _strength(children: DataFrame) -> float:
     """How many pages the prior of a level counts for. ``children``: n, good, mean (of the parent).
 
@@ -95,21 +131,19 @@ def _strength(children: DataFrame) -> float:
     return STRONGEST if r <= 0 else float(min(STRONGEST, max(WEAKEST, (1 - r) / r)))
 
 
-def host_reputation(pages: DataFrame, outcomes: DataFrame, suffixes: Sequence[str] = SUFFIXES) -> DataFrame:
+def host_reputation(pages: DataFrame, outcomes: DataFrame, suffixes: Sequence[str] | DataFrame = SUFFIXES) -> DataFrame:
     """``host, n, good, mean, low, high``: the posterior share of good pages of each host, with its bounds.
 
-    ``pages``: page_id, host. ``outcomes``: page_id, good (0 or 1).
+    ``pages``: page_id, host. ``outcomes``: page_id, good (0 or 1). ``suffixes``: a few names, or a table.
     """
-    domain, suffix = domain_and_suffix(F.col("host"), suffixes)
     told = outcomes.filter(F.col("page_id").isNotNull() & F.col("good").isNotNull())
     hosts = (
         pages.select("page_id", "host")
         .join(told.select("page_id", "good"), "page_id", "left")
         .groupBy("host")
         .agg(F.count("good").alias("n"), F.coalesce(F.sum("good"), F.lit(0)).alias("good"))
-        .select("host", domain.alias("domain"), suffix.alias("suffix"), "n", "good")
     )
-    hosts = written(hosts, "hosts")
+    hosts = written(placed_hosts(hosts, suffixes).select("host", "domain", "suffix", "n", "good"), "hosts")
 
     domains = hosts.groupBy("suffix", "domain").agg(F.sum("n").alias("dn"), F.sum("good").alias("dg"))
     domains = written(domains, "domains")
@@ -151,7 +185,7 @@ def judge(
     rules: Sequence[Rule] = (),
     url: str = "url",
     page_id: str = "page_id",
-    suffixes: Sequence[str] = SUFFIXES,
+    suffixes: Sequence[str] | DataFrame = SUFFIXES,
     min_good: float = MIN_GOOD,
 ) -> DataFrame:
     """Add ``host``, ``path``, ``rule`` and ``verdict`` (allow or block) to every page."""
