@@ -3,8 +3,8 @@
 A text's letters are read as lower-cased bytes, everything else as one blank kind. Its runs of two to
 four bytes are hashed to ``BUCKETS`` rows of an embedding table, the text is the mean of its rows, and a
 linear layer with softmax tells the language. Table and layer are learnt together by stochastic
-gradient descent in numpy on the driver, from at most ``MAX_DOCS`` documents, of which only counted
-buckets travel.
+gradient descent in numpy on the driver, from at most ``MAX_DOCS`` documents with ``MAX_COUNTS``
+buckets, of which only these counts travel. Equal rows are learnt from once.
 
 A part of these documents calibrates: a temperature makes the probabilities honest, and the confidence
 is found below which predictions have to be rejected, so that of the accepted ones at most
@@ -25,7 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
 from clicklake.llm.common import free_name, id_remainder, steps, text_bytes
@@ -37,6 +37,7 @@ GRAMS = (2, 3, 4)
 DIMENSIONS = 16
 # Documents to learn from, chosen by a hash of the id. Each has BUCKETS counts at most.
 MAX_DOCS = 3000
+MAX_COUNTS = 12_000_000  # 8 bytes each; so many buckets at most, and those of one document
 EPOCHS = 6
 UPDATES = 1500  # at least so many steps, so that few documents are gone through more often
 BATCH = 16
@@ -146,11 +147,22 @@ def _calibrate(model: LanguageModel, logits: np.ndarray, y: np.ndarray) -> None:
     model.accept_from = float(p.max(axis=1)[order[good[-1]]]) if len(good) else 1.0
 
 
-def train_language(docs: DataFrame, max_docs: int = MAX_DOCS) -> LanguageModel | None:
-    """Learn from ``text`` and non-null ``lang`` of documents whose crc32 remainder modulo 3 is not 1."""
+def train_language(docs: DataFrame, max_docs: int = MAX_DOCS, max_counts: int = MAX_COUNTS) -> LanguageModel | None:
+    """Learn from ``text`` and non-null ``lang`` of documents whose crc32 remainder modulo 3 is not 1.
+
+    The documents lowest by a hash of the id are taken, until there are ``max_docs``, or their texts may
+    have ``max_counts`` buckets; reruns take the same ones.
+    """
     usable = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (id_remainder("doc_id", 3) != 1))
-    chosen = usable.select("doc_id").orderBy(F.xxhash64("doc_id", F.lit("language")), "doc_id").limit(max_docs).distinct()
-    texts = usable.select("doc_id", "text", "lang").join(F.broadcast(chosen), "doc_id")
+    usable = usable.select("doc_id", "text", "lang", F.xxhash64("text").alias("t"))
+    buckets = F.least(F.octet_length("text") * len(GRAMS), F.lit(BUCKETS)).cast("bigint")
+    keys = ["h", "doc_id", "lang", "t"]
+    first = usable.select(F.xxhash64("doc_id", F.lit("language")).alias("h"), "doc_id", "lang", "t", buckets.alias("n"))
+    first = first.orderBy(*keys).limit(max_docs).distinct()
+    # One task orders these rows, of which there are max_docs.
+    before = F.sum("n").over(Window.orderBy(*keys)) - F.col("n")
+    chosen = first.withColumn("before", before).filter(F.col("before") < max_counts).select("doc_id", "lang", "t")
+    texts = usable.join(F.broadcast(chosen), ["doc_id", "lang", "t"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for step in steps(batches, "text"):
@@ -162,12 +174,14 @@ def train_language(docs: DataFrame, max_docs: int = MAX_DOCS) -> LanguageModel |
             columns = [
                 step.column("doc_id").cast(pa.string()),
                 step.column("lang"),
+                step.column("t"),
                 *(pa.array([b[k].astype(np.int32) for b in bags], pa.list_(pa.int32())) for k in (0, 1)),
             ]
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "lang", "buckets", "counts"])
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "lang", "t", "buckets", "counts"])
 
-    got = texts.mapInArrow(run, "id string, lang string, buckets array<int>, counts array<int>").limit(2 * max_docs).toArrow()
-    got = got.combine_chunks().sort_by([("id", "ascending"), ("lang", "ascending")])
+    bags_ = texts.mapInArrow(run, "id string, lang string, t bigint, buckets array<int>, counts array<int>")
+    got = bags_.dropDuplicates(["id", "lang", "t"]).toArrow()
+    got = got.combine_chunks().sort_by([("id", "ascending"), ("lang", "ascending"), ("t", "ascending")])
     bags, labels = [], []
     for lang, buckets, counts in zip(got.column("lang"), got.column("buckets"), got.column("counts")):
         if len(buckets):
