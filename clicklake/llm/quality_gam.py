@@ -22,7 +22,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
 from clicklake.llm.common import SPACE, free_name, id_remainder, steps, text_bytes
 
@@ -229,27 +229,28 @@ def train_quality(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS)
     """Fit on labelled documents whose crc32 remainder modulo 4 is not 2.
 
     ``labels``: doc_id and quality. At most ``max_rows`` label rows are used, those lowest by a hash
-    of the id, so that is also the bound of the broadcast.
+    of the id, so that is also the bound of the broadcast. Where ids repeat, at most four times as many
+    texts are learnt from, those lowest by the same hash, then by their features: reruns give the same model.
     """
     chosen = (
         labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & (id_remainder("doc_id", 4) != 2))
         .select("doc_id", F.col("quality").cast("int").alias("quality"))
-        .orderBy(F.xxhash64("doc_id", F.lit("quality")), "doc_id", "quality")
+        .withColumn("spread", F.xxhash64("doc_id", F.lit("quality")))
+        .orderBy("spread", "doc_id", "quality")
         .limit(max_rows)
     )
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    kind = StructType([StructField("x", ArrayType(DoubleType())), StructField("quality", DoubleType())])
+    kind = StructType([StructField("spread", LongType()), StructField("x", ArrayType(DoubleType())), StructField("quality", DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for step in steps(batches, "text"):
             rows = text_features(step.column("text"))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(list(rows), pa.list_(pa.float64())), step.column("quality").cast(pa.float64())],
-                names=["x", "quality"],
+                [step.column("spread"), pa.array(list(rows), pa.list_(pa.float64())), step.column("quality").cast(pa.float64())],
+                names=["spread", "x", "quality"],
             )
 
-    # Copies of a chosen id in the documents could exceed the bound; the limit keeps it.
-    got = texts.mapInArrow(run, kind).limit(4 * max_rows).toArrow()
+    got = texts.mapInArrow(run, kind).orderBy("spread", "x", "quality").limit(4 * max_rows).toArrow()
     x = np.array(got.column("x").to_pylist(), float).reshape(-1, len(FEATURES))
     y = got.column("quality").to_numpy()
     order = np.lexsort([*x.T, y])  # rows arrive in any order; sums must not depend on it
