@@ -125,6 +125,73 @@ def test_rules_and_parts(spark):
     assert reputation.judge(pages.limit(0), outcomes, queries.RULES).count() == 0
 
 
+def test_suffixes_of_a_file(spark, folder):
+    path = f"{folder}/suffixes.txt"
+    os.makedirs(folder, exist_ok=True)
+    with open(path, "w") as file:
+        file.write("// remark\n\ncom\nuk\nCo.uk  more\ngithub.io\n*.ck\n!www.ck\n")
+    hosts = {
+        "a.b.com": ("b.com", "com"),
+        "com": ("com", "com"),
+        "x.y.co.uk": ("y.co.uk", "co.uk"),
+        "co.uk": ("co.uk", "co.uk"),
+        "me.github.io": ("me.github.io", "github.io"),
+        "a.b.c.ck": ("b.c.ck", "c.ck"),
+        "www.ck": ("www.ck", "ck"),
+        "z.www.ck": ("www.ck", "ck"),
+        "ck": ("ck", "ck"),
+        "one.two.zz": ("two.zz", "zz"),
+        "": ("", ""),
+    }
+    rows = spark.createDataFrame([(h,) for h in hosts], "host string")
+    found = reputation.placed_hosts(rows, reputation.read_suffixes(spark, path)).collect()
+    assert {r.host: (r.domain, r.suffix) for r in found} == hosts and len(found) == len(hosts)
+    nothing = spark.createDataFrame([], "suffix string")
+    assert {r.host: r.suffix for r in reputation.placed_hosts(rows, nothing).collect()}["x.y.co.uk"] == "uk"
+    pages = spark.createDataFrame([(k, h) for k, h in enumerate(hosts)], "page_id bigint, host string")
+    outcomes = spark.createDataFrame([(k, k % 2) for k in range(11)], "page_id bigint, good int")
+    assert reputation.host_reputation(pages, outcomes, reputation.read_suffixes(spark, path)).count() == len(hosts)
+
+
+def test_training_is_bounded_and_repeats(spark):
+    """Copies of an id count once for the language, and reruns learn from the same rows."""
+    texts = ["the cat and the dog", "der Hund und die Katze"]
+    rows = [(i % 30, texts[i % 2] + " " + "abcdefgh"[i % 8], ("en", "de")[i % 2]) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    models = [language.train_language(docs.repartition(n)) for n in (1, 7)]
+    assert np.array_equal(models[0].table, models[1].table)
+    few = language.train_language(docs, max_counts=1)
+    assert len(few.languages) == 1  # the first document alone
+    labels = spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id bigint, quality int")
+    scores = []
+    for n in (1, 7):
+        model = quality_gam.train_quality(docs.repartition(n), labels, max_rows=20)
+        scores.append(model.score(quality_gam.text_features(pa.array(texts))).tolist())
+    assert scores[0] == scores[1]
+
+
+def test_language_scores_by_a_plain_loop():
+    """Scores of a table, bucket by bucket of each run of bytes."""
+    draw = np.random.default_rng(5)
+    table = draw.normal(size=(language.BUCKETS + 1, 3))
+    table[-1] = 0
+    model = language.LanguageModel(["a", "b", "c"], table, draw.normal(size=3), temperature=0.7)
+    texts = ["Hello, World 42", "é à", "ab", "x", "", "the the the"]
+    got = model.probabilities(pa.array(texts))
+    for text, row in zip(texts, got):
+        codes = [b | 32 if 65 <= b <= 90 or 97 <= b <= 122 else b if b >= 128 else 32 for b in text.encode()]
+        total, n = np.zeros(3), 0
+        for length in (2, 3, 4):
+            for at in range(len(codes) - length + 1):
+                value = length
+                for code in codes[at : at + length]:
+                    value = (value * 0x9E3779B97F4A7C15 % 2**64) ^ code
+                total += table[value * 0xD6E8FEB86659FD93 % 2**64 >> 64 - language.BITS]
+                n += 1
+        logits = (total / max(1, n) + model.bias) / 0.7
+        assert np.allclose(row, np.exp(logits) / np.exp(logits).sum())
+
+
 def test_shrinkage(spark):
     """A host with many bad pages is blocked, one with two is not, and a new host takes its domain's mean."""
     rows, good = [], []
