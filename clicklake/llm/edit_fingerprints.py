@@ -11,8 +11,9 @@ ranges of it, the smallest power of two that holds it and the next one, so texts
 each other's length have a range in common. Likeness is the share of sampled positions that agree,
 of those where one of the two texts still has characters.
 
-Near pairs come from banding: runs of ``BAND`` sampled positions are keys, and what shares a key is
-verified on all samples.
+Near pairs come from banding: runs of sampled positions are keys, and what shares a key is verified on all
+samples. Runs are as long as the threshold allows: a pair at the threshold shares a key with a probability of
+``RECALL`` or more, if positions agree independently.
 
 Defined results: null counts as empty; equal texts have equal fingerprints; two empty texts are alike
 (1.0), an empty and another text are not (0.0); texts without a common range have likeness 0.0.
@@ -35,7 +36,7 @@ from clicklake.session import shuffle_partitions
 KINDS = 64
 PERIOD = 4096
 SAMPLES = 256
-BAND = 16
+RECALL = 0.99
 BLOCK = 512
 LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
 BEYOND = "."  # a position after the end of the walk
@@ -117,6 +118,14 @@ def fingerprints(docs: DataFrame, text: str = "text", name: str = "fingerprint")
     return docs.mapInArrow(run, schema)
 
 
+def band_width(threshold: float, recall: float = RECALL) -> int:
+    """Samples of a key: the largest power of two up to 32 by which a pair at ``threshold`` is found often enough."""
+    for width in (32, 16, 8, 4, 2):
+        if (1 - threshold**width) ** (SAMPLES // width) <= 1 - recall:
+            return width
+    return 1
+
+
 def near_pairs(prints: DataFrame, threshold: float, node: str = "doc_id", name: str = "fingerprint") -> DataFrame:
     """``a, b, likeness``: links that connect all that is near through a shared band.
 
@@ -126,6 +135,7 @@ def near_pairs(prints: DataFrame, threshold: float, node: str = "doc_id", name:
     so buckets of copies never list their pairs.
     """
     kind = prints.schema[node].dataType.simpleString()
+    width = band_width(threshold)
     rows = prints.select(F.col(node).alias("doc"), F.col(name).alias("print")).filter("doc is not null and print is not null")
     folded = rows.groupBy("print").agg(F.min("doc").alias("doc"))
     equal = rows.join(folded.withColumnRenamed("doc", "a"), "print").filter("doc <> a").select(
@@ -139,8 +149,8 @@ def near_pairs(prints: DataFrame, threshold: float, node: str = "doc_id", name:
                 power, symbols = value.split(":")
                 for half in (0, 1) if symbols else ():
                     part = np.frombuffer(symbols.encode(), np.uint8)[half * SAMPLES :][:SAMPLES][_SHUFFLED]
-                    for band in range(0, SAMPLES, BAND):
-                        piece = part[band : band + BAND]
+                    for band in range(0, SAMPLES, width):
+                        piece = part[band : band + width]
                         if (piece != ord(BEYOND)).any():
                             mark = b"%d:%d:" % (int(power) + half, band) + piece.tobytes()
                             keys.append(int.from_bytes(hashlib.blake2b(mark, digest_size=8).digest(), "little", signed=True))
@@ -167,17 +177,20 @@ def near_pairs(prints: DataFrame, threshold: float, node: str = "doc_id", name:
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in runs(batches, ["token", "low", "high"]):
             doc, block = piece.column("doc").to_numpy(), piece.column("block").to_numpy()
-            parts = []
+            parts, powers = [], []
             for value, range_ in zip(piece.column("print").to_pylist(), piece.column("range").to_pylist()):
                 power, symbols = value.split(":")
+                powers.append(int(power))
                 parts.append(np.frombuffer(symbols.encode(), np.uint8)[(range_ - int(power)) * SAMPLES :][:SAMPLES])
-            signs = np.array(parts)
+            signs, smaller = np.array(parts), np.array(powers)
+            compared = piece.column("range")[0].as_py()
             group = np.arange(len(doc))
             ends: list[tuple] = []
             for i in range(len(doc)):
                 some = (signs != ord(BEYOND)) | (signs[i] != ord(BEYOND))
                 like = ((signs == signs[i]) & some).sum(axis=1) / np.maximum(1, some.sum(axis=1))
-                near = (like >= threshold) & (group != group[i])
+                # Two texts are compared in the smallest range that both have, as by likeness().
+                near = (like >= threshold) & (group != group[i]) & (np.maximum(smaller, smaller[i]) == compared)
                 if piece.column("low")[0].as_py() != piece.column("high")[0].as_py():
                     near &= block != block[i]
                 while near.any():
