@@ -399,6 +399,61 @@ def test_near_pairs(spark, monkeypatch, block):
     assert edit_fingerprints.near_pairs(edit_fingerprints.fingerprints(docs.limit(0)), 0.6).count() == 0
 
 
+@pytest.mark.parametrize("threshold", [0.6, 0.75, 0.9])
+def test_near_pairs_find_what_brute_force_finds(spark, threshold):
+    """Edited copies of short and long texts, and of texts whose walks just fill a power of two."""
+    draw = random.Random(9)
+    texts = []
+    for size in (60, 500, 510, 1000, 1020, 2040):
+        for _ in range(8):
+            chars = [draw.choice("abcdefgh ") for _ in range(size)]
+            texts.append("".join(chars))
+            for edits in (1, 3, size // 40):
+                copy = list(chars)
+                for _ in range(edits):
+                    p = draw.randrange(len(copy))
+                    copy[p : p + draw.choice([0, 1])] = draw.choice(["x", "", "yz"])
+                texts.append("".join(copy))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    prints = [edit_fingerprints.fingerprint(t) for t in texts]
+    near = [(a, b) for a in range(len(texts)) for b in range(a) if edit_fingerprints.likeness(prints[a], prints[b]) >= threshold]
+    found = edit_fingerprints.near_pairs(edit_fingerprints.fingerprints(docs), threshold).collect()
+    from test_llm_dedup import least_reachable
+
+    assert {(max(r.a, r.b), min(r.a, r.b)) for r in found} <= set(near)
+    owners = least_reachable(range(len(texts)), [(r.a, r.b) for r in found])
+    assert len(near) > 20 and sum(owners[a] == owners[b] for a, b in near) >= 0.99 * len(near)
+
+
+def test_walks_character_by_character():
+    """The samples of a fingerprint, from a walk that writes its output symbol by symbol."""
+    draw = random.Random(2)
+    stays = edit_fingerprints.seeded(21, edit_fingerprints.KINDS * edit_fingerprints.PERIOD)
+    for size in (1, 40, 700, 5000):
+        text = "".join(draw.choice("abc dé日") for _ in range(size))
+        output, at = [], 0
+        while at < size:
+            kind = (ord(text[at]) + 37 * (ord(text[at]) >> 6)) % edit_fingerprints.KINDS
+            place = len(output) % edit_fingerprints.PERIOD
+            output.append(edit_fingerprints.LETTERS[kind])
+            goes = int(stays[kind * edit_fingerprints.PERIOD + place]) >> 40 & 1
+            at += goes or place == edit_fingerprints.PERIOD - 1
+        power, symbols = edit_fingerprints.fingerprint(text).split(":")
+        for half in (0, 1):
+            places = [int(p * (1 << int(power) + half)) for p in edit_fingerprints.PLACES]
+            want = "".join(output[p] if p < len(output) else edit_fingerprints.BEYOND for p in places)
+            assert symbols[half * edit_fingerprints.SAMPLES :][: edit_fingerprints.SAMPLES] == want
+
+
+def test_fingerprints_beside_a_column_of_that_name(spark):
+    rows = [(1, "a b", 7, 1.5), (2, None, 8, 2.5)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, fingerprint int, near_next double")
+    made = edit_fingerprints.fingerprints(docs)
+    assert made.columns == ["doc_id", "text", "fingerprint", "near_next", "_fingerprint"]
+    assert sorted(r.fingerprint for r in made.collect()) == [7, 8]
+    assert edit_fingerprints.compared_with_next(docs).filter("near_next <= 1").count() == 2
+
+
 # -- main text -----------------------------------------------------------------------------------
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body class="with-sidebar">
