@@ -171,6 +171,14 @@ def test_range_join_of_odd_tables(spark):
 # -- repeats -------------------------------------------------------------------------------------
 
 
+def test_range_join_beside_columns_of_its_names(spark):
+    kind = "vec_id bigint, embedding array<double>, label string, n_links string, component_id string, kept int, key int, unit int"
+    rows = [(1, [1.0, 0.0], "a", "x", "y", 1, 2, 3), (2, [1.0, 0.01], "a", "x", "y", 1, 2, 3), (3, [0.0, 1.0], "a", "x", "y", 1, 2, 3)]
+    made = metric_join.range_join(spark.createDataFrame(rows, kind), 0.93)
+    got = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in made.collect())
+    assert got == [(1, 1, 1, True), (2, 1, 1, False), (3, 0, 3, True)]
+
+
 def repeats_by_force(rows, length=100):
     seen, out = {}, {}
     for doc, text in sorted(rows):

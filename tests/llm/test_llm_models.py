@@ -45,6 +45,21 @@ def test_pairs_learn_what_single_features_cannot():
     assert ((model.score(x[3000:]) > 0.5) == y[3000:]).mean() > 0.9
 
 
+def test_quality_scores_by_a_plain_loop():
+    """Scores as the sum of table entries, each bin found by counting the edges up to the value."""
+    draw = np.random.default_rng(1)
+    x = np.round(draw.uniform(size=(600, len(quality_gam.FEATURES))), 2)
+    model = quality_gam.fit_gam(x, ((x[:, 1] > 0.4) ^ (x[:, 3] > 0.6)).astype(float))
+    assert model.pairs
+    for row, score in zip(x[:80], model.score(x[:80])):
+        total = model.base
+        for value, edges, table in zip(row, model.edges, model.tables):
+            total += table[sum(edge <= value for edge in edges)]
+        for (a, b), table in zip(model.pairs, model.pair_tables):
+            total += table[sum(e <= row[a] for e in model.pair_edges[a])][sum(e <= row[b] for e in model.pair_edges[b])]
+        assert abs(score - 1 / (1 + np.exp(-total))) < 1e-12
+
+
 def test_quality_on_held_out_rows(spark):
     base = "/root/testdata/sf0.01"
     labels = spark.read.parquet(f"{base}/labels.parquet")
