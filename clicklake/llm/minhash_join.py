@@ -8,9 +8,12 @@ agree in ``MATCHES`` coordinates or more are candidates, and candidates are conf
 - Prefix: tokens of one document only are dropped, and the rest of each document's tokens are ordered
   by rarity. Documents that agree in ``MATCHES`` tokens must share one of all but the last
   ``MATCHES - 1``, so only that prefix is posted. Boilerplate tokens are frequent and fall outside it.
-- Collisions are counted for the pairs of a posting list in blocks of at most ``BLOCK`` documents on
-  each side, as array comparisons in a task; a long list is many tasks. A pair that meets in several
-  lists is looked at in one of them only.
+- Collisions are counted as array comparisons in a task, in blocks of about ``BLOCK`` documents; a long
+  list is many blocks. A pair that meets in several lists is looked at in one of them only.
+- The first pass compares each block of a list in itself and with about ``HUBS`` documents of the whole
+  list, so its work is in step with the list, and a group of near copies is mostly joined by it. Later passes
+  compare all pairs of blocks, but documents of one component never meet: a component with more than ``BLOCK``
+  documents in a list has blocks of its own there, which are not paired with each other.
 - Bound: a pair with enough collisions goes on if its sets, hashed into bits, leave room for the
   similarity asked for. The bound never falls below the true value, so nothing is lost by it.
 - Skip: of the pairs that pass in a block only a maximum spanning forest is put forward. It is
@@ -35,7 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from clicklake.llm.common import SPACE, mixed, runs, seeded, steps, text_bytes, written
 from clicklake.llm.components import components
@@ -44,6 +47,7 @@ WORDS = 5
 COORDINATES = 64
 MATCHES = 34
 BLOCK = 512
+HUBS = 32
 NUMERATOR, DENOMINATOR = 75, 100
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -155,18 +159,43 @@ def _features(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, _FEATURES.format(id=docs.schema["doc_id"].dataType.simpleString()))
 
 
-def _in_blocks(lists: DataFrame) -> DataFrame:
-    """Rows of posting lists, dealt to pairs of blocks; a list of one block stays whole."""
-    sizes = lists.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    numbered = lists.join(sizes, "token").withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
-    paired = numbered.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
-    return (
-        paired.withColumn("low", F.least("block", "other"))
-        .withColumn("high", F.greatest("block", "other"))
-        .drop("other")
-        .repartition("token", "low", "high")
-        .sortWithinPartitions("token", "low", "high", "doc")
+def _near_blocks(lists: DataFrame) -> DataFrame:
+    """Rows ``token, doc`` of posting lists dealt to blocks, some documents (the list's hubs) to all of its blocks.
+
+    Which documents are hubs goes by a hash, so lists of about the same documents share them.
+    """
+    sizes = lists.groupBy("token").agg(F.count(F.lit(1)).alias("docs")).filter("docs > 1")
+    blocks = F.ceil(F.col("docs") / BLOCK).cast("int")
+    place = F.shiftrightunsigned(F.xxhash64("doc", F.lit("hub")), 11) / float(1 << 53)
+    dealt = F.when(place * F.col("docs") < HUBS, F.sequence(F.lit(0), blocks - 1)).otherwise(F.array("block"))
+    numbered = lists.join(sizes, "token").withColumn("block", F.pmod(F.xxhash64("doc"), blocks).cast("int"))
+    return numbered.select("token", "doc", "block", F.explode(dealt).alias("low")).withColumn("high", F.col("low"))
+
+
+def _paired_blocks(lists: DataFrame) -> DataFrame:
+    """Rows ``token, doc, component`` of posting lists dealt to all pairs of blocks that hold different components.
+
+    A large component of a list has blocks of its own, after those that the others share.
+    """
+    counts = lists.groupBy("token", "component").agg(F.count(F.lit(1)).alias("docs"))
+    counts = counts.withColumn("own", F.when(F.col("docs") > BLOCK, F.ceil(F.col("docs") / BLOCK).cast("int")))
+    totals = counts.groupBy("token").agg(
+        F.coalesce(F.ceil(F.sum(F.when(F.col("own").isNull(), F.col("docs"))) / BLOCK).cast("int"), F.lit(0)).alias("small"),
+        F.coalesce(F.sum("own").cast("int"), F.lit(0)).alias("large"),
+    )
+    earlier = Window.partitionBy("token").orderBy("component").rowsBetween(Window.unboundedPreceding, -1)
+    large = counts.filter("own is not null").select(
+        "token", "component", "own", F.coalesce(F.sum("own").over(earlier).cast("int"), F.lit(0)).alias("before")
+    )
+    placed = lists.join(totals, "token").join(large, ["token", "component"], "left")
+    first, own, small = F.col("small") + F.col("before"), F.col("own"), F.col("small")
+    block = F.when(own.isNull(), F.pmod(F.xxhash64("doc"), F.greatest(small, F.lit(1)))).otherwise(
+        first + F.pmod(F.xxhash64("doc"), own)
     )
+    everyone = F.sequence(F.lit(0), small + F.col("large") - 1)
+    others = F.when(own.isNull(), everyone).otherwise(F.filter(everyone, lambda o: (o < first) | (o >= first + own)))
+    paired = placed.select("token", "doc", block.cast("int").alias("block"), F.explode(others).alias("other"))
+    return paired.select("token", "doc", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
 
 
 def _bits(values: pa.Array, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -189,10 +218,11 @@ def _may_be_similar(bits: np.ndarray, spare: np.ndarray, size: np.ndarray, i: np
     return passed
 
 
-def _candidates(lists: DataFrame, forest: bool) -> DataFrame:
+def _candidates(dealt: DataFrame, owned: DataFrame, forest: bool) -> DataFrame:
     """Pairs ``(a, b)`` of different components that may be links: a forest of each piece, or all.
 
-    ``lists``: token, doc, component, n, signature, posted (a bit for each posted coordinate), hashed.
+    ``dealt``: token, doc, block, low, high. ``owned``, a row for each document: doc, component, n, signature,
+    posted (a bit for each posted coordinate), hashed.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,8 +263,10 @@ def _candidates(lists: DataFrame, forest: bool) -> DataFrame:
                 [pa.array(np.minimum(doc[i], doc[k])), pa.array(np.maximum(doc[i], doc[k]))], names=["a", "b"]
             )
 
-    kind = lists.schema["doc"].dataType.simpleString()
-    return _in_blocks(lists).mapInArrow(run, f"a {kind}, b {kind}").filter("a <> b").distinct()
+    kind = dealt.schema["doc"].dataType.simpleString()
+    carried = owned.select("doc", "component", "n", "signature", "posted", "hashed")
+    pieces = dealt.join(carried, "doc").repartition("token", "low", "high").sortWithinPartitions("token", "low", "high", "doc")
+    return pieces.mapInArrow(run, f"a {kind}, b {kind}").filter("a <> b").distinct()
 
 
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -302,12 +334,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     ordered = written(ordered, "prefixes")
     sets = _sets(docs, ordered.select(F.col("doc").alias("doc_id")))
     active = written(ordered.join(classes, "doc").join(sets.select("doc", "hashed"), "doc"), "active")
-    carried = ["doc", "component", "n", "signature", "posted", "hashed"]
 
     few = F.array_distinct(F.concat(F.slice("prefix", 1, 3), F.slice("prefix", -1, 1)))
     first = active.withColumn("component", F.col("doc")).withColumn("few", few)
     first = first.withColumn("posted", F.expr(_POSTED.format(tokens="few")))
-    links = _confirmed(_candidates(first.withColumn("token", F.explode("few")).select("token", *carried), True), sets)
+    links = _confirmed(_candidates(_near_blocks(first.select(F.explode("few").alias("token"), "doc")), first, True), sets)
     found = components(links)
     for forest in (True, False):
         owners = found.select(F.col("node").alias("doc"), "component")
@@ -315,8 +346,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         owned = written(owned.withColumn("posted", F.expr(_POSTED.format(tokens="prefix"))), "owned")
         tokens = owned.select("doc", "component", F.explode("prefix").alias("token"))
         ends = tokens.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        open_lists = tokens.join(ends.filter("low <> high").select("token"), "token").select("token", "doc")
-        more = _confirmed(_candidates(open_lists.join(owned, "doc").select("token", *carried), forest), sets)
+        open_lists = tokens.join(ends.filter("low <> high").select("token"), "token")
+        more = _confirmed(_candidates(_paired_blocks(open_lists), owned, forest), sets)
         if not more.isEmpty():
             links = links.unionByName(more)
             found = components(links)

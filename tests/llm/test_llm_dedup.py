@@ -93,6 +93,35 @@ def test_near_duplicates(spark, monkeypatch, block):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got.values())
 
 
+@pytest.mark.parametrize("strays", [0, 2])
+def test_work_grows_in_step_with_a_cluster(spark, monkeypatch, strays):
+    """Near copies of one text, each with a date of its own, beside texts that share posting lists with them."""
+    monkeypatch.setattr(minhash_join, "BLOCK", 16)
+    monkeypatch.setattr(minhash_join, "HUBS", 8)
+    dealt = []
+
+    def counted(deal):
+        def run(lists):
+            made = deal(lists)
+            dealt[-1] += made.count()
+            return made
+
+        return run
+
+    for name in ("_near_blocks", "_paired_blocks"):
+        monkeypatch.setattr(minhash_join, name, counted(getattr(minhash_join, name)))
+    body = [f"word{i}" for i in range(120)]
+    for size in (150, 600):
+        dealt.append(0)
+        rows = [(i, " ".join(body) + f" on day {i} of the year") for i in range(size)]
+        rows += [(size + s, " ".join(body[:100] + [f"other{s}x{i}" for i in range(20)])) for s in range(strays)]
+        docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+        got = {r.doc_id: r.component_id for r in minhash_join.near_duplicates(docs).collect()}
+        assert got == {i: i if i >= size else 0 for i, _ in rows}
+    print(dealt)
+    assert dealt[1] <= 6 * dealt[0], dealt
+
+
 def test_near_duplicates_of_odd_tables(spark):
     kind = "doc_id bigint, text string, token string, component bigint"
     assert minhash_join.near_duplicates(spark.createDataFrame([], kind)).count() == 0
