@@ -338,8 +338,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     few = F.array_distinct(F.concat(F.slice("prefix", 1, 3), F.slice("prefix", -1, 1)))
     first = active.withColumn("component", F.col("doc")).withColumn("few", few)
     first = first.withColumn("posted", F.expr(_POSTED.format(tokens="few")))
-    links = _confirmed(_candidates(_near_blocks(first.select(F.explode("few").alias("token"), "doc")), first, True), sets)
-    found = components(links)
+    found = components(_confirmed(_candidates(_near_blocks(first.select(F.explode("few").alias("token"), "doc")), first, True), sets))
     for forest in (True, False):
         owners = found.select(F.col("node").alias("doc"), "component")
         owned = active.drop("component").join(owners, "doc", "left").withColumn("component", F.coalesce("component", "doc"))
@@ -349,8 +348,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         open_lists = tokens.join(ends.filter("low <> high").select("token"), "token")
         more = _confirmed(_candidates(_paired_blocks(open_lists), owned, forest), sets)
         if not more.isEmpty():
-            links = links.unionByName(more)
-            found = components(links)
+            # What is joined goes on as stars around the least documents, which takes fewer rounds than its links.
+            found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
 
     classes_found = folded.join(found.withColumnRenamed("node", "doc"), "doc", "left").select(
         "set_id", "n_shingles", F.coalesce("component", "doc").alias("component_id")
