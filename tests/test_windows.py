@@ -210,3 +210,10 @@ def test_many_clicks_at_one_time_are_folded(spark):
     clicks = spark.createDataFrame(rows, CLICK)
     assert rows_of(cart_after_favorite(clicks)) == sorted(wanted, key=repr)
     assert rows_of(cart_after_favorite(clicks, max_group_rows=50)) == sorted(wanted, key=repr)
+
+
+def test_parts_are_found_by_search(spark, plan_of):
+    """A row reads one cut a step; copies of the cuts cost more the more there are."""
+    df = spark.createDataFrame(skewed_clicks(1000), SCHEMA)
+    plan = plan_of(numbered_rows(df, ["user", "id"], max_part_rows=100))
+    assert "aggregate(" in plan and "slice(" not in plan and "filter(" not in plan
