@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, TimestampType
@@ -29,12 +31,23 @@ _TOKENS_SQL = r"(SELECT doc_id, unnest(regexp_split_to_array(lower(text), '\s'))
 # -- streams -------------------------------------------------------------------------------------
 
 
+def _in_files(rows, path, batches, kind="parquet", times=1):
+    """Write rows in random order as files for a stream; returns how many a batch takes, for ``batches`` batches.
+
+    There are as many files as batches, or more so that each is written and read by a task of ordinary size: ``times`` the
+    splits of the input.
+    """
+    dealt = rows.repartition(max(batches, times * rows.rdd.getNumPartitions()))
+    dealt.write.format(kind).save(path)
+    return max(1, math.ceil(len(rows.sparkSession.read.format(kind).load(path).inputFiles()) / batches))
+
+
 @query(f"SELECT word, count(*) AS count FROM {ALL_PARTS_SQL} GROUP BY word")
 def stream_word_count(spark, base):
     path = scratch_path(spark, "words")
-    # Several files and one of them a batch: words recur, and no batch holds the whole table.
-    read_table(spark, base, "documents").select("text").repartition(4).write.parquet(f"{path}/in")
-    lines = file_stream(streaming_session(spark), f"{path}/in", record(text=StringType()), files_per_batch=1)
+    # Several batches: words recur, and no batch holds the whole table.
+    files = _in_files(texts_table(spark, base, "text"), f"{path}/in", 4)
+    lines = file_stream(streaming_session(spark), f"{path}/in", record(text=StringType()), files_per_batch=files)
     start_word_count(lines, f"{path}/updates", f"{path}/checkpoint", drain=True, line="text").awaitTermination()
     compact_updates(spark, f"{path}/updates", WORD_COUNT, ["word"])
     return read_word_count(spark, f"{path}/updates")
@@ -63,17 +76,18 @@ _LINE_MS = f"({_FIRST_MS} + CAST(doc_id AS BIGINT) * 60000)"
         GROUP BY 1, 2"""
 )
 def stream_windowed_words(spark, base):
-    """Closed windows of a word count over event time, in four batches of which the last one comes too late."""
+    """Closed windows of a word count over event time, in batches of a split of the input, three at least, and a last one that comes too late."""
     path = scratch_path(spark, "windows")
     lines = read_table(spark, base, "documents").select("doc_id", "text", F.expr(_LINE_MS).alias("ms"))
     on_time = lines.filter("doc_id % 17 <> 0").select("text", F.timestamp_millis("ms").alias("time"))
-    # Times rise from file to file, except for the last: its lines belong to windows long before the first.
-    parts = on_time.repartitionByRange(3, "time").withColumn("n", F.spark_partition_id())
+    # Times rise from part to part, except for the last: its lines belong to windows long before the first.
+    n_parts = max(3, lines.rdd.getNumPartitions())
+    parts = on_time.repartitionByRange(n_parts, "time").withColumn("n", F.spark_partition_id())
     late = lines.filter("doc_id % 17 = 0").select("text", F.timestamp_millis(F.col("ms") - 400 * 86_400_000).alias("time"))
-    parts.unionByName(late.withColumn("n", F.lit(3))).write.partitionBy("n").parquet(f"{path}/lines")
+    parts.unionByName(late.withColumn("n", F.lit(n_parts))).write.partitionBy("n").parquet(f"{path}/lines")
     schema = record(text=StringType(), time=TimestampType())
     session = streaming_session(spark)
-    for n in range(4):  # a run for each part: state and watermark go on where the last run ended
+    for n in range(n_parts + 1):  # a run for each part: state and watermark go on where the last run ended
         stream = file_stream(session, f"{path}/lines/n={{{','.join(map(str, range(n + 1)))}}}", schema)
         start_windowed_word_count(stream, f"{path}/counts", f"{path}/checkpoint", "time", drain=True, line="text").awaitTermination()
     counts = record(start=TimestampType(), end=TimestampType(), word=StringType(), count=LongType())
@@ -84,11 +98,11 @@ def stream_windowed_words(spark, base):
 def stream_triggers(spark, base):
     """Of each batch of two streams over the documents whether it came by the trigger asked for."""
     path = scratch_path(spark, "triggers")
-    read_table(spark, base, "documents").select("text").repartition(2).write.parquet(f"{path}/in")
+    files = _in_files(texts_table(spark, base, "text"), f"{path}/in", 2)
     told = []
     with BatchNotes(spark) as notes:
         for trigger, options in (("drain", {"drain": True}), ("interval", {"interval": "1 second"})):
-            lines = file_stream(spark, f"{path}/in", record(text=StringType()), files_per_batch=1)
+            lines = file_stream(spark, f"{path}/in", record(text=StringType()), files_per_batch=files)
             running = start_line_details(lines, f"{path}/{trigger}", f"{path}/{trigger}-checkpoint", **options, line="text")
             if trigger == "drain":
                 running.awaitTermination()  # ends by itself once all files are read
@@ -104,7 +118,7 @@ def stream_triggers(spark, base):
 def _review_messages(spark, base):
     """Every conversation turn as a good review message, and three bad ones made from each.
 
-    Written as lines, in several files.
+    Written as lines, in several files; returns the folder and how many of them a batch takes.
     """
     turns = read_table(spark, base, "conversations")
 
@@ -123,8 +137,8 @@ def _review_messages(spark, base):
     bad = [F.substr(good, F.lit(1), F.length(good) - 5), message(F.lit("")), F.col("text")]
     path = scratch_path(spark, "messages")
     messages = turns.select(F.explode(F.array(good, *bad)).alias("value")).filter("value is not null")
-    messages.select(F.regexp_replace("value", "[\\r\\n]+", " ").alias("value")).repartition(3).write.text(path)
-    return path
+    lines = messages.select(F.regexp_replace("value", "[\\r\\n]+", " ").alias("value"))
+    return path, str(_in_files(lines, path, 3, "text", times=4))
 
 
 _VALID_SQL = """SELECT CAST(conv_id AS VARCHAR) AS "customerId", role AS "productId", conv_id || '-' || turn AS "reviewId",
@@ -134,7 +148,8 @@ _VALID_SQL = """SELECT CAST(conv_id AS VARCHAR) AS "customerId", role AS "produc
 @query(_VALID_SQL)
 def stream_parse_valid(spark, base):
     path = scratch_path(spark, "valid")
-    messages = message_stream(spark, "text", path=_review_messages(spark, base), maxFilesPerTrigger="1")
+    source, files = _review_messages(spark, base)
+    messages = message_stream(spark, "text", path=source, maxFilesPerTrigger=files)
     valid = valid_messages(parsed_messages(messages, REVIEW), "reviewBody")
     append_files(valid, f"{path}/rows", f"{path}/checkpoint", drain=True).awaitTermination()
     return spark.read.schema(REVIEW).parquet(f"{path}/rows")
@@ -194,9 +209,9 @@ def ml_review_scores(spark, base):
 def stream_review_scores(spark, base):
     """Whether each message's label on the stream is that of the same messages in batch."""
     path = scratch_path(spark, "scores")
-    source = _review_messages(spark, base)
+    source, files = _review_messages(spark, base)
     model = _trained(spark, base, "reviewBody")
-    messages = message_stream(spark, "text", path=source, maxFilesPerTrigger="1")
+    messages = message_stream(spark, "text", path=source, maxFilesPerTrigger=files)
     outputs = (f"{path}/scores", f"{path}/rejects", f"{path}/checkpoint")
     start_scoring(messages, model, *outputs, drain=True, fold_every=2).awaitTermination()
     streamed = batch_files(spark, f"{path}/scores", SCORED_REVIEW)
@@ -217,7 +232,8 @@ def stream_review_scores(spark, base):
 def stream_review_rejects(spark, base):
     """Messages that cannot be scored, by sender: broken ones, whose sender may be lost, and those without a text."""
     path = scratch_path(spark, "rejects")
-    messages = message_stream(spark, "text", path=_review_messages(spark, base), maxFilesPerTrigger="1")
+    source, files = _review_messages(spark, base)
+    messages = message_stream(spark, "text", path=source, maxFilesPerTrigger=files)
     outputs = (f"{path}/scores", f"{path}/rejects", f"{path}/checkpoint")
     start_scoring(messages, _trained(spark, base, "reviewBody"), *outputs, drain=True, fold_every=1).awaitTermination()
     rejects = batch_files(spark, f"{path}/rejects", REJECTED_REVIEW)

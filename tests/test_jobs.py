@@ -1,5 +1,7 @@
 """Jobs in batch and on streams, with restarts."""
 
+import os
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -487,3 +489,36 @@ def test_split_is_stable_and_whole(spark):
 def test_tokens(spark):
     df = spark.createDataFrame([("A b\tC ",), (None,)], "t string")
     assert [r.words for r in tokens(df, "t").collect()] == [["a", "b", "c"]]
+
+
+def test_files_of_a_stream_grow_with_the_input(spark, tmp_path):
+    from clicklake.plans.job_queries import _in_files
+
+    for splits, times, written, files in ((2, 1, 4, 1), (9, 1, 9, 3), (3, 4, 12, 3)):
+        path = str(tmp_path / f"{splits}-{times}")
+        rows = spark.range(1000, numPartitions=splits).select(F.col("id").cast("string").alias("text"))
+        assert _in_files(rows, path, 4, times=times) == files
+        assert len(spark.read.parquet(path).inputFiles()) == written and spark.read.parquet(path).distinct().count() == 1000
+    assert _in_files(rows.limit(0), str(tmp_path / "none"), 4) == 1
+
+
+def test_windowed_words_in_more_parts(spark, monkeypatch):
+    """More splits of the input make more runs of the stream, not larger ones, and the same counts."""
+    from clicklake.plans import job_queries
+
+    runs = []
+    start = job_queries.start_windowed_word_count
+    monkeypatch.setattr(job_queries, "start_windowed_word_count", lambda *args, **options: runs.append(1) or start(*args, **options))
+    table = "/root/testdata/sf0.001"
+    usual = rows_of(job_queries.stream_windowed_words(spark, table))
+    assert len(runs) == 4
+    cost, size = "spark.sql.files.openCostInBytes", "spark.sql.files.maxPartitionBytes"
+    before = {key: spark.conf.get(key) for key in (cost, size)}
+    try:
+        spark.conf.set(cost, "0")
+        spark.conf.set(size, str(os.path.getsize(f"{table}/documents.parquet") // 5 + 1))
+        assert rows_of(job_queries.stream_windowed_words(spark, table)) == usual and usual
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert len(runs) > 4 + 4
