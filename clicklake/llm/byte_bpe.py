@@ -1,21 +1,22 @@
 """Byte-level BPE encoding and decoding with a table of ranks.
 
-A text is cut into words, the matches of the splitting pattern, and each distinct word is encoded by
-itself: it starts as single bytes, and the neighbouring pair of lowest rank is joined, the leftmost of
-several, until no pair has a rank.
+A text is cut into words, the matches of the splitting pattern, and each word is encoded by itself: it starts
+as single bytes, and the neighbouring pair of lowest rank is joined, the leftmost of several, until no pair
+has a rank. All words are encoded by one fold of Spark's higher-order functions: a word is an array of the ids
+of its pieces with the ranks of its pairs, and each step of the fold joins one pair.
 
-1. The distinct words of a sample of about ``SAMPLE_DOCS`` documents, at most ``COMMON_WORDS`` of them, are
-   encoded by Spark's higher-order functions. A word is an array of one-byte pieces with the ranks of its
-   pairs, and a fold joins them. The rank map is a literal: an array of small maps, picked by a hash of
-   the piece, so that a lookup reads a few entries and not all 50,000.
-2. Tasks get these words as a dictionary and put whole documents together from it. Words that are not
-   in it are folded in the task by the same rule, once, and kept up to ``CACHED_WORDS``.
+1. The commonest words of a sample of about ``SAMPLE_DOCS`` documents, at most ``COMMON_WORDS`` of them, are
+   encoded once for all texts.
+2. A task replaces the words of each text by their places in that list; the distinct words of a text that are not
+   in it stand beside it.
+3. The fold encodes these, row by row, and a task puts the ids of the whole text together.
 
-The fold over *all* distinct words of a block by higher-order functions gives the same ids, but takes
-about 60 microseconds for a word and did not meet the limits set for it (see the README). Decoding is
-native: ids are mapped to their pieces by a literal array, and the pieces are concatenated.
+The rank tables are a scalar subquery: lists of keys and of values, picked by a hash, so that a lookup reads a few
+entries; plans name the subquery and do not print it. A fold is quadratic in the length of its word, so a single word
+of more than ``LONGEST_FOLDED`` bytes is joined by the same rule with a heap. Decoding is native: ids are mapped to their
+pieces, and the pieces are concatenated.
 
-There is no shuffle of texts. Dictionary, rank table and cache are bounded.
+There is no shuffle of texts. List and rank tables are bounded.
 
 Defined results: null and empty texts have no ids; special tokens are ordinary text; every text
 decodes to its own UTF-8 bytes; an unknown or null id makes the decoded value null.
@@ -26,7 +27,6 @@ from __future__ import annotations
 import base64
 import json
 import zlib
-from array import array
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 from itertools import chain
@@ -37,14 +37,14 @@ import regex
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
-from clicklake.llm.common import free_name, steps, written
+from clicklake.llm.common import free_name, steps, text_bytes, written
 
 SAMPLE_DOCS = 16_000
 COMMON_WORDS = 200_000
-CACHED_WORDS = 300_000
-LONGEST_COMMON = 64  # bytes; the heap of a task is quicker for long words
+LONGEST_COMMON = 64  # bytes
+LONGEST_FOLDED = 4096
 BUCKETS = 8192
-NO_RANK = 2**31 - 1
+PAIR_BUCKETS = 1 << 16
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -54,17 +54,45 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(pair[0]): int(pair[1]) for pair in pairs if pair}
 
 
-def _bucket(piece: Column) -> Column:
-    return F.crc32(piece.cast("binary")).bitwiseAND(BUCKETS - 1).cast("int")
+# A piece with the pair it begins is one number: rank of the pair, place of its first byte, id. The least one is joined next.
+_ID, _PLACE = 25, 13
+_NO_PAIR = (1 << 24) - 1 << _ID + _PLACE
+_END = (1 << 24) + 256  # id of what stands before the first and after the last piece; bytes without a rank are below
+_SPREAD = 40_503
 
 
-def _rank_map(ranks: dict[bytes, int]) -> Column:
-    """The ranks as a constant: maps from piece (a character per byte) to rank, by hash of the piece."""
-    buckets: list[dict[str, int]] = [{} for _ in range(BUCKETS)]
+def _rank_lists(ranks: dict[bytes, int]) -> dict[str, list]:
+    """Ranks of whole words (a character per byte), ids of single bytes, and ranks of pairs of pieces by their ids."""
+    first = [ranks.get(bytes([i]), (1 << 24) + i) for i in range(256)]
+    known = {**{bytes([i]): id_ for i, id_ in enumerate(first)}, **ranks}
+    words: list[dict[str, int]] = [{} for _ in range(BUCKETS)]
+    pairs: list[dict[int, int]] = [{} for _ in range(PAIR_BUCKETS)]
     for piece, rank in ranks.items():
         text = piece.decode("latin-1")
-        buckets[zlib.crc32(text.encode()) & (BUCKETS - 1)][text] = rank
-    return F.from_json(F.lit(json.dumps(buckets)), "array<map<string,int>>")
+        words[zlib.crc32(text.encode()) & (BUCKETS - 1)][text] = rank
+        for cut in range(1, len(piece)):
+            left, right = known.get(piece[:cut]), known.get(piece[cut:])
+            if left is not None and right is not None:
+                pairs[left * _SPREAD + right & (PAIR_BUCKETS - 1)][(left << _ID) + right] = rank << _ID + _PLACE
+    return {"words": words, "first": first, "pairs": pairs}
+
+
+def _rank_map(ranks: dict[bytes, int]) -> Column:
+    """The ranks as a literal, which plans print whole."""
+    lists = _rank_lists(ranks)
+    pairs = [{"k": list(bucket), "v": list(bucket.values())} for bucket in lists["pairs"]]
+    kind = "words array<map<string,int>>, first array<bigint>, pairs array<struct<k: array<bigint>, v: array<bigint>>>"
+    read = F.from_json(F.lit(json.dumps({**lists, "pairs": pairs})), kind)
+    return read.withField("pairs", F.transform(read["pairs"], lambda bucket: F.map_from_arrays(bucket["k"], bucket["v"])))
+
+
+def _with_ranks(df: DataFrame, ranks: dict[bytes, int], name: str) -> DataFrame:
+    """The ranks as a column, which the expression that uses it takes from a scalar subquery; to be used once."""
+    lists = _rank_lists(ranks)
+    kinds = [("words", pa.list_(pa.map_(pa.string(), pa.int32()))), ("first", pa.list_(pa.int64())), ("pairs", pa.list_(pa.map_(pa.int64(), pa.int64())))]
+    row = {key: [list(bucket.items()) for bucket in value] if key != "first" else value for key, value in lists.items()}
+    table = pa.table({"ranks": pa.array([row], pa.struct(kinds))})
+    return df.withColumn(name, df.sparkSession.createDataFrame(table).scalar())
 
 
 def _let(value: Column, body) -> Column:
@@ -78,41 +106,47 @@ def encoded_word(word: Column, rank_map: Column) -> Column:
 
 
 def _encoded_word(word: Column, rank_map: Column) -> Column:
-    def known(piece: Column) -> Column:
-        return F.try_element_at(F.get(rank_map, _bucket(piece)), piece)
+    def known(text: Column) -> Column:
+        bucket = F.crc32(text.cast("binary")).bitwiseAND(BUCKETS - 1).cast("int")
+        return F.try_element_at(F.get(rank_map["words"], bucket), text)
 
-    def rank(piece: Column) -> Column:
-        return F.coalesce(known(piece), F.lit(NO_RANK))
+    def id_of(piece: Column) -> Column:
+        return piece.bitwiseAND((1 << _ID) - 1)
 
-    def join_at(state: Column, i: Column) -> Column:
-        """Join pieces i and i + 1, counted from 1, and renew the ranks beside them."""
-        p, r = state["p"], state["r"]
-        n = F.size(p)
+    def rank(left: Column, right: Column) -> Column:
+        """Rank of a pair of ids, at its place in the number."""
+        bucket = (left * _SPREAD + right).bitwiseAND(PAIR_BUCKETS - 1).cast("int")
+        found = F.try_element_at(F.get(rank_map["pairs"], bucket), F.shiftleft(left, _ID) + right)
+        return F.coalesce(found, F.lit(_NO_PAIR))
 
-        def joined(new: Column) -> Column:
-            before = F.when(i > 1, F.array(rank(F.concat(F.get(p, i - 2), new)))).otherwise(F.slice(r, 1, 0))
-            after = F.when(i + 2 <= n, F.array(rank(F.concat(new, F.get(p, i + 1))))).otherwise(F.slice(r, 1, 0))
-            return F.struct(
-                F.concat(F.slice(p, F.lit(1), i - 1), F.array(new), F.slice(p, i + 2, n)).alias("p"),
-                F.concat(F.slice(r, F.lit(1), F.greatest(i - 2, F.lit(0))), before, after, F.slice(r, i + 2, n)).alias("r"),
-            )
+    def join_at(pieces: Column, i: Column, least: Column) -> Column:
+        """Join pieces i and i + 1, counted from 1, and renew the ranks beside them."""
+        new, before = F.shiftright(least, _ID + _PLACE), F.get(pieces, i - 2)
+        place = least.bitwiseAND((1 << _PLACE) - 1 << _ID)
+        renewed = F.array(
+            rank(id_of(before), new) + before.bitwiseAND((1 << _ID + _PLACE) - 1), rank(new, id_of(F.get(pieces, i + 1))) + place + new
+        )
+        return F.concat(F.slice(pieces, F.lit(1), i - 2), renewed, F.slice(pieces, i + 2, LONGEST_FOLDED))
 
-        return _let(F.concat(F.get(p, i - 1), F.get(p, i)), joined)
+    def step(pieces: Column, _: Column) -> Column:
+        def at_least(least: Column) -> Column:
+            place = F.array_position(pieces, least).cast("int")
+            return F.when(least >= _NO_PAIR, pieces).otherwise(_let(place, lambda i: join_at(pieces, i, least)))
 
-    def step(state: Column, _: Column) -> Column:
-        def at_lowest(low: Column) -> Column:
-            place = F.array_position(state["r"], low).cast("int")
-            return F.when(low.isNull() | (low == NO_RANK), state).otherwise(_let(place, lambda i: join_at(state, i)))
+        return _let(F.array_min(pieces), at_least)
 
-        return _let(F.array_min(state["r"]), at_lowest)
+    def joined(ids: Column) -> Column:
+        number = lambda id_, i: rank(id_, F.coalesce(F.get(ids, i + 1), F.lit(_END))) + F.shiftleft(i.cast("bigint"), _ID) + id_
+        pieces = F.aggregate(F.sequence(F.lit(1), F.size(ids) - 3), F.transform(ids, number), step)
+        return F.transform(F.slice(pieces, F.lit(2), F.size(pieces) - 2), lambda piece: id_of(piece).cast("int"))
 
     def folded(text: Column) -> Column:
-        n = F.length(text)
-        pieces = F.transform(F.sequence(F.lit(1), n), lambda i: F.substr(text, i, F.lit(1)))
-        pairs = F.when(n > 1, F.transform(F.sequence(F.lit(1), n - 1), lambda i: rank(F.substr(text, i, F.lit(2)))))
-        start = F.struct(pieces.alias("p"), F.coalesce(pairs, F.slice(F.array(F.lit(0)), 1, 0)).alias("r"))
-        merges = F.when(n > 1, F.sequence(F.lit(1), n - 1)).otherwise(F.array(F.lit(1)))
-        return F.transform(F.aggregate(merges, start, step)["p"], rank)
+        byte = lambda i: F.get(rank_map["first"], F.ascii(F.substr(text, i, F.lit(1))))
+        end = F.array(F.lit(_END).cast("bigint"))
+        ids = F.concat(end, F.transform(F.sequence(F.lit(1), F.length(text)), byte), end)
+        return F.when(F.length(text) > 1, _let(ids, joined)).when(text == "", F.array().cast("array<int>")).otherwise(
+            F.array(F.get(rank_map["first"], F.ascii(text)).cast("int"))
+        )
 
     def whole_or_folded(text: Column) -> Column:
         return _let(known(text), lambda id_: F.when(id_.isNotNull(), F.array(id_)).otherwise(folded(text)))
@@ -121,7 +155,7 @@ def _encoded_word(word: Column, rank_map: Column) -> Column:
 
 
 def folded_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Ids of one word, joined in the task: the open pair of lowest rank, leftmost first, from a heap."""
+    """Ids of one long word, joined in the task: the open pair of lowest rank, leftmost first, from a heap."""
     if word in ranks:
         return [ranks[word]]
     size = len(word)
@@ -148,24 +182,19 @@ def folded_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
-class _Known(dict):
-    """Ids by word; a word that is missing is folded and kept."""
-
-    def __init__(self, ranks: dict[bytes, int], words: pa.Table) -> None:
-        super().__init__(zip((w.decode() for w in words.column("word").to_pylist()), words.column("ids").to_pylist()))
-        self.ranks, self.base = ranks, len(self)
+class _Places(dict):
+    """Places of the common words; a word of a text that is missing gets the next negative number."""
 
-    def __missing__(self, word: str) -> list[int]:
-        ids = self[word] = folded_word(word.encode(), self.ranks)
-        return ids
+    def __init__(self, words: list[bytes]) -> None:
+        super().__init__((word.decode(), i) for i, word in enumerate(words))
+        self.rest: dict[str, int] = {}
 
-    def trim(self) -> None:
-        while len(self) > self.base + CACHED_WORDS:
-            self.popitem()
+    def __missing__(self, word: str) -> int:
+        return self.rest.setdefault(word, -1 - len(self.rest))
 
 
 def common_words(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text") -> pa.Table:
-    """``word, ids`` of the words that most parts of a sample of the documents have."""
+    """``word, ids`` of the words that most parts of a sample of the documents have; the list saves work and decides no result."""
     spark = docs.sparkSession
     share = min(1.0, SAMPLE_DOCS / max(1, docs.count()))
 
@@ -179,7 +208,7 @@ def common_words(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: s
     short = counted.filter(F.octet_length("word") <= LONGEST_COMMON)
     chosen = written(short.orderBy(F.desc("steps"), "word").limit(COMMON_WORDS).select("word"), "words")
     dealt = chosen.repartition(4 * spark.sparkContext.defaultParallelism)
-    return dealt.select("word", encoded_word(F.col("word"), _rank_map(ranks)).alias("ids")).toArrow()
+    return _with_ranks(dealt, ranks, "ranks").select("word", encoded_word(F.col("word"), F.col("ranks")).alias("ids")).toArrow()
 
 
 def encode(
@@ -191,28 +220,62 @@ def encode(
     """
     ids, packed = free_name(docs, ids), free_name(docs, packed)
     held = [f for f in docs.schema.fields if f.name != text]
-    schema = StructType([*held, StructField(ids, ArrayType(IntegerType())), StructField(packed, BinaryType())])
-    sent = docs.sparkSession.sparkContext.broadcast((ranks, common_words(docs, ranks, pattern, text)))
+    names = [f.name for f in held]
+    codes, rest, folded, map_ = (free_name(docs, name) for name in ("__codes", "__rest", "__folded", "__ranks"))
+    common = common_words(docs, ranks, pattern, text)
+    context = docs.sparkSession.sparkContext
+    words, of_words = context.broadcast(common.select(["word"])), context.broadcast((common.select(["ids"]), ranks))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = regex.compile(pattern).findall
-        known = _Known(*sent.value)
+        places = _Places(words.value.column("word").to_pylist())
         for step in steps(batches, text):
-            flat, offsets = array("i"), [0]
+            found, missing = [], []
             for value in step.column(text).to_pylist():
-                flat.extend(chain.from_iterable(map(known.__getitem__, find(value or ""))))
-                offsets.append(len(flat))
-            known.trim()
-            values = np.frombuffer(flat, np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values))
-            raw = pa.py_buffer(values.astype("<u4").tobytes())
-            bounds = pa.py_buffer(4 * np.array(offsets, np.int32))
-            binary = pa.BinaryArray.from_buffers(pa.binary(), len(offsets) - 1, [None, bounds, raw])
-            yield pa.RecordBatch.from_arrays(
-                [*(step.column(f.name) for f in held), lists, binary], names=[*(f.name for f in held), ids, packed]
-            )
-
-    return docs.mapInArrow(run, schema)
+                places.rest = {}
+                matches = find(value or "")
+                found.append(np.fromiter(map(places.__getitem__, matches), np.int32, len(matches)).tobytes())
+                missing.append([word.encode() for word in places.rest])
+            made = [pa.array(found, pa.binary()), pa.array(missing, pa.list_(pa.binary()))]
+            yield pa.RecordBatch.from_arrays([*(step.column(name) for name in names), *made], names=[*names, codes, rest])
+
+    def put_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, ranks = of_words.value
+        known = _flat(table.column("ids").combine_chunks())
+        for step in steps(batches, codes):
+            data, starts, ends = text_bytes(step.column(codes))
+            places = np.frombuffer(data, np.int32)
+            sizes = (ends - starts) // 4
+            of_rest = step.column(folded).flatten()
+            if of_rest.null_count:
+                pairs = zip(step.column(rest).flatten().to_pylist(), of_rest.to_pylist())
+                made = [folded_word(word, ranks) if ids_ is None else ids_ for word, ids_ in pairs]
+                of_rest = pa.array(made, pa.list_(pa.int32()))
+            values, lengths = (np.concatenate(both) for both in zip(known, _flat(of_rest)))
+            n_rest = step.column(folded).value_lengths().to_numpy()
+            before = np.repeat(len(known[1]) + np.cumsum(n_rest) - n_rest, sizes)
+            places = np.where(places < 0, before - 1 - places, places)
+            begins, n_ids = (np.cumsum(lengths) - lengths)[places], lengths[places]
+            reached = np.cumsum(n_ids)
+            flat = values[np.repeat(begins - reached + n_ids, n_ids) + np.arange(n_ids.sum())]
+            offsets = np.append(0, reached)[np.append(0, np.cumsum(sizes))]
+            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))
+            bounds = pa.py_buffer((4 * offsets).astype(np.int32))
+            binary = pa.BinaryArray.from_buffers(pa.binary(), len(sizes), [None, bounds, pa.py_buffer(flat.astype("<u4"))])
+            yield pa.RecordBatch.from_arrays([*(step.column(name) for name in names), lists, binary], names=[*names, ids, packed])
+
+    between = StructType([*held, StructField(codes, BinaryType()), StructField(rest, ArrayType(BinaryType()))])
+    schema = StructType([*held, StructField(ids, ArrayType(IntegerType())), StructField(packed, BinaryType())])
+    short = lambda word: F.octet_length(word) <= LONGEST_FOLDED
+    fold = _let(F.col(map_), lambda bound: F.transform(rest, lambda word: F.when(short(word), _encoded_word(word, bound))))
+    looked_up = _with_ranks(docs.mapInArrow(look_up, between), ranks, map_)
+    quoted = ["`" + name.replace("`", "``") + "`" for name in (*names, codes, rest)]
+    return looked_up.select(*quoted, fold.alias(folded)).mapInArrow(put_together, schema)
+
+
+def _flat(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """The elements of all lists, one after the other, and the length of each list."""
+    return lists.flatten().to_numpy(zero_copy_only=False).astype(np.int32), lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
 
 
 def decoded(ids: Column, ranks: dict[bytes, int]) -> Column:
