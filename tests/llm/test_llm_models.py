@@ -344,6 +344,17 @@ def test_encoding_equals_the_library(spark, monkeypatch):
     assert byte_bpe.encode(docs.limit(0), RANKS, public_tokenizers.PATTERN).count() == 0
 
 
+@pytest.mark.parametrize("longest", [4096, 6])
+def test_words_outside_the_list_go_through_the_fold(spark, plan_of, monkeypatch, longest):
+    monkeypatch.setattr(byte_bpe, "COMMON_WORDS", 1)
+    monkeypatch.setattr(byte_bpe, "LONGEST_FOLDED", longest)
+    texts = ["oscoadodo ofanstingon", "underäöä " * 3, "ab" * 2500, "\n".join(["wasthblethre", "x" * 40, "日本語の文"]), None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    made = byte_bpe.encode(docs, RANKS, public_tokenizers.PATTERN)
+    assert "aggregate(" in plan_of(made)
+    assert {r.doc_id: list(r.ids) for r in made.collect()} == {i: ENCODING.encode_ordinary(t or "") for i, t in enumerate(texts)}
+
+
 def test_native_fold_and_task_fold_agree(spark):
     draw = random.Random(2)
     words = ["".join(draw.choice("theaionrs éß") for _ in range(draw.randrange(1, 20))).encode() for _ in range(300)]
