@@ -8,7 +8,7 @@ of its pieces with the ranks of its pairs, and each step of the fold joins one p
 1. The commonest words of a sample of about ``SAMPLE_DOCS`` documents, at most ``COMMON_WORDS`` of them, are
    encoded once for all texts.
 2. A task replaces the words of each text by their places in that list; the distinct words of a text that are not
-   in it stand beside it.
+   in it stand beside it, with their bytes as numbers.
 3. The fold encodes these, row by row, and a task puts the ids of the whole text together.
 
 The rank tables are a scalar subquery: lists of keys and of values, picked by a hash, so that a lookup reads a few
@@ -27,6 +27,7 @@ from __future__ import annotations
 import base64
 import json
 import zlib
+from array import array
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 from itertools import chain
@@ -44,7 +45,7 @@ COMMON_WORDS = 200_000
 LONGEST_COMMON = 64  # bytes
 LONGEST_FOLDED = 4096
 BUCKETS = 8192
-PAIR_BUCKETS = 1 << 16
+PAIR_BUCKETS = 65_521  # a prime, as pairs are dealt by remainder
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -55,44 +56,63 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 # A piece with the pair it begins is one number: rank of the pair, place of its first byte, id. The least one is joined next.
-_ID, _PLACE = 25, 13
+# A pair that is looked up has the id of its right piece where the rank will be.
+_ID, _PLACE = 26, 13
+_PLACES = (1 << _PLACE) - 1 << _ID
+_OWN = (1 << _ID + _PLACE) - 1  # place and id
 _NO_PAIR = (1 << 24) - 1 << _ID + _PLACE
 _END = (1 << 24) + 256  # id of what stands before the first and after the last piece; bytes without a rank are below
-_SPREAD = 40_503
+_LAST, _EDGE = 1 << 16, (1 << 16) + 256  # codes of a last byte, less the byte, and of the two ends; other bytes are coded with the next one
 
 
-def _rank_lists(ranks: dict[bytes, int]) -> dict[str, list]:
-    """Ranks of whole words (a character per byte), ids of single bytes, and ranks of pairs of pieces by their ids."""
+def _dealt(buckets: np.ndarray, n: int, keys: pa.Array, values: pa.Array) -> pa.Array:
+    """One list of ``n`` maps; each key and value in the map of its bucket."""
+    order = pa.array(np.argsort(buckets, kind="stable"))
+    offsets = np.append(0, np.cumsum(np.bincount(buckets, minlength=n)))
+    maps = pa.MapArray.from_arrays(pa.array(offsets, pa.int32()), keys.take(order), values.take(order))
+    return pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), maps)
+
+
+def _rank_table(ranks: dict[bytes, int]) -> pa.Table:
+    """A row with the ranks of whole words, the numbers of coded bytes, and the ranks of pairs of pieces by their ids."""
     first = [ranks.get(bytes([i]), (1 << 24) + i) for i in range(256)]
     known = {**{bytes([i]): id_ for i, id_ in enumerate(first)}, **ranks}
-    words: list[dict[str, int]] = [{} for _ in range(BUCKETS)]
-    pairs: list[dict[int, int]] = [{} for _ in range(PAIR_BUCKETS)]
+    pairs, of_pairs = array("q"), array("q")
     for piece, rank in ranks.items():
-        text = piece.decode("latin-1")
-        words[zlib.crc32(text.encode()) & (BUCKETS - 1)][text] = rank
         for cut in range(1, len(piece)):
             left, right = known.get(piece[:cut]), known.get(piece[cut:])
             if left is not None and right is not None:
-                pairs[left * _SPREAD + right & (PAIR_BUCKETS - 1)][(left << _ID) + right] = rank << _ID + _PLACE
-    return {"words": words, "first": first, "pairs": pairs}
+                key = (right << _ID + _PLACE) + left
+                pairs.append(key - (1 << 64) if key >> 63 else key)
+                of_pairs.append(rank << _ID + _PLACE)
+    coded = [ranks.get(bytes([i, j])) for i in range(256) for j in range(256)]
+    numbers = [(_NO_PAIR if rank is None else rank << _ID + _PLACE) + first[i >> 8] for i, rank in enumerate(coded)]
+    numbers += [_NO_PAIR + id_ for id_ in (*first, _END)]
+    pairs = np.frombuffer(pairs, np.int64)
+    crcs = np.fromiter(map(zlib.crc32, ranks), np.int64, len(ranks)) & (BUCKETS - 1)
+    lists = {
+        "words": _dealt(crcs, BUCKETS, pa.array(list(ranks), pa.binary()), pa.array(list(ranks.values()), pa.int32())),
+        "numbers": pa.array([numbers], pa.list_(pa.int64())),
+        "pairs": _dealt(pairs % PAIR_BUCKETS, PAIR_BUCKETS, pa.array(pairs), pa.array(np.frombuffer(of_pairs, np.int64))),
+    }
+    return pa.table({"ranks": pa.StructArray.from_arrays(lists.values(), names=list(lists))})
 
 
 def _rank_map(ranks: dict[bytes, int]) -> Column:
     """The ranks as a literal, which plans print whole."""
-    lists = _rank_lists(ranks)
-    pairs = [{"k": list(bucket), "v": list(bucket.values())} for bucket in lists["pairs"]]
-    kind = "words array<map<string,int>>, first array<bigint>, pairs array<struct<k: array<bigint>, v: array<bigint>>>"
-    read = F.from_json(F.lit(json.dumps({**lists, "pairs": pairs})), kind)
-    return read.withField("pairs", F.transform(read["pairs"], lambda bucket: F.map_from_arrays(bucket["k"], bucket["v"])))
+    lists = _rank_table(ranks)["ranks"][0].as_py()
+    words = [{"k": [word.hex() for word, _ in bucket], "v": [rank for _, rank in bucket]} for bucket in lists["words"]]
+    pairs = [{"k": [pair for pair, _ in bucket], "v": [rank for _, rank in bucket]} for bucket in lists["pairs"]]
+    kind = "words array<struct<k: array<string>, v: array<int>>>, numbers array<bigint>, pairs array<struct<k: array<bigint>, v: array<bigint>>>"
+    read = F.from_json(F.lit(json.dumps({"words": words, "numbers": lists["numbers"], "pairs": pairs})), kind)
+    of_words = F.transform(read["words"], lambda bucket: F.map_from_arrays(F.transform(bucket["k"], F.unhex), bucket["v"]))
+    of_pairs = F.transform(read["pairs"], lambda bucket: F.map_from_arrays(bucket["k"], bucket["v"]))
+    return read.withField("words", of_words).withField("pairs", of_pairs)
 
 
 def _with_ranks(df: DataFrame, ranks: dict[bytes, int], name: str) -> DataFrame:
     """The ranks as a column, which the expression that uses it takes from a scalar subquery; to be used once."""
-    lists = _rank_lists(ranks)
-    kinds = [("words", pa.list_(pa.map_(pa.string(), pa.int32()))), ("first", pa.list_(pa.int64())), ("pairs", pa.list_(pa.map_(pa.int64(), pa.int64())))]
-    row = {key: [list(bucket.items()) for bucket in value] if key != "first" else value for key, value in lists.items()}
-    table = pa.table({"ranks": pa.array([row], pa.struct(kinds))})
-    return df.withColumn(name, df.sparkSession.createDataFrame(table).scalar())
+    return df.withColumn(name, df.sparkSession.createDataFrame(_rank_table(ranks)).scalar())
 
 
 def _let(value: Column, body) -> Column:
@@ -100,58 +120,74 @@ def _let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def _bound(state: Column, value: Column, body) -> Column:
+    """``body(state, value)`` with the value computed once; in place of ``_let`` where the result is as the state, which is not copied."""
+    return F.aggregate(F.array(value), state, body)
+
+
 def encoded_word(word: Column, rank_map: Column) -> Column:
     """Ids of one word, given as binary. The map stands in the expression once, bound to a variable."""
-    return _let(rank_map, lambda bound: _encoded_word(word, bound))
+    return _let(rank_map, lambda bound: _encoded_word(word, _codes(word), bound))
+
+
+def _codes(word: Column) -> Column:
+    """The bytes of a word, each coded with the next one, between two ends."""
+
+    def codes(text: Column) -> Column:
+        byte = lambda i: F.ascii(F.substr(text, i, F.lit(1)))
+        code = lambda i: F.when(i < F.length(text), byte(i) * 256 + byte(i + 1)).otherwise(byte(i) + _LAST)
+        inner = F.when(text != "", F.transform(F.sequence(F.lit(1), F.length(text)), code)).otherwise(F.array().cast("array<int>"))
+        return F.flatten(F.array(F.array(F.lit(_EDGE)), inner, F.array(F.lit(_EDGE))))
 
+    return _let(F.decode(word, "ISO-8859-1"), codes)
 
-def _encoded_word(word: Column, rank_map: Column) -> Column:
-    def known(text: Column) -> Column:
-        bucket = F.crc32(text.cast("binary")).bitwiseAND(BUCKETS - 1).cast("int")
-        return F.try_element_at(F.get(rank_map["words"], bucket), text)
 
-    def id_of(piece: Column) -> Column:
-        return piece.bitwiseAND((1 << _ID) - 1)
+def _byte_codes(words: list[bytes]) -> pa.Array:
+    """What ``_codes`` gives, for words of at least one byte in a task."""
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    data = np.frombuffer(b"".join(words), np.uint8).astype(np.int32)
+    codes = (data << 8) + np.append(data[1:], 0)
+    lasts = np.cumsum(sizes) - 1
+    codes[lasts] = data[lasts] + _LAST
+    offsets = np.append(0, np.cumsum(sizes + 2))
+    made = np.full(offsets[-1], _EDGE, np.int32)
+    made[np.arange(len(data)) + 2 * np.repeat(np.arange(len(words)), sizes) + 1] = codes
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(made))
 
-    def rank(left: Column, right: Column) -> Column:
-        """Rank of a pair of ids, at its place in the number."""
-        bucket = (left * _SPREAD + right).bitwiseAND(PAIR_BUCKETS - 1).cast("int")
-        found = F.try_element_at(F.get(rank_map["pairs"], bucket), F.shiftleft(left, _ID) + right)
-        return F.coalesce(found, F.lit(_NO_PAIR))
+
+def _encoded_word(word: Column, codes: Column, rank_map: Column) -> Column:
+    """Ids of one word. Each node of an expression costs time for each byte or join, so they are few."""
+
+    def known(word: Column) -> Column:
+        return F.try_element_at(rank_map["words"][F.crc32(word).bitwiseAND(BUCKETS - 1)], word)
+
+    def number(pair: Column) -> Column:
+        key = pair.bitwiseAND(~_PLACES)
+        rank = F.try_element_at(rank_map["pairs"][F.pmod(key, F.lit(PAIR_BUCKETS))], key)
+        return F.coalesce(rank, F.lit(_NO_PAIR)).bitwiseOR(pair.bitwiseAND(_OWN))
 
     def join_at(pieces: Column, i: Column, least: Column) -> Column:
-        """Join pieces i and i + 1, counted from 1, and renew the ranks beside them."""
-        new, before = F.shiftright(least, _ID + _PLACE), F.get(pieces, i - 2)
-        place = least.bitwiseAND((1 << _PLACE) - 1 << _ID)
-        renewed = F.array(
-            rank(id_of(before), new) + before.bitwiseAND((1 << _ID + _PLACE) - 1), rank(new, id_of(F.get(pieces, i + 1))) + place + new
-        )
-        return F.concat(F.slice(pieces, F.lit(1), i - 2), renewed, F.slice(pieces, i + 2, LONGEST_FOLDED))
+        """Join pieces i and i + 1, counted from 0, and renew the ranks beside them."""
+        before = pieces[i - 2].bitwiseAND(_OWN).bitwiseOR(least.bitwiseAND(_NO_PAIR))
+        after = F.shiftleft(pieces[i + 1], _ID + _PLACE).bitwiseOR(least.bitwiseAND(_PLACES)).bitwiseOR(F.shiftright(least, _ID + _PLACE))
+        renewed = F.transform(F.array(before, after), number)
+        return F.flatten(F.array(F.slice(pieces, F.lit(1), i - 2), renewed, F.slice(pieces, i + 2, LONGEST_FOLDED)))
 
     def step(pieces: Column, _: Column) -> Column:
-        def at_least(least: Column) -> Column:
-            place = F.array_position(pieces, least).cast("int")
-            return F.when(least >= _NO_PAIR, pieces).otherwise(_let(place, lambda i: join_at(pieces, i, least)))
+        def at_least(pieces: Column, least: Column) -> Column:
+            i = F.array_position(pieces, least).cast("int")
+            return F.when(least >= _NO_PAIR, pieces).otherwise(_bound(pieces, i, lambda pieces, i: join_at(pieces, i, least)))
 
-        return _let(F.array_min(pieces), at_least)
+        return _bound(pieces, F.array_min(pieces), at_least)
 
-    def joined(ids: Column) -> Column:
-        number = lambda id_, i: rank(id_, F.coalesce(F.get(ids, i + 1), F.lit(_END))) + F.shiftleft(i.cast("bigint"), _ID) + id_
-        pieces = F.aggregate(F.sequence(F.lit(1), F.size(ids) - 3), F.transform(ids, number), step)
-        return F.transform(F.slice(pieces, F.lit(2), F.size(pieces) - 2), lambda piece: id_of(piece).cast("int"))
+    def ids_of(pieces: Column) -> Column:
+        return F.transform(F.slice(pieces, F.lit(2), F.size(pieces) - 2), lambda piece: piece.bitwiseAND((1 << _ID) - 1).cast("int"))
 
-    def folded(text: Column) -> Column:
-        byte = lambda i: F.get(rank_map["first"], F.ascii(F.substr(text, i, F.lit(1))))
-        end = F.array(F.lit(_END).cast("bigint"))
-        ids = F.concat(end, F.transform(F.sequence(F.lit(1), F.length(text)), byte), end)
-        return F.when(F.length(text) > 1, _let(ids, joined)).when(text == "", F.array().cast("array<int>")).otherwise(
-            F.array(F.get(rank_map["first"], F.ascii(text)).cast("int"))
-        )
+    def folded(codes: Column) -> Column:
+        start = F.transform(codes, lambda code, i: rank_map["numbers"][code].bitwiseOR(F.shiftleft(i.cast("bigint"), _ID)))
+        return F.aggregate(F.sequence(F.lit(1), F.size(codes) - 3), start, step, ids_of)
 
-    def whole_or_folded(text: Column) -> Column:
-        return _let(known(text), lambda id_: F.when(id_.isNotNull(), F.array(id_)).otherwise(folded(text)))
-
-    return _let(F.decode(word, "ISO-8859-1"), whole_or_folded)
+    return _let(known(word), lambda id_: F.when(id_.isNotNull(), F.array(id_)).otherwise(_let(codes, folded)))
 
 
 def folded_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -236,7 +272,10 @@ def encode(
                 matches = find(value or "")
                 found.append(np.fromiter(map(places.__getitem__, matches), np.int32, len(matches)).tobytes())
                 missing.append([word.encode() for word in places.rest])
-            made = [pa.array(found, pa.binary()), pa.array(missing, pa.list_(pa.binary()))]
+            flat = list(chain.from_iterable(missing))
+            parts = pa.StructArray.from_arrays([pa.array(flat, pa.binary()), _byte_codes(flat)], names=["word", "codes"])
+            ends = np.append(0, np.cumsum([len(words) for words in missing]))
+            made = [pa.array(found, pa.binary()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), parts)]
             yield pa.RecordBatch.from_arrays([*(step.column(name) for name in names), *made], names=[*names, codes, rest])
 
     def put_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -248,7 +287,7 @@ def encode(
             sizes = (ends - starts) // 4
             of_rest = step.column(folded).flatten()
             if of_rest.null_count:
-                pairs = zip(step.column(rest).flatten().to_pylist(), of_rest.to_pylist())
+                pairs = zip(step.column(rest).flatten().field("word").to_pylist(), of_rest.to_pylist())
                 made = [folded_word(word, ranks) if ids_ is None else ids_ for word, ids_ in pairs]
                 of_rest = pa.array(made, pa.list_(pa.int32()))
             values, lengths = (np.concatenate(both) for both in zip(known, _flat(of_rest)))
@@ -264,13 +303,17 @@ def encode(
             binary = pa.BinaryArray.from_buffers(pa.binary(), len(sizes), [None, bounds, pa.py_buffer(flat.astype("<u4"))])
             yield pa.RecordBatch.from_arrays([*(step.column(name) for name in names), lists, binary], names=[*names, ids, packed])
 
-    between = StructType([*held, StructField(codes, BinaryType()), StructField(rest, ArrayType(BinaryType()))])
+    of_word = StructType([StructField("word", BinaryType()), StructField("codes", ArrayType(IntegerType()))])
+    between = StructType([*held, StructField(codes, BinaryType()), StructField(rest, ArrayType(of_word))])
     schema = StructType([*held, StructField(ids, ArrayType(IntegerType())), StructField(packed, BinaryType())])
-    short = lambda word: F.octet_length(word) <= LONGEST_FOLDED
-    fold = _let(F.col(map_), lambda bound: F.transform(rest, lambda word: F.when(short(word), _encoded_word(word, bound))))
+
+    def fold(ranks: Column) -> Column:
+        short = lambda word: F.octet_length(word["word"]) <= LONGEST_FOLDED
+        return F.transform(rest, lambda word: F.when(short(word), _encoded_word(word["word"], word["codes"], ranks)))
+
     looked_up = _with_ranks(docs.mapInArrow(look_up, between), ranks, map_)
     quoted = ["`" + name.replace("`", "``") + "`" for name in (*names, codes, rest)]
-    return looked_up.select(*quoted, fold.alias(folded)).mapInArrow(put_together, schema)
+    return looked_up.select(*quoted, _let(F.col(map_), fold).alias(folded)).mapInArrow(put_together, schema)
 
 
 def _flat(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 from collections import Counter
 
 import duckdb
@@ -363,6 +364,31 @@ def test_native_fold_and_task_fold_agree(spark):
     assert all(list(r.ids) == byte_bpe.folded_word(bytes(r.word), RANKS) for r in rows)
 
 
+def test_fold_stands_once_in_the_plan(spark, plan_of):
+    docs = spark.createDataFrame([(1, "oscoadodo ofanstingon")], "doc_id bigint, text string")
+    plan = plan_of(byte_bpe.encode(docs, RANKS, public_tokenizers.PATTERN))
+    assert plan.count("array_position(") == plan.count("crc32(") > 0
+
+
+def test_rank_tables_are_made_in_little_memory(spark):
+    df = spark.range(1)
+    tracemalloc.start()
+    byte_bpe._with_ranks(df, RANKS, "ranks")
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30 << 20
+
+
+def test_unranked_and_odd_bytes_in_the_fold(spark):
+    ranks = {bytes([i]): i for i in range(256)} | {b"\xff\x00": 256, b"aba": 257, b"ab": 258, b"ba": 259, b"\x00\x00": 260}
+    words = [b"", b"\x00", b"\x00\x00\x00", b"\xff\x00\xff", b"ababa", b"abaaba", b"baab" * 40]
+    df = spark.createDataFrame([(w,) for w in words], "word binary")
+    rows = df.select("word", byte_bpe.encoded_word(F.col("word"), byte_bpe._rank_map(ranks)).alias("ids")).collect()
+    assert all(list(r.ids) == byte_bpe.folded_word(bytes(r.word), ranks) for r in rows)
+    codes = spark.createDataFrame([(w,) for w in words[1:]], "word binary").select(byte_bpe._codes(F.col("word"))).collect()
+    assert [list(r[0]) for r in codes] == byte_bpe._byte_codes(words[1:]).to_pylist()
+
+
 def test_decoding_of_unknown_ids(spark):
     df = spark.createDataFrame([([1, 2],), ([1, None],), ([60_000],), ([],), (None,)], "ids array<int>")
     got = [r[0] for r in df.select(byte_bpe.decoded(F.col("ids"), RANKS)).collect()]
