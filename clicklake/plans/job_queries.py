@@ -67,6 +67,8 @@ def stream_line_detail(spark, base):
 # Lines of the windowed count: the time of document d is d minutes after this; every 17th one comes a day late.
 _FIRST_MS = 1_704_067_200_000
 _LINE_MS = f"({_FIRST_MS} + CAST(doc_id AS BIGINT) * 60000)"
+# Files of a run of it, each read by a task of its own.
+_FILES = 4
 
 
 @query(
@@ -82,11 +84,12 @@ def stream_windowed_words(spark, base):
     on_time = lines.filter("doc_id % 17 <> 0").select("text", F.timestamp_millis("ms").alias("time"))
     # Times rise from part to part, except for the last: its lines belong to windows long before the first.
     n_parts = max(3, lines.rdd.getNumPartitions())
-    parts = on_time.repartitionByRange(n_parts, "time").withColumn("n", F.spark_partition_id())
+    ranges = on_time.repartitionByRange(_FILES * n_parts, "time")
+    parts = ranges.withColumn("n", F.floor(F.spark_partition_id() / _FILES).cast("int"))
     late = lines.filter("doc_id % 17 = 0").select("text", F.timestamp_millis(F.col("ms") - 400 * 86_400_000).alias("time"))
     parts.unionByName(late.withColumn("n", F.lit(n_parts))).write.partitionBy("n").parquet(f"{path}/lines")
     schema = record(text=StringType(), time=TimestampType())
-    session = streaming_session(spark)
+    session = streaming_session(spark, restarts=True)
     for n in range(n_parts + 1):  # a run for each part: state and watermark go on where the last run ended
         stream = file_stream(session, f"{path}/lines/n={{{','.join(map(str, range(n + 1)))}}}", schema)
         start_windowed_word_count(stream, f"{path}/counts", f"{path}/checkpoint", "time", drain=True, line="text").awaitTermination()

@@ -1,6 +1,7 @@
 """Jobs in batch and on streams, with restarts."""
 
 import os
+from pathlib import Path
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -522,3 +523,17 @@ def test_windowed_words_in_more_parts(spark, monkeypatch):
         for key, value in before.items():
             spark.conf.set(key, value)
     assert len(runs) > 4 + 4
+
+
+def test_windowed_words_store_state_and_not_its_changes(spark, monkeypatch):
+    """A start of the stream reads its state, however many runs there were, from files that several tasks read."""
+    from clicklake.plans import job_queries
+
+    asked = []
+    start = job_queries.start_windowed_word_count
+    monkeypatch.setattr(job_queries, "start_windowed_word_count", lambda *args, **options: asked.append(args) or start(*args, **options))
+    assert job_queries.stream_windowed_words(spark, "/root/testdata/sf0.001").count()
+    checkpoint = Path(asked[-1][2].removeprefix("file:"))
+    kinds = [p.suffix for p in checkpoint.glob("state/**/*") if p.is_file()]
+    assert ".zip" in kinds and ".changelog" not in kinds
+    assert [len(list(checkpoint.parent.glob(f"lines/n={n}/*.parquet"))) for n in range(3)] == [4, 4, 4]
