@@ -197,6 +197,31 @@ def test_range_join_of_odd_tables(spark):
     assert got == sorted([(None, 0, None, True), (4, 1, 4, True), (4, 1, 4, True)], key=repr)
 
 
+def test_range_join_copies_no_vector(spark, monkeypatch):
+    """Each vector is in one block, whatever the cells and blocks; blocks are compared as the files have them, without a shuffle."""
+    for name, value in (("BLOCK", 16), ("ROWS_PER_PIVOT", 20), ("FILE", 2), ("GROUP", 4), ("ROUND", 2)):
+        monkeypatch.setattr(metric_join, name, value)
+    draw = np.random.default_rng(8)
+    x = draw.normal(size=(300, 6)).astype(np.float32)
+    x[150:] = x[:150] + draw.normal(size=(150, 6)) * draw.choice([0.0, 0.05, 0.3], size=(150, 1))
+    label = ["a" if i % 3 else "b" for i in range(150)] * 2
+    made, joined = [], metric_join._joined
+    monkeypatch.setattr(metric_join, "_joined", lambda pairs, *rest: made.append(pairs) or joined(pairs, *rest))
+    found = metric_join._found
+    monkeypatch.setattr(metric_join, "_found", lambda blocks, *rest: made.insert(0, blocks) or found(blocks, *rest))
+    table = spark.createDataFrame([(f"v{i:03}", x[i].tolist(), label[i]) for i in range(300)], "vec_id string, embedding array<float>, label string")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in metric_join.range_join(table).collect()}
+
+    unit = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    fits = (unit @ unit.T >= 0.93) & (np.array(label)[:, None] == np.array(label)[None, :]) & ~np.eye(300, dtype=bool)
+    least = least_reachable(range(300), [(int(a), int(b)) for a, b in np.argwhere(fits)])
+    assert got == {f"v{i:03}": (int(fits[i].sum()), f"v{least[i]:03}") for i in range(300)}
+
+    blocks, plans = made[0], [p._jdf.queryExecution().executedPlan().toString() for p in made[1:]]
+    assert blocks.count() > 12 and blocks.selectExpr("sum(size(doc))").first()[0] == len(np.unique(x, axis=0))
+    assert len(plans) > 2 and all("CartesianProduct" in p and "Exchange" not in p for p in plans)
+
+
 # -- repeats -------------------------------------------------------------------------------------
 
 
