@@ -536,4 +536,6 @@ def test_windowed_words_store_state_and_not_its_changes(spark, monkeypatch):
     checkpoint = Path(asked[-1][2].removeprefix("file:"))
     kinds = [p.suffix for p in checkpoint.glob("state/**/*") if p.is_file()]
     assert ".zip" in kinds and ".changelog" not in kinds
+    kept = [job_queries.streaming_session(spark, restarts=r).conf.get("spark.sql.streaming.minBatchesToRetain") for r in (True, False)]
+    assert kept == ["2", "100"]
     assert [len(list(checkpoint.parent.glob(f"lines/n={n}/*.parquet"))) for n in range(3)] == [4, 4, 4]
